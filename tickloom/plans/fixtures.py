@@ -207,7 +207,7 @@ def drift_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
     old = line.where(F.col("l_shipdate") < cut).drop("l_shipdate")
     new = line.where(F.col("l_shipdate") >= cut).drop("l_shipdate")
-    return old, new.withColumn("l_extendedprice", F.round(F.col("l_extendedprice") * 1.05, 2))
+    return old, new.withColumn("l_extendedprice", F.col("l_extendedprice") * 1.05)
 
 
 DRIFT_SQL = f"""
@@ -215,7 +215,7 @@ reference AS (
   SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag FROM lineitem
   WHERE l_shipdate < TIMESTAMP '{DRIFT_CUT}'
 ), current_rows AS (
-  SELECT l_quantity, round(l_extendedprice * 1.05, 2) AS l_extendedprice, l_discount, l_tax, l_returnflag
+  SELECT l_quantity, l_extendedprice * 1.05::DOUBLE AS l_extendedprice, l_discount, l_tax, l_returnflag
   FROM lineitem WHERE l_shipdate >= TIMESTAMP '{DRIFT_CUT}'
 )"""
 
