@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.operators.ordered import cumulative, value_at_rank
+from tickloom.operators.ordered import ceil_of, cumulative, floor_of, values_at
 
 # Upper bounds of the published confidence histogram.
 CONFIDENCE_BOUNDS = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 1.0]
@@ -169,12 +169,10 @@ def latency_report(log: DataFrame, success: Column, total_seconds: float | None
         F.avg(ms).alias("mean_ms"), F.stddev_samp(ms).alias("std_ms"),
     )
     good = log.where(success).select((F.col("latency_seconds") * 1000).alias("ms"))
-    ranks = {
-        f"p{p}_ms": F.least(F.floor(F.col("all_n") * p / 100), F.col("all_n") - 1) for p in (50, 95, 99)
-    }
-    middle = (F.col("all_n") - 1) * 0.5
-    ranks |= {"_lo": F.floor(middle), "_hi": F.ceil(middle)}
-    picked = value_at_rank(cumulative(good, [], "ms", {"n": F.lit(1)}), [], "ms", ranks)
+    # floor(n p / 100) < n for every p below 100, so the last rank needs no further clamp
+    ranks = {f"p{p}_ms": lambda n, p=p: floor_of(n * p / 100) for p in (50, 95, 99)}
+    ranks |= {"_lo": lambda n: floor_of((n - 1) * 0.5), "_hi": lambda n: ceil_of((n - 1) * 0.5)}
+    picked = values_at(good, [], "ms", ranks)
     zero = F.lit(0.0)
     picks = {n: F.coalesce(picked.select(n).scalar(), zero) for n in ranks}
     out = base.select(

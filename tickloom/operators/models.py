@@ -16,7 +16,7 @@ from tickloom.functions.columns import (
     MODEL_VERSIONS, RULE_INTENSITY, RULE_RETURN, RULE_VOLATILITY, class_label, rejected_features,
 )
 from tickloom.operators.evaluation import average_precision, classification_metrics, roc_auc
-from tickloom.operators.ordered import cumulative, exact_quantiles, value_at_rank
+from tickloom.operators.ordered import ceil_of, exact_quantiles, values_at
 from tickloom.schemas import FEATURES, LABEL, RUN_LOG
 
 
@@ -24,13 +24,14 @@ from tickloom.schemas import FEATURES, LABEL, RUN_LOG
 def stratified_split(df: DataFrame, label: str, row_id: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split``: per class the ceil(n * share) rows with the smallest hash of (id, seed) are 'test'.
 
-    Only (class, hash) pairs are ranked; the wide rows are compared with one threshold per class.
+    The hash at the cut is found by counting; the rows are compared with one threshold per class, not sorted.
     """
     # 15 hex digits = 60 bits, which fit a bigint
     digest = F.conv(F.substring(F.md5(F.concat(F.col(row_id).cast("string"), F.lit(f"#{seed}"))), 1, 15), 16, 10)
     hashed = df.withColumn("_hash", digest.cast("long"))
-    cum = cumulative(hashed.select(label, "_hash"), [label], "_hash", {"n": F.lit(1)})
-    cut = value_at_rank(cum, [label], "_hash", {"_cut": F.ceil(F.col("all_n") * test_share) - 1}).drop("n")
+    cut = values_at(
+        hashed.select(label, "_hash"), [label], "_hash", {"_cut": lambda n: ceil_of(n * test_share) - 1}
+    ).drop("n")
     # a classifier's label has a handful of values: one row each
     return (
         hashed.join(F.broadcast(cut), label)

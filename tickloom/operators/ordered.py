@@ -16,7 +16,7 @@ Slices hold equal order values together and follow the order, so
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -125,30 +125,45 @@ class OrderedSplit:
         return path + (-1,) * (len(self.levels) - len(path))
 
     # -- use -----------------------------------------------------------------------------------
-    def assign(self, df: DataFrame) -> DataFrame:
+    def assign(self, df: DataFrame, wanted: Callable[[int], Iterable[int]] | None = None) -> DataFrame:
         """Add ``_chunk`` and, per measure m, ``_before_m`` / ``_all_m`` (NULL for keys that were not cut)
-        and ``_next_low``, the first order value of the following chunk."""
+        and ``_next_low``, the first order value of the following chunk.
+
+        ``wanted`` names, from a key's row count, the 0-based ranks of interest: of the keys that were cut only the
+        chunks holding such a rank are kept, so that few rows go on into a shuffle.
+        """
         first = _order_type(df, self.order[0])
         extra = [T.StructField("_chunk", T.IntegerType()), T.StructField("_next_low", first)]
+        if wanted:
+            extra.append(T.StructField("_wanted", T.BooleanType()))
         for m in self.measures:
             extra += [T.StructField(f"_before_{m}", T.DoubleType()), T.StructField(f"_all_{m}", T.DoubleType())]
         if not self.is_cut:
             return df.select(
                 "*", F.lit(0).alias("_chunk"), *(F.lit(None).cast(f.dataType).alias(f.name) for f in extra[1:])
-            )
+            ).drop("_wanted")
         rows = []
         for group, slices in self.groups.items():
             first_of: dict[int, _Slice] = {}
             for s in slices:
                 first_of.setdefault(s.chunk, s)
+            if wanted:
+                ranks = list(wanted(slices[-1].rows_before + slices[-1].rows))
+                holding = {
+                    s.chunk for s in slices if any(s.rows_before <= r < s.rows_before + s.rows for r in ranks)
+                }
             totals = tuple(sum(s.sums[i] for s in slices) for i in range(len(self.measures)))
             for s in slices:
                 nxt = first_of.get(s.chunk + 1)
                 row = [*group, *self._padded(s.path), s.chunk, nxt.low[0] if nxt else None]
+                if wanted:
+                    row.append(s.chunk in holding)
                 for i in range(len(self.measures)):
                     row += [float(first_of[s.chunk].sums_before[i]), float(totals[i])]
                 rows.append(tuple(row))
         out = self._join_slices(df, rows, extra)
+        if wanted:
+            out = out.where(F.coalesce("_wanted", F.lit(True))).drop("_wanted")
         return out.withColumn("_chunk", F.coalesce("_chunk", F.lit(0)))
 
     def with_halo(
@@ -312,15 +327,18 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str =
 
 def cumulative(
     df: DataFrame, by: Sequence[str], value: str, measures: dict[str, Column], descending: bool = False,
-    chunk_rows: int | None = None,
+    chunk_rows: int | None = None, wanted: Callable[[int], Iterable[int]] | None = None,
 ) -> DataFrame:
     """One row per (key, distinct value) with each measure m, its running total ``cum_m`` up to and including the
-    value in ascending (or descending) order, the key's total ``all_m``, and ``next_value``, the next larger value."""
+    value in ascending (or descending) order, the key's total ``all_m``, and ``next_value``, the next larger value.
+
+    With ``wanted`` (see :meth:`OrderedSplit.assign`) only the surroundings of those ranks are returned for large keys.
+    """
     by = list(by)
     split = split_ordered(df, by, [value], measures, chunk_rows)
     keep = [f"_before_{m}" for m in measures] + [f"_all_{m}" for m in measures] + ["_next_low"]
     per_value = (
-        split.assign(df)
+        split.assign(df, wanted)
         .groupBy(*split.keys, value)
         .agg(*(F.sum(e).cast("double").alias(m) for m, e in measures.items()), *(F.first(c).alias(c) for c in keep))
     )
@@ -338,29 +356,50 @@ def cumulative(
     return out
 
 
-def value_at_rank(cum: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
-    """For each 0-based rank (a column over ``all_n``) the value standing there; one row per key, plus ``n``."""
+def values_at(
+    df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Callable[[int], int]],
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """For each name the value at a 0-based rank given by the key's row count; one row per key, plus ``n``.
+
+    A key that was cut takes part with the few chunks that hold a wanted rank, everything else stays where it is.
+    The rules are applied to the driver's count of a cut key and to the count column of the others, so they are written
+    with :func:`floor_of`, :func:`ceil_of` and arithmetic.
+    """
+    def wanted(n: int) -> list[int]:
+        return [rule(n) for rule in ranks.values()]
+
+    cum = cumulative(df, by, value, {"n": F.lit(1)}, chunk_rows=chunk_rows, wanted=wanted)
     picks = []
-    for name, rank in ranks.items():
+    for name, rule in ranks.items():
+        rank = rule(F.col("all_n"))
         here = (F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n"))
         picks.append(F.max(F.when(here, F.col(value))).alias(name))
     return cum.groupBy(*by).agg(F.max("all_n").cast("long").alias("n"), *picks)
 
 
+def floor_of(x):
+    return F.floor(x) if isinstance(x, Column) else math.floor(x)
+
+
+def ceil_of(x):
+    return F.ceil(x) if isinstance(x, Column) else math.ceil(x)
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], chunk_rows: int | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key: ``n`` and one column per name in ``probs``.
 
-    ``percentile`` would gather all distinct values of a key in one task; here the values are ranked by chunk.
+    ``percentile`` would gather all distinct values of a key in one task; here the values around the wanted ranks
+    are found by counting.
     """
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    cum = cumulative(known, by, value, {"n": F.lit(1)}, chunk_rows=chunk_rows)
-    ranks: dict[str, Column] = {}
+    ranks: dict[str, Callable] = {}
     for name, q in probs.items():
-        at = (F.col("all_n") - 1) * F.lit(float(q))
-        ranks[f"_lo_{name}"], ranks[f"_hi_{name}"] = F.floor(at), F.ceil(at)
-    picked = value_at_rank(cum, by, value, ranks)
+        ranks[f"_lo_{name}"] = lambda n, q=float(q): floor_of((n - 1) * q)
+        ranks[f"_hi_{name}"] = lambda n, q=float(q): ceil_of((n - 1) * q)
+    picked = values_at(known, by, value, ranks, chunk_rows)
     out = [F.col("n")]
     for name, q in probs.items():
         at = (F.col("n") - 1) * F.lit(float(q))

@@ -16,6 +16,14 @@ API_BOUNDS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 LATENCY_ALERTS = [("severe", 1.0, 2), ("critical", 0.8, 5), ("warning", 0.6, 5)]
 SUCCESS_ALERTS = [("severe", 95.0, 1), ("critical", 99.0, 5), ("warning", 99.5, 5)]
 LAG_ALERTS = [("severe", 10_000, 2), ("critical", 5_000, 5), ("warning", 1_000, 10)]
+# The on-call handbook's own rules.
+HANDBOOK_LATENCY_ALERTS = [("alert", 0.8, 5)]
+HANDBOOK_ERROR_RATE_ALERTS = [("alert", 1.0, 2)]
+HANDBOOK_LAG_ALERTS = [("alert", 10_000, 10)]
+# Panel bands (seconds, percent, messages).
+LATENCY_BANDS = [(0.5, "green"), (0.8, "yellow")]
+ERROR_RATE_BANDS = [(0.5, "green"), (1.0, "yellow")]
+LAG_BANDS = [(1000, "green"), (5000, "yellow"), (10000, "orange")]
 
 
 def time_bucket(ts: str, seconds: int) -> Column:

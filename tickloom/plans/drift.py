@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import columns as cols
 from tickloom.operators import drift, models
 from tickloom.plans.fixtures import (
-    DAILY_SQL, DRIFT_COLUMNS, DRIFT_SQL, FEATURES_SQL, daily_scores, drift_pair, features, table,
+    DAILY_SQL, DRIFT_COLUMNS, DRIFT_SQL, FEATURES_SQL, daily_scores, drift_pair, stored_features, table,
 )
 from tickloom.plans.profiles import MODELS_SQL, model_metrics
 from tickloom.plans.registry import query, six
@@ -271,7 +271,7 @@ Z_SQL = f"""{FEATURES_SQL}, fit AS (
 
 
 def _train_test(spark, sf):
-    f = features(spark, sf, columns=["volatility_60s"])
+    f = stored_features(spark, sf, columns=["volatility_60s"])
     cut = F.lit("2024-01-25").cast("timestamp_ntz")
     return f.where(F.col("ts") < cut), f.where(F.col("ts") >= cut)
 

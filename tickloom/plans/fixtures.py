@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.schemas import FEATURES, FeatureWindows
+from tickloom.session import written
 
 SCALE = 360
 WINDOWS = FeatureWindows().scaled(SCALE)
@@ -119,6 +120,11 @@ def features(spark: SparkSession, sf: str, windows: FeatureWindows = WINDOWS, co
     return rounded(tick_features(ticks(spark, sf), windows, columns=columns))
 
 
+def stored_features(spark: SparkSession, sf: str, columns=None) -> DataFrame:
+    """The feature table as written by the feature job, for profiles that read it several times."""
+    return written(features(spark, sf, columns=columns), "features")
+
+
 FEATURES_SQL = TICKS_SQL + "," + features_sql()
 
 

@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.operators import features as ops, models
-from tickloom.plans.fixtures import features, ticks
+from tickloom.plans.fixtures import FEATURES_SQL, features, ticks
 from tickloom.plans.registry import query
 from tickloom.plans.ticks import RULE_SQL, SCALED_SQL, scaled_features
-from tickloom.plans.fixtures import FEATURES_SQL
 from tickloom.schemas import FEATURES, LABEL
-from tickloom.session import scratch_dir
+from tickloom.session import scratch_dir, written
 from tickloom.sources import files
 
 HORIZON, THRESHOLD = 21_600, 8.0
@@ -23,12 +22,10 @@ TREES, ITERATIONS = 10, 30
 
 def labelled(spark, sf):
     """Features with the forecast label, written once because fitting reads them many times."""
-    path = scratch_dir(spark, "labelled")
     ahead = ops.future_volatility(ticks(spark, sf), HORIZON, THRESHOLD).where("complete")
     rows = features(spark, sf).join(
         ahead.select("symbol", "ts", F.col("future_spike").alias(LABEL)), ["symbol", "ts"])
-    rows.write.parquet(path)
-    return spark.read.parquet(path)
+    return written(rows, "labelled")
 
 
 def split(spark, sf):

@@ -218,6 +218,39 @@ def sustained_success_alerts(spark, sf):
     return six(slo.sustained_alerts(series, "success", "minute", slo.SUCCESS_ALERTS, 3600, below=True))
 
 
+LAG_SERIES_SQL = f"""{SNAPSHOT_SQL}, series AS (SELECT poll AS minute, CAST(sum(log_end_offset - consumer_offset) AS BIGINT)
+  AS lag FROM snapshots GROUP BY poll)"""
+
+
+def _lag_series(spark, sf):
+    return _snapshots(spark, sf).groupBy(F.col("poll").alias("minute")).agg(F.sum("lag").alias("lag"))
+
+
+@query("sustained_lag_alerts", f"WITH {LAG_SERIES_SQL} " + _alerts_sql("lag", slo.LAG_ALERTS, False).replace(
+    "3600000000", "86400000000").replace("round(max(lag), 6)", "max(lag)"))
+def sustained_lag_alerts(spark, sf):
+    """Days take the place of minutes."""
+    return slo.sustained_alerts(_lag_series(spark, sf), "lag", "minute", slo.LAG_ALERTS, 86_400)
+
+
+@query("series_summary_lag", f"""WITH {LAG_SERIES_SQL}
+SELECT round(avg(lag), 6) AS mean, max_by(lag, minute) AS last, max(lag) AS max, CASE WHEN max_by(lag, minute) < 1000
+  THEN 'green' WHEN max_by(lag, minute) < 5000 THEN 'yellow' WHEN max_by(lag, minute) < 10000 THEN 'orange' ELSE 'red' END
+  AS band FROM series""")
+def series_summary_lag(spark, sf):
+    return six(slo.series_summary(_lag_series(spark, sf), "lag", "minute", slo.LAG_BANDS, "red"))
+
+
+@query("series_summary_error_rate", f"""WITH {REQUESTS_SQL}, series AS (
+  SELECT {_6H} AS minute, count(error_type) * 100 / count(*) AS rate FROM requests GROUP BY 1)
+SELECT round(avg(rate), 6) AS mean, round(max_by(rate, minute), 6) AS last, round(max(rate), 6) AS max,
+  CASE WHEN max_by(rate, minute) < 0.5 THEN 'green' WHEN max_by(rate, minute) < 1 THEN 'yellow' ELSE 'red' END AS band
+FROM series""")
+def series_summary_error_rate(spark, sf):
+    log = requests(spark, sf).withColumn("minute", slo.time_bucket("ts", 21_600))
+    return six(slo.series_summary(slo.error_rate(log, ["minute"]), "error_rate", "minute", slo.ERROR_RATE_BANDS, "red"))
+
+
 @query("error_budget", f"""WITH {REQUESTS_SQL}, d AS (
   SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (latency_seconds > 0.8) AS slow,
     count(*) FILTER (status <> '200') AS failed FROM requests WHERE status <> 'processing' GROUP BY 1
@@ -235,7 +268,7 @@ SELECT round(avg(p95), 6) AS mean, round(max_by(p95, minute) FILTER (p95 IS NOT
     WHEN max_by(p95, minute) FILTER (p95 IS NOT NULL) < 0.8 THEN 'yellow' ELSE 'red' END AS band FROM series""")
 def series_summary(spark, sf):
     series = slo.minute_indicators(requests(spark, sf), 3600)
-    return six(slo.series_summary(series, "p95", "minute", [(0.5, "green"), (0.8, "yellow")], "red"))
+    return six(slo.series_summary(series, "p95", "minute", slo.LATENCY_BANDS, "red"))
 
 
 @query("release_gate", f"""WITH {MODELS_SQL}, g AS (

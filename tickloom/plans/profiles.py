@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import columns as cols
 from tickloom.operators import evaluation as ev, stats
 from tickloom.plans.fixtures import (
-    DAILY_SQL, FEATURES_SQL, REQUESTS_SQL, SCORED_SQL, daily_scores, features, requests, scored, table,
+    DAILY_SQL, FEATURES_SQL, REQUESTS_SQL, SCORED_SQL, daily_scores, requests, scored, stored_features, table,
 )
 from tickloom.plans.registry import query, six
 from tickloom.schemas import FEATURES
@@ -41,7 +41,7 @@ SELECT feature, count(*) AS count, round(avg(value), 6) AS mean, round(stddev_sa
   min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 6) AS p25,
   round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75 FROM long GROUP BY feature""")
 def describe_features(spark, sf):
-    return six(stats.describe_features(features(spark, sf), FEATURES))
+    return six(stats.describe_features(stored_features(spark, sf), FEATURES))
 
 
 @query("extended_stats", f"""WITH {LONG_SQL}
@@ -49,7 +49,7 @@ SELECT feature, round(avg(value), 6) AS mean, round(median(value), 6) AS median,
   min(value) AS min, max(value) AS max, round(skewness(value), 6) AS skewness,
   round(kurtosis(value), 6) AS kurtosis, 0::BIGINT AS missing, 0.0::DOUBLE AS missing_pct FROM long GROUP BY feature""")
 def extended_stats(spark, sf):
-    return six(stats.extended_stats(features(spark, sf), FEATURES))
+    return six(stats.extended_stats(stored_features(spark, sf), FEATURES))
 
 
 @query("missing_values", f"""WITH {UNTIDY_SQL}, counted AS (
@@ -83,7 +83,7 @@ SELECT feature, CAST(count(*) FILTER (value <> 0) AS BIGINT) AS non_zero, min(va
 FROM long WHERE feature LIKE 'return%' GROUP BY feature""")
 def distinct_counts(spark, sf):
     names = ["return_10s", "return_30s", "return_60s"]
-    return six(stats.distinct_counts(features(spark, sf, columns=names), names))
+    return six(stats.distinct_counts(stored_features(spark, sf, columns=names), names))
 
 
 @query("timestamp_uniqueness", """WITH per_time AS (
@@ -121,7 +121,7 @@ def continuous_periods(spark, sf):
 SELECT feature, {', '.join(f"round(quantile_cont(value, {p / 100}), 6) AS p{p}" for p in (10, 25, 50, 75, 90, 95, 99))}
 FROM long WHERE feature LIKE 'volatility%' GROUP BY feature""")
 def percentile_curve(spark, sf):
-    return six(stats.percentile_curve(features(spark, sf, columns=VOLATILITY), VOLATILITY))
+    return six(stats.percentile_curve(stored_features(spark, sf, columns=VOLATILITY), VOLATILITY))
 
 
 @query("threshold_analysis", f"""WITH {FEATURES_SQL}, q AS (
@@ -130,7 +130,7 @@ def percentile_curve(spark, sf):
   SELECT percentile, threshold, n, (SELECT count(*) FROM features WHERE volatility_60s > threshold) AS spikes FROM cuts)
 SELECT percentile, round(threshold, 6) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
 def threshold_analysis(spark, sf):
-    return six(stats.threshold_analysis(features(spark, sf, columns=["volatility_60s"]), "volatility_60s"))
+    return six(stats.threshold_analysis(stored_features(spark, sf, columns=["volatility_60s"]), "volatility_60s"))
 
 
 @query("iqr_outliers", f"""WITH {LONG_SQL}, q AS (
@@ -140,7 +140,7 @@ SELECT feature, count(*) AS outliers, round(count(*) / any_value(n) * 100, 6) AS
   round(any_value(lo), 6) AS lower_bound, round(any_value(hi), 6) AS upper_bound
 FROM long JOIN b USING (feature) WHERE value < lo OR value > hi GROUP BY feature""")
 def iqr_outliers(spark, sf):
-    return six(stats.iqr_outliers(features(spark, sf), FEATURES))
+    return six(stats.iqr_outliers(stored_features(spark, sf), FEATURES))
 
 
 @query("zscore_outliers", f"""WITH {LONG_SQL}, m AS (
@@ -148,7 +148,7 @@ def iqr_outliers(spark, sf):
 SELECT feature, count(*) AS outliers, round(count(*) / any_value(n) * 100, 6) AS outlier_pct
 FROM long JOIN m USING (feature) WHERE sd > 0 AND abs(value - mu) / sd > 3 GROUP BY feature""")
 def zscore_outliers(spark, sf):
-    return six(stats.zscore_outliers(features(spark, sf), FEATURES))
+    return six(stats.zscore_outliers(stored_features(spark, sf), FEATURES))
 
 
 _PAIRS = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[i + 1:]]
@@ -159,12 +159,12 @@ CORRELATION_SQL = f"{FEATURES_SQL}, correlations AS (" + " UNION ALL ".join(
 
 @query("correlation_matrix", f"WITH {CORRELATION_SQL} SELECT * FROM correlations")
 def correlation_matrix(spark, sf):
-    return six(stats.correlation_matrix(features(spark, sf), FEATURES))
+    return six(stats.correlation_matrix(stored_features(spark, sf), FEATURES))
 
 
 @query("strong_correlations", f"WITH {CORRELATION_SQL} SELECT * FROM correlations WHERE abs(correlation) > 0.7")
 def strong_correlations(spark, sf):
-    return six(stats.strong_correlations(features(spark, sf), FEATURES))
+    return six(stats.strong_correlations(stored_features(spark, sf), FEATURES))
 
 
 @query("histogram", """WITH e AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS n FROM events),

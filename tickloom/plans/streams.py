@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tickloom.operators import slo
@@ -17,19 +19,33 @@ from tickloom.sources import ticks as raw
 from tickloom.streaming import features as live, jobs
 
 
-def _tick_stream(spark, sf, parts: int = 3):
-    """The ticks as files of consecutive time spans, one per micro-batch, read in that order.
+ROWS_PER_BATCH = 1_000_000
+
+
+def _in_time_order(spark, rows, write) -> None:
+    """Hand ``rows`` to ``write`` span by span, oldest first, at most about ROWS_PER_BATCH rows (at least 3 spans).
 
-    One append per span keeps the modification times, by which a file stream orders its input, in time order.
+    A file stream takes files by modification time, so one append per span keeps its input in time order, and
+    with one file per trigger it bounds what a micro-batch holds of a hot symbol.  The spans are plain ranges of the
+    time column, which the Parquet scan prunes by.
     """
+    first, last, n = rows.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    parts = max(3, math.ceil(n / ROWS_PER_BATCH))
+    edges = [first + (last - first) * i / parts for i in range(1, parts)]
+    kind = rows.schema["ts"].dataType
+    for low, high in zip([None, *edges], [*edges, None]):
+        span = rows
+        if low is not None:
+            span = span.where(F.col("ts") >= F.lit(low).cast(kind))
+        if high is not None:
+            span = span.where(F.col("ts") < F.lit(high).cast(kind))
+        write(span.coalesce(1))
+
+
+def _tick_stream(spark, sf):
     path = scratch_dir(spark, "ticks")
     source = ticks(spark, sf)
-    span = 30 * 86_400_000_000 // parts
-    start = F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
-    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - start) / span)
-    for i in range(parts):
-        last = part >= i if i == parts - 1 else part == i
-        source.where(last).coalesce(1).write.mode("append").parquet(path)
+    _in_time_order(spark, source, lambda span: span.write.mode("append").parquet(path))
     return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -49,9 +65,13 @@ def stream_tick_features(spark, sf):
 def replay_stream(spark, sf):
     """Ticks become messages, the messages are parsed again, and the stream yields the same features."""
     path = scratch_dir(spark, "messages")
-    sent = raw.replay_ticks(ticks(spark, sf)).withColumn("volume_24h", F.col("seq").cast("string"))
-    raw.as_messages(sent).select("value").coalesce(1).write.text(path)
-    stream = raw.read_tick_stream(spark, "text", path=path)
+
+    def send(span):
+        sent = raw.replay_ticks(span).withColumn("volume_24h", F.col("seq").cast("string"))
+        raw.as_messages(sent).select("value").coalesce(1).write.mode("append").text(path)
+
+    _in_time_order(spark, ticks(spark, sf), send)
+    stream = raw.read_tick_stream(spark, "text", path=path, maxFilesPerTrigger="1")
     # the sequence number travels in the volume field
     parsed = raw.valid_ticks(stream.withColumn("seq", F.get_json_object("value", "$.volume_24h").cast("long")))
     out = _run_to_table(spark, live.stream_tick_features(parsed, WINDOWS))
