@@ -14,6 +14,16 @@ RULE_VOLATILITY, RULE_RETURN, RULE_INTENSITY = 0.03, 0.01, 50.0
 MODEL_VERSIONS = {"ml": "1.0", "baseline": "baseline-1.0"}
 
 
+def per(a: Column, b: Column | float) -> Column:
+    """a / b as a double, NULL where b is 0 (a plain division by 0 ends the job in ANSI mode)."""
+    return F.try_divide(a.cast("double"), b if isinstance(b, Column) else F.lit(b))
+
+
+def above(value: Column, limit: Column | float) -> Column:
+    """value > limit, and false for NaN (which Spark orders above every number)."""
+    return (value > limit) & ~F.isnan(value.cast("double"))
+
+
 def band(value: Column, limits: Sequence[tuple[float, str]], otherwise: str) -> Column:
     """First label whose limit is strictly above ``value``."""
     out = None
@@ -26,21 +36,22 @@ def band_above(value: Column, limits: Sequence[tuple[float, str]], otherwise: st
     """First label whose limit ``value`` strictly exceeds; limits in falling order."""
     out = None
     for limit, label in limits:
-        out = F.when(value > limit, label) if out is None else out.when(value > limit, label)
+        out = F.when(above(value, limit), label) if out is None else out.when(above(value, limit), label)
     return out.otherwise(otherwise)
 
 
 def spread_percent(price: Column, bid: Column, ask: Column) -> Column:
-    return F.when((price > 0) & (ask >= bid), (ask - bid) / price * 100).otherwise(F.lit(0.0))
+    quoted = above(price, 0) & (ask >= bid) & ~F.isnan(ask)
+    return F.when(quoted, (ask - bid) / price * 100).otherwise(F.lit(0.0))
 
 
 def percent_change(now: Column, before: Column) -> Column:
-    return (now - before) / before * 100
+    return per(now - before, before) * 100
 
 
 def spike_label(volatility: Column, threshold: float = SPIKE_THRESHOLD) -> Column:
     """Present-window label: strictly above the threshold."""
-    return (volatility > threshold).cast("int")
+    return above(volatility, threshold).cast("int")
 
 
 def liquidity_status(spread: Column) -> Column:

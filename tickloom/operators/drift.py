@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tickloom.functions.columns import per
 from tickloom.operators.evaluation import classification_metrics
 from tickloom.operators.ordered import cumulative
 from tickloom.operators.stats import column_quantiles, correlation_matrix, missing_values, per_column, unpivoted
@@ -38,7 +39,7 @@ def _distributions(reference: DataFrame, current: DataFrame, columns: Sequence[s
         "ref": (F.col("side") == REFERENCE).cast("double"), "cur": (F.col("side") == CURRENT).cast("double"),
     }, chunk_rows=chunk_rows)
     return cum.withColumns({
-        "f_ref": F.col("cum_ref") / F.col("all_ref"), "f_cur": F.col("cum_cur") / F.col("all_cur"),
+        "f_ref": per(F.col("cum_ref"), F.col("all_ref")), "f_cur": per(F.col("cum_cur"), F.col("all_cur")),
     })
 
 
@@ -71,7 +72,7 @@ def wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     )
     sd = per_column(reference, columns, {"sd": lambda c: F.stddev_samp(F.nanvl(F.col(c).cast("double"), F.lit(None)))})
     return distance.join(F.broadcast(sd), "feature").select(
-        "feature", "distance", (F.col("distance") / F.col("sd")).alias("normed_distance")
+        "feature", "distance", per(F.col("distance"), F.col("sd")).alias("normed_distance")
     )
 
 
@@ -121,8 +122,8 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, column: str, alph
     expected_ref, expected_cur = row * r / (r + c), row * c / (r + c)
     return (
         cells.agg(
-            F.sum((F.col("ref") - expected_ref) ** 2 / expected_ref
-                  + (F.col("cur") - expected_cur) ** 2 / expected_cur).alias("statistic"),
+            F.sum(per((F.col("ref") - expected_ref) ** 2, expected_ref)
+                  + per((F.col("cur") - expected_cur) ** 2, expected_cur)).alias("statistic"),
             (F.count(F.lit(1)) - 1).alias("dof"),
         )
         .select(F.lit(column).alias("feature"), "statistic", "dof",
@@ -138,7 +139,7 @@ def mean_shift(reference: DataFrame, current: DataFrame, columns: Sequence[str])
 
     means = per_column(both_sides(reference, current, columns), columns,
                        {"mean_ref": mean(REFERENCE), "mean_cur": mean(CURRENT)})
-    return means.withColumn("shift_pct", (F.col("mean_cur") / F.col("mean_ref") - 1) * 100)
+    return means.withColumn("shift_pct", (per(F.col("mean_cur"), F.col("mean_ref")) - 1) * 100)
 
 
 def two_sample_pairing(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -231,7 +232,7 @@ def quality_gates(df: DataFrame, columns: Sequence[str], ts: str, key: Sequence[
     """Missing rate, duplicate rate on ``key``, and the emptiest hour, each with its verdict."""
     cells = sum((F.sum((F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("long")) for c in columns),
                 F.lit(0))
-    missing_rate = df.agg((cells / (F.count(F.lit(1)) * len(columns))).alias("v")).scalar()
+    missing_rate = df.agg(per(cells, F.count(F.lit(1)) * len(columns)).alias("v")).scalar()
     copies = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     hour = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 3_600_000_000)
     per_hour = df.groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
@@ -255,8 +256,8 @@ def baseline_shift_alert(reference: DataFrame, current: DataFrame, columns: Sequ
     """Mean more than ``max_ratio`` times the reference mean, or more than ``max_sigmas`` deviations away."""
     pair = two_sample_pairing(reference, current, columns)
     return pair.select(
-        "feature", (F.col("mean_cur") / F.col("mean_ref")).alias("ratio"),
-        ((F.col("mean_cur") - F.col("mean_ref")) / F.col("std_ref")).alias("sigmas"),
+        "feature", per(F.col("mean_cur"), F.col("mean_ref")).alias("ratio"),
+        per(F.col("mean_cur") - F.col("mean_ref"), F.col("std_ref")).alias("sigmas"),
     ).withColumns({
         "ratio_alert": F.col("ratio") > max_ratio, "sigma_alert": F.abs("sigmas") > max_sigmas,
     })
@@ -284,7 +285,7 @@ def daily_f1_alert(predictions: DataFrame, min_f1: float = 0.78, days: int = 3,
     run = F.sum(1 - F.col("low")).over(w)
     before = F.lag("f1").over(w)
     return (
-        daily.withColumn("low", low).withColumns({"run": run, "drop": F.coalesce((before - F.col("f1")) / before, F.lit(0.0))})
+        daily.withColumn("low", low).withColumns({"run": run, "drop": F.coalesce(per(before - F.col("f1"), before), F.lit(0.0))})
         .withColumn("low_days", F.sum("low").over(Window.partitionBy("run").orderBy("day")))
         .select("day", "f1", F.col("low_days").cast("long").alias("low_days"),
                 (F.col("low_days") >= days).alias("low_alert"), (F.col("drop") > max_drop).alias("drop_alert"))
@@ -304,5 +305,5 @@ def drift_summary_table(reference: DataFrame, current: DataFrame, columns: Seque
     )
     pair = two_sample_pairing(reference, current, columns)
     return tests.join(F.broadcast(pair), "feature").withColumn(
-        "shift_pct", (F.col("mean_cur") / F.col("mean_ref") - 1) * 100
+        "shift_pct", (per(F.col("mean_cur"), F.col("mean_ref")) - 1) * 100
     )

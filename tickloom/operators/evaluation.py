@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.columns import per
 from tickloom.operators.ordered import ceil_of, cumulative, floor_of, values_at
 
 # Upper bounds of the published confidence histogram.
@@ -64,7 +65,7 @@ def roc_auc(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | None = None
     """Probability that a positive scores above a negative, ties counting one half."""
     below = F.col("cum_neg") - F.col("neg") / 2
     return _by_score(df, by, chunk_rows, False).groupBy(*by).agg(
-        (F.sum(F.col("pos") * below) / (F.max("all_pos") * F.max("all_neg"))).alias("roc_auc")
+        per(F.sum(F.col("pos") * below), F.max("all_pos") * F.max("all_neg")).alias("roc_auc")
     )
 
 
@@ -72,7 +73,7 @@ def average_precision(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | N
     """Sum over distinct scores, from the top, of recall gained times precision there (no interpolation)."""
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     return _by_score(df, by, chunk_rows, True).groupBy(*by).agg(
-        F.sum(F.col("pos") / F.col("all_pos") * precision).alias("average_precision")
+        F.sum(per(F.col("pos"), F.col("all_pos")) * precision).alias("average_precision")
     )
 
 
@@ -81,7 +82,7 @@ def pr_curve(df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     base_rate = F.col("all_pos") / (F.col("all_pos") + F.col("all_neg"))
     points = _by_score(df, [], chunk_rows, True).select(
         F.col("score").alias("threshold"), (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-        (F.col("cum_pos") / F.col("all_pos")).alias("recall"), base_rate.alias("base_rate"),
+        per(F.col("cum_pos"), F.col("all_pos")).alias("recall"), base_rate.alias("base_rate"),
     )
     end = df.agg(F.avg(F.col("y_true").cast("double")).alias("base_rate")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
@@ -100,7 +101,7 @@ def compare_models(metrics: DataFrame, score: str, order: Sequence[str]) -> Data
     return (
         metrics.withColumn("position", position)
         .withColumns({
-            "change_pct": (F.col(score) - before) / before * 100,
+            "change_pct": per(F.col(score) - before, before) * 100,
             "is_best": F.max_by("model", F.struct(F.col(score), -F.col("position"))).over(one_row_per_model)
             == F.col("model"),
         })

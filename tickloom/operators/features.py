@@ -8,16 +8,18 @@ Bursts.  Spark recomputes a sliding frame row by row, which costs (ticks in the
 start at UNBOUNDED PRECEDING instead, which Spark extends incrementally: a window's content is the
 difference of two running totals, those at the tick and those at the last tick outside the window.  So that
 differences lose nothing, every addend is first cut into parts on fixed binary grids whose running sums are exact
-in a double (:func:`_parts`).
+in a double (:func:`_parts`).  What remains is the rounding of the formula itself: a deviation is resolved down to
+about 10^-8 of the returns it is taken over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.columns import percent_change, spread_percent
+from tickloom.functions.columns import above, percent_change, spread_percent
 from tickloom.operators.ordered import OrderedSplit, split_ordered
 from tickloom.schemas import FEATURES, FeatureWindows
 
@@ -48,7 +50,7 @@ def _ranked(
         "_prev_price": F.lag("price").over(w),
         "_prev_us": F.lag("_us").over(w),
     } | ({"_next_us": F.lead("_us").over(w), "_next_price": F.lead("price").over(w)} if span_after else {}))
-    ret = F.when(F.col("_prev_price") > 0, percent_change(F.col("price"), F.col("_prev_price")))
+    ret = F.when(above(F.col("_prev_price"), 0), percent_change(F.col("price"), F.col("_prev_price")))
     return ranked.withColumn("_ret", ret), split.keys
 
 
@@ -91,20 +93,28 @@ def _until(keys: Sequence[str], what: Column, upper: int) -> Column:
     return F.max(what).over(frame)
 
 
-def _deviation(upto: Column, outside: Column, minus: Column | None = None) -> Column:
-    """Sample deviation of the returns between two running totals (0.0 below two returns), in one pass.
+def _sums_between(name: str, upto: str, outside: Column, minus: Column | None = None) -> tuple[dict, dict]:
+    """Columns for two projections, one after the other: the running total ``outside`` the range, then number,
+    non-finite ones, sum and sum of squares of the returns between it and ``upto``.
 
     ``minus``: a return inside the range to leave out.
     """
-    def diff(name: str) -> Column:
-        return upto[name] - F.coalesce(outside[name], F.lit(0))
+    def between(*parts: str) -> Column:
+        return reduce(lambda a, b: a + b, (
+            F.col(f"{upto}.{p}") - F.coalesce(F.col(f"_from_{name}.{p}"), F.lit(0)) for p in parts
+        ))
 
-    n, bad = diff("_n"), diff("_bad")
-    s1 = sum((diff(f"_r{i}") for i in range(1, _PARTS)), diff("_r0"))
-    s2 = sum((diff(f"_q{i}") for i in range(1, _PARTS)), diff("_q0"))
+    n, s1, s2 = between("_n"), between(*_MOMENTS[:_PARTS]), between(*_MOMENTS[_PARTS:])
     if minus is not None:
         n = n - minus.isNotNull().cast("int")
         s1, s2 = s1 - F.coalesce(minus, F.lit(0.0)), s2 - F.coalesce(minus * minus, F.lit(0.0))
+    sums = {f"_n_{name}": n, f"_bad_{name}": between("_bad"), f"_s1_{name}": s1, f"_s2_{name}": s2}
+    return {f"_from_{name}": outside}, sums
+
+
+def _deviation(name: str) -> Column:
+    """Sample deviation from those sums; 0.0 below two returns."""
+    n, bad, s1, s2 = (F.col(f"_{k}_{name}") for k in ("n", "bad", "s1", "s2"))
     variance = F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0))
     return F.when(n < 2, F.lit(0.0)).when(bad > 0, F.lit(float("nan"))).otherwise(F.sqrt(variance))
 
@@ -136,33 +146,40 @@ def tick_features(
 
     ranked, keys = _ranked(ticks, size, chunk_rows)
     priced = F.struct(F.col("_rn").alias("rn"), F.col("price").alias("price"))
-    arrival = Window.partitionBy(*keys).orderBy("_us", "seq")
-    looked = {f"_past_{n}": _until(keys, priced, -s * _MICROS) for n, s in returns.items()}
+
+    # The work is spread over projections between the window steps, each of which Spark compiles on its own: all in
+    # one place the generated method outgrows what the JVM's compiler takes, and runs interpreted.
+    ranked = ranked.withColumns({f"_past_{n}": _until(keys, priced, -s * _MICROS) for n, s in returns.items()})
+    ready = {"spread": spread_percent(F.col("price"), F.col("bid"), F.col("ask"))} if "spread" in wanted else {}
+    for n in returns:
+        past = _held_price(f"_past_{n}", size)
+        ready[n] = F.coalesce(F.when(above(past, 0), percent_change(F.col("price"), past)), F.lit(0.0))
+    ranked = ranked.withColumns(ready).drop(*(f"_past_{n}" for n in returns))
+
     if volatility:
         ranked = _with_totals(ranked, keys)
-        outside = F.col("_tot")
-        looked["_full"] = F.lag("_tot", size - 1).over(arrival)
-    else:
-        outside = F.struct(F.col("_rn").alias("rn"))
-    looked |= {f"_out{s}": _until(keys, outside, -s * _MICROS - 1) for s in spans}
+        arrival = Window.partitionBy(*keys).orderBy("_us", "seq")
+        ranked = ranked.withColumn("_full", F.lag("_tot", size - 1).over(arrival))
+    position = F.col("_tot") if volatility else F.struct(F.col("_rn").alias("rn"))
+    ranked = ranked.withColumns({f"_out{s}": _until(keys, position, -s * _MICROS - 1) for s in spans})
 
     # ticks inside the window, the current one included; anything from ``size`` up means a full buffer
     counts = {f"_c{s}": F.col("_rn") - F.coalesce(F.col(f"_out{s}.rn"), F.col("_base")) for s in spans}
-    out: dict[str, Column] = {c: F.col(c) for c in ("price", "bid", "ask")}
-    for n in returns:
-        past = _held_price(f"_past_{n}", size)
-        out[n] = F.coalesce(F.when(past > 0, percent_change(F.col("price"), past)), F.lit(0.0))
+    emitted = ranked.where(F.col("_own") & _emits()).withColumns(counts)
+    outside, sums = {}, {}
     for n, s in volatility.items():
-        full = F.col(f"_c{s}") >= size
-        out[n] = _deviation(F.col("_tot"), F.when(full, F.col("_full")).otherwise(F.col(f"_out{s}")))
-    out["spread"] = spread_percent(F.col("price"), F.col("bid"), F.col("ask"))
+        first, then = _sums_between(
+            n, "_tot", F.when(F.col(f"_c{s}") >= size, F.col("_full")).otherwise(F.col(f"_out{s}")))
+        outside, sums = outside | first, sums | then
+    kept = ["symbol", "seq", "ts", "price", "bid", "ask", *ready, *counts]
+    reduced = emitted.withColumns(outside).select(*kept, *(c.alias(k) for k, c in sums.items()))
+
+    out: dict[str, Column] = {c: F.col(c) for c in ("price", "bid", "ask", *ready)}
+    out |= {n: _deviation(n) for n in volatility}
     for n, s in intensity.items():
         held = F.least(F.col(f"_c{s}"), F.lit(size))
         out[n] = F.when(held >= 2, held / F.lit(float(s))).otherwise(F.lit(0.0))
-    return (
-        ranked.withColumns(looked).where(F.col("_own") & _emits()).withColumns(counts)
-        .select("symbol", "seq", "ts", *(out[c].alias(c) for c in FEATURES if c in wanted))
-    )
+    return reduced.select("symbol", "seq", "ts", *(out[c].alias(c) for c in FEATURES if c in wanted))
 
 
 def asof_past_price(
@@ -225,15 +242,16 @@ def future_volatility(
     give 0.0.  ``complete`` is false where the data ends before t + horizon.
     """
     last_us = ticks.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
-    leading = F.when(F.col("price") > 0, percent_change(F.col("_next_price"), F.col("price")))
+    leading = F.when(above(F.col("price"), 0), percent_change(F.col("_next_price"), F.col("price")))
+    outside, sums = _sums_between("sigma", "_end", F.col("_tot"), F.col("_leading"))
     return (
-        _ahead(ticks, horizon, chunk_rows)
+        _ahead(ticks, horizon, chunk_rows).withColumn("_leading", leading).withColumns(outside)
+        .select("symbol", "ts", "_us", "_coming", *(c.alias(k) for k, c in sums.items()))
         .withColumn("future_volatility", F.when(
-            F.coalesce("_coming", F.lit(False)), _deviation(F.col("_end"), F.col("_tot"), leading)
-        ).otherwise(F.lit(0.0)))
+            F.coalesce("_coming", F.lit(False)), _deviation("sigma")).otherwise(F.lit(0.0)))
         .select(
             "symbol", "ts", "future_volatility",
-            (F.col("future_volatility") >= threshold).cast("int").alias("future_spike"),
+            ((F.col("future_volatility") >= threshold) & ~F.isnan("future_volatility")).cast("int").alias("future_spike"),
             (F.col("_us") + int(horizon * _MICROS) <= last_us).alias("complete"),
         )
     )

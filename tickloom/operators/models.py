@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.columns import (
-    MODEL_VERSIONS, RULE_INTENSITY, RULE_RETURN, RULE_VOLATILITY, class_label, rejected_features,
+    MODEL_VERSIONS, RULE_INTENSITY, RULE_RETURN, RULE_VOLATILITY, above, class_label, per, rejected_features,
 )
 from tickloom.operators.evaluation import average_precision, classification_metrics, roc_auc
 from tickloom.operators.ordered import ceil_of, exact_quantiles, values_at
@@ -66,8 +66,9 @@ def rule_baseline(df: DataFrame) -> DataFrame:
 
     calm = (value("volatility_30s") + value("volatility_60s")) / 2
     tenths = (
-        F.when(calm > RULE_VOLATILITY, 5).otherwise(0) + F.when(F.abs(value("return_60s")) > RULE_RETURN, 3).otherwise(0)
-        + F.when(value("intensity_60s") > RULE_INTENSITY, 2).otherwise(0)
+        F.when(above(calm, RULE_VOLATILITY), 5).otherwise(0)
+        + F.when(above(F.abs(value("return_60s")), RULE_RETURN), 3).otherwise(0)
+        + F.when(above(value("intensity_60s"), RULE_INTENSITY), 2).otherwise(0)
     )
     return df.withColumn("_tenths", tenths).withColumns({
         "score": F.col("_tenths") / 10, "prediction": (F.col("_tenths") > 5).cast("int"),
@@ -83,12 +84,12 @@ def zscore_baseline(train: DataFrame, test: DataFrame, column: str = "volatility
     """
     fit = train.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"))
     mean, sd = fit.select("mean").scalar(), fit.select("sd").scalar()
-    scored = test.withColumn("z", (F.col(column) - mean) / sd)
+    scored = test.withColumn("z", per(F.col(column) - mean, sd))
     if two_sided:
-        return scored.withColumns({"prediction": (F.abs("z") > limit).cast("int"), "score": F.abs("z")})
+        return scored.withColumns({"prediction": above(F.abs("z"), limit).cast("int"), "score": F.abs("z")})
     largest = test.agg(F.max(F.col(column))).scalar()
     return scored.withColumns({
-        "prediction": (F.col("z") > limit).cast("int"), "score": F.col("z") / ((largest - mean) / sd),
+        "prediction": above(F.col("z"), limit).cast("int"), "score": per(F.col("z"), per(largest - mean, sd)),
     })
 
 

@@ -16,18 +16,19 @@ Slices hold equal order values together and follow the order, so
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MAX_CHUNKS = 8192
-SLICES_PER_CHUNK = 8
+MAX_CHUNKS = 32_768
+SLICES_PER_CHUNK = 16
 MIN_CHUNK_ROWS = 50_000
-MAX_CHUNK_ROWS = 1_000_000
+MAX_CHUNK_ROWS = 500_000
 MAX_LEVELS = 8
-_CLAMP = 1e300
+_LARGEST = sys.float_info.max
 
 
 @dataclass
@@ -97,7 +98,7 @@ class OrderedSplit:
         offset = F.lit(None).cast("double")
         for i, c in reversed(list(enumerate(self.order))):
             offset = F.when(
-                F.col("_s_which") == i, (_clamped(F.col(c), kinds[i]) - F.col(f"_s_low{i}")).cast("double")
+                F.col("_s_which") == i, _distance(_clamped(F.col(c), kinds[i]), F.col(f"_s_low{i}"), kinds[i])
             ).otherwise(offset)
         cell = F.least(
             F.floor(offset / F.col("_s_span") * F.col("_s_cells")).cast("int"), F.col("_s_cells") - F.lit(1)
@@ -224,10 +225,31 @@ def _order_type(df: DataFrame, c: str) -> T.DataType:
 
 def _clamped(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DoubleType):
-        return F.greatest(F.least(c.cast("double"), F.lit(_CLAMP)), F.lit(-_CLAMP))
+        return F.greatest(F.least(c.cast("double"), F.lit(_LARGEST)), F.lit(-_LARGEST))
     return c.cast("long")
 
 
+def _cuttable(node: _Slice, kinds: Sequence[T.DataType]) -> tuple[int, float]:
+    """The first order column on which the rows of a slice differ, and their distance there (0: cannot be cut).
+
+    Doubles clamped to the largest one may stand for infinity as well as for themselves, so a later column says nothing
+    about the order of such rows.
+    """
+    for i, (low, high) in enumerate(zip(node.low, node.high)):
+        if low < high:
+            return i, _distance(high, low, kinds[i])
+        if isinstance(kinds[i], T.DoubleType) and abs(low) == _LARGEST:
+            break
+    return 0, 0.0
+
+
+def _distance(high, low, kind: T.DataType):
+    """high - low as a double; of doubles half of it, which cannot overflow."""
+    if isinstance(kind, T.DoubleType):
+        return high / 2 - low / 2
+    return (high - low).cast("double") if isinstance(high, Column) else float(high - low)
+
+
 def split_ordered(
     df: DataFrame,
     by: Sequence[str],
@@ -277,12 +299,11 @@ def split_ordered(
     for level in range(MAX_LEVELS):
         nodes, splittable = [], []
         for node in open_nodes:
-            which = next((i for i in range(len(order)) if node.low[i] < node.high[i]), None)
-            if which is None:  # one single order value: nothing left to cut
+            which, span = _cuttable(node, [kinds[c] for c in order])
+            if not span:  # one single order value: nothing left to cut
                 done.append(node)
                 continue
             cells = math.ceil(SLICES_PER_CHUNK * node.rows / chunk_rows)
-            span = float(node.high[which] - node.low[which])
             nodes.append((*node.group, *node.path, which, *node.low, span, cells))
             splittable.append(node)
         if not nodes:

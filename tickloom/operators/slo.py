@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.columns import band, lag_band
+from tickloom.functions.columns import band, lag_band, per
 from tickloom.operators.evaluation import cumulative_buckets, ratio
 
 # Histogram bounds in seconds.
@@ -84,8 +84,8 @@ def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataF
         "_low": F.coalesce(F.lag("le").over(w), F.lit(0.0)), "_all": total,
     })
     rank = F.lit(q) * F.col("_all")
-    inside = F.col("_low") + (F.col("le") - F.col("_low")) * (rank - F.col("_below")) / (
-        F.col("cumulative") - F.col("_below"))
+    inside = F.col("_low") + (F.col("le") - F.col("_low")) * per(
+        rank - F.col("_below"), F.col("cumulative") - F.col("_below"))
     value = F.when(F.col("le") == inf, F.col("_low")).otherwise(inside)
     hit = (F.col("cumulative") >= rank) & ((F.col("_below") < rank) | (F.col("_below") == 0))
     return marked.where((F.col("_all") > 0) & hit).groupBy(*by).agg(
@@ -237,7 +237,7 @@ def series_summary(series: DataFrame, value: str, time: str, limits: Sequence[tu
 
 def release_gate(candidates: DataFrame, min_f1: float = 0.75, max_drift: float = 0.30, min_gain: float = 5.0):
     """Add deploy verdicts to rows with f1, current_f1 and drift_share."""
-    gain = (F.col("f1") - F.col("current_f1")) / F.col("current_f1") * 100
+    gain = per(F.col("f1") - F.col("current_f1"), F.col("current_f1")) * 100
     return candidates.withColumn("gain_pct", gain).withColumns({
         "f1_ok": F.col("f1") > min_f1, "drift_ok": F.col("drift_share") < max_drift,
         "improves": F.col("gain_pct") >= min_gain, "holds": F.col("gain_pct") >= 0,

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.columns import missing
+from tickloom.functions.columns import missing, per
 from tickloom.operators.ordered import exact_quantiles, split_ordered
 from tickloom.session import written
 
@@ -68,7 +68,7 @@ def extended_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.when(n > 2, F.sqrt(n * (n - 1)) / (n - 2) * F.col("g1")).alias("skewness"),
         F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)).alias("kurtosis"),
         (F.col("rows") - n).cast("long").alias("missing"),
-        ((F.col("rows") - n) / F.col("rows") * 100).alias("missing_pct"),
+        (per(F.col("rows") - n, F.col("rows")) * 100).alias("missing_pct"),
     )
 
 
@@ -78,7 +78,7 @@ def _shares(df: DataFrame, columns: Sequence[str], name: str, flag: Callable[[st
         name: lambda c: F.sum(flag(c).cast("long")), "rows": lambda c: F.count(F.lit(1)),
     }, by)
     return counted.select(*by, "feature", F.coalesce(name, F.lit(0)).alias(name),
-                          (F.col(name) / F.col("rows") * 100).alias(f"{name}_pct"))
+                          (per(F.col(name), F.col("rows")) * 100).alias(f"{name}_pct"))
 
 
 def missing_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -193,7 +193,7 @@ def threshold_analysis(df: DataFrame, column: str, percentiles: Sequence[int] =
     )
     return wide.select(F.inline(F.array(*(
         F.struct(F.lit(p).alias("percentile"), F.col(f"limit_{p}").alias("threshold"),
-                 F.col(f"above_{p}").alias("spikes"), (F.col(f"above_{p}") / F.col("n") * 100).alias("spike_rate"))
+                 F.col(f"above_{p}").alias("spikes"), (per(F.col(f"above_{p}"), F.col("n")) * 100).alias("spike_rate"))
         for p in percentiles
     ))))
 
@@ -223,7 +223,7 @@ def zscore_outliers(df: DataFrame, columns: Sequence[str], limit: float = 3.0) -
         "n": lambda c: F.count(_known(c)), "mean": lambda c: F.avg(_known(c)),
         "sd": lambda c: F.stddev_pop(_known(c)),
     })
-    far = F.abs(F.col("value") - F.col("mean")) / F.col("sd") > limit
+    far = per(F.abs(F.col("value") - F.col("mean")), F.col("sd")) > limit
     return (
         unpivoted(df, columns).join(F.broadcast(moments.where(F.col("sd") > 0)), "feature")
         .groupBy("feature", "n").agg(F.sum(far.cast("long")).alias("outliers"))
@@ -237,9 +237,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str]
     """Pearson correlation per column pair (upper triangle, NaN where a column is constant), in one pass."""
     by = list(by)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.groupBy(*by).agg(*(
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
-    ))
+
+    def pearson(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        return per(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+    wide = df.groupBy(*by).agg(*(pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)))
     return wide.select(*by, F.inline(F.array(*(
         F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                  F.coalesce(f"r{i}", F.lit(float("nan"))).alias("correlation"))
@@ -258,12 +262,12 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n"))
     lo, hi, n = (ends.select(c).scalar() for c in ("lo", "hi", "n"))
     width = (hi - lo) / bins
-    number = F.least(F.floor((value - lo) / width).cast("int"), F.lit(bins - 1))
+    number = F.least(F.floor(per(value - lo, width)).cast("int"), F.lit(bins - 1))
     return (
         df.where(value.isNotNull()).groupBy(F.coalesce(number, F.lit(0)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
         .select("bin", (lo + F.col("bin") * width).alias("lower"), "count",
-                (F.col("count") / n / width).alias("density"))
+                per(F.col("count") / n, width).alias("density"))
     )
 
 
