@@ -234,21 +234,19 @@ def zscore_outliers(df: DataFrame, columns: Sequence[str], limit: float = 3.0) -
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Pearson correlation per column pair (upper triangle, NaN where a column is constant), in one pass."""
-    by = list(by)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-
-    def pearson(a: str, b: str) -> Column:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        return per(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
-
-    wide = df.groupBy(*by).agg(*(pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)))
-    return wide.select(*by, F.inline(F.array(*(
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                 F.coalesce(f"r{i}", F.lit(float("nan"))).alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ))))
+    """Pearson correlation per column pair (upper triangle, NaN where a column is constant).
+
+    Rows are fanned out to pairs inside the task and combined there; one row per pair and task is shuffled.
+    """
+    by, names = list(by), F.array(*(F.lit(c) for c in columns))
+    values = df.select(*by, F.array(*(_known(c) for c in columns)).alias("_v"))
+    first = values.select(*by, "_v", F.posexplode("_v").alias("_i", "_x"))
+    pairs = first.select(*by, "_i", "_x", F.posexplode("_v").alias("_j", "_y")).where(F.col("_j") > F.col("_i"))
+    both = pairs.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    r = per(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
+    return both.groupBy(*by, "_i", "_j").agg(F.coalesce(r, F.lit(float("nan"))).alias("correlation")).select(
+        *by, names[F.col("_i")].alias("feature_a"), names[F.col("_j")].alias("feature_b"), "correlation"
+    )
 
 
 def strong_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.7) -> DataFrame:
