@@ -18,7 +18,7 @@ from tickloom.session import local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "1"))
 HEADLINE = [
     "tick_features", "future_volatility", "asof_past_price", "rule_baseline", "ks_test", "average_precision", "roc_auc",
     "histogram_quantile", "latency_report", "describe_features", "iqr_outliers", "stratified_split", "windowed_rates",

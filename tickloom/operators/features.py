@@ -8,7 +8,7 @@ Bursts.  Spark recomputes a sliding frame row by row, which costs (ticks in the
 start at UNBOUNDED PRECEDING instead, which Spark extends incrementally: a window's content is the
 difference of two running totals, those at the tick and those at the last tick outside the window.  So that
 differences lose nothing, every addend is first cut into parts on fixed binary grids whose running sums are exact
-in a double (:func:`_parts`).  What remains is the rounding of the formula itself: a deviation is resolved down to
+in a double (:func:`_with_totals`).  What remains is the rounding of the formula itself: a deviation is resolved down to
 about 10^-8 of the returns it is taken over.
 """
 
@@ -54,37 +54,34 @@ def _ranked(
     return ranked.withColumn("_ret", ret), split.keys
 
 
-def _parts(value: Column, exponent: Column) -> list[Column]:
-    """Cut ``value`` (magnitude below 2 ** exponent) into parts on ever finer grids; their sum is the value."""
-    parts, rest = [], value
-    for i in range(1, _PARTS + 1):
-        grid = F.pow(F.lit(2.0), exponent - _PART_BITS * i)
-        part = F.coalesce(F.rint(rest / grid) * grid, F.lit(0.0))
-        parts.append(part)
-        rest = rest - part
-    return parts
-
-
 def _with_totals(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Running totals of the tick returns up to each tick: number, non-finite ones, and parts of r and r * r."""
+    """Running totals of the tick returns up to each tick: number, non-finite ones, and parts of r and r * r.
+
+    Each value is cut into parts on ever finer binary grids (from the largest return of the chunk); the parts add up to
+    the value.  One projection per part keeps each of them small.
+    """
     finite = F.col("_ret").isNotNull() & (F.abs("_ret") < F.lit(float("inf")))
     chunk = Window.partitionBy(*keys)
     running = chunk.orderBy("_us", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    largest = F.max(F.abs("_fin")).over(chunk)
-    exponent = F.when(F.col("_max") > 0, F.ceil(F.log2("_max")) + 1).cast("double")
-    cut = ranked.withColumn("_fin", F.when(finite, F.col("_ret")).otherwise(F.lit(0.0))).withColumn("_max", largest)
-    cut = cut.withColumns({"_e": exponent, "_sq": F.col("_fin") * F.col("_fin")})
-    addends = dict(zip(_MOMENTS, _parts(F.col("_fin"), F.col("_e")) + _parts(F.col("_sq"), F.col("_e") * 2)))
-    addends |= {
-        "_n": F.col("_ret").isNotNull().cast("int"),
-        "_bad": (F.col("_ret").isNotNull() & ~finite).cast("int"),
-    }
-    return (
-        cut.withColumns({f"_add{n}": addends[n] for n in _TOTALS})
-        .withColumn("_tot", F.struct(F.col("_rn").alias("rn"), F.col("price").alias("price"),
-                                     *(F.sum(f"_add{n}").over(running).alias(n) for n in _TOTALS)))
-        .drop(*(f"_add{n}" for n in _TOTALS), "_fin", "_max", "_e", "_sq")
+    exponent = F.when(F.col("_max") > 0, F.ceil(F.log2("_max")) + 1).otherwise(F.lit(0)).cast("double")
+    cut = (
+        ranked.withColumn("_restr", F.when(finite, F.col("_ret")).otherwise(F.lit(0.0)))
+        .withColumn("_max", F.max(F.abs("_restr")).over(chunk))
+        .withColumns({
+            "_e": exponent, "_restq": F.col("_restr") * F.col("_restr"),
+            "_add_n": F.col("_ret").isNotNull().cast("int"),
+            "_add_bad": (F.col("_ret").isNotNull() & ~finite).cast("int"),
+        })
+        .withColumns({f"_gridr{i}": F.pow(F.lit(2.0), F.col("_e") - _PART_BITS * (i + 1)) for i in range(_PARTS)})
+        .withColumns({f"_gridq{i}": F.pow(F.lit(2.0), F.col("_e") * 2 - _PART_BITS * (i + 1)) for i in range(_PARTS)})
     )
+    for i in range(_PARTS):
+        cut = cut.withColumns({
+            f"_add_{m}{i}": F.rint(F.col(f"_rest{m}") / F.col(f"_grid{m}{i}")) * F.col(f"_grid{m}{i}") for m in "rq"
+        })
+        cut = cut.withColumns({f"_rest{m}": F.col(f"_rest{m}") - F.col(f"_add_{m}{i}") for m in "rq"})
+    totals = (F.sum(f"_add{n}").over(running).alias(n) for n in _TOTALS)
+    return cut.select(*ranked.columns, F.struct(F.col("_rn").alias("rn"), *totals).alias("_tot"))
 
 
 def _until(keys: Sequence[str], what: Column, upper: int) -> Column:
@@ -215,18 +212,21 @@ def with_history(ticks: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     )
 
 
-def _ahead(ticks: DataFrame, horizon: float, chunk_rows: int | None) -> DataFrame:
-    """One row per (symbol, time): its last tick, with running totals there (``_tot``) and at t + horizon (``_end``)."""
+def _ahead(ticks: DataFrame, horizon: float, chunk_rows: int | None, totals: bool) -> DataFrame:
+    """One row per (symbol, time): its last tick, with running totals (else the price) there (``_tot``) and at
+    t + horizon (``_end``)."""
     horizon_us = int(horizon * _MICROS)
     ranked, keys = _ranked(ticks, 1, chunk_rows, span_after=horizon_us)
-    ahead = _with_totals(ranked, keys).withColumn("_end", _until(keys, F.col("_tot"), horizon_us))
+    priced = F.struct(F.col("_rn").alias("rn"), F.col("price").alias("price"))
+    ahead = _with_totals(ranked, keys) if totals else ranked.withColumn("_tot", priced)
+    ahead = ahead.withColumn("_end", _until(keys, F.col("_tot"), horizon_us))
     last_of_time = F.col("_next_us").isNull() | (F.col("_next_us") != F.col("_us"))
     return ahead.where(F.col("_own") & last_of_time).withColumn("_coming", F.col("_next_us") <= F.col("_us") + horizon_us)
 
 
 def future_window(ticks: DataFrame, horizon: float, chunk_rows: int | None = None) -> DataFrame:
     """Per (symbol, time): number of ticks in (t, t + horizon], and the first and last price among them."""
-    return _ahead(ticks, horizon, chunk_rows).select(
+    return _ahead(ticks, horizon, chunk_rows, totals=False).select(
         "symbol", "ts", (F.col("_end.rn") - F.col("_rn")).alias("future_ticks"),
         F.when(F.col("_coming"), F.col("_next_price")).alias("future_first"),
         F.when(F.col("_coming"), F.col("_end.price")).alias("future_last"),
@@ -245,7 +245,7 @@ def future_volatility(
     leading = F.when(above(F.col("price"), 0), percent_change(F.col("_next_price"), F.col("price")))
     outside, sums = _sums_between("sigma", "_end", F.col("_tot"), F.col("_leading"))
     return (
-        _ahead(ticks, horizon, chunk_rows).withColumn("_leading", leading).withColumns(outside)
+        _ahead(ticks, horizon, chunk_rows, totals=True).withColumn("_leading", leading).withColumns(outside)
         .select("symbol", "ts", "_us", "_coming", *(c.alias(k) for k, c in sums.items()))
         .withColumn("future_volatility", F.when(
             F.coalesce("_coming", F.lit(False)), _deviation("sigma")).otherwise(F.lit(0.0)))

@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_CHUNKS = 32_768
 SLICES_PER_CHUNK = 16
-MIN_CHUNK_ROWS = 50_000
-MAX_CHUNK_ROWS = 500_000
+MIN_CHUNK_ROWS = 25_000
+MAX_CHUNK_ROWS = 100_000
 MAX_LEVELS = 8
 _LARGEST = sys.float_info.max
 
