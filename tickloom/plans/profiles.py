@@ -38,18 +38,18 @@ base AS (
 # -- profiles ------------------------------------------------------------------------------------
 @query("describe_features", f"""WITH {LONG_SQL}
 SELECT feature, count(*) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
-  min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 6) AS p25,
-  round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75 FROM long GROUP BY feature""")
+  min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 9) AS p25,
+  round(quantile_cont(value, 0.5), 9) AS p50, round(quantile_cont(value, 0.75), 9) AS p75 FROM long GROUP BY feature""")
 def describe_features(spark, sf):
-    return six(stats.describe_features(stored_features(spark, sf), FEATURES))
+    return six(stats.describe_features(stored_features(spark, sf), FEATURES), nine=("p25", "p50", "p75"))
 
 
 @query("extended_stats", f"""WITH {LONG_SQL}
-SELECT feature, round(avg(value), 6) AS mean, round(median(value), 6) AS median, round(stddev_samp(value), 6) AS std,
+SELECT feature, round(avg(value), 6) AS mean, round(median(value), 9) AS median, round(stddev_samp(value), 6) AS std,
   min(value) AS min, max(value) AS max, round(skewness(value), 6) AS skewness,
   round(kurtosis(value), 6) AS kurtosis, 0::BIGINT AS missing, 0.0::DOUBLE AS missing_pct FROM long GROUP BY feature""")
 def extended_stats(spark, sf):
-    return six(stats.extended_stats(stored_features(spark, sf), FEATURES))
+    return six(stats.extended_stats(stored_features(spark, sf), FEATURES), nine=("median",))
 
 
 @query("missing_values", f"""WITH {UNTIDY_SQL}, counted AS (
@@ -118,29 +118,31 @@ def continuous_periods(spark, sf):
 
 
 @query("percentile_curve", f"""WITH {LONG_SQL}
-SELECT feature, {', '.join(f"round(quantile_cont(value, {p / 100}), 6) AS p{p}" for p in (10, 25, 50, 75, 90, 95, 99))}
+SELECT feature, {', '.join(f"round(quantile_cont(value, {p / 100}), 9) AS p{p}" for p in (10, 25, 50, 75, 90, 95, 99))}
 FROM long WHERE feature LIKE 'volatility%' GROUP BY feature""")
 def percentile_curve(spark, sf):
-    return six(stats.percentile_curve(stored_features(spark, sf, columns=VOLATILITY), VOLATILITY))
+    curve = stats.percentile_curve(stored_features(spark, sf, columns=VOLATILITY), VOLATILITY)
+    return six(curve, nine=tuple(curve.columns))
 
 
 @query("threshold_analysis", f"""WITH {FEATURES_SQL}, q AS (
   SELECT quantile_cont(volatility_60s, [0.9, 0.95, 0.99]) AS t, count(*) AS n FROM features
 ), cuts AS (SELECT unnest([90, 95, 99]) AS percentile, unnest(t) AS threshold, n FROM q), above AS (
   SELECT percentile, threshold, n, (SELECT count(*) FROM features WHERE volatility_60s > threshold) AS spikes FROM cuts)
-SELECT percentile, round(threshold, 6) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
+SELECT percentile, round(threshold, 9) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
 def threshold_analysis(spark, sf):
-    return six(stats.threshold_analysis(stored_features(spark, sf, columns=["volatility_60s"]), "volatility_60s"))
+    return six(stats.threshold_analysis(stored_features(spark, sf, columns=["volatility_60s"]), "volatility_60s"),
+               nine=("threshold",))
 
 
 @query("iqr_outliers", f"""WITH {LONG_SQL}, q AS (
   SELECT feature, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
   FROM long GROUP BY feature), b AS (SELECT feature, n, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT feature, count(*) AS outliers, round(count(*) / any_value(n) * 100, 6) AS outlier_pct,
-  round(any_value(lo), 6) AS lower_bound, round(any_value(hi), 6) AS upper_bound
+  round(any_value(lo), 9) AS lower_bound, round(any_value(hi), 9) AS upper_bound
 FROM long JOIN b USING (feature) WHERE value < lo OR value > hi GROUP BY feature""")
 def iqr_outliers(spark, sf):
-    return six(stats.iqr_outliers(stored_features(spark, sf), FEATURES))
+    return six(stats.iqr_outliers(stored_features(spark, sf), FEATURES), nine=("lower_bound", "upper_bound"))
 
 
 @query("zscore_outliers", f"""WITH {LONG_SQL}, m AS (
