@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from tests.conftest import SF, TABLES
+from tickloom.operators import ordered
 from tickloom.plans.catalog import QUERIES, SQL
 
 
@@ -36,6 +37,17 @@ def test_names_agree():
     assert len(QUERIES) > 100
 
 
+@pytest.mark.parametrize("name", [
+    "tick_features", "future_volatility", "asof_past_price", "gap_stats", "replay_delay", "rolling_mean", "ks_test",
+    "wasserstein", "roc_auc", "latency_report", "temporal_split", "stratified_split", "replay_ticks",
+])
+def test_query_in_small_chunks(spark, con, name, monkeypatch):
+    """Every key is cut into chunks of at most 90 rows; the results stay the same."""
+    monkeypatch.setattr(ordered, "MIN_CHUNK_ROWS", 90)
+    monkeypatch.setattr(ordered, "MAX_CHUNK_ROWS", 90)
+    test_query(spark, con, name)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.functions import columns as cols
-from tickloom.operators import features as ops, stats
+from tickloom.operators import features as ops, slo, stats
 from tickloom.operators.drift import common_columns as shared_columns, latest
 from tickloom.operators.models import (
     rule_baseline, stratified_split as split_by_class, temporal_split as split_by_time, validate_features as check,
@@ -433,9 +433,7 @@ def append_union(spark, sf):
     PARTITION BY event_type ORDER BY ts, event_id)) / 1e6::DOUBLE AS silent_seconds FROM events)
 WHERE silent_seconds > 3600""")
 def feed_gaps(spark, sf):
-    from tickloom.operators.slo import feed_gaps as gaps
-
-    return gaps(ticks(spark, sf).select("symbol", "ts", "seq"), "ts", "seq", ["symbol"], 3600.0)
+    return slo.feed_gaps(ticks(spark, sf).select("symbol", "ts", "seq"), "ts", "seq", ["symbol"], 3600.0)
 
 
 # -- baselines on features -----------------------------------------------------------------------

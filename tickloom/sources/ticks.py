@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tickloom.operators.ordered import numbered
+from tickloom.operators.ordered import numbered, split_ordered
 from tickloom.schemas import RAW_TICK
 
 _WITH_CORRUPT = T.StructType([*RAW_TICK.fields, T.StructField("_corrupt", T.StringType())])
@@ -129,10 +129,6 @@ def replay_ticks(features: DataFrame, max_ticks: int | None = None) -> DataFrame
 
 def replay_delay(ticks: DataFrame, speed: float = 1.0, ts: str = "ts", tiebreak: str = "seq") -> DataFrame:
     """Seconds to wait after each row before the next: max(0, gap / speed); 0 for the last row or speed 0."""
-    from pyspark.sql import Window
-
-    from tickloom.operators.ordered import split_ordered
-
     base = ticks.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
     split = split_ordered(base.select("_us", tiebreak), [], ["_us", tiebreak])
     w = Window.partitionBy(*split.keys).orderBy("_us", tiebreak)
