@@ -8,19 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.exact import exact_dedup
+from tickloom.llm.linededup import line_dedup
+from tickloom.llm.mixing import mix_sources
+from tickloom.llm.neardup import near_duplicates
+from tickloom.llm.pieces import decode_pieces, encode_pieces
 from tickloom.llm.quality import quality_rules
+from tickloom.llm.secrets import BASE, listed, secret_scan
 from tickloom.llm.sharding import minimax_shards
+from tickloom.llm.tokens import digest_files, read_token_files, write_token_files
+from tickloom.session import scratch_dir, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-SHARDS = 24
+#: Production parameters of the queries.
+SHARDS, BLOCK_BYTES, END_ID = 24, 64 << 10, 2
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+@query
 def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = minimax_shards(documents(spark, sf_dir), SHARDS)
     return shards.select(
@@ -29,18 +50,62 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), keep="largest").withColumnRenamed("id", "doc_id")
 
 
-for fn in (op1_minimax_shards, op2_quality_rules, op5_exact_dedup):
-    QUERIES[fn.__name__] = fn
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir), block_bytes=BLOCK_BYTES).select(F.col("id").alias("doc_id"), "source", "size", "block", "slot")
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the crc32 of the text that they decode to beside that of the text itself."""
+    model = vocabulary("piece_bpe_32k.model")
+    encoded = encode_pieces(documents(spark, sf_dir).select("doc_id", "text"), model)
+    read = written(encoded.select("doc_id", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), "piece_ids"), "pieces")
+    decoded = decode_pieces(read, model, crc_col="ids_crc32")
+    return decoded.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "ids_crc32", "text_crc32", F.crc32("decoded").alias("decoded_crc32"), "piece_ids")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, vocabulary("byte_bpe_50k.json"), END_ID)
+    return digest_files(read_token_files(spark, path))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan(documents(spark, sf_dir))
+    base = F.filter("found", lambda x: x["kind"].isin(list(BASE)))
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select(
+        F.col("id").alias("doc_id"), *[count(k) for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
 
 SQL["op5_exact_dedup"] = """
 WITH n AS (
@@ -51,3 +116,31 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+SQL["op4_line_dedup"] = """
+WITH cut AS (
+  SELECT doc_id, hash(text) AS h, text, string_split(text, chr(10)) AS lines FROM documents
+), line AS (
+  SELECT doc_id, h, unnest(range(len(lines))) AS no, unnest(lines) AS line FROM cut
+), worded AS (
+  SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM line
+), firsts AS (
+  SELECT w, len(w) AS m, min((doc_id, no)) AS first FROM worded WHERE len(w) >= 3 GROUP BY w
+), variant AS (
+  SELECT w, first, i, md5(CAST(w[1:i] || w[i + 2:] AS VARCHAR)) AS k FROM (SELECT *, unnest(range(m)) AS i FROM firsts WHERE m >= 8) WHERE m >= 9 OR TRUE
+), keyed AS (
+  SELECT w, first, i, k, m - 1 AS base FROM variant JOIN firsts USING (w, first)
+  UNION ALL
+  SELECT w, first, i, md5(CAST(w AS VARCHAR)) AS k, m AS base FROM (SELECT *, unnest(range(m + 1)) AS i FROM firsts WHERE m >= 8)
+), led AS (
+  SELECT w, first, min(first) OVER (PARTITION BY i, k, base) AS lead FROM keyed
+), gone AS (
+  SELECT DISTINCT w FROM led WHERE lead < first
+), stays AS (
+  SELECT first FROM firsts WHERE w NOT IN (SELECT w FROM gone)
+), judged AS (
+  SELECT doc_id, h, no, line, len(w) < 3 OR (doc_id, no) IN (SELECT first FROM stays) AS stay FROM worded
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stay) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (stay), '') AS text
+FROM judged GROUP BY doc_id, h
+"""
