@@ -235,7 +235,7 @@ def _rooted(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id, kept``, one row per document.
+    """``id, text_hash, n_shingles, component_id, kept``, one row per document.
 
     ``component_id`` is the smallest id reachable over pairs with 100 * intersection >= 85 * union; the row that bears it is
     kept.  Texts without words, and null texts, link with nothing and are kept.  Rows that repeat an id are documents of their
@@ -267,12 +267,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = _rooted(classes.withColumnRenamed("first", "row"), stars)
     lows = written(rooted.filter("root is not null").groupBy("root").agg(F.min("low").alias("component_id")), "neardup-lows")
     of_class = written(rooted.join(lows, "root").select("f1", "f2", "component_id"), "neardup-components")
-    labelled = written(signed.select("row", "doc_id", "n_shingles", "f1", "f2").join(of_class, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id"), "neardup-rows")
+    labelled = written(
+        signed.select("doc_id", "text_hash", "n_shingles", "f1", "f2").join(of_class, ["f1", "f2"]).select("doc_id", "text_hash", "n_shingles", "component_id"), "neardup-rows")
     text = text_of(text_col)
     bare = docs.filter(~text.rlike(r"[^\x20\x09-\x0D]")).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_shingles"), F.col(id_col).cast("long").alias("component_id"))
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.lit(0).cast("long").alias("n_shingles"), F.col(id_col).cast("long").alias("component_id"))
     return labelled.unionByName(bare).select(
-        F.col("doc_id").alias("id"), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").alias("id"), "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _left_over(members: DataFrame, wanted: DataFrame, stars: DataFrame) -> DataFrame:

@@ -134,14 +134,14 @@ def thresholds(measured: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``id, lang, source``, the measures, ``base_failed`` and ``kept``; one row per document.
+    """``id, text_hash, lang, source``, the measures, ``base_failed`` and ``kept``; one row per document.
 
     Base rules: fewer than 10 words, or more than a fifth of the words in repeated windows.  Documents that fail them are
     not kept and not sketched, so that junk cannot move the thresholds.  Null languages and sources are groups of their own.
     Texts without words fail.  An empty table gives no rows.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
-    flat_rows = measures(named).select("id", "lang", "source", "measured.*")
+    flat_rows = measures(named).select("id", F.xxhash64(text_of("text")).alias("text_hash"), "lang", "source", "measured.*")
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     table = written(flat_rows.withColumn("base_failed", failed).withColumns({m: F.expr(e) for m, e in SHARES.items()}), "quality-measured")
     cuts = written(thresholds(table.filter("not base_failed")), "quality-cuts").withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
@@ -152,6 +152,6 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for m in LOW:
         inside = inside & (F.col(m) >= F.col(f"{m}_low"))
     return joined.select(
-        "id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "id", "text_hash", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.exact import exact_dedup
 from tickloom.llm.linededup import line_dedup
+from tickloom.llm.lm import score_texts
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.neardup import near_duplicates
 from tickloom.llm.pieces import decode_pieces, encode_pieces
@@ -59,7 +60,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+    return near_duplicates(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 @query
@@ -88,6 +89,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "ids_crc32", "text_crc32", F.crc32("decoded").alias("decoded_crc32"), "piece_ids")
 
 
+@query
+def op8_maxent_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
