@@ -63,7 +63,28 @@ def test_train_compare_and_persistence(spark, rows, tmp_path):
     np.testing.assert_allclose(a["probability"], b.sort_values("seq")["probability"])
 
     speed = models.scoring_throughput(models.apply_model(forest, test)).first()
-    assert speed["meets_requirement"] and speed["max_allowed_seconds"] == 120.0
+    assert speed["in_time"] and speed["allowed_seconds"] == 120.0
+
+
+def test_forest_arrays_equal_mllib(spark, rows):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    model = models.fit_random_forest(rows, trees=20)
+    holes = rows.withColumn("price", F.when(F.col("seq") % 7 != 0, F.col("price")))
+    want = {r["seq"]: (r["p"], int(r["prediction"])) for r in model.transform(holes).withColumn("p", vector_to_array("probability")[1]).collect()}
+    got = {r["seq"]: (r["probability"], r["prediction"]) for r in models.apply_model(model, holes).collect()}
+    assert set(got) == set(want)
+    for seq, (p, prediction) in want.items():
+        assert got[seq][0] == pytest.approx(p, abs=1e-12) and (got[seq][1] == prediction or abs(p - 0.5) < 1e-12)
+
+
+def test_rows_without_a_label_stay(spark, rows):
+    from pyspark.sql import functions as F
+
+    some = rows.withColumn(LABEL, F.when(F.col("seq") % 10 != 0, F.col(LABEL)))
+    counts = {(r[LABEL], r["split"]): r["count"] for r in models.stratified_split(some, LABEL, "seq").groupBy(LABEL, "split").count().collect()}
+    assert sum(counts.values()) == 600 and counts[None, "test"] == 12
 
 
 def test_batch_skips_bad_rows(spark, rows):

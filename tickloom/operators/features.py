@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.columns import above, percent_change, spread_percent
 from tickloom.operators.ordered import OrderedSplit, split_ordered
 from tickloom.schemas import FEATURES, FeatureWindows
+from tickloom.session import written
 
 _MICROS = 1_000_000
 # 30 bits per part leave 22 bits of a double for adding up four million rows without rounding
@@ -38,18 +39,16 @@ def _split_ticks(ticks: DataFrame, chunk_rows: int | None) -> tuple[DataFrame, O
     )
 
 
-def _ranked(
-    ticks: DataFrame, rows_before: int, chunk_rows: int | None, span_after: int = 0
-) -> tuple[DataFrame, list[str]]:
-    """Ticks by chunk with arrival number, previous and next tick, and tick return."""
+def _ranked(ticks: DataFrame, rows_before: int, chunk_rows: int | None) -> tuple[DataFrame, list[str]]:
+    """Ticks by chunk with arrival number, previous tick, and tick return."""
     base, split = _split_ticks(ticks, chunk_rows)
-    copied = split.with_halo(base, rows_before=rows_before, rows_after=1 if span_after else 0, span_after=span_after)
+    copied = split.with_halo(base, rows_before=rows_before)
     w = Window.partitionBy(*split.keys).orderBy("_us", "seq")
     ranked = split.gather(copied).withColumns({
         "_rn": F.row_number().over(w) + F.col("_base"),
         "_prev_price": F.lag("price").over(w),
         "_prev_us": F.lag("_us").over(w),
-    } | ({"_next_us": F.lead("_us").over(w), "_next_price": F.lead("price").over(w)} if span_after else {}))
+    })
     ret = F.when(above(F.col("_prev_price"), 0), percent_change(F.col("price"), F.col("_prev_price")))
     return ranked.withColumn("_ret", ret), split.keys
 
@@ -90,21 +89,15 @@ def _until(keys: Sequence[str], what: Column, upper: int) -> Column:
     return F.max(what).over(frame)
 
 
-def _sums_between(name: str, upto: str, outside: Column, minus: Column | None = None) -> tuple[dict, dict]:
+def _sums_between(name: str, upto: str, outside: Column) -> tuple[dict, dict]:
     """Columns for two projections, one after the other: the running total ``outside`` the range, then number,
-    non-finite ones, sum and sum of squares of the returns between it and ``upto``.
-
-    ``minus``: a return inside the range to leave out.
-    """
+    non-finite ones, sum and sum of squares of the returns between it and ``upto``."""
     def between(*parts: str) -> Column:
         return reduce(lambda a, b: a + b, (
             F.col(f"{upto}.{p}") - F.coalesce(F.col(f"_from_{name}.{p}"), F.lit(0)) for p in parts
         ))
 
     n, s1, s2 = between("_n"), between(*_MOMENTS[:_PARTS]), between(*_MOMENTS[_PARTS:])
-    if minus is not None:
-        n = n - minus.isNotNull().cast("int")
-        s1, s2 = s1 - F.coalesce(minus, F.lit(0.0)), s2 - F.coalesce(minus * minus, F.lit(0.0))
     sums = {f"_n_{name}": n, f"_bad_{name}": between("_bad"), f"_s1_{name}": s1, f"_s2_{name}": s2}
     return {f"_from_{name}": outside}, sums
 
@@ -212,16 +205,80 @@ def with_history(ticks: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     )
 
 
+def _chunk_at(split: OrderedSplit, rows: DataFrame, us: Column) -> DataFrame:
+    """Rows with ``_probe_chunk``: the last chunk of the symbol that begins at or before ``us``.
+
+    The begins of the chunks, at most MAX_CHUNKS in all, are searched by halving.
+    """
+    begins = []
+    for group, slices in split.groups.items():
+        first: dict[int, int] = {}
+        for s in slices:
+            if s.low[0] is not None:
+                first.setdefault(s.chunk, s.low[0])
+        begins.append((*group, [first.get(c, -(1 << 62)) for c in range(slices[-1].chunk + 1)]))
+    kind = rows.schema["symbol"].dataType.simpleString()
+    table = rows.sparkSession.createDataFrame(begins, f"_b_symbol {kind}, _begins array<bigint>")
+    joined = rows.join(F.broadcast(table), F.col("symbol").eqNullSafe(F.col("_b_symbol")), "left")
+    steps = [1 << i for i in reversed(range(max(len(x[-1]) for x in begins).bit_length()))]
+
+    def step(at: Column, by: Column) -> Column:
+        fits = (at + by < F.size("_begins")) & (F.get("_begins", F.least(at + by, F.size("_begins") - 1)) <= us)
+        return F.when(fits, at + by).otherwise(at)
+
+    found = F.aggregate(F.array(*(F.lit(x) for x in steps)), F.lit(0), step)
+    return joined.withColumn("_probe_chunk", F.when(F.col("_begins").isNull(), 0).otherwise(found)).drop("_b_symbol", "_begins")
+
+
 def _ahead(ticks: DataFrame, horizon: float, chunk_rows: int | None, totals: bool) -> DataFrame:
-    """One row per (symbol, time): its last tick, with running totals (else the price) there (``_tot``) and at
-    t + horizon (``_end``)."""
+    """One row per (symbol, time): its last tick with ``_tot`` (running totals in its chunk, else the price) there and
+    ``_end``, the same of the last tick up to t + horizon, plus ``_far`` (is that in a later chunk?), ``_rest`` (totals of the
+    tick's chunk) and ``_between`` (totals of the chunks between the two).
+
+    The look ahead is a probe row that goes to the chunk in which t + horizon falls: two rows per tick, however many ticks
+    the horizon holds.  Ticks without a time have no window and give no row.
+    """
     horizon_us = int(horizon * _MICROS)
-    ranked, keys = _ranked(ticks, 1, chunk_rows, span_after=horizon_us)
+    base, split = _split_ticks(ticks.where(F.col("ts").isNotNull()), chunk_rows)
+    w = Window.partitionBy(*split.keys).orderBy("_us", "seq")
+    ranked = split.gather(split.with_halo(base, rows_before=1, rows_after=1)).withColumns({
+        "_rn": F.row_number().over(w) + F.col("_base"), "_prev_price": F.lag("price").over(w),
+        "_next_us": F.lead("_us").over(w), "_next_price": F.lead("price").over(w),
+    })
+    own = ranked.withColumn(
+        "_ret", F.when(above(F.col("_prev_price"), 0), percent_change(F.col("price"), F.col("_prev_price")))).where("_own")
     priced = F.struct(F.col("_rn").alias("rn"), F.col("price").alias("price"))
-    ahead = _with_totals(ranked, keys) if totals else ranked.withColumn("_tot", priced)
-    ahead = ahead.withColumn("_end", _until(keys, F.col("_tot"), horizon_us))
+    known = _with_totals(own, split.keys) if totals else own.withColumn("_tot", priced)
+    known = written(known.select("symbol", "_chunk", "ts", "_us", "seq", "price", "_rn", "_next_us", "_next_price", "_tot"), "ahead")
+
     last_of_time = F.col("_next_us").isNull() | (F.col("_next_us") != F.col("_us"))
-    return ahead.where(F.col("_own") & last_of_time).withColumn("_coming", F.col("_next_us") <= F.col("_us") + horizon_us)
+    target = F.col("_us") + horizon_us
+    origin = F.struct("ts", "_us", "price", "_rn", "_next_us", "_next_price", "_tot", "_chunk")
+    probes = known.where(last_of_time).withColumn("_target", target)
+    probes = _chunk_at(split, probes, F.col("_target")) if split.is_cut else probes.withColumn("_probe_chunk", F.lit(0))
+    probes = probes.select("symbol", F.col("_probe_chunk").alias("_chunk"), F.col("_target").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).alias("_here"), origin.alias("_origin"))
+    held = known.select("symbol", "_chunk", F.col("_us").alias("_at"), F.lit(0).alias("_kind"), F.col("_tot").alias("_here"), F.lit(None).alias("_origin"))
+    upto = Window.partitionBy("symbol", "_chunk").orderBy("_at", "_kind", "_here.rn").rowsBetween(Window.unboundedPreceding, 0)
+    seen = held.unionByName(probes).withColumn("_end", F.last("_here", ignorenulls=True).over(upto)).where("_kind = 1")
+    found = seen.select("symbol", F.col("_chunk").alias("_until"), "_end", "_origin.*").withColumn("_coming", F.col("_next_us") <= target)
+    if not totals:
+        return found
+    nothing = F.lit(None).cast(known.schema["_tot"].dataType)
+    if not split.is_cut:
+        return found.withColumns({"_far": F.lit(False), "_rest": nothing, "_between": nothing})
+
+    # chunk totals of the symbols that were cut: at most MAX_CHUNKS rows; pairs of chunks move on together: twice as many
+    cut = known.sparkSession.createDataFrame([g for g in split.groups], f"symbol {known.schema['symbol'].dataType.simpleString()}")
+    ends = written(known.join(F.broadcast(cut), "symbol", "left_semi").groupBy("symbol", "_chunk").agg(F.max_by("_tot", "_rn").alias("_rest")), "ahead-chunks")
+    pairs = found.where(F.col("_until") > F.col("_chunk") + 1).select("symbol", "_chunk", "_until").distinct()
+    middle = ends.select(F.col("symbol").alias("_m_symbol"), F.col("_chunk").alias("_m_chunk"), "_rest")
+    between = pairs.join(F.broadcast(middle), (F.col("symbol") == F.col("_m_symbol")) & (F.col("_m_chunk") > F.col("_chunk")) & (F.col("_m_chunk") < F.col("_until")))
+    between = between.groupBy("symbol", "_chunk", "_until").agg(F.struct(*(F.sum(f"_rest.{n}").alias(n) for n in ["rn", *_TOTALS])).alias("_between"))
+    between = written(between, "ahead-between")
+    return (
+        found.join(F.broadcast(ends), ["symbol", "_chunk"], "left").join(F.broadcast(between), ["symbol", "_chunk", "_until"], "left")
+        .withColumn("_far", F.col("_until") > F.col("_chunk"))
+    )
 
 
 def future_window(ticks: DataFrame, horizon: float, chunk_rows: int | None = None) -> DataFrame:
@@ -233,6 +290,21 @@ def future_window(ticks: DataFrame, horizon: float, chunk_rows: int | None = Non
     )
 
 
+def _sums_ahead(name: str, minus: Column) -> dict[str, Column]:
+    """Number, non-finite ones, sum and sum of squares of the returns after the tick up to the probe, without ``minus``."""
+    def over(*parts: str) -> Column:
+        near = reduce(lambda a, b: a + b, (F.col(f"_end.{p}") - F.col(f"_tot.{p}") for p in parts))
+        far = reduce(lambda a, b: a + b, (
+            F.col(f"_rest.{p}") - F.col(f"_tot.{p}") + F.coalesce(F.col(f"_between.{p}"), F.lit(0)) + F.col(f"_end.{p}") for p in parts))
+        return F.when(F.col("_far"), far).otherwise(near)
+
+    n, s1, s2 = over("_n"), over(*_MOMENTS[:_PARTS]), over(*_MOMENTS[_PARTS:])
+    return {
+        f"_n_{name}": n - minus.isNotNull().cast("int"), f"_bad_{name}": over("_bad"),
+        f"_s1_{name}": s1 - F.coalesce(minus, F.lit(0.0)), f"_s2_{name}": s2 - F.coalesce(minus * minus, F.lit(0.0)),
+    }
+
+
 def future_volatility(
     ticks: DataFrame, horizon: float, threshold: float, chunk_rows: int | None = None
 ) -> DataFrame:
@@ -243,9 +315,9 @@ def future_volatility(
     """
     last_us = ticks.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
     leading = F.when(above(F.col("price"), 0), percent_change(F.col("_next_price"), F.col("price")))
-    outside, sums = _sums_between("sigma", "_end", F.col("_tot"), F.col("_leading"))
+    sums = _sums_ahead("sigma", F.col("_leading"))
     return (
-        _ahead(ticks, horizon, chunk_rows, totals=True).withColumn("_leading", leading).withColumns(outside)
+        _ahead(ticks, horizon, chunk_rows, totals=True).withColumn("_leading", leading)
         .select("symbol", "ts", "_us", "_coming", *(c.alias(k) for k, c in sums.items()))
         .withColumn("future_volatility", F.when(
             F.coalesce("_coming", F.lit(False)), _deviation("sigma")).otherwise(F.lit(0.0)))

@@ -7,7 +7,8 @@ order column, until every slice is small.  The driver receives nothing but those
 ``SLICES_PER_CHUNK * MAX_CHUNKS`` per level.  They are joined back as a broadcast table of that
 bounded size, so the rows themselves are shuffled once, by (key, chunk).
 
-Slices hold equal order values together and follow the order, so
+NULL comes before every value and NaN after them, in cut and uncut keys alike: NULLs of an order column form a slice of
+their own.  Slices hold equal order values together and follow the order, so
 
 * rows before a slice  = sum of the counts of the slices before it,
 * rows needed from earlier chunks (a halo) = the slices just before the chunk.
@@ -23,11 +24,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MAX_CHUNKS = 32_768
+MAX_CHUNKS = 131_072
 SLICES_PER_CHUNK = 16
 MIN_CHUNK_ROWS = 25_000
 MAX_CHUNK_ROWS = 100_000
-MAX_LEVELS = 8
+#: Rows of a chunk up to which running sums of parts stay exact (see ``features``); more is refused.
+EXACT_ROWS = 4_000_000
+MAX_LEVELS = 64
 _LARGEST = sys.float_info.max
 
 
@@ -38,6 +41,7 @@ class _Slice:
     rows: int
     low: tuple
     high: tuple
+    nulls: tuple
     sums: tuple
     rows_before: int = 0
     sums_before: tuple = ()
@@ -100,9 +104,9 @@ class OrderedSplit:
             offset = F.when(
                 F.col("_s_which") == i, _distance(_clamped(F.col(c), kinds[i]), F.col(f"_s_low{i}"), kinds[i])
             ).otherwise(offset)
-        cell = F.least(
+        cell = F.when(offset.isNotNull(), F.least(
             F.floor(offset / F.col("_s_span") * F.col("_s_cells")).cast("int"), F.col("_s_cells") - F.lit(1)
-        )
+        ))  # NULLs: -1, the first slice
         return joined.withColumn(f"_p{level}", F.coalesce(cell, F.lit(-1))).drop(*schema.fieldNames())
 
     def _slice_table(self, df: DataFrame, rows: list[tuple], extra: list[T.StructField]) -> DataFrame:
@@ -167,13 +171,11 @@ class OrderedSplit:
             out = out.where(F.coalesce("_wanted", F.lit(True))).drop("_wanted")
         return out.withColumn("_chunk", F.coalesce("_chunk", F.lit(0)))
 
-    def with_halo(
-        self, df: DataFrame, rows_before: int = 0, rows_after: int = 0, span_after: float = 0
-    ) -> DataFrame:
+    def with_halo(self, df: DataFrame, rows_before: int = 0, rows_after: int = 0) -> DataFrame:
         """Add ``_chunk``, ``_base`` (rows of the key before the chunk's first copied row) and ``_own``.
 
-        Every chunk also receives at least ``rows_before`` / ``rows_after`` neighbouring rows of its key and
-        all rows up to ``span_after`` past its end on the first order column, flagged ``_own = false``.
+        Every chunk also receives at least ``rows_before`` / ``rows_after`` neighbouring rows of its key, flagged
+        ``_own = false``.
         """
         if not self.is_cut:
             return df.select("*", F.lit(0).alias("_chunk"), F.lit(0).cast("long").alias("_base"),
@@ -194,10 +196,7 @@ class OrderedSplit:
                 while left > 0 and slices[start].rows_before - slices[left].rows_before < rows_before:
                     left -= 1
                 stop = slices[end].rows_before + slices[end].rows
-                while right + 1 < len(slices) and (
-                    slices[right + 1].rows_before < stop + rows_after
-                    or (span_after and slices[right + 1].low[0] <= slices[end].high[0] + span_after)
-                ):
+                while right + 1 < len(slices) and slices[right + 1].rows_before < stop + rows_after:
                     right += 1
                 base = slices[left].rows_before
                 for i in range(left, right + 1):
@@ -225,19 +224,25 @@ def _order_type(df: DataFrame, c: str) -> T.DataType:
 
 def _clamped(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DoubleType):
-        return F.greatest(F.least(c.cast("double"), F.lit(_LARGEST)), F.lit(-_LARGEST))
+        return F.when(c.isNotNull(), F.greatest(F.least(c.cast("double"), F.lit(_LARGEST)), F.lit(-_LARGEST)))
     return c.cast("long")
 
 
 def _cuttable(node: _Slice, kinds: Sequence[T.DataType]) -> tuple[int, float]:
     """The first order column on which the rows of a slice differ, and their distance there (0: cannot be cut).
 
+    A column with NULLs beside one value is cut at distance 1: NULLs, then the value.
+
     Doubles clamped to the largest one may stand for infinity as well as for themselves, so a later column says nothing
     about the order of such rows.
     """
     for i, (low, high) in enumerate(zip(node.low, node.high)):
+        if node.nulls[i] == node.rows:
+            continue
         if low < high:
             return i, _distance(high, low, kinds[i])
+        if node.nulls[i]:
+            return i, 1.0
         if isinstance(kinds[i], T.DoubleType) and abs(low) == _LARGEST:
             break
     return 0, 0.0
@@ -259,7 +264,7 @@ def split_ordered(
 ) -> OrderedSplit:
     """Cut every key of ``by`` with more than ``chunk_rows`` rows into chunks along ``order``.
 
-    ``order`` columns are numeric and not null; rows that agree on all of them stay together.  ``measures``
+    ``order`` columns are numeric; rows that agree on all of them stay together.  ``measures``
     are additive columns whose totals before each chunk are wanted (see :meth:`OrderedSplit.assign`).
     """
     by, order, measures = list(by), list(order), dict(measures or {})
@@ -267,13 +272,13 @@ def split_ordered(
     counts = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(order):
         value = _clamped(F.col(c), kinds[c])
-        counts += [F.min(value).alias(f"_low{i}"), F.max(value).alias(f"_high{i}")]
+        counts += [F.min(value).alias(f"_low{i}"), F.max(value).alias(f"_high{i}"), F.count_if(value.isNull()).alias(f"_nulls{i}")]
     counts += [F.sum(e).cast("double").alias(f"_m{i}") for i, e in enumerate(measures.values())]
 
     def slice_of(row, path: tuple[int, ...]) -> _Slice:
         return _Slice(
             tuple(row[c] for c in by), path, row["_rows"],
-            tuple(row[f"_low{i}"] for i in range(len(order))), tuple(row[f"_high{i}"] for i in range(len(order))),
+            *(tuple(row[f"{side}{i}"] for i in range(len(order))) for side in ("_low", "_high", "_nulls")),
             tuple(row[f"_m{i}"] or 0.0 for i in range(len(measures))),
         )
 
@@ -288,6 +293,8 @@ def split_ordered(
         tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
         chunk_rows = min(max(MIN_CHUNK_ROWS, math.ceil(total / tasks)), MAX_CHUNK_ROWS)
     chunk_rows = max(chunk_rows, math.ceil(total / MAX_CHUNKS))
+    if chunk_rows > EXACT_ROWS:
+        raise ValueError(f"{total} rows need chunks of {chunk_rows} rows, more than {EXACT_ROWS}: work on parts of the table, such as days")
     split = OrderedSplit(by, order, measures, total, chunk_rows)
     if largest <= chunk_rows:
         return split
@@ -315,11 +322,12 @@ def split_ordered(
             slice_of(r, tuple(r[p] for p in path_cols))
             for r in cells_df.groupBy(*by, *path_cols).agg(*counts).collect()
         ]
-        deeper = level + 1 < MAX_LEVELS
-        open_nodes = [s for s in found if s.rows > chunk_rows and deeper]
-        done += [s for s in found if not (s.rows > chunk_rows and deeper)]
+        open_nodes = [s for s in found if s.rows > chunk_rows]
+        done += [s for s in found if s.rows <= chunk_rows]
         if not open_nodes:
             break
+    else:
+        raise ValueError(f"slices of {max(s.rows for s in open_nodes)} rows are left after {MAX_LEVELS} refinements")
 
     if not split.levels:  # every hot key is one single order value
         return split

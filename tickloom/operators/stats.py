@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -182,13 +183,13 @@ def percentile_curve(df: DataFrame, columns: Sequence[str],
 
 
 def threshold_analysis(df: DataFrame, column: str, percentiles: Sequence[int] = (90, 95, 99)) -> DataFrame:
-    """Per percentile: threshold, rows above it, and their share in percent."""
-    curve = exact_quantiles(df.select(F.col(column).cast("double").alias("value")), [], "value",
-                            {f"p{p}": p / 100 for p in percentiles})
+    """Per percentile: threshold, rows above it, and their share in percent.  NULL and NaN count as missing."""
+    known = df.select(_known(column).alias("value")).where(F.col("value").isNotNull())
+    curve = exact_quantiles(known, [], "value", {f"p{p}": p / 100 for p in percentiles})
     limits = {p: curve.select(f"p{p}").scalar() for p in percentiles}
-    wide = df.agg(
-        F.count(column).alias("n"),
-        *(F.sum((F.col(column) > v).cast("long")).alias(f"above_{p}") for p, v in limits.items()),
+    wide = known.agg(
+        F.count("value").alias("n"),
+        *(F.sum((F.col("value") > v).cast("long")).alias(f"above_{p}") for p, v in limits.items()),
         *(F.max(v).alias(f"limit_{p}") for p, v in limits.items()),
     )
     return wide.select(F.inline(F.array(*(
@@ -198,6 +199,17 @@ def threshold_analysis(df: DataFrame, column: str, percentiles: Sequence[int] =
     ))))
 
 
+def _outside(df: DataFrame, columns: Sequence[str], bounds: DataFrame, outside: Callable[[Column, Column], Column]) -> DataFrame:
+    """``bounds`` (one row per feature, with ``n``) and the number of values for which ``outside(value, bound)`` holds.
+
+    The bounds are one scalar; the rows are read once, as they are, and counted in their tasks.
+    """
+    of = bounds.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("*"))))).scalar()  # one entry per column
+    counts = per_column(df, columns, {"outliers": lambda c: F.sum(outside(_known(c), of[c]).cast("long"))})
+    found = bounds.join(F.broadcast(counts.where(F.col("outliers") > 0)), "feature")
+    return found.withColumn("outlier_pct", F.col("outliers") / F.col("n") * 100)
+
+
 def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Values beyond the quartiles by ``factor`` interquartile ranges; only columns that have some."""
     quartiles = column_quantiles(df, columns, {"q1": 0.25, "q3": 0.75})
@@ -206,15 +218,8 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) ->
         "feature", "n", (F.col("q1") - factor * iqr).alias("lower_bound"),
         (F.col("q3") + factor * iqr).alias("upper_bound"),
     )
-    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    return (
-        unpivoted(df, columns).join(F.broadcast(bounds), "feature")  # one row per column
-        .groupBy("feature", "lower_bound", "upper_bound", "n").agg(F.sum(outside.cast("long")).alias("outliers"))
-        .where(F.col("outliers") > 0)
-        .select("feature", "outliers", (F.col("outliers") / F.col("n") * 100).alias("outlier_pct"),
-                "lower_bound", "upper_bound")
-        .orderBy(F.desc("outliers"), "feature")
-    )
+    found = _outside(df, columns, bounds, lambda v, b: (v < b["lower_bound"]) | (v > b["upper_bound"]))
+    return found.select("feature", "outliers", "outlier_pct", "lower_bound", "upper_bound").orderBy(F.desc("outliers"), "feature")
 
 
 def zscore_outliers(df: DataFrame, columns: Sequence[str], limit: float = 3.0) -> DataFrame:
@@ -223,30 +228,36 @@ def zscore_outliers(df: DataFrame, columns: Sequence[str], limit: float = 3.0) -
         "n": lambda c: F.count(_known(c)), "mean": lambda c: F.avg(_known(c)),
         "sd": lambda c: F.stddev_pop(_known(c)),
     })
-    far = per(F.abs(F.col("value") - F.col("mean")), F.col("sd")) > limit
-    return (
-        unpivoted(df, columns).join(F.broadcast(moments.where(F.col("sd") > 0)), "feature")
-        .groupBy("feature", "n").agg(F.sum(far.cast("long")).alias("outliers"))
-        .where(F.col("outliers") > 0)
-        .select("feature", "outliers", (F.col("outliers") / F.col("n") * 100).alias("outlier_pct"))
-        .orderBy(F.desc("outliers"), "feature")
-    )
+    found = _outside(df, columns, moments.where(F.col("sd") > 0), lambda v, b: per(F.abs(v - b["mean"]), b["sd"]) > limit)
+    return found.select("feature", "outliers", "outlier_pct").orderBy(F.desc("outliers"), "feature")
+
+
+#: Pairs of columns in one aggregate; more would outgrow the code that Spark compiles for it.
+_PAIRS = 16
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation per column pair (upper triangle, NaN where a column is constant).
 
-    Rows are fanned out to pairs inside the task and combined there; one row per pair and task is shuffled.
+    The rows stay as they are: pairs are aggregates over the wide table, some ``_PAIRS`` at a time, combined in each task.
     """
-    by, names = list(by), F.array(*(F.lit(c) for c in columns))
-    values = df.select(*by, F.array(*(_known(c) for c in columns)).alias("_v"))
-    first = values.select(*by, "_v", F.posexplode("_v").alias("_i", "_x"))
-    pairs = first.select(*by, "_i", "_x", F.posexplode("_v").alias("_j", "_y")).where(F.col("_j") > F.col("_i"))
-    both = pairs.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    r = per(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
-    return both.groupBy(*by, "_i", "_j").agg(F.coalesce(r, F.lit(float("nan"))).alias("correlation")).select(
-        *by, names[F.col("_i")].alias("feature_a"), names[F.col("_j")].alias("feature_b"), "correlation"
-    )
+    by, parts = list(by), []
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    for low in range(0, len(pairs), _PAIRS):
+        part = pairs[low:low + _PAIRS]
+        sums = []
+        for k, (a, b) in enumerate(part):
+            x, y = (F.when(_known(a).isNotNull() & _known(b).isNotNull(), _known(c)) for c in (a, b))
+            r = per(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+            sums.append(F.coalesce(r, F.lit(float("nan"))).alias(f"_r{k}"))
+            sums.append(F.count(x).alias(f"_n{k}"))
+        rows = F.array(*(
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_r{k}").alias("correlation"), F.col(f"_n{k}").alias("_n"))
+            for k, (a, b) in enumerate(part)
+        ))
+        found = df.groupBy(*by).agg(*sums)
+        parts.append(found.select(*by, F.explode(rows).alias("_x")).select(*by, "_x.*").where("_n > 0").drop("_n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def strong_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.7) -> DataFrame:
@@ -255,17 +266,23 @@ def strong_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins between the extremes, the last one closed on the right: count and density per non-empty bin."""
-    value = F.col(column).cast("double")
-    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n"))
-    lo, hi, n = (ends.select(c).scalar() for c in ("lo", "hi", "n"))
-    width = (hi - lo) / bins
-    number = F.least(F.floor(per(value - lo, width)).cast("int"), F.lit(bins - 1))
-    return (
-        df.where(value.isNotNull()).groupBy(F.coalesce(number, F.lit(0)).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("bin", (lo + F.col("bin") * width).alias("lower"), "count",
-                per(F.col("count") / n, width).alias("density"))
+    """Equal-width bins between the extremes, the last one closed on the right: count and density of every bin.
+
+    NULL, NaN and infinite values are left out.  One distinct value gives a range of one around it; no value, no bins.
+    """
+    value = _known(column)
+    finite = df.select(F.when(F.abs(value) < float("inf"), value).alias("_v")).where("_v is not null")
+    ends = finite.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("_v").alias("n")).where("n > 0")
+    flat = F.col("lo") == F.col("hi")
+    ends = ends.select(F.struct("n", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"), F.when(flat, 1.0).otherwise(F.col("hi") - F.col("lo")).alias("span")).alias("ends"))
+    end = ends.scalar()
+    number = F.least(F.floor((F.col("_v") - end["lo"]) / end["span"] * bins).cast("int"), F.lit(bins - 1))
+    counts = finite.groupBy(number.alias("bin")).agg(F.count("*").alias("count"))
+    every = ends.select("ends.*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = F.col("span") / bins
+    return every.join(counts, "bin", "left").select(  # a row per bin
+        "bin", (F.col("lo") + F.col("bin") * width).alias("lower"), F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+        (F.coalesce("count", F.lit(0)) / F.col("n") / width).alias("density"),
     )
 
 
@@ -305,7 +322,7 @@ def rolling_mean(df: DataFrame, column: str, ts: str, tiebreak: str, chunk_rows=
     return (
         split.with_halo(base, rows_before=size)
         .withColumn("rolling_mean", F.when(
-            F.row_number().over(w) + F.col("_base") >= size, F.avg(column).over(frame)
+            F.row_number().over(w) + F.col("_base") >= size, F.avg(_known(column)).over(frame)
         ))
         .where("_own").select(ts, tiebreak, column, "rolling_mean")
     )

@@ -169,15 +169,45 @@ def strong_correlations(spark, sf):
     return six(stats.strong_correlations(stored_features(spark, sf), FEATURES))
 
 
-@query("histogram", """WITH e AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS n FROM events),
-b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 50)), 49) AS INTEGER) AS bin, lo, (hi - lo) / 50 AS width, n
-  FROM events, e)
-SELECT bin, round(any_value(lo) + bin * any_value(width), 6) AS lower, count(*) AS count,
-  round(count(*) / any_value(n) / any_value(width), 6) AS density FROM b GROUP BY bin""")
+HISTOGRAM_SQL = """e AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS n FROM known),
+f AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN 1.0 ELSE hi - lo END AS span, n FROM e WHERE n > 0),
+c AS (SELECT CAST(least(floor((value - lo) / span * 50), 49) AS INTEGER) AS bin, count(*) AS count FROM known, f GROUP BY 1),
+bins AS (SELECT CAST(unnest(range(50)) AS INTEGER) AS bin)
+SELECT bin, round(lo + bin * (span / 50), 6) AS lower, coalesce(count, 0) AS count,
+  round(coalesce(count, 0) / n / (span / 50), 6) AS density FROM bins CROSS JOIN f LEFT JOIN c USING (bin)"""
+
+
+@query("histogram", f"WITH known AS (SELECT value FROM events), {HISTOGRAM_SQL}")
 def histogram(spark, sf):
     return six(stats.histogram(table(spark, sf, "events"), "value"))
 
 
+#: Skewed values with NULL, NaN and infinite ones: most of the fifty bins are empty.
+SKEWED = "CASE WHEN event_id % 10 = 0 THEN 'nan'::DOUBLE WHEN event_id % 10 = 1 THEN NULL WHEN event_id % 997 = 5 THEN 'inf'::DOUBLE ELSE value * value * value END"
+
+
+def skewed(spark, sf):
+    e, v = F.col("event_id"), F.col("value")
+    value = F.when(e % 10 == 0, F.lit(float("nan"))).when(e % 10 == 1, F.lit(None)).when(e % 997 == 5, F.lit(float("inf"))).otherwise(v * v * v)
+    return table(spark, sf, "events").select(value.alias("value"))
+
+
+@query("histogram_with_gaps", f"""WITH known AS (
+  SELECT * FROM (SELECT {SKEWED} AS value FROM events) WHERE value IS NOT NULL AND isfinite(value)), {HISTOGRAM_SQL}""")
+def histogram_with_gaps(spark, sf):
+    return six(stats.histogram(skewed(spark, sf), "value"))
+
+
+@query("threshold_analysis_with_gaps", f"""WITH known AS (
+  SELECT * FROM (SELECT {SKEWED} AS value FROM events) WHERE value IS NOT NULL AND NOT isnan(value)
+), q AS (SELECT quantile_cont(value, [0.5, 0.9, 0.95]) AS t, count(*) AS n FROM known),
+cuts AS (SELECT unnest([50, 90, 95]) AS percentile, unnest(t) AS threshold, n FROM q),
+above AS (SELECT percentile, threshold, n, (SELECT count(*) FROM known WHERE value > threshold) AS spikes FROM cuts)
+SELECT percentile, round(threshold, 9) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
+def threshold_analysis_with_gaps(spark, sf):
+    return six(stats.threshold_analysis(skewed(spark, sf), "value", (50, 90, 95)), nine=("threshold",))
+
+
 @query("value_counts", """SELECT CAST(value > 50 AS INTEGER) AS volatility_spike, count(*) AS count,
   round(count(*) / (SELECT count(*) FROM events) * 100, 6) AS share_pct FROM events GROUP BY 1""")
 def value_counts(spark, sf):
