@@ -122,7 +122,7 @@ def test_lag_without_commit(spark):
     from tickloom.operators.slo import consumer_lag
 
     end = spark.createDataFrame([("t", 0, 10), ("t", 1, 5)], "topic string, partition int, log_end_offset long")
-    done = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, consumer_offset long")
+    done = spark.createDataFrame([("a", "t", 0, 7), ("b", "t", 0, 4), ("b", "t", 1, 5)], "consumer_group string, topic string, partition int, consumer_offset long")
     lag = consumer_lag(end, done)
-    assert {r["partition"]: r["lag"] for r in lag.collect()} == {0: 3, 1: 5}
-    assert lag_by_topic(lag).first()["total_lag"] == 8
+    assert {(r["consumer_group"], r["partition"]): r["lag"] for r in lag.collect()} == {("a", 0): 3, ("a", 1): 5, ("b", 0): 6, ("b", 1): 0}
+    assert {r["consumer_group"]: r["total_lag"] for r in lag_by_topic(lag).collect()} == {"a": 8, "b": 6}

@@ -1,9 +1,11 @@
 """The stream yields what the batch yields, across micro-batches and restarts."""
 
+import datetime as dt
 import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_features import compare, frame, make_ticks, simulate
 from tickloom.operators.features import tick_features
@@ -27,6 +29,7 @@ def stream_of(spark, path):
 
 
 def run(spark, path, out, state):
+    live.use_rocksdb(spark)
     jobs.run_available(jobs.append_table(live.stream_tick_features(stream_of(spark, path), WINDOWS), out), state)
     return spark.read.parquet(out)
 
@@ -90,3 +93,28 @@ def test_sessions_end_in_silence(spark, tmp_path, seconds):
                        f"{tmp_path}/state")
     got = sorted(r["ticks"] for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [2, 3]
+
+
+def test_a_new_checkpoint_keeps_stored_rows(spark, tmp_path):
+    """Batch numbers start again with a new checkpoint; the folders do not meet."""
+    live.use_rocksdb(spark)
+    rows = make_ticks(5, 30)
+    for i, part in enumerate((rows[:20], rows[20:])):
+        write_batches(spark, part, f"{tmp_path}/in{i}", [len(part)])
+        writer = jobs.dual_sink(stream_of(spark, f"{tmp_path}/in{i}").withColumn("ts", F.col("ts").cast("timestamp")), f"{tmp_path}/table", lambda *_: None)
+        jobs.run_available(writer, f"{tmp_path}/state{i}")
+    assert spark.read.parquet(f"{tmp_path}/table").count() == 30
+
+
+def test_event_time_order(spark, tmp_path):
+    """Shuffled arrival within the watermark gives the rows of ordered arrival, up to the watermark."""
+    live.use_rocksdb(spark)
+    rows = make_ticks(31, 200)
+    span = (max(r[2] for r in rows) - min(r[2] for r in rows)).total_seconds()
+    shuffled = sorted(rows, key=lambda r: (r[2].timestamp() + (r[1] * 37 % 11) / 11 * span / 8, r[1]))
+    last = (rows[0][0], 10_000, max(r[2] for r in rows) + dt.timedelta(days=2), *rows[0][3:])
+    write_batches(spark, [*shuffled, last], f"{tmp_path}/in", [40, 40, 40, 80, 1])
+    stream = live.stream_tick_features(stream_of(spark, f"{tmp_path}/in"), WINDOWS, watermark=f"{int(span / 4)} seconds")
+    jobs.run_available(jobs.append_table(stream, f"{tmp_path}/out"), f"{tmp_path}/state")
+    got = spark.read.parquet(f"{tmp_path}/out").toPandas()
+    compare(got, simulate(rows, WINDOWS))

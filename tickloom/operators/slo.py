@@ -36,16 +36,20 @@ def time_bucket(ts: str, seconds: int) -> Column:
 
 # -- lag -----------------------------------------------------------------------------------------
 def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
-    """Lag per (topic, partition): end offset minus the watched group's commit, 0 where it never committed."""
-    on = ["topic", "partition"]
-    commits = committed.select(*on, "consumer_offset")
-    return end_offsets.join(commits, on, "left").select(
-        *on, "log_end_offset", F.coalesce("consumer_offset", F.lit(0)).alias("consumer_offset"),
+    """Lag per (consumer_group, topic, partition): end offset minus the group's commit, 0 where it never committed.
+
+    Every group is watched on all partitions of the topics that it has committed to.
+    """
+    groups = committed.select("consumer_group", "topic").distinct()
+    commits = committed.select("consumer_group", "topic", "partition", "consumer_offset")
+    watched = end_offsets.join(groups, "topic").join(commits, ["consumer_group", "topic", "partition"], "left")
+    return watched.select(
+        "consumer_group", "topic", "partition", "log_end_offset", F.coalesce("consumer_offset", F.lit(0)).alias("consumer_offset"),
         (F.col("log_end_offset") - F.coalesce("consumer_offset", F.lit(0))).alias("lag"),
     )
 
 
-def lag_by_topic(lag: DataFrame, by: Sequence[str] = ("topic",)) -> DataFrame:
+def lag_by_topic(lag: DataFrame, by: Sequence[str] = ("consumer_group", "topic")) -> DataFrame:
     total = lag.groupBy(*by).agg(F.sum("lag").alias("total_lag"), F.count(F.lit(1)).alias("partitions"))
     return total.withColumn("band", lag_band(F.col("total_lag")))
 
@@ -94,25 +98,37 @@ def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataF
     )
 
 
-def windowed_rates(log: DataFrame, seconds: int, watermark: str | None = None) -> DataFrame:
-    """Requests, errors, per-second rate and mean latency per tumbling window (batch or streaming).
+def windowed_rates(log: DataFrame, seconds: int, watermark: str | None = None, slide: int | None = None) -> DataFrame:
+    """Requests, errors, per-second rate and mean latency per window (batch or streaming).
 
-    A stream passes a watermark and emits a window once it is closed.
+    Windows follow one another, or begin every ``slide`` seconds.  In a batch, sliding windows are put together from one row
+    per step.  A stream passes a watermark and emits a window once it is closed.
     """
-    source = log.withWatermark("ts", watermark) if watermark else log
     failed = F.col("status").isin("400", "500", "503")
-    return (
-        source.groupBy(F.window("ts", f"{seconds} seconds"))
-        .agg(F.count(F.lit(1)).alias("requests"), F.sum(failed.cast("long")).alias("errors"),
-             F.sum("latency_seconds").alias("_sum"))
-        .select(
-            F.col("window.start").alias("window_start"), "requests", "errors",
-            (F.col("requests") / F.lit(float(seconds))).alias("per_second"),
-            (F.col("_sum") / F.col("requests")).alias("mean_latency"),
-        )
+    counts = [F.count(F.lit(1)).alias("requests"), F.sum(failed.cast("long")).alias("errors"), F.sum("latency_seconds").alias("_sum")]
+    if watermark:
+        every = F.window("ts", f"{seconds} seconds", f"{slide or seconds} seconds")
+        found = log.withWatermark("ts", watermark).groupBy(every).agg(*counts).select(F.col("window.start").alias("window_start"), "requests", "errors", "_sum")
+    else:
+        steps = log.groupBy(F.window("ts", f"{slide or seconds} seconds").start.alias("window_start")).agg(*counts)
+        found = slid(steps, seconds, slide).groupBy("window_start").agg(*(F.sum(c).alias(c) for c in ("requests", "errors", "_sum")))
+    return found.select(
+        "window_start", "requests", "errors",
+        (F.col("requests") / F.lit(float(seconds))).alias("per_second"),
+        (F.col("_sum") / F.col("requests")).alias("mean_latency"),
     )
 
 
+def slid(steps: DataFrame, seconds: int, slide: int | None, at: str = "window_start") -> DataFrame:
+    """Rows of steps of ``slide`` seconds, once for each window of ``seconds`` that holds them; ``at`` is the window's begin."""
+    if not slide or slide == seconds:
+        return steps
+    if seconds % slide:
+        raise ValueError(f"a window of {seconds} s does not consist of steps of {slide} s")
+    back = F.explode(F.sequence(F.lit(0), F.lit(seconds // slide - 1)))
+    return steps.withColumn("_back", back).withColumn(at, F.col(at) - F.make_dt_interval(secs=F.col("_back") * slide)).drop("_back")
+
+
 def request_rate(log: DataFrame, seconds: int, by: Sequence[str] = ()) -> DataFrame:
     counts = log.groupBy(time_bucket("ts", seconds).alias("window_start"), *by).agg(
         F.count(F.lit(1)).alias("requests"))
@@ -152,11 +168,20 @@ def slo_status(indicators: DataFrame) -> DataFrame:
     )))
 
 
-def minute_indicators(log: DataFrame, seconds: int = 60) -> DataFrame:
-    """p95 latency (from the histogram) and success rate per interval."""
+def minute_indicators(log: DataFrame, seconds: int = 60, window: int | None = None) -> DataFrame:
+    """p95 latency (from the histogram), success rate and error rate per interval, or over ``window`` seconds ending with it."""
     at = log.withColumn("minute", time_bucket("ts", seconds))
-    p95 = histogram_quantile(latency_histogram(at, by=["minute"]), 0.95, ["minute"]).withColumnRenamed("value", "p95")
-    up = availability(at, ["minute"]).select("minute", F.col("availability").alias("success"))
+    back = (window or seconds) - seconds
+    shifted = F.col("minute") + F.make_dt_interval(secs=F.lit(back))
+    buckets = latency_histogram(at, by=["minute"])
+    done = at.where(F.col("status") != "processing").groupBy("minute").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("status") == "200").cast("long")).alias("good"),
+        F.sum(F.col("error_type").isNotNull().cast("long")).alias("errors"))
+    if window:
+        buckets = slid(buckets, window, seconds, "minute").groupBy("minute", "le").agg(F.sum("cumulative").alias("cumulative")).withColumn("minute", shifted)
+        done = slid(done, window, seconds, "minute").groupBy("minute").agg(*(F.sum(c).alias(c) for c in ("n", "good", "errors"))).withColumn("minute", shifted)
+    p95 = histogram_quantile(buckets, 0.95, ["minute"]).withColumnRenamed("value", "p95")
+    up = done.select("minute", ratio(F.col("good") * 100, F.col("n")).alias("success"), ratio(F.col("errors") * 100, F.col("n")).alias("error_rate"))
     return p95.join(up, "minute", "full")
 
 

@@ -6,7 +6,7 @@ it by props.k.  Events are minutes apart, so windows are 360 times as long as th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.operators.features import tick_features
 from tickloom.schemas import FEATURES, FeatureWindows
@@ -162,26 +162,30 @@ requests AS (
 
 
 def offsets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Log-end offsets per (topic, partition) and commits up to 25 January; partition 2 of 'view' never committed."""
+    """Log-end offsets per (topic, partition), and the commits of two groups.
+
+    'featurizer' is at 25 January and never committed on partition 2 of 'view'; 'auditor' is at 10 January and does not read 'error'.
+    """
     e = table(spark, sf, "events").select(
         F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), "ts"
     )
     end = e.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("log_end_offset"))
-    committed = (
-        e.where((F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz"))
-                & ~((F.col("topic") == "view") & (F.col("partition") == 2)))
-        .groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("consumer_offset"))
-        .withColumn("consumer_group", F.lit("featurizer"))
-    )
-    return end, committed
+
+    def commits(group: str, until: str, read: Column) -> DataFrame:
+        done = e.where((F.col("ts") < F.lit(until).cast("timestamp_ntz")) & read)
+        return done.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("consumer_offset")).withColumn("consumer_group", F.lit(group))
+
+    committed = commits("featurizer", "2024-01-25", ~((F.col("topic") == "view") & (F.col("partition") == 2)))
+    return end, committed.unionByName(commits("auditor", "2024-01-10", F.col("topic") != "error"))
 
 
 OFFSETS_SQL = """
 placed AS (SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, ts FROM events),
 end_offsets AS (SELECT topic, partition, count(*) AS log_end_offset FROM placed GROUP BY ALL),
 committed AS (
-  SELECT topic, partition, count(*) AS consumer_offset FROM placed
+  SELECT 'featurizer' AS consumer_group, topic, partition, count(*) AS consumer_offset FROM placed
   WHERE ts < TIMESTAMP '2024-01-25' AND NOT (topic = 'view' AND partition = 2) GROUP BY ALL
+  UNION ALL SELECT 'auditor', topic, partition, count(*) FROM placed WHERE ts < TIMESTAMP '2024-01-10' AND topic <> 'error' GROUP BY ALL
 )"""
 
 

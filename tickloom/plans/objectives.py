@@ -11,10 +11,11 @@ from tickloom.plans.profiles import MODELS_SQL, model_metrics
 from tickloom.plans.registry import ntz, query, six
 
 LAG_SQL = f"""{OFFSETS_SQL}, lag_rows AS (
-  SELECT topic, partition, log_end_offset, coalesce(consumer_offset, 0) AS consumer_offset,
+  SELECT consumer_group, topic, partition, log_end_offset, coalesce(consumer_offset, 0) AS consumer_offset,
          log_end_offset - coalesce(consumer_offset, 0) AS lag
-  FROM end_offsets LEFT JOIN committed USING (topic, partition)
-), topics AS (SELECT topic, CAST(sum(lag) AS BIGINT) AS total_lag, count(*) AS partitions FROM lag_rows GROUP BY topic)"""
+  FROM (SELECT DISTINCT consumer_group, topic FROM committed) JOIN end_offsets USING (topic)
+  LEFT JOIN committed USING (consumer_group, topic, partition)
+), topics AS (SELECT consumer_group, topic, CAST(sum(lag) AS BIGINT) AS total_lag, count(*) AS partitions FROM lag_rows GROUP BY ALL)"""
 
 
 @query("consumer_lag", f"WITH {LAG_SQL} SELECT * FROM lag_rows")
@@ -22,25 +23,25 @@ def consumer_lag(spark, sf):
     return slo.consumer_lag(*offsets(spark, sf))
 
 
-@query("lag_by_topic", f"""WITH {LAG_SQL} SELECT topic, total_lag, partitions, CASE WHEN total_lag < 1000 THEN 'green'
+@query("lag_by_topic", f"""WITH {LAG_SQL} SELECT consumer_group, topic, total_lag, partitions, CASE WHEN total_lag < 1000 THEN 'green'
   WHEN total_lag < 5000 THEN 'yellow' WHEN total_lag < 10000 THEN 'orange' ELSE 'red' END AS band FROM topics""")
 def lag_by_topic(spark, sf):
     return slo.lag_by_topic(slo.consumer_lag(*offsets(spark, sf)))
 
 
-@query("lag_of_topics", f"""WITH {LAG_SQL} SELECT topic, total_lag FROM topics WHERE topic IN ('view', 'click')""")
+@query("lag_of_topics", f"""WITH {LAG_SQL} SELECT consumer_group, topic, total_lag FROM topics WHERE topic IN ('view', 'click')""")
 def lag_of_topics(spark, sf):
     """A watched list of topics is a predicate on one table, pushed below the join."""
     end, committed = offsets(spark, sf)
     watched = end.where(F.col("topic").isin("view", "click"))
-    return slo.lag_by_topic(slo.consumer_lag(watched, committed)).select("topic", "total_lag")
+    return slo.lag_by_topic(slo.consumer_lag(watched, committed)).select("consumer_group", "topic", "total_lag")
 
 
-@query("lag_band", f"""WITH {LAG_SQL} SELECT topic, partition, CASE WHEN lag * 10 < 1000 THEN 'green'
+@query("lag_band", f"""WITH {LAG_SQL} SELECT consumer_group, topic, partition, CASE WHEN lag * 10 < 1000 THEN 'green'
   WHEN lag * 10 < 5000 THEN 'yellow' WHEN lag * 10 < 10000 THEN 'orange' ELSE 'red' END AS band FROM lag_rows""")
 def lag_band(spark, sf):
     lag = slo.consumer_lag(*offsets(spark, sf))
-    return lag.select("topic", "partition", cols.lag_band(F.col("lag") * 10).alias("band"))
+    return lag.select("consumer_group", "topic", "partition", cols.lag_band(F.col("lag") * 10).alias("band"))
 
 
 SNAPSHOT_SQL = """ends AS (
@@ -62,14 +63,14 @@ def lag_snapshot(spark, sf):
     return _snapshots(spark, sf)
 
 
-@query("lag_growth_alerts", f"""WITH {SNAPSHOT_SQL}, t AS (SELECT poll, CAST(sum(log_end_offset - consumer_offset) AS
-  BIGINT) AS lag FROM snapshots WHERE topic = 'view' GROUP BY poll), g AS (
-  SELECT poll, lag, (lag - lag(lag) OVER (ORDER BY poll)) / ((epoch_us(poll) - epoch_us(lag(poll) OVER (ORDER BY poll)))
-  / 60000000) AS growth FROM t)
-SELECT poll, lag, round(growth, 6) AS growth_per_minute FROM g WHERE growth > 0.005""")
+@query("lag_growth_alerts", f"""WITH {SNAPSHOT_SQL}, t AS (SELECT topic, poll, CAST(sum(log_end_offset - consumer_offset) AS
+  BIGINT) AS lag FROM snapshots GROUP BY topic, poll), g AS (
+  SELECT topic, poll, lag, (lag - lag(lag) OVER w) / ((epoch_us(poll) - epoch_us(lag(poll) OVER w)) / 60000000) AS growth
+  FROM t WINDOW w AS (PARTITION BY topic ORDER BY poll))
+SELECT topic, poll, lag, round(growth, 6) AS growth_per_minute FROM g WHERE growth > 0.005""")
 def lag_growth_alerts(spark, sf):
-    lag = _snapshots(spark, sf).where(F.col("topic") == "view").groupBy("poll").agg(F.sum("lag").alias("lag"))
-    return six(slo.growth_alerts(lag, "lag", "poll", 0.005))
+    lag = _snapshots(spark, sf).groupBy("topic", "poll").agg(F.sum("lag").alias("lag"))
+    return six(slo.growth_alerts(lag, "lag", "poll", 0.005, by=["topic"]))
 
 
 # -- histograms and rates ------------------------------------------------------------------------
@@ -116,6 +117,20 @@ def windowed_rates(spark, sf):
     return six(ntz(slo.windowed_rates(requests(spark, sf), 21_600), "window_start"))
 
 
+#: Six hours back, every hour: the windows that begin at each of the five hours before a row's own, and at its own.
+SLIDING_SQL = f"""stepped AS (SELECT {RATE_SQL.format(us=3_600_000_000)} AS step, * FROM requests),
+backs AS (SELECT unnest(range(6)) AS back), sliding AS (
+  SELECT step - to_hours(CAST(back AS INTEGER)) AS window_start, count(*) AS requests, count(*) FILTER (status IN ('400', '500', '503')) AS errors,
+    round(count(*) / 21600, 6) AS per_second, round(sum(latency_seconds) / count(*), 9) AS mean_latency
+  FROM stepped, backs GROUP BY 1)"""
+
+
+@query("sliding_rates", f"""WITH {REQUESTS_SQL}, {SLIDING_SQL} SELECT * FROM sliding""")
+def sliding_rates(spark, sf):
+    """A rate over the last six hours, evaluated every hour."""
+    return six(ntz(slo.windowed_rates(requests(spark, sf), 21_600, slide=3_600), "window_start"), nine=("mean_latency",))
+
+
 @query("request_rate", f"""WITH {REQUESTS_SQL}
 SELECT {_6H} AS window_start, endpoint, count(*) AS requests, round(count(*) / 21600, 6) AS per_second
 FROM requests GROUP BY ALL""")
@@ -150,7 +165,7 @@ INDICATORS_SQL = f"""{REQUESTS_SQL}, one AS (SELECT 1 AS k, latency_seconds FROM
 {_buckets_sql(slo.PREDICT_BOUNDS, 'k', 'one')}, {_quantiles_sql(0.95, 'k')}, {LAG_SQL}, {MODELS_SQL}, indicators AS (
   SELECT (SELECT value FROM quantiles) AS p95_seconds,
     (SELECT count(*) FILTER (status = '200') * 100 / count(*) FROM requests WHERE status <> 'processing') AS availability,
-    (SELECT CAST(sum(lag) AS BIGINT) FROM lag_rows) AS lag,
+    (SELECT CAST(sum(lag) AS BIGINT) FROM lag_rows WHERE consumer_group = 'featurizer') AS lag,
     (SELECT max(f1) FROM metrics) AS f1,
     (SELECT count(error_type) * 100 / count(*) FROM requests) AS error_rate)"""
 
@@ -158,7 +173,7 @@ INDICATORS_SQL = f"""{REQUESTS_SQL}, one AS (SELECT 1 AS k, latency_seconds FROM
 def indicators(spark, sf):
     log = requests(spark, sf)
     p95 = slo.histogram_quantile(slo.latency_histogram(log.withColumn("k", F.lit(1)), by=["k"]), 0.95, ["k"])
-    lag = slo.consumer_lag(*offsets(spark, sf)).agg(F.sum("lag"))
+    lag = slo.consumer_lag(*offsets(spark, sf)).where(F.col("consumer_group") == "featurizer").agg(F.sum("lag"))
     f1 = model_metrics(spark, sf).agg(F.max("f1"))
     return slo.availability(log).select("availability").withColumns({
         "p95_seconds": p95.select("value").scalar(), "lag": lag.scalar(), "f1": f1.scalar(),
@@ -218,6 +233,35 @@ def sustained_success_alerts(spark, sf):
     return six(slo.sustained_alerts(series, "success", "minute", slo.SUCCESS_ALERTS, 3600, below=True))
 
 
+SLIDING_SERIES_SQL = f"""{REQUESTS_SQL}, hourly AS (
+  SELECT {_HOUR} + to_hours(CAST(back AS INTEGER)) AS minute, requests.* FROM requests, (SELECT unnest(range(5)) AS back)),
+{_buckets_sql(slo.PREDICT_BOUNDS, 'minute', 'hourly')}, {_quantiles_sql(0.95, 'minute')}, up AS (
+  SELECT minute, count(*) FILTER (status = '200') * 100 / count(*) AS success, count(error_type) * 100 / count(*) AS error_rate FROM hourly
+  WHERE status <> 'processing' GROUP BY minute
+), series AS (SELECT minute, value AS p95, success, error_rate FROM quantiles FULL JOIN up USING (minute))"""
+
+
+def _sliding_series(spark, sf):
+    """Indicators over the last five intervals, at every interval; hours take the place of minutes."""
+    return slo.minute_indicators(requests(spark, sf), 3600, window=5 * 3600)
+
+
+@query("sliding_indicators", f"""WITH {SLIDING_SERIES_SQL}
+SELECT minute, round(p95, 6) AS p95, round(success, 6) AS success, round(error_rate, 6) AS error_rate FROM series""")
+def sliding_indicators(spark, sf):
+    return six(_sliding_series(spark, sf))
+
+
+@query("handbook_latency_alerts", f"WITH {SLIDING_SERIES_SQL} {_alerts_sql('p95', slo.HANDBOOK_LATENCY_ALERTS, False)}")
+def handbook_latency_alerts(spark, sf):
+    return six(slo.sustained_alerts(_sliding_series(spark, sf), "p95", "minute", slo.HANDBOOK_LATENCY_ALERTS, 3600))
+
+
+@query("handbook_error_rate_alerts", f"WITH {SLIDING_SERIES_SQL} {_alerts_sql('error_rate', slo.HANDBOOK_ERROR_RATE_ALERTS, False)}")
+def handbook_error_rate_alerts(spark, sf):
+    return six(slo.sustained_alerts(_sliding_series(spark, sf), "error_rate", "minute", slo.HANDBOOK_ERROR_RATE_ALERTS, 3600))
+
+
 LAG_SERIES_SQL = f"""{SNAPSHOT_SQL}, series AS (SELECT poll AS minute, CAST(sum(log_end_offset - consumer_offset) AS BIGINT)
   AS lag FROM snapshots GROUP BY poll)"""
 
@@ -233,6 +277,14 @@ def sustained_lag_alerts(spark, sf):
     return slo.sustained_alerts(_lag_series(spark, sf), "lag", "minute", slo.LAG_ALERTS, 86_400)
 
 
+@query("handbook_lag_alerts", f"WITH {LAG_SERIES_SQL} " + _alerts_sql("lag", [("alert", 100, 10)], False).replace(
+    "3600000000", "86400000000").replace("round(max(lag), 6)", "max(lag)"))
+def handbook_lag_alerts(spark, sf):
+    """The handbook's rule with a hundredth of its limit, for tables of this size; days take the place of minutes."""
+    rules = [(severity, limit // 100, minutes) for severity, limit, minutes in slo.HANDBOOK_LAG_ALERTS]
+    return slo.sustained_alerts(_lag_series(spark, sf), "lag", "minute", rules, 86_400)
+
+
 @query("series_summary_lag", f"""WITH {LAG_SERIES_SQL}
 SELECT round(avg(lag), 6) AS mean, max_by(lag, minute) AS last, max(lag) AS max, CASE WHEN max_by(lag, minute) < 1000
   THEN 'green' WHEN max_by(lag, minute) < 5000 THEN 'yellow' WHEN max_by(lag, minute) < 10000 THEN 'orange' ELSE 'red' END

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from tickloom.operators import slo
+from tickloom.operators.ordered import exact_quantiles
 from tickloom.plans.fixtures import (
     FEATURES_SQL, REQUESTS_SQL, TICKS_SQL, WINDOWS, requests, rounded, ticks,
 )
-from tickloom.plans.objectives import RATE_SQL
+from tickloom.plans.objectives import RATE_SQL, SLIDING_SQL
 from tickloom.plans.registry import ntz, query, six
 from tickloom.plans.ticks import RULE_SQL, SCALED_SQL, messages, scaled_features
 
@@ -19,34 +21,40 @@ from tickloom.sources import ticks as raw
 from tickloom.streaming import features as live, jobs
 
 
-ROWS_PER_BATCH = 1_000_000
+#: Rows of a span of the feed, and files that its symbols are dealt to; a micro-batch takes one span.
+ROWS_PER_BATCH, FILES = 20_000_000, 4
 
 
 def _in_time_order(spark, rows, write) -> None:
-    """Hand ``rows`` to ``write`` span by span, oldest first, at most about ROWS_PER_BATCH rows (at least 3 spans).
+    """Hand ``rows`` to ``write`` span by span, oldest first, at least three spans of about equal numbers of rows.
 
-    A file stream takes files by modification time, so one append per span keeps its input in time order, and
-    with one file per trigger it bounds what a micro-batch holds of a hot symbol.  The spans are plain ranges of the
-    time column, which the Parquet scan prunes by.
+    Spans end at quantiles of the time, so a burst makes them shorter.  The rows of a span are dealt by symbol to FILES
+    files, written in parallel; the stream sorts what a micro-batch brings.  The scan of a span is pruned by its time range.
     """
-    first, last, n = rows.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
-    parts = max(3, math.ceil(n / ROWS_PER_BATCH))
-    edges = [first + (last - first) * i / parts for i in range(1, parts)]
-    kind = rows.schema["ts"].dataType
-    for low, high in zip([None, *edges], [*edges, None]):
+    del spark
+    parts = max(3, math.ceil(rows.count() / ROWS_PER_BATCH))
+    us = rows.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    cuts = exact_quantiles(us, [], "us", {f"q{i}": i / parts for i in range(1, parts)}).drop("n").first()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for low, high in zip([None, *cuts], [*cuts, None]):
         span = rows
         if low is not None:
-            span = span.where(F.col("ts") >= F.lit(low).cast(kind))
+            span = span.where(at > low)
         if high is not None:
-            span = span.where(F.col("ts") < F.lit(high).cast(kind))
-        write(span.coalesce(1))
+            span = span.where(at <= high)
+        write(span.repartition(FILES, "symbol"))
 
 
-def _tick_stream(spark, sf):
+def _tick_stream(spark, sf, source=None):
     path = scratch_dir(spark, "ticks")
-    source = ticks(spark, sf)
+    source = ticks(spark, sf) if source is None else source
     _in_time_order(spark, source, lambda span: span.write.mode("append").parquet(path))
-    return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+
+
+def _features_of(stream, **options):
+    live.use_rocksdb(stream.sparkSession)
+    return live.stream_tick_features(stream, WINDOWS, **options)
 
 
 def _run_to_table(spark, stream):
@@ -57,7 +65,7 @@ def _run_to_table(spark, stream):
 
 @query("stream_tick_features", f"WITH {FEATURES_SQL} SELECT * FROM features")
 def stream_tick_features(spark, sf):
-    out = _run_to_table(spark, live.stream_tick_features(_tick_stream(spark, sf), WINDOWS))
+    out = _run_to_table(spark, _features_of(_tick_stream(spark, sf)))
     return rounded(ntz(out, "ts"))
 
 
@@ -68,13 +76,13 @@ def replay_stream(spark, sf):
 
     def send(span):
         sent = raw.replay_ticks(span).withColumn("volume_24h", F.col("seq").cast("string"))
-        raw.as_messages(sent).select("value").coalesce(1).write.mode("append").text(path)
+        raw.as_messages(sent).select("value").write.mode("append").text(path)
 
     _in_time_order(spark, ticks(spark, sf), send)
-    stream = raw.read_tick_stream(spark, "text", path=path, maxFilesPerTrigger="1")
+    stream = raw.read_tick_stream(spark, "text", path=path, maxFilesPerTrigger=str(FILES))
     # the sequence number travels in the volume field
     parsed = raw.valid_ticks(stream.withColumn("seq", F.get_json_object("value", "$.volume_24h").cast("long")))
-    out = _run_to_table(spark, live.stream_tick_features(parsed, WINDOWS))
+    out = _run_to_table(spark, _features_of(parsed))
     return rounded(out).select("symbol", "seq", "volatility_60s", "return_60s")
 
 
@@ -106,9 +114,9 @@ def dual_sink(spark, sf):
     table_path, topic_path = scratch_dir(spark, "table"), scratch_dir(spark, "topic")
 
     def publish(rows, batch_id):
-        rows.write.mode("overwrite").parquet(jobs.batch_folder(topic_path, batch_id))
+        rows.write.mode("overwrite").parquet(jobs.batch_folder(topic_path, batch_id, rows))
 
-    stream = live.stream_tick_features(_tick_stream(spark, sf), WINDOWS)
+    stream = _features_of(_tick_stream(spark, sf))
     jobs.run_available(jobs.dual_sink(stream, table_path, publish), scratch_dir(spark, "state"))
     stored = spark.read.parquet(table_path).groupBy("symbol").agg(F.count(F.lit(1)).alias("table_rows"))
     sent = spark.read.parquet(topic_path).groupBy(F.col("key").alias("symbol")).agg(
@@ -119,21 +127,47 @@ def dual_sink(spark, sf):
 _6H = RATE_SQL.format(us=21_600_000_000)
 
 
-@query("windowed_rates_stream", f"""WITH {REQUESTS_SQL}, w AS (SELECT {_6H} AS window_start, * FROM requests), c AS (
-  SELECT window_start, count(*) AS requests, count(*) FILTER (status IN ('400', '500', '503')) AS errors,
-    round(count(*) / 21600, 6) AS per_second, round(sum(latency_seconds) / count(*), 6) AS mean_latency
-  FROM w GROUP BY 1)
-SELECT * FROM c WHERE window_start + INTERVAL 6 HOURS <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM requests)""")
+def _closed(rows, **nothing):
+    """``rows`` and one row a month after the last: behind it the watermark closes every window of the feed.
+
+    Its own window stays open and is not emitted.
+    """
+    late = rows.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    last = late.select(*(F.col("ts") if c == "ts" else F.lit(nothing.get(c)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns))
+    return rows.unionByName(last)
+
+
+def _file_stream(spark, rows, label):
+    """``rows`` as a stream whose closing row comes last."""
+    path = scratch_dir(spark, label)
+    closing = _closed(rows)
+    limit = F.lit(rows.agg(F.max("ts")).first()[0]).cast(rows.schema["ts"].dataType)
+    rows.write.parquet(path)
+    files = len([f for f in rows.sparkSession.read.parquet(path).inputFiles()])
+    closing.where(F.col("ts") > limit).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _log_stream(spark, sf):
+    return _file_stream(spark, requests(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")), "log")
+
+
+@query("windowed_rates_stream", f"""WITH {REQUESTS_SQL}, w AS (SELECT {_6H} AS window_start, * FROM requests)
+SELECT window_start, count(*) AS requests, count(*) FILTER (status IN ('400', '500', '503')) AS errors,
+  round(count(*) / 21600, 6) AS per_second, round(sum(latency_seconds) / count(*), 6) AS mean_latency FROM w GROUP BY 1""")
 def windowed_rates_stream(spark, sf):
-    """Windows that the watermark has closed."""
-    path = scratch_dir(spark, "log")
-    log = requests(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    log.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(log.schema).parquet(path)
-    out = _run_to_table(spark, slo.windowed_rates(stream, 21_600, "10 minutes"))
+    """All windows: the closing row lets the watermark pass the last one."""
+    out = _run_to_table(spark, slo.windowed_rates(_log_stream(spark, sf), 21_600, "10 minutes"))
     return six(ntz(out, "window_start"))
 
 
+@query("sliding_rates_stream", f"""WITH {REQUESTS_SQL}, {SLIDING_SQL} SELECT * FROM sliding""")
+def sliding_rates_stream(spark, sf):
+    """Six hours back, every hour."""
+    out = _run_to_table(spark, slo.windowed_rates(_log_stream(spark, sf), 21_600, "10 minutes", slide=3_600))
+    return six(ntz(out, "window_start"), nine=("mean_latency",))
+
+
 @query("stream_score", f"""WITH {FEATURES_SQL}, {SCALED_SQL}, {RULE_SQL}
 SELECT seq, CAST(t > 5 AS INTEGER) AS prediction, t / 10 AS probability, 'baseline-1.0' AS model_version FROM tenths""")
 def stream_score(spark, sf):
@@ -148,13 +182,34 @@ def stream_score(spark, sf):
 @query("feed_sessions_stream", """WITH g AS (
   SELECT event_type AS symbol, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w < 3600000000 THEN 0 ELSE 1 END AS new
   FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
-), s AS (SELECT *, sum(new) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM g),
-r AS (SELECT symbol, min(ts) AS first_tick, max(ts) AS last_tick, count(*) AS ticks FROM s GROUP BY symbol, n)
-SELECT * FROM r WHERE last_tick + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM events)""")
+), s AS (SELECT *, sum(new) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT symbol, min(ts) AS first_tick, max(ts) AS last_tick, count(*) AS ticks FROM s GROUP BY symbol, n""")
 def feed_sessions_stream(spark, sf):
-    """Stretches without an hour of silence that the watermark has closed."""
-    path = scratch_dir(spark, "ticks")
+    """Stretches without an hour of silence; the closing row ends the last ones."""
     t = ticks(spark, sf).select("symbol", F.col("ts").cast("timestamp").alias("ts"))
-    t.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(t.schema).parquet(path)
+    stream = _file_stream(spark, t, "feed")
     return ntz(_run_to_table(spark, jobs.feed_sessions(stream, "1 hour")), "first_tick", "last_tick")
+
+
+@query("stream_in_event_time", f"WITH {FEATURES_SQL} SELECT * FROM features")
+def stream_in_event_time(spark, sf):
+    """Ticks arrive out of order, by hash within each day: behind a watermark of two days the features are those of the batch."""
+    source = ticks(spark, sf)
+    path = scratch_dir(spark, "shuffled")
+    day, files = F.datediff("ts", F.lit("2024-01-01")), 8
+    for part in range(3):  # three overlapping deliveries: a tick comes up to a day late
+        arrives = F.floor((day + F.pmod(F.xxhash64("seq"), F.lit(2))) / 11)
+        source.where(F.least(arrives, F.lit(2)) == part).repartition(files).write.mode("append").parquet(path)
+    closing = _closed(source.withColumn("ts", F.col("ts").cast("timestamp")), symbol="-", seq=-1, price=1.0, bid=1.0, ask=1.0).where("symbol = '-'")
+    closing.withColumn("ts", F.col("ts").cast(source.schema["ts"].dataType)).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files).parquet(path)
+    out = _run_to_table(spark, _features_of(stream, watermark="2 days"))
+    return rounded(ntz(out, "ts"))
+
+
+@query("processing_time_stamp", f"WITH {FEATURES_SQL} SELECT symbol, seq, true AS stamped FROM features")
+def processing_time_stamp(spark, sf):
+    """Every feature row bears the processing time of its micro-batch, between the begin and the end of the run."""
+    started = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    out = _run_to_table(spark, live.stamped(_features_of(_tick_stream(spark, sf))))
+    return out.select("symbol", "seq", F.col("computed_at").between(started - F.expr("INTERVAL 1 SECOND"), F.current_timestamp()).alias("stamped"))

@@ -6,84 +6,157 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.schemas import FEATURE_ROW, FeatureWindows
 
 _MICROS = 1_000_000
+_TICK = "us bigint, seq bigint, price double, bid double, ask double"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _last(mask: np.ndarray) -> int:
-    """Position of the last true entry, -1 if there is none."""
-    found = np.flatnonzero(mask)
-    return int(found[-1]) if found.size else -1
+def features_at(us: np.ndarray, price: np.ndarray, bid: np.ndarray, ask: np.ndarray, wanted: np.ndarray, windows: FeatureWindows) -> dict[str, np.ndarray]:
+    """The 13 features of the ticks at places ``wanted`` of a timeline in (time, arrival) order, by searches and prefix sums.
+
+    Sums run in extended precision over returns less their mean; an infinite return makes the windows that hold it NaN.
+    """
+    size = windows.buffer_size
+    with np.errstate(divide="ignore", invalid="ignore"):
+        change = (price[1:] - price[:-1]) / price[:-1] * 100
+    usable = np.concatenate([[False], price[:-1] > 0])
+    change = np.concatenate([[0.0], change])
+    finite = usable & np.isfinite(change)
+    level = np.median(change[finite]) if finite.any() else 0.0
+    clean = np.where(finite, change - level, 0.0).astype(np.longdouble)
+
+    def running(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(x)])
+
+    n, bad, s1, s2 = running(usable.astype(np.int64)), running((usable & ~finite).astype(np.int64)), running(clean), running(clean * clean)
+    low = np.maximum(wanted - size + 1, 0)
+    now, end = us[wanted], wanted + 1
+    out = {"price": price[wanted], "bid": bid[wanted], "ask": ask[wanted]}
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for name, seconds in windows.returns.items():
+            at = np.searchsorted(us, now - seconds * _MICROS, "right") - 1
+            past = price[np.maximum(at, 0)]
+            out[name] = np.where((at >= low) & (past > 0), (price[wanted] - past) / past * 100, 0.0)
+        for name, seconds in windows.volatility.items():
+            # the oldest tick of the buffer has no predecessor in it
+            start = np.maximum(np.searchsorted(us, now - seconds * _MICROS, "left"), low + 1)
+            k, a, b = n[end] - n[start], s1[end] - s1[start], s2[end] - s2[start]
+            variance = np.maximum((b - a * a / k) / (k - 1), 0)
+            sigma = np.where(bad[end] - bad[start] > 0, np.nan, np.sqrt(variance.astype(np.float64)))
+            out[name] = np.where(k >= 2, sigma, 0.0)
+        out["spread"] = np.where((price[wanted] > 0) & (ask[wanted] >= bid[wanted]), (ask[wanted] - bid[wanted]) / price[wanted] * 100, 0.0)
+        for name, seconds in windows.intensity.items():
+            ticks = end - np.maximum(np.searchsorted(us, now - seconds * _MICROS, "left"), low)
+            out[name] = np.where(ticks >= 2, ticks / seconds, 0.0)
+    return out
 
 
 class TickBuffer(StatefulProcessor):
-    """Keeps the last ``buffer_size`` ticks of a symbol and emits a feature row per new time."""
+    """Keeps the last ``buffer_size`` ticks of a symbol and emits a feature row per new time.
+
+    A tick that is older than held ones takes its place among them: its row, and later ones, see what the buffer holds up to
+    their time.  Rows already emitted stay.  With ``in_event_time`` ticks wait until the watermark has passed them, so arrival
+    within the watermark's delay does not matter.
+    """
 
-    def __init__(self, windows: FeatureWindows):
-        self.windows = windows
+    def __init__(self, windows: FeatureWindows, in_event_time: bool = False):
+        self.windows, self.in_event_time = windows, in_event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", "us bigint, price double")
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", _TICK)
+        self.waiting = handle.getListState("waiting", _TICK) if self.in_event_time else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # one symbol of one micro-batch; its size is bounded by the trigger's rate limit
-        new = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
-        held = list(self.buffer.get()) if self.buffer.exists() else []
-        size = self.windows.buffer_size
-        new_us = new["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        us = np.concatenate([np.array([r[0] for r in held], dtype="int64"), new_us])
-        price = np.concatenate([np.array([r[1] for r in held], dtype="float64"), new["price"].to_numpy("float64")])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            change = np.where(price[:-1] > 0, (price[1:] - price[:-1]) / price[:-1] * 100, np.nan)
-        usable = np.concatenate([[False], price[:-1] > 0])
-        change = np.concatenate([[np.nan], change])
-
-        first = len(held)
-        out = []
-        for i, (ts, seq, bid, ask) in enumerate(zip(new["ts"], new["seq"], new["bid"], new["ask"]), first):
-            if i == 0 or (i >= 2 and us[i] == us[i - 1]):
-                continue
-            low = max(0, i - size + 1)
-            out.append((key[0], seq, ts, price[i], bid, ask,
-                        *self._features(us[low:i + 1], price[low:i + 1], change[low:i + 1], usable[low:i + 1], bid, ask)))
-        keep = slice(max(0, len(us) - size), None)
-        self.buffer.put(list(zip(us[keep].tolist(), price[keep].tolist())))
-        if out:
-            yield pd.DataFrame(out, columns=FEATURE_ROW.fieldNames())
-
-    def _features(self, us, price, change, usable, bid, ask) -> list[float]:
-        now = us[-1]
-        values = []
-        for seconds in self.windows.returns.values():
-            at = _last(us <= now - seconds * _MICROS)
-            values.append((price[-1] - price[at]) / price[at] * 100 if at >= 0 and price[at] > 0 else 0.0)
-        for seconds in self.windows.volatility.values():
-            start = max(_last(us < now - seconds * _MICROS) + 1, 1)  # the oldest tick has no predecessor
-            inside = change[start:][usable[start:]]
-            values.append(float(np.std(inside, ddof=1)) if inside.size >= 2 else 0.0)
-        values.append((ask - bid) / price[-1] * 100 if price[-1] > 0 and ask >= bid else 0.0)
-        for seconds in self.windows.intensity.values():
-            ticks = us.size - 1 - _last(us < now - seconds * _MICROS)
-            values.append(ticks / seconds if ticks >= 2 else 0.0)
-        return values
+        frame = pd.concat(list(rows))
+        new = [frame["ts"].astype("datetime64[us]").astype("int64").to_numpy(), frame["seq"].to_numpy("int64"),
+               *(frame[c].to_numpy("float64") for c in ("price", "bid", "ask"))]
+        if self.in_event_time:
+            yield from self._release(key, new, timerValues)
+        else:
+            yield from self._emit(key, new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.in_event_time:
+            yield from self._release(key, None, timerValues)
+
+    @staticmethod
+    def _held(state) -> list[np.ndarray]:
+        rows = list(state.get()) if state.exists() else []
+        return [np.array([r[i] for r in rows], dtype="int64" if i < 2 else "float64") for i in range(5)]
+
+    @staticmethod
+    def _put(state, columns: list[np.ndarray]) -> None:
+        state.put(list(zip(*(c.tolist() for c in columns))))
+
+    def _release(self, key, new, timerValues) -> Iterator[pd.DataFrame]:
+        """Emit the waiting ticks that the watermark has passed; a timer wakes the rest."""
+        waiting = self._held(self.waiting)
+        if new is not None:
+            waiting = [np.concatenate([a, b]) for a, b in zip(waiting, new)]
+        passed = waiting[0] <= timerValues.getCurrentWatermarkInMs() * 1000
+        rest = [c[~passed] for c in waiting]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
+        if len(rest[0]):
+            self._put(self.waiting, rest)
+            self.handle.registerTimer(int(rest[0].min() // 1000) + 1)
+        else:
+            self.waiting.clear()
+        if passed.any():
+            yield from self._emit(key, [c[passed] for c in waiting])
+
+    def _emit(self, key, new: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+        held, size = self._held(self.buffer), self.windows.buffer_size
+        full = len(held[0]) >= size  # older ticks have left
+        fresh = np.concatenate([np.zeros(len(held[0]), bool), np.ones(len(new[0]), bool)])
+        columns = [np.concatenate([a, b]) for a, b in zip(held, new)]
+        order = np.lexsort((columns[1], columns[0]))
+        us, seq, price, bid, ask = columns = [c[order] for c in columns]
+        place = np.arange(len(us))
+        first_of_time = np.concatenate([[False], us[1:] != us[:-1]])
+        wanted = place[fresh[order] & (first_of_time | ((place == 1) & (not full)))]
+        if len(wanted):
+            out = {"symbol": key[0], "seq": seq[wanted], "ts": us[wanted].astype("datetime64[us]")}
+            out |= features_at(us, price, bid, ask, wanted, self.windows)
+            yield pd.DataFrame(out)[FEATURE_ROW.fieldNames()]
+        self._put(self.buffer, [c[-size:] for c in columns])
 
     def close(self) -> None:
         pass
 
 
-def stream_tick_features(ticks: DataFrame, windows: FeatureWindows = FeatureWindows()) -> DataFrame:
+def use_rocksdb(spark: SparkSession) -> None:
+    """The state store that keyed list state needs; call it for sessions that run these streams."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def stream_tick_features(
+    ticks: DataFrame, windows: FeatureWindows = FeatureWindows(), watermark: str | None = None,
+) -> DataFrame:
     """The streaming twin of ``operators.features.tick_features``.
 
-    Ticks of a micro-batch are taken in (ts, seq) order.  Repeated times are not emitted but stay in the buffer,
-    which is why this is not ``dropDuplicates``.
+    Ticks of a micro-batch are taken in (ts, seq) order.  Repeated times are not emitted but stay in the buffer, which is why
+    this is not ``dropDuplicates``.  With ``watermark`` (such as "10 minutes") ticks are taken in time order across
+    micro-batches: they wait until the watermark passes them, and ticks older than it are dropped.
     """
-    ticks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if ticks.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        raise ValueError("set the RocksDB state store first: streaming.features.use_rocksdb(spark)")
     typed = ticks.select("symbol", "seq", ticks["ts"].cast("timestamp").alias("ts"), "price", "bid", "ask")
+    if watermark:
+        typed = typed.withWatermark("ts", watermark)
     return typed.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=TickBuffer(windows), outputStructType=FEATURE_ROW, outputMode="Append", timeMode="None"
+        statefulProcessor=TickBuffer(windows, bool(watermark)), outputStructType=FEATURE_ROW, outputMode="Append",
+        timeMode="EventTime" if watermark else "None",
     )
+
+
+def stamped(features: DataFrame) -> DataFrame:
+    """Feature rows with ``computed_at``, the processing time of their micro-batch."""
+    return features.withColumn("computed_at", F.current_timestamp())

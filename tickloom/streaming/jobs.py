@@ -29,8 +29,13 @@ def publish(stream: DataFrame, fmt: str = "kafka", **options: str) -> DataStream
     return feature_messages(stream).writeStream.format(fmt).outputMode("append").options(**options)
 
 
-def batch_folder(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
+def batch_folder(root: str, batch_id: int, batch: DataFrame | None = None) -> str:
+    """Folder of one micro-batch; that of a running query also bears the query's id, which its checkpoint keeps.
+
+    A repeated batch finds its own folder again, and a query with a new checkpoint never meets the folders of an old one.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") if batch is not None else None
+    return f"{root}/query_id={query or 'none'}/batch_id={batch_id}"
 
 
 def dual_sink(stream: DataFrame, table_path: str, topic_writer: Callable[[DataFrame, int], None]) -> DataStreamWriter:
@@ -41,7 +46,7 @@ def dual_sink(stream: DataFrame, table_path: str, topic_writer: Callable[[DataFr
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(batch_folder(table_path, batch_id))
+            batch.write.mode("overwrite").parquet(batch_folder(table_path, batch_id, batch))
             topic_writer(feature_messages(batch), batch_id)
         finally:
             batch.unpersist()
@@ -58,11 +63,11 @@ def consume_with_checkpoint(messages: DataFrame, ticks_path: str, counters_path:
         parsed = parse_ticks(batch).persist()
         try:
             parsed.where(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(
-                batch_folder(ticks_path, batch_id))
+                batch_folder(ticks_path, batch_id, batch))
             parsed.agg(
                 F.count(F.lit(1)).alias("received"), F.count("reason").alias("failed"),
             ).withColumn("processed", F.col("received") - F.col("failed")).write.mode("overwrite").parquet(
-                batch_folder(counters_path, batch_id))
+                batch_folder(counters_path, batch_id, batch))
         finally:
             parsed.unpersist()
 
