@@ -109,3 +109,66 @@ def test_large_keys_shuffle_only_wanted_chunks(spark, data):
     split = split_ordered(df, [], ["value"], {"n": F.lit(1)}, chunk_rows=50)
     kept = split.assign(df, wanted=lambda n: [n // 2]).count()
     assert 0 < kept < 1200  # the value 7.0 alone holds a third of the rows
+
+
+def untidy(spark, n=1200, seed=4):
+    """Values with NULL, NaN, infinite ones and ties, a second order column with NULLs, one hot key."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        value = [None, float("nan"), float("inf"), float("-inf"), 7.0, float(np.round(rng.normal(), 2))][int(rng.choice(6, p=[.1, .1, .05, .05, .2, .5]))]
+        rows.append((i, "hot" if rng.random() < 0.6 else "cold", value, None if rng.random() < 0.1 else int(rng.integers(0, 400)), int(rng.random() < 0.4)))
+    return spark.createDataFrame(rows, "id long, key string, value double, tick long, label int")
+
+
+@pytest.mark.parametrize("chunk_rows", [40, 90])
+def test_cut_equals_uncut_for_untidy_values(spark, chunk_rows):
+    from tickloom.operators import drift, evaluation, stats
+    from tickloom.operators.ordered import values_at
+
+    df = untidy(spark).cache()
+    timed = df.withColumn("ts", F.timestamp_micros(F.col("tick") * 1_000_000))
+    scored = df.select(F.col("label").alias("y_true"), F.col("value").alias("score"), "key")
+    one, other = df.where("id % 2 = 0"), df.where("id % 2 = 1")
+
+    def results(n):
+        return {
+            "numbered": numbered(df, ["key"], ["value", "id"], chunk_rows=n),
+            "numbered by two": numbered(df, [], ["tick", "value", "id"], chunk_rows=n),
+            "cumulative": cumulative(df, ["key"], "value", {"n": F.lit(1), "label": F.col("label")}, chunk_rows=n),
+            "falling": cumulative(df, [], "value", {"n": F.lit(1)}, descending=True, chunk_rows=n),
+            "values_at": values_at(df, ["key"], "value", {"a": lambda k: k // 3 if isinstance(k, int) else F.floor(k / 3)}, chunk_rows=n),
+            "quantiles": exact_quantiles(df, ["key"], "value", {"q": 0.3}, chunk_rows=n),
+            "differences": stats.time_differences(timed, "ts", "id", ["key"], chunk_rows=n),
+            "rolling": stats.rolling_mean(timed, "value", "ts", "id", chunk_rows=n),
+            "ks": drift.ks_test(one, other, ["value"], chunk_rows=n),
+            "wasserstein": drift.wasserstein(one, other, ["value"], chunk_rows=n),
+            "roc": evaluation.roc_auc(scored, ["key"], chunk_rows=n), "ap": evaluation.average_precision(scored, chunk_rows=n),
+            "curve": evaluation.pr_curve(scored, chunk_rows=n),
+        }
+
+    def table(frame):
+        columns = sorted(frame.columns)
+        return sorted(repr([round(v, 9) if isinstance(v, float) else v for v in (r[c] for c in columns)]) for r in frame.collect())
+
+    whole, cut = results(None), results(chunk_rows)
+    for name in whole:
+        assert table(cut[name]) == table(whole[name]), name
+
+
+def test_null_comes_first_and_stays_together(spark):
+    df = untidy(spark)
+    got = split_ordered(df, ["key"], ["value", "id"], chunk_rows=40).assign(df).toPandas()
+    for _, rows in got.groupby("key"):
+        missing = rows["value"].isna() & ~rows["id"].isin([r["id"] for r in df.where("isnan(value)").collect()])
+        assert rows[missing]["_chunk"].max() <= rows[~missing]["_chunk"].min()
+        assert rows.groupby("_chunk").size().max() <= 40 + (rows["value"] == float("inf")).sum()
+
+
+def test_chunks_beyond_exact_sums_are_refused(spark, monkeypatch):
+    from tickloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_CHUNKS", 3)
+    monkeypatch.setattr(ordered, "EXACT_ROWS", 100)
+    with pytest.raises(ValueError, match="parts of the table"):
+        split_ordered(spark.range(1000), [], ["id"])

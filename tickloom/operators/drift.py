@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.columns import per
 from tickloom.operators.evaluation import classification_metrics
@@ -64,8 +64,8 @@ def ks_test(reference: DataFrame, current: DataFrame, columns: Sequence[str], al
     )
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str], chunk_rows=None) -> DataFrame:
-    """Area between the distribution functions, raw and in reference deviations."""
+def wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str], chunk_rows=None, limit: float = 0.1) -> DataFrame:
+    """Area between the distribution functions, raw and in reference deviations; drifted from ``limit`` deviations on."""
     area = F.abs(F.col("f_ref") - F.col("f_cur")) * (F.col("next_value") - F.col("value"))
     distance = _distributions(reference, current, columns, chunk_rows).groupBy("feature").agg(
         F.coalesce(F.sum(area), F.lit(0.0)).alias("distance")
@@ -73,40 +73,68 @@ def wasserstein(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     sd = per_column(reference, columns, {"sd": lambda c: F.stddev_samp(F.nanvl(F.col(c).cast("double"), F.lit(None)))})
     return distance.join(F.broadcast(sd), "feature").select(
         "feature", "distance", per(F.col("distance"), F.col("sd")).alias("normed_distance")
-    )
+    ).withColumn("drifted", F.coalesce(F.col("normed_distance") >= limit, F.lit(False)))
+
+
+def column_tests(reference: DataFrame, current: DataFrame, tests: dict[str, str], alpha: float = 0.05, limit: float = 0.1) -> DataFrame:
+    """``feature, drift_score, stattest_name, threshold, drifted``: each column by the test named for it.
+
+    ``tests``: column -> "ks" or "chisquare" (drifted below ``alpha``) or "wasserstein" (drifted from ``limit`` on).
+    """
+    unknown = set(tests.values()) - {"ks", "chisquare", "wasserstein"}
+    if unknown or not tests:
+        raise ValueError(f"tests: ks, chisquare or wasserstein for each column, not {sorted(unknown)}")
+    by_test = {t: [c for c in tests if tests[c] == t] for t in tests.values()}
+    parts = []
+    if numeric := by_test.get("ks"):
+        parts.append(ks_test(reference, current, numeric, alpha).select("feature", F.col("p_value").alias("drift_score"), "drifted", F.lit("ks").alias("stattest_name"), F.lit(alpha).alias("threshold")))
+    if numeric := by_test.get("wasserstein"):
+        parts.append(wasserstein(reference, current, numeric, limit=limit).select(
+            "feature", F.col("normed_distance").alias("drift_score"), "drifted", F.lit("wasserstein").alias("stattest_name"), F.lit(limit).alias("threshold")))
+    for column in by_test.get("chisquare", []):
+        parts.append(chi_square_drift(reference, current, column, alpha).select(
+            "feature", F.col("p_value").alias("drift_score"), "drifted", F.lit("chisquare").alias("stattest_name"), F.lit(alpha).alias("threshold")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def chi_square_p(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution, in closed form for whole degrees of freedom k.
+
+    With h = statistic / 2: even k sum exp(-h) h^i / i! for i < k / 2; odd k add erfc(sqrt h) to the terms at half numbers.
+    Terms are summed through their logarithms, so large statistics give 0 and not a failure.  Past a thousand degrees of
+    freedom the cube-root normal approximation (Wilson and Hilferty) takes over, which is then good to about 1e-5.
+    """
+    h, k = statistic / 2, dof.cast("double")
+    odd = dof % 2
+
+    def terms(_: Column) -> Column:
+        n = F.floor(F.least(k, F.lit(1000.0)) / 2).cast("int")
+        steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        first = F.when(odd == 1, F.log(h) / 2 - math.log(math.gamma(1.5))).otherwise(F.lit(0.0)) - h
+        start = F.struct(first.alias("log"), F.lit(0.0).alias("sum"))
 
+        def add(acc: Column, i: Column) -> Column:
+            return F.struct((acc["log"] + F.log(h) - F.log(i + 1 + odd / 2)).alias("log"), (acc["sum"] + F.exp(acc["log"])).alias("sum"))
 
-def _gamma_tail(a: float, x: float) -> float:
-    """Upper regularised incomplete gamma function Q(a, x): series below a + 1, continued fraction above."""
-    if x <= 0:
-        return 1.0
-    scale = math.exp(-x + a * math.log(x) - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1.0 / a
-        step = a
-        while abs(term) > abs(total) * 1e-16:
-            step += 1
-            term *= x / step
-            total += term
-        return max(0.0, 1.0 - total * scale)
-    b = x + 1 - a
-    c, d = 1e300, 1.0 / b
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = 1.0 / (an * d + b or 1e-300)
-        c = b + an / c or 1e-300
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return h * scale
-
-
-@F.pandas_udf(T.DoubleType())
-def chi_square_p(statistic: pd.Series, dof: pd.Series) -> pd.Series:
-    """Upper tail of the chi-square distribution (one value per tested column)."""
-    return pd.Series([1.0 if k < 1 else _gamma_tail(k / 2, s / 2) for s, k in zip(statistic, dof)])
+        return F.aggregate(steps, start, add, lambda acc: acc["sum"])
+
+    exact = terms(h) + F.when(odd == 1, _erfc(F.sqrt(h))).otherwise(F.lit(0.0))
+    z = (F.pow(statistic / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k))
+    tail = F.when(k <= 1000, exact).otherwise(_erfc(z / math.sqrt(2)) / 2)
+    return F.when(dof < 1, F.lit(1.0)).when(statistic <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0)))
+
+
+def _erfc(x: Column) -> Column:
+    """Complementary error function: the series below 3, the continued fraction above."""
+    a = F.abs(x)
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(80)), F.struct(a.alias("term"), a.alias("sum")),
+        lambda acc, n: F.struct((-acc["term"] * a * a / n).alias("term"), (acc["sum"] - acc["term"] * a * a / n / (2 * n + 1)).alias("sum")),
+        lambda acc: 1 - acc["sum"] * (2 / math.sqrt(math.pi)),
+    )
+    fraction = F.aggregate(F.sequence(F.lit(60), F.lit(1)), a, lambda acc, n: a + n / 2 / acc)
+    positive = F.when(a < 3, series).otherwise(F.exp(-a * a) / (fraction * math.sqrt(math.pi)))
+    return F.when(x >= 0, positive).otherwise(2 - positive)
 
 
 def chi_square_drift(reference: DataFrame, current: DataFrame, column: str, alpha: float = 0.05) -> DataFrame:
@@ -161,10 +189,11 @@ def dataset_drift(tests: DataFrame, share_limit: float = 0.5) -> DataFrame:
     drifted = F.col("drifted")
     columns = tests.columns
     detail = F.struct(
-        (F.col("p_value") if "p_value" in columns else F.lit(None).cast("double")).alias("drift_score"),
+        (F.col("drift_score") if "drift_score" in columns else F.col("p_value") if "p_value" in columns else F.lit(None).cast("double")).alias("drift_score"),
         (F.col("stattest_name") if "stattest_name" in columns else F.lit("ks")).alias("stattest_name"),
     )
     share = F.avg(drifted.cast("double"))
+    # fixed values: the keys of the published report
     return tests.agg(
         F.sum(drifted.cast("long")).alias("number_of_drifted_features"), share.alias("share_of_drifted_features"),
         (share >= share_limit).alias("dataset_drift_detected"),
@@ -298,6 +327,12 @@ def keep_latest_scores(log: DataFrame, keep: int = 12) -> DataFrame:
     return log.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep).drop("rank")
 
 
+def log_drift_run(tests: DataFrame, run_at: Column, path: str) -> None:
+    """Append one run's scores to the drift log: feature, run_at, stattest_name, score, drifted."""
+    rows = tests.select("feature", run_at.alias("run_at"), "stattest_name", F.col("drift_score").alias("score"), "drifted")
+    rows.write.mode("append").parquet(path)
+
+
 def drift_summary_table(reference: DataFrame, current: DataFrame, columns: Sequence[str], alpha: float = 0.05):
     """Per feature: statistic, p-value, drifted or stable, and both samples' statistics."""
     tests = ks_test(reference, current, columns, alpha).withColumn(

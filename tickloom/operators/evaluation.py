@@ -61,20 +61,24 @@ def _by_score(df: DataFrame, by: Sequence[str], chunk_rows: int | None, descendi
     return cumulative(df, by, "score", {"pos": positive, "neg": 1 - positive}, descending, chunk_rows)
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | None = None) -> DataFrame:
-    """Probability that a positive scores above a negative, ties counting one half."""
+def ranking_scores(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | None = None) -> DataFrame:
+    """``roc_auc`` and ``average_precision`` from one ordering of the scores; one row per key."""
     below = F.col("cum_neg") - F.col("neg") / 2
+    pos, neg = (F.col(f"all_{c}") - F.col(f"cum_{c}") + F.col(c) for c in ("pos", "neg"))  # from this score up
     return _by_score(df, by, chunk_rows, False).groupBy(*by).agg(
-        per(F.sum(F.col("pos") * below), F.max("all_pos") * F.max("all_neg")).alias("roc_auc")
+        per(F.sum(F.col("pos") * below), F.max("all_pos") * F.max("all_neg")).alias("roc_auc"),
+        F.sum(per(F.col("pos"), F.col("all_pos")) * (pos / (pos + neg))).alias("average_precision"),
     )
 
 
+def roc_auc(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | None = None) -> DataFrame:
+    """Probability that a positive scores above a negative, ties counting one half."""
+    return ranking_scores(df, by, chunk_rows).drop("average_precision")
+
+
 def average_precision(df: DataFrame, by: Sequence[str] = (), chunk_rows: int | None = None) -> DataFrame:
     """Sum over distinct scores, from the top, of recall gained times precision there (no interpolation)."""
-    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return _by_score(df, by, chunk_rows, True).groupBy(*by).agg(
-        F.sum(per(F.col("pos"), F.col("all_pos")) * precision).alias("average_precision")
-    )
+    return ranking_scores(df, by, chunk_rows).drop("roc_auc")
 
 
 def pr_curve(df: DataFrame, chunk_rows: int | None = None) -> DataFrame:

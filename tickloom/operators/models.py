@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tickloom.functions.columns import (
     MODEL_VERSIONS, RULE_INTENSITY, RULE_RETURN, RULE_VOLATILITY, above, class_label, per, rejected_features,
 )
-from tickloom.operators.evaluation import average_precision, classification_metrics, roc_auc
+from tickloom.operators.evaluation import classification_metrics, ranking_scores
 from tickloom.operators.ordered import ceil_of, exact_quantiles, values_at
 from tickloom.schemas import FEATURES, LABEL, RUN_LOG
-from tickloom.session import scratch_dir
+from tickloom.session import scratch_dir, written
 
 
 # -- splits --------------------------------------------------------------------------------------
@@ -241,11 +241,11 @@ def evaluate_scored(scored: DataFrame, label: str, score: str, by: Sequence[str]
     """accuracy, precision, recall, f1, roc_auc, pr_auc of rows with ``prediction`` and a score; one row per key."""
     rows = scored.select(*by, F.col(label).alias("y_true"), F.col("prediction").alias("y_pred"),
                          F.col(score).alias("score"))
-    tests = [classification_metrics(rows, by), roc_auc(rows, by),
-             average_precision(rows, by).withColumnRenamed("average_precision", "pr_auc")]
+    rows = written(rows, "scored")  # model output is computed once, for the counts and for the ordering
+    counts, ranks = classification_metrics(rows, by), ranking_scores(rows, by).withColumnRenamed("average_precision", "pr_auc")
     if by:
-        return tests[0].join(tests[1], list(by), "left").join(tests[2], list(by), "left")
-    return tests[0].withColumns({c: t.select(c).scalar() for t, c in ((tests[1], "roc_auc"), (tests[2], "pr_auc"))})
+        return counts.join(ranks, list(by), "left")
+    return counts.withColumns({c: ranks.select(c).scalar() for c in ("roc_auc", "pr_auc")})
 
 
 def train_compare(train: DataFrame, test: DataFrame, columns: Sequence[str] = FEATURES, label: str = LABEL,

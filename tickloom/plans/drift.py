@@ -11,6 +11,7 @@ from tickloom.plans.fixtures import (
 )
 from tickloom.plans.profiles import MODELS_SQL, model_metrics
 from tickloom.plans.registry import query, six
+from tickloom.session import scratch_dir, written
 
 _LIST = ", ".join(DRIFT_COLUMNS)
 BOTH_SQL = f"""{DRIFT_SQL}, long AS (
@@ -49,12 +50,13 @@ def wasserstein(spark, sf):
     return six(drift.wasserstein(*drift_pair(spark, sf), DRIFT_COLUMNS))
 
 
-CHI_SQL = f"""{DRIFT_SQL}, cells AS (
+CHI_CELLS_SQL = """cells AS (
   SELECT v, count(*) FILTER (s = 'r')::DOUBLE AS ref, count(*) FILTER (s = 'c')::DOUBLE AS cur FROM (
     SELECT l_returnflag AS v, 'r' AS s FROM reference UNION ALL SELECT l_returnflag, 'c' FROM current_rows) GROUP BY v
 ), totals AS (SELECT *, sum(ref) OVER () AS r, sum(cur) OVER () AS c FROM cells), expected AS (
   SELECT *, (ref + cur) * r / (r + c) AS er, (ref + cur) * c / (r + c) AS ec FROM totals
 ), chi AS (SELECT sum((ref - er) ^ 2 / er + (cur - ec) ^ 2 / ec) AS statistic, count(*) - 1 AS dof FROM expected)"""
+CHI_SQL = f"{DRIFT_SQL}, {CHI_CELLS_SQL}"
 
 
 @query("chi_square_drift", f"""WITH {CHI_SQL}
@@ -85,6 +87,41 @@ def dataset_drift(spark, sf):
         "drift_by_feature"))
 
 
+#: The categorical column takes part: with l_quantity by distance and l_returnflag by chi-square, the flag decides.
+MIXED_SQL = f"""{CDF_SQL}, {CHI_CELLS_SQL}, tested AS (
+  SELECT feature, round(p_value, 6) AS drift_score, 'ks' AS stattest_name, p_value < 0.05 AS drifted FROM ks WHERE feature = 'l_quantity'
+  UNION ALL SELECT 'l_returnflag', round(exp(-statistic / 2), 6), 'chisquare', exp(-statistic / 2) < 0.05 FROM chi)"""
+
+
+def _mixed(spark, sf):
+    return drift.column_tests(*drift_pair(spark, sf), {"l_quantity": "ks", "l_returnflag": "chisquare"})
+
+
+@query("dataset_drift_mixed", f"""WITH {MIXED_SQL}
+SELECT count(*) FILTER (drifted) AS number_of_drifted_features, avg(CAST(drifted AS INTEGER)) AS share_of_drifted_features,
+  avg(CAST(drifted AS INTEGER)) >= 0.5 AS dataset_drift_detected, coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (drifted), '')
+  AS drifted_features FROM tested""")
+def dataset_drift_mixed(spark, sf):
+    found = drift.dataset_drift(_mixed(spark, sf), share_limit=0.5)
+    return found.withColumn("drifted_features", F.array_join("drifted_features", ",")).drop("drift_by_feature")
+
+
+@query("column_tests", f"WITH {MIXED_SQL} SELECT feature, drift_score, stattest_name, 0.05::DOUBLE AS threshold, drifted FROM tested")
+def column_tests(spark, sf):
+    return six(_mixed(spark, sf), "drift_score")
+
+
+@query("logged_drift_runs", f"""WITH {MIXED_SQL}
+SELECT feature, run, drift_score AS score, stattest_name, drifted FROM tested, (SELECT unnest([2, 3]) AS run)""")
+def logged_drift_runs(spark, sf):
+    """Three runs are appended to the log; the last two of each feature are kept."""
+    path, tests = scratch_dir(spark, "drift-log"), written(_mixed(spark, sf), "drift-tests")
+    for run in (1, 2, 3):
+        drift.log_drift_run(tests, F.timestamp_seconds(F.lit(run)), path)
+    kept = drift.keep_latest_scores(spark.read.parquet(path), keep=2)
+    return six(kept.select("feature", F.unix_seconds("run_at").cast("int").alias("run"), "score", "stattest_name", "drifted"), "score")
+
+
 @query("drift_by_feature", f"""WITH {CDF_SQL}
 SELECT feature, round(p_value, 6) AS drift_score, 'ks' AS stattest_name FROM ks WHERE p_value < 0.05""")
 def drift_by_feature(spark, sf):

@@ -177,10 +177,11 @@ def _runs(spark, sf):
     return files.read_runs(spark, path)
 
 
-@query("run_log", """SELECT * FROM (VALUES ('z_score', '{"z_threshold":"2.0"}', 6), ('logistic_regression', '{"C":"1.0","max_iter":"1000"}', 6),
-  ('random_forest', '{"n_estimators":"100","max_depth":"10","min_leaf":"10"}', 6)) AS t(run_name, params, n_metrics)""")
+@query("run_log", """SELECT * FROM (VALUES ('z_score', 'z_threshold=2.0', 6), ('logistic_regression', 'C=1.0 max_iter=1000', 6),
+  ('random_forest', 'max_depth=10 min_leaf=10 n_estimators=100', 6)) AS t(run_name, params, n_metrics)""")
 def run_log(spark, sf):
-    return _runs(spark, sf).select("run_name", F.to_json("params").alias("params"), F.size("metrics").alias("n_metrics"))
+    params = F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return _runs(spark, sf).select("run_name", F.array_join(params, " ").alias("params"), F.size("metrics").alias("n_metrics"))
 
 
 @query("latest_runs", "SELECT unnest(['logistic_regression', 'random_forest']) AS run_name, true AS dated")

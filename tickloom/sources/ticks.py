@@ -38,11 +38,12 @@ def decoded(messages: DataFrame) -> DataFrame:
     return messages.withColumn("_tick", tick).select(*messages.columns, "_tick.*")
 
 
-def message_fields(messages: DataFrame) -> DataFrame:
-    """product, price, time and volume of each message, 'N/A' where absent."""
+def message_fields(messages: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
+    """product, price, time and volume of each message, 'N/A' where absent; ``more``: further fields and their names."""
     fields = {"product_id": "product_id", "price": "price", "time": "time", "volume_24h": "volume_24h"}
+    fields |= {name: field for field, name in (more or {}).items()}
     return decoded(messages).where(F.col("_corrupt").isNull()).select(
-        *(F.coalesce(F.col(c), F.lit("N/A")).alias(n) for n, c in fields.items())
+        *(F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(n) for n, c in fields.items())
     )
 
 
