@@ -124,7 +124,7 @@ def sample_limit(percent: int = PERCENT) -> float:
     mean, deviation = 2 * SAMPLES * (1 - j), 2 * np.sqrt(SAMPLES * j * (1 - j))
     shrink = np.exp(-2.0 * mean / SAMPLE_BITS)
     occupied = SAMPLE_BITS / 2 * (1 - shrink)
-    return occupied + MARGIN * np.hypot(deviation * shrink, np.sqrt(SAMPLE_BITS / 4 * (1 - shrink * shrink)) * 0.5)
+    return occupied + MARGIN * np.hypot(deviation * shrink, np.sqrt(SAMPLE_BITS / 4 * (1 - shrink * shrink)))
 
 
 def may_be_similar(n_a, n_b, xor_samples: np.ndarray, xor_sets: np.ndarray, percent: int = PERCENT) -> np.ndarray:
