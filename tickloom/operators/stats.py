@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.columns import missing, per
-from tickloom.operators.ordered import exact_quantiles, split_ordered
+from tickloom.operators.ordered import cumulative, exact_quantiles, split_ordered
 from tickloom.session import written
 
 _MICROS = 1e6
@@ -39,8 +39,50 @@ def _known(c: str) -> Column:
     return F.nanvl(F.col(c).cast("double"), F.lit(None))
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()):
-    return exact_quantiles(unpivoted(df, columns, by), [*by, "feature"], "value", probs)
+#: Rank error of the sketch that brackets a quantile (1 / accuracy), the bracket's half-width, and rows up to which all are taken.
+_ACCURACY, _HALF, _FEW = 10_000, 3e-4, 20_000
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation: ``feature, n`` and a column per name in ``probs``; one row per column.
+
+    The rows stay wide.  One pass brackets every quantile by mergeable sketches, one counts the values below each bracket, and
+    one fetches the few values inside; only those are ordered.  (With ``by`` the values are ordered by counting instead.)
+    """
+    if by:
+        return exact_quantiles(unpivoted(df, columns, by), [*by, "feature"], "value", probs)
+    points = sorted({0.0, 1.0, *(max(0.0, q - _HALF) for q in probs.values()), *(min(1.0, q + _HALF) for q in probs.values())})
+    sketch = df.agg(*(x for i, c in enumerate(columns) for x in (
+        F.percentile_approx(_known(c), points, _ACCURACY).alias(f"p{i}"), F.count(_known(c)).alias(f"n{i}")))).first()
+    brackets = []  # (column, name, quantile, rows, low, high)
+    for i, c in enumerate(columns):
+        n, at = sketch[f"n{i}"], dict(zip(points, sketch[f"p{i}"] or [])) if sketch[f"n{i}"] else {}
+        for name, q in probs.items() if n else ():
+            ends = (0.0, 1.0) if n <= _FEW else (max(0.0, q - _HALF), min(1.0, q + _HALF))
+            brackets.append((c, name, q, n, at[ends[0]], at[ends[1]]))
+    schema = "feature string, _name string, _q double, n long, _low double, _high double"
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "feature string, n long, " + ", ".join(f"{p} double" for p in probs))
+
+    below = df.agg(*(F.sum((_known(c) < F.lit(low)).cast("long")).alias(f"b{i}") for i, (c, _, _, _, low, _) in enumerate(brackets))).first()
+    inside = F.array(*(
+        F.when(_known(c).between(F.lit(low), F.lit(high)), F.struct(F.lit(i).alias("_bracket"), _known(c).alias("value")))
+        for i, (c, _, _, _, low, high) in enumerate(brackets)
+    ))
+    found = df.select(F.explode(F.array_compact(inside)).alias("_x")).groupBy("_x._bracket", "_x.value").agg(F.count("*").alias("times"))
+    cum = cumulative(written(found, "quantiles"), ["_bracket"], "value", {"times": F.col("times")})
+
+    table = df.sparkSession.createDataFrame([(i, *b, below[f"b{i}"]) for i, b in enumerate(brackets)], f"_bracket int, {schema}, _below long")  # a row per quantile
+    upto = F.col("_below") + F.col("cum_times")
+    rank = (F.col("n") - 1) * F.col("_q")
+
+    def value_at(r: Column) -> Column:
+        return F.max(F.when((upto - F.col("times") <= r) & (r < upto), F.col("value")))
+
+    picked = cum.join(F.broadcast(table), "_bracket").groupBy("feature", "n", "_name", "_q").agg(
+        value_at(F.floor(rank)).alias("_lo"), value_at(F.ceil(rank)).alias("_hi"))
+    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (rank - F.floor(rank))
+    return picked.groupBy("feature", "n").agg(*(F.max(F.when(F.col("_name") == name, exact)).alias(name) for name in probs))
 
 
 def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:

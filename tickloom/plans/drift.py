@@ -45,7 +45,7 @@ def ks_test(spark, sf):
 @query("wasserstein", f"""WITH {CDF_SQL}, w AS (
   SELECT feature, sum(abs(f_ref - f_cur) * (next_value - value)) AS distance FROM cdf GROUP BY feature
 ), s AS (SELECT feature, stddev_samp(value) AS sd FROM long WHERE side = 'reference' GROUP BY feature)
-SELECT feature, round(distance, 6) AS distance, round(distance / sd, 6) AS normed_distance FROM w JOIN s USING (feature)""")
+SELECT feature, round(distance, 6) AS distance, round(distance / sd, 6) AS normed_distance, distance / sd >= 0.1 AS drifted FROM w JOIN s USING (feature)""")
 def wasserstein(spark, sf):
     return six(drift.wasserstein(*drift_pair(spark, sf), DRIFT_COLUMNS))
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,12 +36,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tickloom-")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    """One temporary folder for a process whose session names none; it goes when the process ends."""
+    path = tempfile.mkdtemp(prefix="tickloom-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: for results that several later jobs read."""
     path = scratch_dir(df.sparkSession, label)
