@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import drift, evaluation as ev, stats
-from tickloom.operators.drift import _gamma_tail
+from tickloom.operators.drift import chi_square_p
 
 
 def scored(spark, y, s):
@@ -100,9 +100,10 @@ def test_kolmogorov_p_known_value(spark):
 
 @pytest.mark.parametrize("x, dof, p", [(3.841458821, 1, 0.05), (5.991464547, 2, 0.05), (18.30703805, 10, 0.05),
                                        (2.0, 4, 3 * math.exp(-1) - math.exp(-1)), (200.0, 3, 4.2e-43)])
-def test_chi_square_tail(x, dof, p):
+def test_chi_square_tail(spark, x, dof, p):
     expected = math.exp(-x / 2) * (1 + x / 2) if dof == 4 else p
-    assert _gamma_tail(dof / 2, x / 2) == pytest.approx(expected, rel=2e-2 if dof == 3 else 1e-8)
+    got = spark.range(1).select(chi_square_p(F.lit(float(x)), F.lit(dof))).first()[0]
+    assert got == pytest.approx(expected, rel=2e-2 if dof == 3 else 1e-8)
 
 
 def test_extended_stats_follow_the_corrected_moments(spark):
@@ -144,3 +145,33 @@ def test_three_low_days(spark):
     got = drift.daily_f1_alert(df).orderBy("day").collect()
     assert [r["low_alert"] for r in got] == [False, False, False, True, False]
     assert [r["drop_alert"] for r in got] == [False, True, False, False, False]
+
+
+@pytest.mark.parametrize("few", [10, 10**6])
+def test_quantiles_from_brackets(spark, monkeypatch, few):
+    """Bracketed by sketches or taken whole: exact quantiles, with ties, NULL, NaN and infinite values."""
+    monkeypatch.setattr(stats, "_FEW", few)
+    monkeypatch.setattr(stats, "_HALF", 0.002)
+    rng = np.random.default_rng(3)
+    n = 4000
+    a, b = rng.normal(size=n).round(2), np.where(rng.random(n) < 0.4, 5.0, rng.lognormal(0, 3, n))
+    a[::7], b[::500] = np.nan, np.inf
+    rows = [(None if i % 11 == 0 else float(x), float(y), None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    probs = {"low": 0.01, "q1": 0.25, "half": 0.5, "top": 0.95, "least": 0.0, "most": 0.9}
+    got = {r["feature"]: r for r in stats.column_quantiles(df, ["a", "b", "c"], probs).collect()}
+    assert set(got) == {"a", "b"}
+    for c, values in (("a", [r[0] for r in rows]), ("b", [r[1] for r in rows])):
+        known = np.array([v for v in values if v is not None and not np.isnan(v)])
+        assert got[c]["n"] == len(known)
+        for name, q in probs.items():
+            assert got[c][name] == pytest.approx(np.quantile(known, q), rel=1e-12)
+
+
+def test_chi_square_tails_of_tables(spark):
+    """Against known tails: 1 - CDF at chosen points."""
+    known = [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307038, 10, 0.05), (24.724970, 11, 0.01), (1.0, 1, 0.317311), (0.0, 4, 1.0),
+             (124.342113, 100, 0.05), (2000.0, 3, 0.0), (30.0, 1, 4.320463e-08)]
+    rows = spark.createDataFrame([(s, k, p) for s, k, p in known], "s double, k long, p double")
+    for r in rows.withColumn("got", chi_square_p(F.col("s"), F.col("k"))).collect():
+        assert r["got"] == pytest.approx(r["p"], rel=2e-4, abs=1e-12), r

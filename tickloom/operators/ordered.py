@@ -42,6 +42,7 @@ class _Slice:
     low: tuple
     high: tuple
     nulls: tuple
+    first: float | int | None  # least value of the first order column, not clamped
     sums: tuple
     rows_before: int = 0
     sums_before: tuple = ()
@@ -160,7 +161,7 @@ class OrderedSplit:
             totals = tuple(sum(s.sums[i] for s in slices) for i in range(len(self.measures)))
             for s in slices:
                 nxt = first_of.get(s.chunk + 1)
-                row = [*group, *self._padded(s.path), s.chunk, nxt.low[0] if nxt else None]
+                row = [*group, *self._padded(s.path), s.chunk, nxt.first if nxt else None]
                 if wanted:
                     row.append(s.chunk in holding)
                 for i in range(len(self.measures)):
@@ -273,12 +274,13 @@ def split_ordered(
     for i, c in enumerate(order):
         value = _clamped(F.col(c), kinds[c])
         counts += [F.min(value).alias(f"_low{i}"), F.max(value).alias(f"_high{i}"), F.count_if(value.isNull()).alias(f"_nulls{i}")]
+    counts.append(F.min(F.col(order[0]).cast(kinds[order[0]])).alias("_first"))
     counts += [F.sum(e).cast("double").alias(f"_m{i}") for i, e in enumerate(measures.values())]
 
     def slice_of(row, path: tuple[int, ...]) -> _Slice:
         return _Slice(
             tuple(row[c] for c in by), path, row["_rows"],
-            *(tuple(row[f"{side}{i}"] for i in range(len(order))) for side in ("_low", "_high", "_nulls")),
+            *(tuple(row[f"{side}{i}"] for i in range(len(order))) for side in ("_low", "_high", "_nulls")), row["_first"],
             tuple(row[f"_m{i}"] or 0.0 for i in range(len(measures))),
         )
 

@@ -203,9 +203,10 @@ def histogram_with_gaps(spark, sf):
 ), q AS (SELECT quantile_cont(value, [0.5, 0.9, 0.95]) AS t, count(*) AS n FROM known),
 cuts AS (SELECT unnest([50, 90, 95]) AS percentile, unnest(t) AS threshold, n FROM q),
 above AS (SELECT percentile, threshold, n, (SELECT count(*) FROM known WHERE value > threshold) AS spikes FROM cuts)
-SELECT percentile, round(threshold, 9) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
+SELECT percentile, round(threshold, 3) AS threshold, spikes, round(spikes / n * 100, 6) AS spike_rate FROM above""")
 def threshold_analysis_with_gaps(spark, sf):
-    return six(stats.threshold_analysis(skewed(spark, sf), "value", (50, 90, 95)), nine=("threshold",))
+    found = stats.threshold_analysis(skewed(spark, sf), "value", (50, 90, 95))
+    return six(found.withColumn("threshold", F.round("threshold", 3)), "spike_rate")
 
 
 @query("value_counts", """SELECT CAST(value > 50 AS INTEGER) AS volatility_spike, count(*) AS count,

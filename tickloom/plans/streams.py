@@ -12,7 +12,7 @@ from tickloom.operators.ordered import exact_quantiles
 from tickloom.plans.fixtures import (
     FEATURES_SQL, REQUESTS_SQL, TICKS_SQL, WINDOWS, requests, rounded, ticks,
 )
-from tickloom.plans.objectives import RATE_SQL, SLIDING_SQL
+from tickloom.plans.objectives import RATE_SQL, SLIDING_SQL, total_latency
 from tickloom.plans.registry import ntz, query, six
 from tickloom.plans.ticks import RULE_SQL, SCALED_SQL, messages, scaled_features
 
@@ -165,7 +165,7 @@ def windowed_rates_stream(spark, sf):
 def sliding_rates_stream(spark, sf):
     """Six hours back, every hour."""
     out = _run_to_table(spark, slo.windowed_rates(_log_stream(spark, sf), 21_600, "10 minutes", slide=3_600))
-    return six(ntz(out, "window_start"), nine=("mean_latency",))
+    return six(total_latency(ntz(out, "window_start")), "per_second")
 
 
 @query("stream_score", f"""WITH {FEATURES_SQL}, {SCALED_SQL}, {RULE_SQL}
