@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ CLASSES, SLOTS = 32, 32
 #: Symbols: 0 is the end, then the FREQUENT words, then the buckets of endings.
 BUCKETS = 256
 FREQUENT = CLASSES * SLOTS - BUCKETS - 1
-#: Words whose counts are broadcast; words counted at a time by one worker.
-HEAD, COUNTED = 1 << 18, 300_000
+#: Words whose counts are broadcast, at most; words counted at a time by one worker.
+HEAD, COUNTED = 1 << 17, 300_000
 #: Rows of the class table and of the slot table, besides the rows that hold the symbols' own frequencies.
 CLASS_ROWS, SLOT_ROWS = 1 << 14, 1 << 15
 #: Rows of one table row-block as it travels; tokens of a step; passes over shares of the documents.
@@ -70,12 +71,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Counts:
-    """``table`` (word, n) of all training words, and what fits the driver: totals and the HEAD most frequent words."""
+    """``table`` (word, n) of all training words, and what fits the driver: totals, and the words counted ``least`` times or more."""
 
     table: DataFrame
     documents: int
     tokens: int
     distinct: int
+    least: int
     head: list[bytes]
     head_counts: np.ndarray
     bucket_base: np.ndarray  # of each bucket: training words, distinct ones, and one
@@ -89,18 +91,22 @@ def count_words(training: DataFrame) -> Counts:
     table = written(training.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     documents = training.count()
     total, distinct = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = table.orderBy(F.desc("n"), "word").limit(HEAD).collect()
-    frequent = {bytes(r["word"]) for r in head[:FREQUENT]}
+    rarest = 1 << 20
+    by_count = {r["c"]: r["k"] for r in table.groupBy(F.least("n", F.lit(rarest)).alias("c")).agg(F.count("*").alias("k")).collect()}  # rarest rows at most
+    least, held = rarest, 0
+    for c in sorted(by_count, reverse=True):
+        if (held := held + by_count[c]) > HEAD:
+            break
+        least = c
+    head = table.filter(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")]) if held else None  # HEAD rows at most
+    words = head.column("word").to_pylist() if head is not None else []
+    head_counts = head.column("n").to_numpy().astype(np.int64) if head is not None else np.empty(0, np.int64)
     base = np.ones(BUCKETS)
     for r in table.groupBy((F.crc32(F.substring("word", -2, 2)) % BUCKETS).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
         base[r["b"]] += r["n"] + r["k"]
-    for r in head[:FREQUENT]:
-        base[bucket_of(bytes(r["word"]))] -= r["n"] + 1
-    assert len(frequent) == min(FREQUENT, distinct)
-    return Counts(
-        table, documents, total + documents, distinct + (documents > 0), [bytes(r["word"]) for r in head],
-        np.array([r["n"] for r in head], dtype=np.int64), base,
-    )
+    for word, n in zip(words[:FREQUENT], head_counts):
+        base[bucket_of(word)] -= n + 1
+    return Counts(table, documents, total + documents, distinct + (documents > 0), least, words, head_counts, base)
 
 
 def _encoder(counts: Counts):
@@ -120,7 +126,7 @@ def _encoder(counts: Counts):
             ids, rare, sums, in_bucket, known_n = [], [], [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
-                at = np.array([known.get(w, -1) for w in words], dtype=np.int64)
+                at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
                 out = at < 0
                 tail = [words[i] for i in np.flatnonzero(out)]
                 symbols = np.zeros(len(words) + 1, dtype=np.int16)
@@ -187,9 +193,9 @@ class Model:
 
     @staticmethod
     def _log_softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        x = table[rows[0]]
+        x = table.take(rows[0], axis=0)
         for r in rows[1:]:
-            x += table[r]
+            x += table.take(r, axis=0)
         x -= x.max(axis=1, keepdims=True)
         x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
         return x
@@ -214,14 +220,20 @@ class Model:
             ):
                 gradient = np.exp(self._log_softmax(table, rows))
                 gradient[np.arange(len(wanted)), wanted] -= 1
-                for feature in rows:
-                    order = np.argsort(feature, kind="stable")
-                    ordered = feature[order]
-                    begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                    touched = ordered[begins]
-                    total = np.add.reduceat(gradient[order], begins, axis=0)
-                    squares[touched] += total * total
-                    table[touched] -= RATE * total / np.sqrt(squares[touched] + 1e-6)
+                for feature in rows[1:]:  # the symbols' own frequencies stay as counted
+                    short = feature.astype(np.uint16)  # 16 bits are sorted by radix
+                    order = np.argsort(short, kind="stable")
+                    ordered = short[order]
+                    begins = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+                    begins = np.concatenate([[0], begins])
+                    touched = ordered[begins].astype(np.int64)
+                    total = np.add.reduceat(gradient.take(order, axis=0), begins, axis=0)
+                    seen = squares.take(touched, axis=0)
+                    seen += total * total
+                    squares[touched] = seen
+                    total *= RATE
+                    total /= np.sqrt(seen + 1e-6)
+                    table[touched] -= total
                     count[touched] += np.diff(np.append(begins, len(ordered)))
 
 
@@ -322,7 +334,7 @@ def score_texts(docs: DataFrame, holdout: Column | None = None, id_col: str = "d
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(np.concatenate([np.empty(0), *sums]))], names=[*kept, "symbol_logs"])
 
     scored = encoded.drop("rare").mapInArrow(score, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, head_logs double, bucket_logs double, symbol_logs double")
-    rare = encoded.select("row", F.explode("rare").alias("word")).join(counts.table.filter(F.col("n") <= int(counts.head_counts[-1]) if len(counts.head) else F.lit(True)), "word", "left")
+    rare = encoded.select("row", F.explode("rare").alias("word")).join(counts.table.filter(F.col("n") < counts.least), "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"), F.count("n").alias("n_rare"))
     joined = scored.join(rare, "row", "left")
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))
