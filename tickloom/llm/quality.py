@@ -48,8 +48,8 @@ def _repeat_words(windows: Column, n: Column) -> Column:
     )
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long) in a struct column ``measured``.
+def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines`` (long) in a struct ``measured``.
 
     A null text has no words.  Windows are compared by 64-bit hashes within one document.
     """
