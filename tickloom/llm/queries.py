@@ -150,3 +150,49 @@ WITH cut AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stay) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (stay), '') AS text
 FROM judged GROUP BY doc_id, h
 """
+
+SQL["op2_quality_rules"] = """
+WITH cut AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM cut)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(5)) AS k FROM repeated) GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines FROM cut LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_symbols * 1000 // greatest(n_words, 1) AS symbol_share,
+    n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_share, n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_share,
+    word_chars * 100 // greatest(n_words, 1) AS word_length FROM measured
+), long AS (
+  SELECT lang, source, m, v FROM (SELECT * FROM judged WHERE NOT base_failed) UNPIVOT (v FOR m IN (symbol_share, dup_line_share, repeat_share, word_length))
+), binned AS (
+  SELECT lang, source, m, (v >> c) << c AS b FROM (SELECT *, CAST(greatest(length(bin(v)) - 6, 0) AS BIGINT) AS c FROM long)
+), grouped AS (
+  SELECT 1 AS level, lang, source, m, b, count(*) AS k FROM binned GROUP BY ALL
+  UNION ALL SELECT 2, lang, NULL, m, b, count(*) FROM binned GROUP BY ALL
+  UNION ALL SELECT 3, NULL, NULL, m, b, count(*) FROM binned GROUP BY ALL
+), run AS (
+  SELECT *, sum(k) OVER (PARTITION BY level, lang, source, m ORDER BY b) AS upto, sum(k) OVER (PARTITION BY level, lang, source, m) AS n FROM grouped
+), quartile AS (
+  SELECT level, lang, source, m, any_value(n) AS n, min(b) FILTER (upto * 4 >= n) AS q1, min(b) FILTER (upto * 4 >= n * 3) AS q3 FROM run GROUP BY ALL
+), chosen AS (
+  SELECT o.lang, o.source, o.m, CASE WHEN o.n >= 50 THEN o.q1 WHEN l.n >= 50 THEN l.q1 ELSE c.q1 END AS q1,
+    CASE WHEN o.n >= 50 THEN o.q3 WHEN l.n >= 50 THEN l.q3 ELSE c.q3 END AS q3
+  FROM (FROM quartile WHERE level = 1) o JOIN (FROM quartile WHERE level = 2) l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m
+  JOIN (FROM quartile WHERE level = 3) c ON o.m = c.m
+), fence AS (
+  SELECT lang, source, m, q3 + greatest(3 * (q3 - q1), CASE m WHEN 'symbol_share' THEN 100 WHEN 'dup_line_share' THEN 500 WHEN 'repeat_share' THEN 150 ELSE 400 END) AS high,
+    CASE WHEN m = 'word_length' THEN q1 - greatest(3 * (q3 - q1), 250) ELSE -1 END AS low FROM chosen
+), outside AS (
+  SELECT DISTINCT j.doc_id FROM (SELECT doc_id, lang, source, m, v FROM judged UNPIVOT (v FOR m IN (symbol_share, dup_line_share, repeat_share, word_length))) j
+  JOIN fence f ON j.lang IS NOT DISTINCT FROM f.lang AND j.source IS NOT DISTINCT FROM f.source AND j.m = f.m WHERE v > high OR v < low
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept FROM judged
+"""
