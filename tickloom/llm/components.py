@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from tickloom.session import written
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _is_starred(links: DataFrame) -> bool:
+    """Every node has one link at most, to a node that has none: each star is a component, around its least node."""
+    twice = links.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
+    inner = links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
+    return twice.unionByName(inner).isEmpty()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -32,9 +35,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Every step's result is a written table, so lost executors cost one step.  A node's links are never gathered in one row.
     """
-    at = written(links.select("a", "b").filter("a != b").distinct(), "links")
-    state = None
-    while (now := _state(at)) != state:
-        state = now
+    at = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "links")
+    while not _is_starred(at):
         at = written(_small_star(written(_large_star(at), "links")), "links")
     return at
