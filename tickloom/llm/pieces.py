@@ -207,7 +207,9 @@ class Codec:
         return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.cache.many([self.stretches(t) for t in texts])
+        cut = [self.stretches(t) for t in texts]
+        known = self.cache.learn(cut)
+        return [b"".join(map(known, stretches)) for stretches in cut]
 
     def decode(self, ids: list[int]) -> str:
         table = self.vocabulary.decoded

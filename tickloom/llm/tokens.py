@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,75 +22,140 @@ from tickloom.llm.common import partitions, text_of
 FILE_SCHEMA = "chunk int, doc_id long, at long, n_tokens long, ids array<int>"
 #: Entries of the newer half of a worker's cache of encoded pieces; the older half holds as many.
 CACHED = 400_000
-#: Documents whose ids are held at a time, at most.
-BATCH = 256
-#: Runs of white space that must not be parted (a piece begins with at most one space).
-LONG_BLANKS = re.compile(r"\s{3}|\s\s\Z")
+#: Documents whose ids are held at a time, at most; new pieces that are encoded as one text.
+BATCH, TOGETHER = 256, 2000
+#: A piece that begins or ends with white space, or holds a long run of it: the pre-tokenizer may join it with its neighbour.
+ODD = re.compile(r"\A\s|\s\Z|\s{3}")
+#: Runs of blanks in which a line end does not stand alone.
+RUNS = re.compile(r"\s{3}|\s\s\Z|\n ")
+#: Signs before which a word's token ends.
+SIGNS = frozenset(".,;:!?")
 
 
 class PieceCache:
-    """Bytes of ids per piece of text, bounded: when the newer half is full it becomes the older one."""
+    """Values per piece of text, bounded: when the newer half is full it becomes the older one."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int = CACHED):
+    def __init__(self, encode: Callable[[list[str]], list], size: int = CACHED):
         self.encode, self.size = encode, size
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
 
-    def many(self, lists: list[list[str]]) -> list[bytes]:
+    def learn(self, lists: list[list[str]]) -> Callable[[str], bytes | None]:
+        """The lookup of a piece, for all pieces of the lists."""
         wanted = set().union(*lists)
         if len(self.new) + len(wanted) > self.size:
             self.old, self.new = self.new, {}
-        missing = []
-        for piece in wanted.difference(self.new):
-            if (known := self.old.get(piece)) is None:
-                missing.append(piece)
-            else:
-                self.new[piece] = known
+        missing = wanted - self.new.keys()
+        for piece in self.old.keys() & missing:
+            self.new[piece] = self.old[piece]
+        missing = list(missing - self.new.keys())
         self.new.update(zip(missing, self.encode(missing), strict=True))
-        get = self.new.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in lists]
-
-
-def library_encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
+        return self.new.__getitem__
 
-    def encode(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=np.uint32).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return encode
+class SpaceCodec:
+    """Encodes texts with the library, each distinct piece between blanks once per worker.
 
-
-def space_pieces(text: str) -> list[str]:
-    """The text cut before each space, for vocabularies whose pieces hold at most one space, in front.
-
-    A text with longer runs of white space stays whole: there the pre-tokenizer takes several blanks together.
+    For byte-level vocabularies whose pieces hold at most one space, in front: the text is cut before each space, and pieces
+    are looked up without it; it is cut before each line end too, and such a piece keeps the line end.  A last sign after a
+    letter is a token of its own, so the word without it is looked up.  A text with an odd piece (see ``ODD``), or with what may
+    be a special token, is encoded whole.  New pieces are encoded many in one text; its ids are parted where a piece begins.
     """
-    if LONG_BLANKS.search(text) or "<|" in text:  # special tokens may span spaces
-        return [text]
-    first, *rest = text.split(" ")
-    return [first, *[" " + piece for piece in rest]] if first else [" " + piece for piece in rest]
 
-
-_caches: dict[tuple, PieceCache] = {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.spaced, self.lined = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.spaced[i] = token.startswith("\u0120")  # the byte-level signs for a space and a line end
+            self.lined[i] = token == "\u010a"
+        self.line_end, self.signs = self._ids("\n").tobytes(), {c: self._ids(c).tobytes() for c in SIGNS}
+        self.later, self.first = PieceCache(self._later), PieceCache(self._first, CACHED // 8)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _first(self, pieces: list[str]) -> list[bytes | None]:
+        """Pieces that begin a text, as they are."""
+        return [None if ODD.search(p) else self._ids(p).tobytes() for p in pieces]
+
+    def _together(self, pieces: list[str], before: str, begins_with: np.ndarray, found: dict[str, bytes | None]) -> None:
+        for low in range(0, len(pieces), TOGETHER):
+            part = pieces[low:low + TOGETHER]
+            ids = self._ids(before + before.join(part))
+            begins = np.flatnonzero(begins_with[ids])
+            if len(begins) != len(part):
+                raise ValueError("this vocabulary has pieces with several blanks: encode whole texts")
+            data, bounds = ids.tobytes(), [*(begins * 4).tolist(), len(ids) * 4]
+            found.update(zip(part, [data[a:b] for a, b in pairwise(bounds)], strict=True))
+
+    def _later(self, pieces: list[str]) -> list[bytes | None]:
+        """Pieces that follow a space, or begin with a line end; None for odd ones."""
+        found: dict[str, bytes | None] = {}
+        known, signed, wanted = self.later.new, [], set()
+        for p in pieces:
+            if p.isalpha():
+                wanted.add(p)
+                continue
+            body = p[1:] if p[:1] == "\n" else p
+            if body[-1:] in SIGNS and body[:-1].isalpha():
+                signed.append(p)
+                wanted.add(p[:-1])
+            elif not body or ODD.search(body):
+                found[p] = None
+            else:
+                wanted.add(p)
+        wanted -= known.keys()
+        self._together([p for p in wanted if p[0] != "\n"], " ", self.spaced, found)
+        self._together([p[1:] for p in wanted if p[0] == "\n"], "\n", self.lined, lines := {})
+        found.update(zip(["\n" + p for p in lines], lines.values(), strict=True))
+        for p in signed:
+            word = found.get(p[:-1])
+            found[p] = (known[p[:-1]] if word is None else word) + self.signs[p[-1]]
+        known.update(found)  # the words without their signs as well
+        return list(map(found.__getitem__, pieces))
+
+    def _whole(self, text: str, head: bytes | None, pieces: list[str]) -> bytes:
+        """A text with odd pieces; where these are empty lines alone, its other pieces still do."""
+        later = self.later.new
+        if head is None or RUNS.search(text) or any(later[p] is None and p != "\n" for p in pieces):
+            return self._ids(text).tobytes()
+        return head + b"".join([later[p] or self.line_end for p in pieces])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace("\n", " \n").split(" ") if "<|" not in t else [t, ""] for t in texts]
+        first = self.first.learn([x[:1] for x in cut])
+        heads = [x.pop(0) for x in cut]
+        later = self.later.learn(cut)
+        out = []
+        for text, head, pieces in zip(texts, heads, cut, strict=True):
+            try:
+                out.append(first(head) + b"".join(map(later, pieces)))
+            except TypeError:  # an odd piece has no ids of its own
+                out.append(self._whole(text, first(head), pieces))
+        return out
+
+
+_codecs: dict[str, SpaceCodec] = {}
 
 
 def encode_partition(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    cache = _caches.get((tokenizer_path,)) or _caches.setdefault((tokenizer_path,), PieceCache(library_encoder(tokenizer_path)))
+    codec = _codecs.get(tokenizer_path) or _codecs.setdefault(tokenizer_path, SpaceCodec(tokenizer_path))
     end, at = np.array([end_id], dtype=np.uint32).tobytes(), 0
     for batch in batches:
         for low in range(0, batch.num_rows, BATCH):
             part = batch.slice(low, BATCH)
-            ids = [x + end for x in cache.many([space_pieces(t) if t else [] for t in part.column("text").to_pylist()])]
-            counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            ids = codec.encode(part.column("text").to_pylist())
+            counts = np.array([len(x) // 4 + 1 for x in ids], dtype=np.int64)
             places = at + np.cumsum(counts) - counts
             at += int(counts.sum())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
+            values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(end.join([*ids, b""]))])
             yield pa.RecordBatch.from_arrays(
                 [part.column("chunk"), part.column("doc_id"), pa.array(places), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)],
                 names=["chunk", "doc_id", "at", "n_tokens", "ids"],
