@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import text_of, words
+from tickloom.llm.common import let, partitions, text_of
 from tickloom.session import written
 
 #: Lines with fewer words are never dropped (headings, braces); from NEAR words on one word may differ.
@@ -24,19 +24,40 @@ BITS = 1 << 23
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, text_hash, no, w, m, h1, h2`` of every line with EXACT words or more."""
+    """``id, text_hash, no, w, m, wh, h1`` of every line with EXACT words or more; ``wh``: a hash per word."""
     text = text_of(text_col)
-    cut = F.filter(F.transform(F.split(text, "\n"), lambda line, no: F.struct(no.alias("no"), words(line).alias("w"))), lambda x: F.size(x["w"]) >= EXACT)
+    cut = F.filter(F.transform(F.split(flat_lines(text), "\n"), lambda line, no: F.struct(no.alias("no"), _words(line).alias("w"))), lambda x: F.size(x["w"]) >= EXACT)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.explode(cut).alias("x")).select("id", "text_hash", "x.no", "x.w")
-    return rows.select("*", F.size("w").alias("m"), F.xxhash64("w").alias("h1"), F.xxhash64(F.lit("2"), "w").alias("h2"))
+    hashed = rows.select("*", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh"))
+    return hashed.withColumn("h1", F.xxhash64("wh"))
 
 
-def _halves(w: Column, m: Column) -> Column:
+def flat_lines(text: Column) -> Column:
+    """Every blank but the line end as a space."""
+    for blank in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
+
+
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
+def _hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _second(wh: Column) -> Column:
+    """The other half of a line's 128-bit key."""
+    return F.xxhash64(F.lit("2"), wh)
+
+
+def _halves(wh: Column, m: Column) -> Column:
     """Hashes of the first and second half, as the shorter line and as the longer one of a pair."""
 
     def of(length: Column) -> list[Column]:
         h = F.floor(length / 2).cast("int")
-        return [F.xxhash64(F.lit("first"), length, F.slice(w, F.lit(1), h)), F.xxhash64(F.lit("second"), length, F.slice(w, m - (length - h) + 1, length - h))]
+        return [F.xxhash64(F.lit("first"), length, F.slice(wh, F.lit(1), h)), F.xxhash64(F.lit("second"), length, F.slice(wh, m - (length - h) + 1, length - h))]
 
     return F.when(m >= NEAR, F.array(*of(m), *of(m - 1)))
 
@@ -56,10 +77,10 @@ def _has_bit(h: Column) -> Column:
     return F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(1) == 1
 
 
-def _neighbourhood(w: Column, m: Column) -> Column:
+def _neighbourhood(wh: Column, m: Column) -> Column:
     """A key for each word left out, and for each place at which a word may be missing."""
-    out = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(i, m - 1, F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, m))))
-    return F.concat(out, F.transform(F.sequence(F.lit(0), m), lambda i: F.xxhash64(i, m, w)))
+    out = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(i, m - 1, F.xxhash64(F.concat(F.slice(wh, F.lit(1), i), F.slice(wh, i + 2, m)))))
+    return F.concat(out, let(F.xxhash64(wh), lambda h: F.transform(F.sequence(F.lit(0), m), lambda i: F.xxhash64(i, m, h))))
 
 
 def _one_word_apart(a: Column, b: Column) -> Column:
@@ -78,26 +99,27 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Earlier means by id (null first), then digest of the text, then place in the text.
     """
     place = F.struct("id", "text_hash", "no")
-    lines = _lines(docs, id_col, text_col)
-    halves = lines.select("h1", "h2", place.alias("place"), _halves(F.col("w"), F.col("m")).alias("halves"))
+    lines, n = _lines(docs, id_col, text_col), partitions(docs.sparkSession)
+    halves = lines.select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), _halves(F.col("wh"), F.col("m")).alias("halves"))
     distinct = written(halves.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves")), "line-distinct")
 
     half = distinct.select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
     shared = written(half.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "line-shared-halves")
-    able = half.join(shared, "half", "left_semi").select("h1", "h2").distinct()
-    candidates = written(distinct.select("h1", "h2", "place").join(able, ["h1", "h2"], "left_semi"), "line-candidates")
+    candidates = written(half.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
 
     marks = _set_bits(candidates).withColumnRenamed("bucket", "mark_bucket")
     passed = lines.withColumn("mark_bucket", F.bitmap_bucket_number(_bit(F.col("h1")))).join(F.broadcast(marks), "mark_bucket").filter(_has_bit(F.col("h1")))
-    texts = written(
-        passed.select("h1", "h2", "w", "m", place.alias("place")).join(candidates, ["h1", "h2", "place"]).dropDuplicates(["h1", "h2"]), "line-candidate-texts")
-
-    keyed = texts.select("h1", "h2", "place", F.explode(_neighbourhood(F.col("w"), F.col("m"))).alias("key"))
-    leads = keyed.groupBy("key").agg(F.min(F.struct("place", "h1", "h2")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    leads = written(leads.select("key", F.col("lead.place").alias("lead_place"), F.col("lead.h1").alias("lead_h1"), F.col("lead.h2").alias("lead_h2")), "line-leads")
-    pairs = keyed.join(leads, "key").filter(F.col("lead_place") < F.col("place")).select("h1", "h2", "lead_h1", "lead_h2").distinct()
-    leading = texts.select(F.col("h1").alias("lead_h1"), F.col("h2").alias("lead_h2"), F.col("w").alias("lead_w"))
-    near = pairs.join(texts.select("h1", "h2", "w"), ["h1", "h2"]).join(leading, ["lead_h1", "lead_h2"]).filter(_one_word_apart(F.col("w"), F.col("lead_w")))
+    keyed = passed.select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), "w").join(candidates, ["h1", "h2"], "left_semi")
+    first = keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("w").alias("w"))  # a line's occurrences have the same words
+    ordered = first.repartitionByRange(n, "place").sortWithinPartitions("place").withColumn("line", F.monotonically_increasing_id())
+    texts = written(ordered.drop("place"), "line-texts")  # lines are numbered in order of their first place
+
+    variants = texts.repartition(n).select("line", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh")).select("line", F.explode(_neighbourhood(F.col("wh"), F.col("m"))).alias("key"))
+    variants = written(variants, "line-variants")
+    leads = written(variants.groupBy("key").agg(F.min("line").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead"), "line-leads")
+    pairs = variants.join(leads, "key").filter("lead < line").select("line", "lead").distinct()
+    leading = texts.select(F.col("line").alias("lead"), F.col("w").alias("lead_w"))
+    near = pairs.join(texts, "line").join(leading, "lead").filter(_one_word_apart(F.col("w"), F.col("lead_w")))
     gone = written(near.select("h1", "h2").distinct(), "line-near")
     return distinct.join(gone, ["h1", "h2"], "left_anti").select("place.*")
 
@@ -116,12 +138,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.withColumn("_line_hash", F.xxhash64(text_of(text_col)))
     joined = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_line_hash") == F.col("_kept_hash")), "left")
     cut = joined.withColumn("_cut", F.split(text, "\n"))
-    long = F.filter(F.transform("_cut", lambda line, i: F.when(F.size(words(line)) >= EXACT, i)), lambda i: i.isNotNull())
+    long = F.filter(F.transform(F.split(flat_lines(text), "\n"), lambda line, i: F.when(F.size(_words(line)) >= EXACT, i)), lambda i: i.isNotNull())
     marked = cut.withColumn("_gone", F.array_except(long, F.coalesce("_kept", F.array().cast("array<int>"))))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_cut") - 1), "_gone")
     rebuilt = F.when(F.size("_gone") == 0, text).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_cut", i)), "\n"))
-    names = [text_col if c == text_col else c for c in docs.columns]
     return marked.select(
-        *[rebuilt.alias(c) if c == text_col else F.col(c) for c in names],
+        *[rebuilt.alias(c) if c == text_col else F.col(c) for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(F.size("_cut")).cast("long").alias(counts[0]), F.when(text.isNull(), 0).otherwise(F.size("_gone")).cast("long").alias(counts[1]),
     )
