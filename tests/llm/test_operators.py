@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -273,6 +274,56 @@ def test_mix(docs, empty):
     assert mix_sources(empty).count() == 0
 
 
+@pytest.mark.parametrize(("n", "weights"), [
+    (8000, [0.55, *[0.05] * 9]), (1400, [0.5, *[0.5 / 63] * 63]), (5000, [1.0, 2.0, 0.0001, 3**0.5]), (300, [7, 2, 1]),
+])
+def test_every_prefix_is_within_one_block_of_the_weights(n, weights):
+    """The target weights themselves, over many blocks; no source ends before."""
+    total = sum(map(Fraction, weights))
+    part = [Fraction(w) / total for w in weights]
+    plan = segments(dict.fromkeys(range(len(weights)), n), dict(enumerate(weights)))
+    order = [s for p in plan for s in p["order"] * p["cycles"]][:n]
+    seen = [0] * len(weights)
+    for t, s in enumerate(order, 1):
+        seen[s] += 1
+        assert all(abs(k - p * t) < 1 for k, p in zip(seen, part, strict=True))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_every_prefix_follows_the_target_when_sources_end(seed):
+    rng = random.Random(seed)
+    left = {s: rng.randrange(1, 60) for s in range(rng.randrange(1, 9))}
+    weights = {s: rng.random() ** 3 + 1e-6 for s in left}
+    order = [s for p in segments(left, weights, 7) for s in p["order"] * p["cycles"]]
+    assert {s: order.count(s) for s in left} == left
+    seen, had = dict.fromkeys(left, 0), dict.fromkeys(left, Fraction(0))
+    for s in order:
+        seen[s] += 1
+        room = Fraction(1)
+        while room:  # one slot shared by those that go on, in exact steps from end to end
+            going = [x for x in left if had[x] < left[x]]
+            whole = sum(Fraction(weights[x]) for x in going)
+            step = min(room / whole, *((left[x] - had[x]) / Fraction(weights[x]) for x in going))
+            for x in going:
+                had[x] += step * Fraction(weights[x])
+            room -= step * whole
+        assert all(abs(seen[x] - had[x]) < 1 for x in left)
+
+
+def test_a_source_without_weight_comes_last():
+    order = [s for p in segments({"a": 3, "b": 2, "c": 4}, {"a": 1, "b": 0, "c": 2}) for s in p["order"]]
+    assert order[7:] == ["b", "b"] and order.count("c") == 4
+
+
+def test_mix_follows_the_given_weights(spark):
+    """Blocks of one document each, through the tables: a weight of 0.9999 gives the other source 1 block of 10 000."""
+    rows = [(i, "x" * 9, "a" if i else "b") for i in range(3000)] + [(9000 + i, "x" * 9, "b") for i in range(5)]
+    found = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"a": 0.9999, "b": 0.0001}, block_bytes=10, slots=1000)
+    at = sorted((r["slot"], r["source"]) for r in found.collect())
+    assert [x for x, _ in at] == list(range(3005))
+    assert [s for _, s in at[:2999]].count("b") <= 1
+
+
 # -- pieces -------------------------------------------------------------------------------------------------------------------
 TEXTS = [t for _, t in ROWS if t] + ["  two  spaces ", f"{BLANK}sign {BLANK}", "日本語" * 60, "\n\n\t", "x" * 400, "🙂 ok\x00"]
 

@@ -1,27 +1,39 @@
 """Mixing sources to target weights, by Pfair scheduling.
 
-A source's documents, in a fixed pseudo-random order, form blocks of ``block_bytes``.  With weight k of D, the j-th block of a
-source is released at floor((j - 1) D / k) and due at ceil(j D / k); the earliest deadline among the released blocks takes each
-slot.  The windows of all sources fill every slot exactly, so no block is late and every source is less than one block from its
-share at any time.  The order repeats after D slots: one such cycle is worked out from the weights alone, and the blocks' slots
-follow by join.  When a source ends, the others go on in proportion.
+A source's documents, in a fixed pseudo-random order, form blocks of ``block_bytes``.  The target is the mix in which every
+slot is shared by the weights of the sources that have something left: when each source has had V times its weight, or all its
+blocks, T(V) = sum of min(w V, blocks) slots are filled.  The j-th block of a source of weight w is released at
+floor(T((j - 1) / w)) and due at ceil(T(j / w)); the earliest deadline among the released blocks takes each slot.  The target
+itself shares out every slot among windows, so the windows can be met, and earliest deadline first meets them: after any
+number of slots every source is less than one block from its target.  Weights are taken as exact fractions.
+
+The slots are worked out one after another by the driver, from the weights and block counts alone (microseconds a block), and
+written stretch by stretch; the blocks' rows follow by join.
 """
 
 from __future__ import annotations
 
 import heapq
-
+import math
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from functools import cmp_to_key
+from itertools import accumulate, islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import in_chunks, literal_rows, text_of
-from tickloom.session import written
+from tickloom.llm.common import in_chunks, text_of
+from tickloom.session import scratch_dir, written
 
-#: Slots of a cycle, and sources that may be mixed; both bound what the driver holds (a cycle for each source that ends).
-RESOLUTION, MOST_SOURCES = 256, 64
+#: Slots that the driver holds at a time, and sources that may be mixed.
+RESOLUTION, MOST_SOURCES = 1 << 18, 64
 
 
-def shares(weights: dict, slots: int = RESOLUTION) -> dict:
+def shares(weights: dict, slots: int) -> dict:
     """Whole shares of ``slots`` in proportion to the weights, at least one each, by largest remainders."""
     total = sum(weights.values())
     spare = slots - len(weights)
@@ -32,61 +44,102 @@ def shares(weights: dict, slots: int = RESOLUTION) -> dict:
     return out
 
 
+def _whole(weights: list) -> list[int]:
+    """Integers in exactly the proportion of the weights."""
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*[x.denominator for x in exact])
+    found = [int(x * scale) for x in exact]
+    common = math.gcd(*found)
+    return [x // common for x in found]
+
+
+def _served(blocks: list[int], weights: list[int]):
+    """``T(j, i)``: numerator and denominator of the slots that the target has filled when source i has had j blocks."""
+    ends = sorted(range(len(blocks)), key=cmp_to_key(lambda i, j: blocks[i] * weights[j] - blocks[j] * weights[i]))
+    at = [blocks[i] / weights[i] for i in ends]
+    ended = list(accumulate((blocks[i] for i in ends), initial=0))
+    going = list(accumulate((-weights[i] for i in ends), initial=sum(weights)))
+    last = len(ends) - 1
+
+    def served(j: int, i: int) -> tuple[int, int]:
+        w = weights[i]
+        k = min(bisect_left(at, j / w), last)  # about so many sources have ended before; then exactly
+        while k and j * weights[ends[k - 1]] < blocks[ends[k - 1]] * w:
+            k -= 1
+        while k < last and j * weights[ends[k]] > blocks[ends[k]] * w:
+            k += 1
+        return ended[k] * w + going[k] * j, w
+
+    return served
+
+
+def schedule(blocks: list[int], weights: list) -> Iterator[int]:
+    """The source (by place in the lists) of each slot, earliest deadline first among the released blocks.
+
+    Sources whose weight is not above zero follow when all others have ended, evenly.
+    """
+    wanted = [i for i, n in enumerate(blocks) if n > 0]
+    for sources in ([i for i in wanted if weights[i] > 0], [i for i in wanted if not weights[i] > 0]):
+        if not sources:
+            continue
+        counts = [blocks[i] for i in sources]
+        served = _served(counts, _whole([weights[i] if weights[i] > 0 else 1 for i in sources]))
+
+        def due(j: int, i: int) -> int:
+            number, by = served(j, i)
+            return -(-number // by)
+
+        waiting = [(0, due(1, i), i, 1) for i in range(len(sources))]
+        heapq.heapify(waiting)
+        ready: list[tuple] = []
+        for t in range(sum(counts)):
+            while waiting and waiting[0][0] <= t:
+                heapq.heappush(ready, heapq.heappop(waiting)[1:])
+            _, i, j = heapq.heappop(ready)
+            yield sources[i]
+            if j < counts[i]:
+                number, by = served(j, i)
+                heapq.heappush(waiting, (number // by, due(j + 1, i), i, j + 1))
+
+
 def cycle(of: dict) -> list[tuple]:
-    """The source of each slot of one cycle, earliest deadline first among the released blocks."""
-    slots = sum(of.values())
-    waiting = [(0, -(-slots // k), str(s), 1, s) for s, k in of.items()]
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    out = []
-    for t in range(slots):
-        while waiting and waiting[0][0] <= t:
-            _, due, name, j, s = heapq.heappop(waiting)
-            heapq.heappush(ready, (due, name, j, s))
-        _, name, j, s = heapq.heappop(ready)
-        out.append(s)
-        if j < of[s]:
-            heapq.heappush(waiting, (j * slots // of[s], -(-(j + 1) * slots // of[s]), name, j + 1, s))
-    return out
+    """The source of each slot where every source has as many blocks as its weight."""
+    names = list(of)
+    return [names[i] for i in schedule(list(of.values()), list(of.values()))]
+
+
+def stretches(blocks: list[int], weights: list, slots: int = RESOLUTION) -> Iterator[array]:
+    """The schedule, ``slots`` slots at a time."""
+    order = schedule(blocks, weights)
+    while part := array("q", islice(order, slots)):
+        yield part
 
 
 def segments(blocks: dict, weights: dict, slots: int = RESOLUTION) -> list[dict]:
-    """Stretches of whole cycles, and the part of a cycle in which a source ends, until no blocks are left.
+    """The schedule as stretches of at most ``slots`` slots: ``at`` (first slot), ``order`` (sources by slot), each gone through once.
 
-    Each has ``at`` (its first slot), ``cycles``, ``order`` (sources by slot) and ``first`` (each source's first block in it).
+    Of equal deadlines the source that stands first in ``weights`` goes first.
     """
-    left, at, out = {s: n for s, n in blocks.items() if n > 0}, 0, []
-    while left:
-        of = shares({s: weights[s] for s in left}, slots)
-        order, first = cycle(of), {s: blocks[s] - n for s, n in left.items()}
-        if whole := min(left[s] // of[s] for s in left):
-            out.append({"at": at, "cycles": whole, "order": order, "first": first})
-            at += whole * slots
-            left = {s: n - whole * of[s] for s, n in left.items()}
-        else:
-            part, rest = [], dict(left)
-            for s in order:
-                part.append(s)
-                rest[s] -= 1
-                if not rest[s]:
-                    break
-            out.append({"at": at, "cycles": 1, "order": part, "first": first})
-            at, left = at + len(part), rest
-        left = {s: n for s, n in left.items() if n}
+    names, at, out = [s for s in weights if s in blocks], 0, []
+    for part in stretches([blocks[s] for s in names], [weights[s] for s in names], slots):
+        out.append({"at": at, "cycles": 1, "order": [names[i] for i in part]})
+        at += len(part)
     return out
 
 
-def timetable(spark: SparkSession, plan: list[dict]) -> DataFrame:
-    """``s, low, high, per_cycle, j, at``: blocks low..high - 1 of source s that are the j-th of their cycle stand at ``at + slots * cycle``."""
-    rows = []
-    for part in plan:
-        seen: dict = {}
-        counts = {s: part["order"].count(s) for s in set(part["order"])}
-        for t, s in enumerate(part["order"]):
-            j = seen[s] = seen.get(s, -1) + 1
-            low = part["first"][s]
-            rows.append({"s": s, "low": low, "high": low + counts[s] * part["cycles"], "per_cycle": counts[s], "j": j, "at": part["at"] + t, "slots": len(part["order"])})
-    return literal_rows(spark, rows, "s:int,low:bigint,high:bigint,per_cycle:bigint,j:bigint,at:bigint,slots:bigint")
+def timetable(spark: SparkSession, names: pa.Array, blocks: list[int], weights: list, slots: int = RESOLUTION) -> DataFrame:
+    """``p_source, p_block, slot`` of every block, written stretch by stretch."""
+    path, at, placed = scratch_dir(spark, "mix-slots"), 0, [0] * len(blocks)
+    for part in stretches(blocks, weights, slots):
+        block = array("q")
+        for i in part:
+            block.append(placed[i])
+            placed[i] += 1
+        rows = pa.table({
+            "p_source": names.take(pa.array(part, pa.int64())), "p_block": pa.array(block, pa.int64()), "slot": pa.array(range(at, at + len(part)), pa.int64())})
+        spark.createDataFrame(rows).coalesce(1).write.mode("append").parquet(path)
+        at += len(part)
+    return spark.read.schema("p_source string, p_block long, slot long").parquet(path)
 
 
 def blocks_of(docs: DataFrame, block_bytes: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -127,21 +180,13 @@ def mix_sources(
     """
     spark = docs.sparkSession
     rows = written(blocks_of(docs, block_bytes, id_col, text_col, source_col), "mix-blocks")
-    found = rows.groupBy("source").agg(F.max("block").alias("last"), F.sum("size").alias("bytes")).orderBy(F.col("source").asc_nulls_first()).limit(MOST_SOURCES + 1).collect()
+    found = rows.groupBy("source").agg(F.max("block").alias("last"), F.sum("size").alias("bytes")).orderBy(F.col("source").asc_nulls_first()).limit(MOST_SOURCES + 1).toArrow()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: mix groups of them first")
-    if not found:
+    if not len(found):
         return rows.select("id", "source", "size", "block", F.lit(0).cast("long").alias("slot"), "text_hash", "mixed")
-    names = [r["source"] for r in found]
-    given = weights or {r["source"]: r["bytes"] ** 0.5 for r in found}
-    weight = {i: given.get(s, min(given.values())) for i, s in enumerate(names)}
-    table = timetable(spark, segments({i: r["last"] + 1 for i, r in enumerate(found)}, weight, max(slots, 2 * len(names))))
-
-    numbers = literal_rows(spark, [{"source": s, "s": i} for i, s in enumerate(names)], "source:string,s:int")
-    blocks = rows.select("source", "block").distinct().join(F.broadcast(numbers.withColumnRenamed("source", "n_source")), _same(F.col("source"), F.col("n_source")))
-    inside = (F.col("block") >= F.col("low")) & (F.col("block") < F.col("high"))
-    on_time = blocks.join(F.broadcast(table.withColumnRenamed("s", "t_s")), (F.col("s") == F.col("t_s")) & inside & ((F.col("block") - F.col("low")) % F.col("per_cycle") == F.col("j")))
-    slot = F.col("at") + F.floor((F.col("block") - F.col("low")) / F.col("per_cycle")) * F.col("slots")
-    placed = written(on_time.select(F.col("source").alias("p_source"), F.col("block").alias("p_block"), slot.alias("slot")), "mix-slots")
+    names, sizes = found["source"].combine_chunks(), found["bytes"].to_pylist()
+    weight = [weights.get(s, min(weights.values())) for s in names.to_pylist()] if weights else [n ** 0.5 for n in sizes]
+    placed = timetable(spark, names, [b + 1 for b in found["last"].to_pylist()], weight, slots)
     joined = rows.join(placed, _same(F.col("source"), F.col("p_source")) & (F.col("block") == F.col("p_block")))
     return joined.select("id", "source", "size", "block", "slot", "text_hash", "mixed")
