@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -324,6 +325,21 @@ def test_mix_follows_the_given_weights(spark):
     assert [s for _, s in at[:2999]].count("b") <= 1
 
 
+def test_mix_of_several_hundred_sources(spark):
+    rng = random.Random(4)
+    rows = [(i, "x" * 9, f"site{min(i % 500, rng.randrange(500))}") for i in range(6000)] + [(9000, "y" * 9, None)]
+    got = sorted((r["slot"], r["source"], r["block"]) for r in mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_bytes=10, slots=700).collect())
+    sizes = Counter(s for _, _, s in rows)
+    assert len(sizes) > 400 and [x for x, _, _ in got] == list(range(6001))
+    assert Counter(s for _, s, _ in got) == sizes
+    weights, seen = {s: n**0.5 for s, n in sizes.items()}, Counter()
+    until = min(n / weights[s] for s, n in sizes.items()) * sum(weights.values())
+    for t, (_, s, block) in enumerate(got, 1):
+        assert block == seen[s]
+        seen[s] += 1
+        assert t > until or all(abs(seen[x] - w * t / sum(weights.values())) < 1 for x, w in weights.items())
+
+
 # -- pieces -------------------------------------------------------------------------------------------------------------------
 TEXTS = [t for _, t in ROWS if t] + ["  two  spaces ", f"{BLANK}sign {BLANK}", "日本語" * 60, "\n\n\t", "x" * 400, "🙂 ok\x00"]
 

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import in_chunks, text_of
 from tickloom.session import scratch_dir, written
 
-#: Slots that the driver holds at a time, and sources that may be mixed.
-RESOLUTION, MOST_SOURCES = 1 << 18, 64
+#: Slots that the driver holds at a time; besides them it holds a row for each source, however many there are.
+RESOLUTION = 1 << 18
 
 
 def shares(weights: dict, slots: int) -> dict:
@@ -176,13 +176,11 @@ def mix_sources(
 
     ``weights``: source -> weight; without them the square root of a source's bytes.  A source without a weight takes the
     smallest one.  Null is a source of its own.  No row is dropped or repeated: small sources end, and the others share their
-    part.  More than MOST_SOURCES sources are refused (mix groups of them first).  An empty table gives no rows.
+    part.  Sources may be any number.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = written(blocks_of(docs, block_bytes, id_col, text_col, source_col), "mix-blocks")
-    found = rows.groupBy("source").agg(F.max("block").alias("last"), F.sum("size").alias("bytes")).orderBy(F.col("source").asc_nulls_first()).limit(MOST_SOURCES + 1).toArrow()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: mix groups of them first")
+    found = rows.groupBy("source").agg(F.max("block").alias("last"), F.sum("size").alias("bytes")).orderBy(F.col("source").asc_nulls_first()).toArrow()
     if not len(found):
         return rows.select("id", "source", "size", "block", F.lit(0).cast("long").alias("slot"), "text_hash", "mixed")
     names, sizes = found["source"].combine_chunks(), found["bytes"].to_pylist()
