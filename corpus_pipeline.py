@@ -5,7 +5,7 @@ Rows are matched to an operator's verdicts by id and digest of the text; rows th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import partitions, text_of
@@ -55,11 +55,23 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys).select(docs.columns)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs``, read from the files that a stage has written, with each row's ``place`` in the order of the files and of their rows."""
+    file = F.col("_metadata.file_name")
+    part, split = (F.regexp_extract(file, pattern, 1).try_cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)\."))
+    rows = docs.select("*", F.struct(part.alias("part"), split.alias("split"), file.alias("name")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("n")).select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    joined = rows.join(F.broadcast(files), F.col("_file") == F.col("_f"))  # as many rows as files
+    return joined.select(*docs.columns, (F.col("before") + F.col("_row")).alias("place"))
+
+
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids, and whether these decode to the text."""
-    del spark, sf_dir
+    """The documents with their piece ids, and whether these decode to the text; ``place`` is that of the mix, and the order of the files."""
+    del sf_dir
     model = vocabulary("piece_bpe_32k.model")
-    decoded = decode_pieces(encode_pieces(docs, model), model, crc_col="ids_crc32")
+    mixed = _placed(docs).repartitionByRange(partitions(spark), "place").sortWithinPartitions("place")
+    decoded = decode_pieces(encode_pieces(mixed, model), model, crc_col="ids_crc32")
     return decoded.withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("exact", F.col("decoded") == text_of()).drop("decoded")
 
 

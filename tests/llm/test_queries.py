@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm import brute
@@ -67,3 +68,18 @@ def test_pipeline(spark):
     assert docs.filter("not exact").count() == 0
     if os.environ.get("FULL_PIPELINE"):
         assert pipeline.run(spark, SF).count() == docs.count()
+
+
+def test_the_mix_reaches_the_last_table(spark, monkeypatch):
+    """Over many files and sources: places are those of the mix's slots, and the files of the last stage stand in that order."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 3 = 0").select("doc_id", F.substring("text", 1, 3000).alias("text"), "lang", "source", "n_chars")
+    monkeypatch.setattr(pipeline, "BLOCK_BYTES", 2000)
+    want = [r["id"] for r in pipeline.mix_sources(docs, block_bytes=2000).orderBy("slot", "mixed", "id", "text_hash").collect()]
+    for name in ("mixing", "pieces"):
+        docs = pipeline.written(dict(pipeline.STAGES)[name](spark, docs, SF), f"test-{name}")
+    rows = docs.select("doc_id", "place", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"), "_metadata.row_index").collect()
+    assert len({r["part"] for r in rows}) > 1 and sorted(r["place"] for r in rows) == list(range(len(want)))
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["place"])] == want
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: (r["part"], r["row_index"]))] == want
