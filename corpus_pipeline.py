@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import partitions, text_of
 from tickloom.llm.linededup import line_dedup
 from tickloom.llm.mixing import mix_sources
-from tickloom.llm.neardup import near_duplicates
+from tickloom.llm.neardup import LOOSE, near_duplicates
 from tickloom.llm.pieces import decode_pieces, encode_pieces
 from tickloom.llm.quality import quality_rules
 from tickloom.llm.queries import BLOCK_BYTES, vocabulary
@@ -40,9 +40,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id."""
+    """One document of each group of near-duplicates (five words, similarity 0.80 or more), that with the smallest id."""
     del spark, sf_dir
-    kept = near_duplicates(docs).filter("kept").select("id", "text_hash")
+    kept = near_duplicates(docs, **LOOSE).filter("kept").select("id", "text_hash")
     return _matched(docs, kept, "left_semi").select(docs.columns)
 
 

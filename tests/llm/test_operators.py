@@ -184,6 +184,39 @@ def test_bitmaps_do_not_reject_similar_sets():
             assert (bands[0] == bands[1]).any()
 
 
+def between_80_and_85(rng, n):
+    """Pairs of texts of 250 words with five scattered words changed: similarity 221 / 271."""
+    out = []
+    for i in range(n):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(250)]
+        v = list(w)
+        for k in range(20, 245, 45):
+            v[k] = f"other{i}k{k}"
+        out += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    return out
+
+
+def test_near_duplicates_at_80_percent(spark):
+    rows = between_80_and_85(random.Random(8), 60)
+    pair = [brute.shingle_set(t) for _, t in rows[:2]]
+    assert 80 <= 100 * len(pair[0] & pair[1]) / len(pair[0] | pair[1]) < 85
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_id(near_duplicates(table, **neardup.LOOSE), "n_shingles", "component_id") == brute.components_of(rows, 80)
+    assert by_id(near_duplicates(table), "n_shingles", "component_id") == brute.components_of(rows)
+
+
+def test_bitmaps_do_not_reject_sets_at_80_percent():
+    rng = np.random.default_rng(1)
+    for n in (5, 40, 400, 6000):
+        for _ in range(20):
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            b = np.concatenate([a, rng.integers(0, 1 << 63, n // 4, dtype=np.uint64)])
+            _, _, bands, samples, sets = neardup.sign(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 36)
+            x, y = samples.view(np.uint64), sets.view(np.uint64)
+            assert neardup.may_be_similar(np.array([len(a)]), np.array([len(b)]), x[:1] ^ x[1:], y[:1] ^ y[1:], 80)[0]
+            assert bands.shape == (2, 36) and (bands[0] == bands[1]).any()
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(2000, 2001 + i) for i in range(50)]

@@ -1,6 +1,7 @@
 """The registered queries over the smallest tables: against their SQL, or against plain versions."""
 
 import os
+import random
 
 import duckdb
 import pytest
@@ -83,3 +84,13 @@ def test_the_mix_reaches_the_last_table(spark, monkeypatch):
     assert len({r["part"] for r in rows}) > 1 and sorted(r["place"] for r in rows) == list(range(len(want)))
     assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["place"])] == want
     assert [r["doc_id"] for r in sorted(rows, key=lambda r: (r["part"], r["row_index"]))] == want
+
+
+def test_pipeline_links_from_80_percent(spark):
+    import corpus_pipeline as pipeline
+
+    from tests.llm.test_operators import between_80_and_85
+
+    rows = between_80_and_85(random.Random(9), 20)
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in pipeline.near_dedup(spark, docs, SF).collect()) == list(range(0, 40, 2))

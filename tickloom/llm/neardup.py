@@ -1,6 +1,6 @@
 """MinHash near-duplicates with odd sketches.
 
-1. Shingles are hashed in the JVM; per text ``BANDS * ROWS`` MinHash samples are drawn in numpy.  The samples form bands, and
+1. Shingles are hashed in the JVM; per text SAMPLES MinHash samples are drawn in numpy.  The samples form bands, and
    they are folded into a parity bitmap (the odd sketch).  A second bitmap folds the whole set.  The population count of two
    bitmaps' XOR grows with the difference, so both bound a pair's similarity from above, tightly where it is high.
 2. Texts with equal sets are one class; only its first row goes on.
@@ -10,7 +10,8 @@
 4. Every pair that passes the bitmaps is confirmed on the full sets.  Links give components.
 
 A pair within one component needs no further test; all other pairs that share a band are tested, whatever the bucket's size.
-At similarity 0.85 a pair shares no band with probability 7e-7, and each bitmap rejects it with about 1e-9.
+At similarity 0.85 a pair shares no band of 6 rows with probability 7e-7, at 0.80 none of 5 rows with 6e-7; each bitmap rejects
+it with about 1e-9.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from tickloom.llm.components import components
 from tickloom.session import written
 
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS = 30, 6
-SAMPLES = BANDS * ROWS
+SAMPLES, BANDS = 180, 30
+#: Percent and bands (a divisor of SAMPLES) for similarities of 0.80 and more.
+LOOSE = {"percent": 80, "bands": 36}
 #: Bits of the samples' and of the sets' parity bitmaps.
 SAMPLE_BITS, SET_BITS = 1024, 2048
 #: Standard deviations that a bitmap grants beyond the expected count.
@@ -64,8 +66,9 @@ def _parity(rows: np.ndarray, bits: np.ndarray, n_rows: int, n_bits: int) -> np.
     return np.packbits(counts & 1, axis=1)
 
 
-def sign(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def sign(values: np.ndarray, offsets: np.ndarray, n_bands: int = BANDS) -> tuple[np.ndarray, ...]:
     """Fingerprints, bands and bitmaps of consecutive non-empty sets of hashes."""
+    rows = SAMPLES // n_bands
     n = len(offsets) - 1
     begins, lengths = offsets[:-1], np.diff(offsets)
     of_row = np.repeat(np.arange(n), lengths)
@@ -78,9 +81,9 @@ def sign(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         np.bitwise_xor(narrow, FLIP[k], out=scratch)
         np.multiply(scratch, SPREAD[k], out=scratch)
         samples[:, k] = np.minimum.reduceat(scratch, begins)
-    bands = np.full((n, BANDS), 1, np.uint64) + np.arange(BANDS, dtype=np.uint64)
-    for r in range(ROWS):
-        bands = _mix(bands * np.uint64(0xD6E8FEB86659FD93) ^ samples[:, r::ROWS], 0x9E3779B97F4A7C15)
+    bands = np.full((n, n_bands), 1, np.uint64) + np.arange(n_bands, dtype=np.uint64)
+    for r in range(rows):
+        bands = _mix(bands * np.uint64(0xD6E8FEB86659FD93) ^ samples[:, r::rows], 0x9E3779B97F4A7C15)
     place = _mix(samples.astype(np.uint64) << np.uint64(8) | np.arange(SAMPLES, dtype=np.uint64), 0xC2B2AE3D27D4EB4F)
     sample_bits = _parity(np.repeat(np.arange(n), SAMPLES), (place >> np.uint64(40)).astype(np.int64).ravel() % SAMPLE_BITS, n, SAMPLE_BITS)
     return f1, f2, bands, sample_bits, set_bits
@@ -92,7 +95,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(rows.tobytes())])
 
 
-def sign_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sign_partition(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.RecordBatch]:
     """Adds the signature to ``row, doc_id, text_hash, set``; sets of about AT_ONCE values at a time."""
     for batch in batches:
         offsets = batch.column("set").offsets.to_numpy()
@@ -101,12 +104,12 @@ def sign_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         while low < batch.num_rows:
             high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + AT_ONCE, "right")) - 1)
             at = offsets[low:high + 1]
-            f1, f2, bands, sample_bits, set_bits = sign(values[at[0]:at[-1]], at - at[0])
+            f1, f2, bands, sample_bits, set_bits = sign(values[at[0]:at[-1]], at - at[0], n_bands)
             part = batch.slice(low, high - low)
             yield pa.RecordBatch.from_arrays([
                 part.column("row"), part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(at).astype(np.int64)),
                 pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                pa.ListArray.from_arrays(pa.array((np.arange(len(at)) * BANDS).astype(np.int32)), pa.array(bands.view(np.int64).ravel())),
+                pa.ListArray.from_arrays(pa.array((np.arange(len(at)) * n_bands).astype(np.int32)), pa.array(bands.view(np.int64).ravel())),
                 _binary(sample_bits), _binary(set_bits),
             ], names=["row", "doc_id", "text_hash", "n_shingles", "f1", "f2", "bands", "sample_bits", "set_bits"])
             low = high
@@ -141,17 +144,17 @@ def _words64(column: pa.Array, bits: int) -> np.ndarray:
     return data[start:start + len(column) * width].reshape(len(column), width).view(np.uint64)
 
 
-def pass_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pass_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n_a, n_b = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
         good = may_be_similar(
             n_a, n_b, _words64(b.column("samples_a"), SAMPLE_BITS) ^ _words64(b.column("samples_b"), SAMPLE_BITS),
-            _words64(b.column("sets_a"), SET_BITS) ^ _words64(b.column("sets_b"), SET_BITS),
+            _words64(b.column("sets_a"), SET_BITS) ^ _words64(b.column("sets_b"), SET_BITS), percent,
         )
         yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(good)), b.column("b").filter(pa.array(good))], names=["a", "b"])
 
 
-def _compare(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _compare(block: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of the left and right rows of one task that lie in different components and pass the bitmaps."""
     block = block.combine_chunks()
     column = {c: block.column(c).chunk(0) for c in block.column_names}
@@ -162,18 +165,18 @@ def _compare(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     a, b = [], []
     for i in ls:
         others = rs[root[rs] != root[i]]
-        others = others[may_be_similar(n[others], n[i], samples[others] ^ samples[i], sets[others] ^ sets[i])]
+        others = others[may_be_similar(n[others], n[i], samples[others] ^ samples[i], sets[others] ^ sets[i], percent)]
         a.append(np.full(len(others), row[i]))
         b.append(row[others])
     empty = np.empty(0, np.int64)
     return np.concatenate([empty, *a]), np.concatenate([empty, *b])
 
 
-def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by ``task``; a task has at most some BLOCK left and right rows."""
 
     def pairs(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        a, b = _compare(block)
+        a, b = _compare(block, percent)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -191,18 +194,19 @@ def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from pairs(pa.concat_tables(held))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = BANDS) -> DataFrame:
     """One row per document with words; ``row`` numbers them, so repeated ids stay apart."""
     text = text_of(text_col)
     sets = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), shingles(text).alias("set"))
-    return written(sets.filter(F.size("set") > 0).mapInArrow(sign_partition, SIGNATURE), "neardup-signatures")
+    return written(sets.filter(F.size("set") > 0).mapInArrow(lambda batches: sign_partition(batches, n_bands), SIGNATURE), "neardup-signatures")
 
 
 class Verifier:
     """Confirms pairs: first by their bitmaps, then on the full sets of the texts that share a band."""
 
-    def __init__(self, docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, percent: int):
+        self.percent = percent
         text = text_of(text_col)
         named = wanted.select("row", F.col("doc_id").alias("w_id"), "text_hash")
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("t"))
@@ -215,14 +219,16 @@ class Verifier:
             F.col("row").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sample_bits").alias(f"samples_{name}"), F.col("set_bits").alias(f"sets_{name}"))
 
     def passing(self, pairs: DataFrame) -> DataFrame:
-        return written(pairs.join(self.side("a"), "a").join(self.side("b"), "b").mapInArrow(pass_pairs, "a long, b long"), "neardup-passed")
+        percent = self.percent
+        both = pairs.join(self.side("a"), "a").join(self.side("b"), "b")
+        return written(both.mapInArrow(lambda batches: pass_pairs(batches, percent), "a long, b long"), "neardup-passed")
 
     def links(self, passed: DataFrame) -> DataFrame:
         one, other = (self.sets.select(F.col("row").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
         both = passed.join(one, "a").join(other, "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return written(both.filter(100 * common >= PERCENT * union).select("a", "b").distinct(), "neardup-links")
+        return written(both.filter(100 * common >= self.percent * union).select("a", "b").distinct(), "neardup-links")
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -234,14 +240,17 @@ def _rooted(members: DataFrame, stars: DataFrame) -> DataFrame:
     return members.join(stars.select(F.col("a").alias("row"), F.col("b").alias("root")), "row", "left").withColumn("root", F.coalesce("root", "row"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
     """``id, text_hash, n_shingles, component_id, kept``, one row per document.
 
-    ``component_id`` is the smallest id reachable over pairs with 100 * intersection >= 85 * union; the row that bears it is
+    ``component_id`` is the smallest id reachable over pairs with 100 * intersection >= percent * union; the row that bears it is
     kept.  Texts without words, and null texts, link with nothing and are kept.  Rows that repeat an id are documents of their
     own; a null id in a component takes the component's id and goes, alone it stays.  An empty table gives no rows.
+    ``bands`` of SAMPLES / bands rows each must suit the percentage: see LOOSE.
     """
-    signed = signatures(docs, id_col, text_col)
+    if SAMPLES % bands:
+        raise ValueError(f"bands must divide {SAMPLES}")
+    signed = signatures(docs, id_col, text_col, bands)
     classes = written(signed.groupBy("f1", "f2").agg(F.min("row").alias("first"), F.min("doc_id").alias("low")), "neardup-classes")
     firsts = signed.join(classes.select(F.col("first").alias("row")), "row", "left_semi")
 
@@ -249,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = keyed.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("row", "band").alias("h"), "row"))["row"].alias("pivot")).filter("size > 1")
     members = written(keyed.join(written(pivots, "neardup-pivots"), "band"), "neardup-members")
     wanted = written(firsts.join(members.select("row").distinct(), "row", "left_semi").drop("bands", "f1", "f2"), "neardup-wanted")
-    verify = Verifier(docs, wanted, id_col, text_col)
+    verify = Verifier(docs, wanted, id_col, text_col, percent)
 
     beside = members.filter("row != pivot").groupBy("row", "pivot").agg(F.count("*").alias("shared"))
     beside = written(beside, "neardup-beside")
@@ -261,7 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(verify.links(verify.passing(apart.filter("root != other_root").select(*_pair("row", "other")).distinct())))
     stars = components(links)
 
-    links = links.unionByName(verify.links(_left_over(members, wanted, stars)))
+    links = links.unionByName(verify.links(_left_over(members, wanted, stars, percent)))
     stars = components(links)
 
     rooted = _rooted(classes.withColumnRenamed("first", "row"), stars)
@@ -276,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("id"), "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _left_over(members: DataFrame, wanted: DataFrame, stars: DataFrame) -> DataFrame:
+def _left_over(members: DataFrame, wanted: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Pairs that pass the bitmaps, from buckets of more than two texts that still hold several components.
 
     In such a bucket the largest component's texts are held against the others, and the others against each other, block by
@@ -310,5 +319,5 @@ def _left_over(members: DataFrame, wanted: DataFrame, stars: DataFrame) -> DataF
     dealt = placed.select("row", "root", F.explode(F.when(F.col("is_main"), for_main).otherwise(for_other)).alias("x")).select("row", "root", "x.left", "x.task")
     full = dealt.join(wanted.select("row", "n_shingles", "sample_bits", "set_bits"), "row")
     n = partitions(members.sparkSession)
-    found = full.repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare_blocks, "a long, b long")
+    found = full.repartition(n, "task").sortWithinPartitions("task").mapInArrow(lambda batches: compare_blocks(batches, percent), "a long, b long")
     return written(found.distinct(), "neardup-left-over")
