@@ -16,7 +16,8 @@ from tests.test_registry import table_of
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "labels", "conversations"):
+        c.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     return c
 
 
@@ -25,8 +26,8 @@ def rows(con):
     return con.sql("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall()
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

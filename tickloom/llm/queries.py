@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.chat import digest_chats
+from tickloom.llm.common import literal_rows
+from tickloom.llm.divergence import source_divergence
 from tickloom.llm.exact import exact_dedup
+from tickloom.llm.filteraudit import filter_audit
 from tickloom.llm.linededup import line_dedup
 from tickloom.llm.lm import score_texts
 from tickloom.llm.mixing import mix_sources
@@ -113,6 +117,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), *[count(k) for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir)).withColumnsRenamed({"part": "lang", "kind": "part"})
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts hold the template's control strings."""
+    said = [{"conv_id": -7, "turn": i, "role": role, "text": "\\### Assistant: </turn> ok"} for i, role in enumerate(["user", "assistant"])]
+    own = literal_rows(spark, said, "conv_id: bigint, turn: bigint, role: string, text: string")
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(own)
+    return digest_chats(turns).withColumnRenamed("id", "conv_id")
+
+
 SQL["op5_exact_dedup"] = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
@@ -196,3 +219,88 @@ WITH cut AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept FROM judged
 """
+
+SQL["op11_filter_audit"] = """
+WITH base AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), marked AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS bits
+  FROM base LEFT JOIN marked USING (doc_id)
+), cell AS (
+  SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad FROM failed GROUP BY ALL
+), letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), ordered AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), stepped AS (
+  SELECT o, s, 1 << (instr('ABCDE', substr(o, s, 1)) - 1) AS own,
+    (SELECT coalesce(sum(1 << (instr('ABCDE', x) - 1)), 0) FROM letter WHERE instr(substr(o, 1, s - 1), x) > 0) AS earlier
+  FROM (SELECT o, CAST(unnest(range(1, 6)) AS INTEGER) AS s FROM ordered)
+), counted AS (
+  SELECT part, o AS filter_order, s AS step, own,
+    sum(n) FILTER (bits & (own | CAST(earlier AS BIGINT)) = 0) AS kept, sum(n) FILTER (bits & own > 0 AND bits & CAST(earlier AS BIGINT) = 0) AS removed,
+    sum(n) FILTER (bits & own > 0 AND bits & CAST(earlier AS BIGINT) > 0) AS redundant, sum(n) FILTER (bits = own) AS unique_fails,
+    sum(n_good) FILTER (bits & own > 0 AND bits & CAST(earlier AS BIGINT) = 0) AS good_lost,
+    sum(n_bad) FILTER (bits & own > 0 AND bits & CAST(earlier AS BIGINT) = 0) AS toxic_lost
+  FROM cell CROSS JOIN stepped GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
+SQL["op12_source_divergence"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL
+), k AS (
+  SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10
+), z AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), s AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN (c SEMI JOIN k USING (lang, term)) c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS c, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (s.n + 2 * z.v) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * (k.n + 2)) // (z.n + 2 * z.v) AS BIGINT) AS q
+  FROM s JOIN z USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), single AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (FROM pair UNION ALL FROM single)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+SQL["op13_chat_format"] = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)
+), m AS (
+  SELECT *, CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE '@' || url_encode(role) END AS name,
+    len(regexp_extract_all(text, '<[\\\\]*/turn>')) AS n_ends, len(regexp_extract_all(text, '###[\\\\]* (System|User|Assistant|@[A-Za-z0-9.*_%+-]*): ')) AS n_heads
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + length(name) + 2 + length(text) + n_ends + n_heads + 8) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
