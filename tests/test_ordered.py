@@ -162,13 +162,46 @@ def test_null_comes_first_and_stays_together(spark):
     for _, rows in got.groupby("key"):
         missing = rows["value"].isna() & ~rows["id"].isin([r["id"] for r in df.where("isnan(value)").collect()])
         assert rows[missing]["_chunk"].max() <= rows[~missing]["_chunk"].min()
-        assert rows.groupby("_chunk").size().max() <= 40 + (rows["value"] == float("inf")).sum()
+        assert rows.groupby("_chunk").size().max() <= 40
 
 
-def test_chunks_beyond_exact_sums_are_refused(spark, monkeypatch):
+def test_infinite_and_missing_values_are_cut_by_the_next_column(spark):
+    values = [float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(values[i % 4], i) for i in range(2000)], "value double, id long")
+    got = numbered(df, [], ["value", "id"], chunk_rows=30).toPandas()
+    order = {None: 0, float("-inf"): 1, float("inf"): 2}
+    rank = [3 if i % 4 == 0 else order[values[i % 4]] for i in got["id"]]
+    assert list(got.assign(rank=rank).sort_values(["rank", "id"])["rn"]) == list(range(1, 2001))
+    assert split_ordered(df, [], ["value", "id"], chunk_rows=30).assign(df).groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 30
+
+
+def test_more_rows_than_small_chunks_can_hold(spark, data, monkeypatch):
     from tickloom.operators import ordered
 
+    pdf, df = data
     monkeypatch.setattr(ordered, "MAX_CHUNKS", 3)
-    monkeypatch.setattr(ordered, "EXACT_ROWS", 100)
-    with pytest.raises(ValueError, match="parts of the table"):
-        split_ordered(spark.range(1000), [], ["id"])
+    split = split_ordered(df, [], ["value", "id"], chunk_rows=10)
+    assert split.chunk_rows == -(-len(pdf) // 3)
+    got = numbered(df, [], ["value", "id"], chunk_rows=10).toPandas().sort_values("id")
+    order = pdf.sort_values(["value", "id"]).reset_index(drop=True).reset_index().sort_values("id")
+    assert list(got["rn"]) == list(order["index"] + 1)
+
+
+def ks_by_hand(a, b):
+    grid = np.unique(np.concatenate([a, b]))
+    return max(abs(np.mean(a <= x) - np.mean(b <= x)) for x in grid)
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.3])
+def test_ks_is_exact_with_ties_and_shuffles_only_cells_that_may_hold_it(spark, shift):
+    from tickloom.operators import drift
+
+    rng = np.random.default_rng(8)
+    a = np.concatenate([np.round(rng.normal(size=4000), 2), np.full(1500, 0.5)])
+    b = np.concatenate([np.round(rng.normal(size=3000) + shift, 2), np.full(900, 0.5)])
+    one, other = (spark.createDataFrame([(float(x),) for x in v], "x double") for v in (a, b))
+    assert drift.ks_test(one, other, ["x"], chunk_rows=40).first()["statistic"] == pytest.approx(ks_by_hand(a, b), abs=1e-12)
+    if shift:
+        long = one.select("x", F.lit(1).alias("r"), F.lit(0).alias("c")).unionByName(other.select("x", F.lit(0).alias("r"), F.lit(1).alias("c")))
+        split = split_ordered(long, [], ["x"], {"r": F.col("r"), "c": F.col("c")}, 40, refine=drift._may_hold_the_gap)
+        assert split.assign(long, kept=drift._may_hold_the_gap).count() < 0.35 * long.count()

@@ -32,12 +32,12 @@ def latest(df: DataFrame, order: str, tiebreak: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(order), F.desc(tiebreak)).limit(n)
 
 
-def _distributions(reference: DataFrame, current: DataFrame, columns: Sequence[str], chunk_rows=None) -> DataFrame:
-    """Per (feature, value): both empirical distribution functions ``f_ref`` and ``f_cur`` there."""
+def _distributions(reference: DataFrame, current: DataFrame, columns: Sequence[str], chunk_rows=None, kept=None) -> DataFrame:
+    """Per (feature, value): both empirical distribution functions ``f_ref`` and ``f_cur`` there (``kept``: of some slices only)."""
     long = unpivoted(both_sides(reference, current, columns), columns, ["side"]).where(F.col("value").isNotNull())
     cum = cumulative(long, ["feature"], "value", {
         "ref": (F.col("side") == REFERENCE).cast("double"), "cur": (F.col("side") == CURRENT).cast("double"),
-    }, chunk_rows=chunk_rows)
+    }, chunk_rows=chunk_rows, kept=kept)
     return cum.withColumns({
         "f_ref": per(F.col("cum_ref"), F.col("all_ref")), "f_cur": per(F.col("cum_cur"), F.col("all_cur")),
     })
@@ -52,11 +52,32 @@ def kolmogorov_p(statistic: Column, n: Column, m: Column, terms: int = 100) -> C
     return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.greatest(F.least(series, F.lit(1.0)), F.lit(0.0)))
 
 
+def _may_hold_the_gap(slices: list) -> list[bool]:
+    """Branch and bound: which slices of a feature's values can hold the largest gap of the two distribution functions.
+
+    The functions are known where slices end, which gives a lower bound.  Inside a slice the gap cannot pass what it would be with
+    all of the slice's reference rows before its current rows, or the other way round.
+    """
+    ref, cur = (sum(s.sums[k] for s in slices) for k in (0, 1))
+    if not ref or not cur:
+        return [i == 0 for i in range(len(slices))]  # no statistic
+    least, most = 0.0, []
+    for s in slices:
+        start = s.sums_before[0] / ref - s.sums_before[1] / cur
+        up, down = s.sums[0] / ref, s.sums[1] / cur
+        least = max(least, abs(start + up - down))
+        most.append(max(abs(start + up), abs(start - down)))
+    return [m >= least * (1 - 1e-9) for m in most]
+
+
 def ks_test(reference: DataFrame, current: DataFrame, columns: Sequence[str], alpha: float = 0.05,
             chunk_rows: int | None = None) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov per feature: statistic, p_value, drifted (p below alpha)."""
+    """Two-sample Kolmogorov-Smirnov per feature: statistic, p_value, drifted (p below alpha).
+
+    Values are counted on a grid that is refined only where the statistic may lie; rows of the other cells are not shuffled.
+    """
     gap = F.abs(F.col("f_ref") - F.col("f_cur"))
-    stats = _distributions(reference, current, columns, chunk_rows).groupBy("feature").agg(
+    stats = _distributions(reference, current, columns, chunk_rows, _may_hold_the_gap).groupBy("feature").agg(
         F.max(gap).alias("statistic"), F.max("all_ref").alias("_n"), F.max("all_cur").alias("_m")
     )
     return stats.withColumn("p_value", kolmogorov_p(F.col("statistic"), F.col("_n"), F.col("_m"))).select(
