@@ -25,7 +25,7 @@ from tickloom.session import written
 #: Terms are kept from so many documents of their part on; shares are in billionths; ranks of single terms.
 LEAST_DOCS, SCALE, RANKS = 10, 1_000_000_000, 10
 #: Bytes of text cut into terms at a time; counted (group, term) pairs that a worker holds; products of a block.
-AT_ONCE, HELD, PAIRS = 4 << 20, 1 << 20, 1 << 22
+AT_ONCE, HELD, PAIRS = 2 << 20, 1 << 19, 1 << 21
 
 #: Letters in lower case, bytes of other scripts as they are, 0 for all else.
 _LETTER = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], dtype=np.uint8)
@@ -239,7 +239,8 @@ def source_divergence(
     cells = joint_tables(terms)
     margins = cells.filter("g = h").select("part", "g", "a", "number")
     totals = margins.groupBy("part", "g").agg(F.sum(F.col("a") * F.col("number")).alias("n"))
-    sizes = terms.groupBy("part").agg(F.count("*").alias("v"), F.sum("n").alias("part_n"))
+    # a written table's size is known, so small ones are broadcast and large ones joined by key
+    sizes = written(terms.groupBy("part").agg(F.count("*").alias("v"), F.sum("n").alias("part_n")), "divergence-parts")
     there = docs.select(F.coalesce(F.col(part_col), F.lit("")).alias("part"), F.coalesce(F.col(source_col), F.lit("")).alias("source")).distinct()
     named = totals.withColumnRenamed("g", "source")
     groups = there.join(named, ["part", "source"], "left").join(sizes, "part", "left").select(
