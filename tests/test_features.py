@@ -3,12 +3,18 @@
 import datetime as dt
 import random
 from collections import deque
+from dataclasses import replace
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from tickloom.operators.features import future_volatility, tick_features
+from pyspark.sql import functions as F
+
+from tickloom.operators import ordered
+from tickloom.operators.features import asof_past_price, future_volatility, tick_features
+from tickloom.operators.ordered import split_ordered
 from tickloom.schemas import FEATURES, FeatureWindows
 
 START = dt.datetime(2024, 1, 1)
@@ -127,9 +133,84 @@ def test_plan_has_one_shuffle_and_one_sort(spark):
         assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("chunk_rows", [None, 40])
+@pytest.mark.parametrize("prices", ["walk", "odd"])
+def test_without_a_limit_on_the_buffer(spark, chunk_rows, prices):
+    w = replace(FeatureWindows(), buffer_size=None)
+    rows = make_ticks(21, 600, prices=prices)
+    rows += [("B", 5000 + i, START + dt.timedelta(days=2, seconds=i // 3), 90.0 + i % 5, 90.0, 91.0) for i in range(200)]  # prices of before a long silence
+    tolerance = {} if prices == "walk" else {"rtol": 1e-5, "atol": 1e-5}
+    compare(tick_features(frame(spark, rows), w, chunk_rows).toPandas(), simulate(rows, w), **tolerance)
+
+
+def test_unlimited_history_copies_the_longest_window_only(spark):
+    """Of all that is older than the window, and than the slices it reaches into, each chunk gets one row."""
+    ticks = spark.range(4000).select(F.lit("A").alias("symbol"), (F.col("id") * 10).alias("us"), F.col("id").alias("seq"))
+    split = split_ordered(ticks, ["symbol"], ["us", "seq"], chunk_rows=400, track_last=True)
+    copied = split.with_halo(ticks, span_before=500).where("not _own").groupBy("_chunk").agg(
+        F.count("*").alias("n"), F.min("us").alias("oldest"), F.min("_base").alias("base"))
+    own = split.with_halo(ticks, span_before=500).where("_own").groupBy("_chunk").agg(F.min("us").alias("begin"), F.min("_base").alias("base"))
+    rows = copied.join(own.drop("base"), "_chunk").collect()
+    assert len(rows) > 8
+    for r in rows:
+        assert 50 < r["n"] <= 50 + 400 // 16 + 2 and r["oldest"] < r["begin"] - 500 and r["base"] == r["oldest"] // 10
+
+
+def test_past_prices_of_any_age(spark):
+    rows = make_ticks(31, 300)
+    for chunk_rows in (None, 25):
+        got = {(r["symbol"], r["seq"]): r["past_price"] for r in asof_past_price(frame(spark, rows), 30, None, chunk_rows).collect()}
+        by_symbol = {}
+        for s, seq, ts, price, *_ in sorted(rows, key=lambda r: (r[2], r[1])):
+            ticks = by_symbol.setdefault(s, [])
+            ticks.append((ts, price))
+            if (s, seq) in got:
+                old = [p for t, p in ticks if t <= ts - dt.timedelta(seconds=30)]
+                assert got[s, seq] == (old[-1] if old else None)
+
+
+def test_more_rows_than_chunks_of_the_usual_size(spark, monkeypatch):
+    """With three chunks at most the table is cut into larger ones; nothing is refused."""
+    monkeypatch.setattr(ordered, "MAX_CHUNKS", 3)
+    rows = make_ticks(41, 500)
+    w = FeatureWindows().scaled(1, 20)
+    compare(tick_features(frame(spark, rows), w, 10).toPandas(), simulate(rows, w))
+    check_future_volatility(spark, rows, 10)
+
+
+def test_totals_over_many_chunks_are_exact(spark):
+    """Returns from 10^7 % down to 10^-6 %: the sum over all chunks is that of exact fractions, rounded once."""
+    from tickloom.operators import features
+
+    rng = random.Random(51)
+    price, rows = 100.0, []
+    for i in range(900):
+        price *= rng.choice([1 + 1e-8, 1 - 1e-8, 1.5, 1 / 1.5, 1e5, 1e-5])
+        price = min(max(price, 1e-6), 1e9)
+        rows.append(("A", i, START + dt.timedelta(seconds=i), price, price, price))
+    base, split = features._split_ticks(frame(spark, rows), 20)
+    assert split.groups and max(s.chunk for s in next(iter(split.groups.values()))) > 40
+    own, _ = features._ranked(frame(spark, rows), 1, 20)
+    known = features._running_totals(own.where("_own").withColumn("_next_us", F.lit(0)), split)
+    width = Fraction(1 << 30)
+    changes = [None] + [(b[3] - a[3]) / a[3] * 100 for a, b in zip(rows, rows[1:])]
+    exact, squares = Fraction(0), Fraction(0)
+    by_seq = {r["seq"]: r for r in known.select("seq", "_e", "_tot").collect()}
+    for i, change in enumerate(changes):
+        if change is not None:
+            exact, squares = exact + Fraction(change), squares + Fraction(change * change)
+        t, e = by_seq[i]["_tot"], int(by_seq[i]["_e"])
+        for value, moment, top, scale in ((exact, "r", "_rt", e), (squares, "q", "_qt", 2 * e)):
+            limbs = ((Fraction(t[top]) * width + t[f"_{moment}0"]) * width + t[f"_{moment}1"]) * width + t[f"_{moment}2"]
+            assert abs(limbs * Fraction(2) ** (scale - 90) - value) <= (i + 1) * Fraction(2) ** (scale - 90)
+
+
 @pytest.mark.parametrize("chunk_rows", [None, 30])
 def test_future_volatility(spark, chunk_rows):
-    rows = make_ticks(11, 400)
+    check_future_volatility(spark, make_ticks(11, 400), chunk_rows)
+
+
+def check_future_volatility(spark, rows, chunk_rows):
     got = {(r["symbol"], r["ts"]): r for r in
            future_volatility(frame(spark, rows), 60, 0.1, chunk_rows).collect()}
     end = max(r[2] for r in rows)

@@ -6,6 +6,8 @@ it by props.k.  Events are minutes apart, so windows are 360 times as long as th
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.operators.features import tick_features
@@ -15,6 +17,7 @@ from tickloom.session import written
 SCALE = 360
 WINDOWS = FeatureWindows().scaled(SCALE)
 SMALL_BUFFER = FeatureWindows().scaled(SCALE, buffer_size=25)
+UNBOUNDED = replace(WINDOWS, buffer_size=None)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,7 +64,7 @@ ticks AS (
 
 def features_sql(windows: FeatureWindows = WINDOWS, name: str = "features") -> str:
     """CTEs that compute the feature table from a CTE named ticks, by RANGE frames over a composite key."""
-    size = windows.buffer_size
+    size = windows.buffer_size or 1 << 60  # none: more than any symbol has
     unit = 1_000_000_000  # one second of the key: microseconds x 1000
     frames, cols = [], []
     for n, s in windows.returns.items():
@@ -85,10 +88,8 @@ def features_sql(windows: FeatureWindows = WINDOWS, name: str = "features") -> s
         cols.append(
             f"CASE WHEN least(c_{n}, {size}) >= 2 THEN least(c_{n}, {size}) / {float(s)} ELSE 0.0 END AS {n}"
         )
-    frames.append(
-        f"stddev_samp(r) OVER (PARTITION BY symbol ORDER BY key "
-        f"ROWS BETWEEN {size - 2} PRECEDING AND CURRENT ROW) AS sd_full"
-    )
+    rows = "UNBOUNDED" if windows.buffer_size is None else size - 2
+    frames.append(f"stddev_samp(r) OVER (PARTITION BY symbol ORDER BY key ROWS BETWEEN {rows} PRECEDING AND CURRENT ROW) AS sd_full")
     rounded = ", ".join(f"round({c}, 6) AS {c}" for c in FEATURES)
     return f"""
 ranked AS (

@@ -12,7 +12,7 @@ from tickloom.operators.models import (
 )
 from tickloom.operators.ordered import numbered
 from tickloom.plans.fixtures import (
-    FEATURES_SQL, RAW_VALUE_TICKS_SQL, SMALL_BUFFER, TICKS_SQL, WINDOWS, features, features_sql, raw_value_ticks,
+    FEATURES_SQL, RAW_VALUE_TICKS_SQL, SMALL_BUFFER, TICKS_SQL, UNBOUNDED, WINDOWS, features, features_sql, raw_value_ticks,
     rounded, table, ticks,
 )
 from tickloom.plans.registry import ntz, query, six
@@ -261,6 +261,12 @@ def tick_features_small_buffer(spark, sf):
     return features(spark, sf, SMALL_BUFFER)
 
 
+@query("tick_features_unbounded", f"WITH {TICKS_SQL}, {features_sql(UNBOUNDED)} SELECT * FROM features")
+def tick_features_unbounded(spark, sf):
+    """Without a limit on the buffer: windows hold all of their ticks, past prices are of any age."""
+    return features(spark, sf, UNBOUNDED)
+
+
 @query("tick_features_price_guards",
        f"WITH {RAW_VALUE_TICKS_SQL}, {features_sql()} SELECT * FROM features")
 def tick_features_price_guards(spark, sf):

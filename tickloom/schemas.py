@@ -46,7 +46,7 @@ RUN_LOG = T.StructType([
 
 @dataclass(frozen=True)
 class FeatureWindows:
-    """Window lengths in seconds by output column, and the size of the tick buffer they look into."""
+    """Window lengths in seconds by output column, and the size of the tick buffer they look into (None: no limit)."""
 
     returns: dict[str, int] = field(
         default_factory=lambda: {"return_10s": 10, "return_30s": 30, "return_60s": 60}
@@ -57,7 +57,7 @@ class FeatureWindows:
     intensity: dict[str, int] = field(
         default_factory=lambda: {"intensity_30s": 30, "intensity_60s": 60, "intensity_120s": 120}
     )
-    buffer_size: int = 500
+    buffer_size: int | None = 500
 
     def scaled(self, factor: int, buffer_size: int | None = None) -> FeatureWindows:
         """The same columns over windows ``factor`` times as long, for sparse data."""

@@ -146,6 +146,8 @@ def stream_tick_features(
     this is not ``dropDuplicates``.  With ``watermark`` (such as "10 minutes") ticks are taken in time order across
     micro-batches: they wait until the watermark passes them, and ticks older than it are dropped.
     """
+    if windows.buffer_size is None:
+        raise ValueError("a stream keeps a bounded buffer: give a buffer_size")
     if ticks.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         raise ValueError("set the RocksDB state store first: streaming.features.use_rocksdb(spark)")
     typed = ticks.select("symbol", "seq", ticks["ts"].cast("timestamp").alias("ts"), "price", "bid", "ask")
