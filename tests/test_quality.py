@@ -123,6 +123,69 @@ def test_correlation_of_a_constant_is_nan(spark):
     assert stats.strong_correlations(df, ["a", "b"]).count() == 0
 
 
+def test_correlation_equals_pandas(spark, monkeypatch):
+    """Large levels, missing and infinite values, constants, values known apart from each other; many blocks and keys."""
+    monkeypatch.setattr(stats, "_GRAM_ROWS", 37)
+    rng = np.random.default_rng(6)
+    n = 1500
+    base = rng.normal(size=n)
+    pdf = pd.DataFrame({
+        "a": 1e9 + base, "b": 3e9 - base + rng.normal(size=n) * 0.1, "c": np.where(rng.random(n) < 0.4, np.nan, base ** 2), "d": np.full(n, 0.1),
+        "e": np.where(np.arange(n) % 2 == 0, base, np.nan), "f": np.where(np.arange(n) % 2 == 1, base, np.nan), "i": np.where(np.arange(n) == 7, np.inf, base),
+        "k": np.arange(n) % 3})
+    df = spark.createDataFrame(pdf).repartition(7)
+    names = list("abcdefi")
+
+    def check(got, want):
+        found = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in got}
+        assert ("e", "f") not in found  # never known together
+        for (a, b), r in found.items():
+            if "d" in (a, b) or ("i" in (a, b) and "e" not in (a, b)):  # e is unknown where i is infinite
+                assert math.isnan(r), (a, b)
+            else:
+                assert r == pytest.approx(want.loc[a, b], abs=1e-6), (a, b)
+        assert len(found) == 20
+
+    check(stats.correlation_matrix(df, names).collect(), pdf[names].corr())
+    keyed = stats.correlation_matrix(df.where("k < 2"), ["a", "c"], ["k"]).collect()
+    assert {r["k"]: round(r["correlation"], 6) for r in keyed} == {k: round(pdf[pdf.k == k][["a", "c"]].corr().loc["a", "c"], 6) for k in (0, 1)}
+
+
+def test_correlation_reads_the_rows_once(spark):
+    from tickloom.session import scratch_dir
+
+    path = scratch_dir(spark, "gram-input")
+    spark.range(100).select(*((F.col("id") * (i + 1) % 17).cast("double").alias(f"c{i}") for i in range(40))).write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    assert stats.correlation_matrix(spark.read.parquet(path), [f"c{i}" for i in range(40)]).count() == 40 * 39 // 2
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 8  # however many pairs
+
+
+def test_duplicates_are_exact(spark):
+    rows = [(1, None, 0.0), (1, None, -0.0), (None, 1, 0.0), (1, 1, float("nan")), (1, 1, float("nan")), (2, 3, None), (2, 3, None), (2, 3, None), (5, 5, 5.0)]
+    df = spark.createDataFrame(rows, "a int, b int, c double")
+    got = stats.duplicate_rows(df).first()
+    assert (got["rows"], got["duplicates"]) == (9, 4) and got["duplicate_pct"] == pytest.approx(400 / 9)
+    assert stats.duplicate_rows(df.distinct()).first()["duplicates"] == 0
+    assert stats.duplicate_rows(df.limit(0)).first()["rows"] is None
+
+
+def test_colliding_digests_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(stats, "_digest", lambda df: [F.lit(1).cast("long").alias("_d1"), F.lit(2).cast("long").alias("_d2")])
+    df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "a int")
+    assert stats.duplicate_rows(df).first()["duplicates"] == 1
+
+
+def test_sketches_merge_and_keep_their_error(spark):
+    df = spark.range(200_000).select((F.col("id") % 60_000).cast("double").alias("x"), (F.col("id") % 7 - 3.0).alias("y"), (F.col("id") % 30).alias("day"))
+    daily = stats.distinct_sketches(df, ["x", "y"], ["day"])
+    merged = {r["feature"]: r["distinct_values"] for r in stats.merged_distinct(daily).collect()}
+    whole = {r["feature"]: r["distinct_values"] for r in stats.distinct_counts(df, ["x", "y"], approximate=True).collect()}
+    for got in (merged, whole):
+        assert got["y"] == 7 and abs(got["x"] - 60_000) <= 60_000 * 4 * 1.04 / 64
+
+
 def test_histogram_closes_the_last_bin(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "v double")
     got = {r["bin"]: r["count"] for r in stats.histogram(df, "v", 5).collect()}

@@ -9,6 +9,7 @@ from tickloom.operators import evaluation as ev, stats
 from tickloom.plans.fixtures import (
     DAILY_SQL, FEATURES_SQL, REQUESTS_SQL, SCORED_SQL, daily_scores, requests, scored, stored_features, table,
 )
+from tickloom.session import written
 from tickloom.plans.registry import query, six
 from tickloom.schemas import FEATURES
 
@@ -86,6 +87,23 @@ def distinct_counts(spark, sf):
     return six(stats.distinct_counts(stored_features(spark, sf, columns=names), names))
 
 
+@query("distinct_counts_merged", f"""WITH {LONG_SQL}
+SELECT feature, count(DISTINCT value) AS exact, count(value) AS known, true AS close, true AS same_merged_twice
+FROM long WHERE feature LIKE 'return%' GROUP BY feature""")
+def distinct_counts_merged(spark, sf):
+    """Sketches per day, stored and merged: the estimate lies within four deviations of the exact count, however days are merged."""
+    names = ["return_10s", "return_30s", "return_60s"]
+    rows = stored_features(spark, sf, columns=names)
+    daily = written(stats.distinct_sketches(rows.withColumn("day", F.to_date("ts")), names, ["day"]), "sketches")
+    once = stats.merged_distinct(daily)
+    monthly = stats.merged_distinct(daily.withColumn("month", F.trunc("day", "month")), ["month"])
+    twice = stats.merged_distinct(monthly).select("feature", F.col("distinct_values").alias("again"))
+    exact = stats.distinct_counts(rows, names).select("feature", F.col("distinct_values").alias("exact"))
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return once.join(exact, "feature").join(twice, "feature").select(
+        "feature", "exact", "known", (off <= 1 + F.col("exact") * 4 * 1.04 / 64).alias("close"), (F.col("distinct_values") == F.col("again")).alias("same_merged_twice"))
+
+
 @query("timestamp_uniqueness", """WITH per_time AS (
   SELECT epoch_us(ts) // 600000000 AS slot, count(*) AS size FROM events GROUP BY 1
 ), usual AS (SELECT size FROM per_time GROUP BY size ORDER BY count(*) DESC, size LIMIT 1)
