@@ -2,16 +2,21 @@
 
 import datetime as dt
 import json
+import os
+import time
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_features import compare, frame, make_ticks, simulate
+from tickloom.operators import models, slo
 from tickloom.operators.features import tick_features
-from tickloom.schemas import FEATURES, FeatureWindows
+from tickloom.schemas import FEATURES, LABEL, FeatureWindows
 from tickloom.sources import ticks as raw
-from tickloom.streaming import features as live, jobs
+from tickloom.sources.versions import ModelVersions
+from tickloom.streaming import features as live, jobs, watch
 
 WINDOWS = FeatureWindows().scaled(1, 20)
 
@@ -118,3 +123,174 @@ def test_event_time_order(spark, tmp_path):
     jobs.run_available(jobs.append_table(stream, f"{tmp_path}/out"), f"{tmp_path}/state")
     got = spark.read.parquet(f"{tmp_path}/out").toPandas()
     compare(got, simulate(rows, WINDOWS))
+
+
+def late_stream(spark, path):
+    return live.stream_tick_features(stream_of(spark, path), WINDOWS, watermark="60 seconds", tag_late=True)
+
+
+def test_late_ticks_and_features_account_for_every_tick(spark, tmp_path):
+    """Ticks in four deliveries, some of them long after their time: each is late, or has its part in the features."""
+    live.use_rocksdb(spark)
+    rows = make_ticks(61, 300)
+    path, out, late, state = (f"{tmp_path}/{n}" for n in ("in", "out", "late", "state"))
+    held = [r for r in rows if r[1] % 11 == 0]
+    rest = [r for r in rows if r[1] % 11]
+    end = [("-", 9999, max(r[2] for r in rows) + dt.timedelta(hours=1), 1.0, 1.0, 1.0)]
+    for part in (rest[:150], held[:10] + rest[150:], end, held[10:]):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(path)
+        jobs.run_available(jobs.split_late(late_stream(spark, path), out, late), state)
+    tagged = {r["seq"] for r in spark.read.parquet(late).collect()}
+    assert tagged and tagged <= {r[1] for r in held}
+    in_time = [r for r in rows if r[1] not in tagged]
+    compare(spark.read.parquet(out).toPandas(), simulate(in_time, WINDOWS))
+    newest = {}
+    for r in rest:
+        newest[r[0]] = max(newest.get(r[0], r[2]), r[2])
+    assert {r[1] for r in held[10:] if r[2] < newest[r[0]]} <= tagged
+    kept = {r["seq"]: r["price"] for r in spark.read.parquet(late).collect()}
+    assert all(kept[r[1]] == r[3] for r in held if r[1] in tagged)
+
+
+def test_late_needs_a_watermark(spark, tmp_path):
+    frame(spark, make_ticks(1, 3)).write.parquet(f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="watermark"):
+        live.stream_tick_features(stream_of(spark, f"{tmp_path}/in"), WINDOWS, tag_late=True)
+
+
+def wait_for(what, seconds=90):
+    deadline = time.monotonic() + seconds
+    while time.monotonic() < deadline:
+        if found := what():
+            return found
+        time.sleep(0.5)
+    raise AssertionError("nothing came")
+
+
+def test_a_silent_feed_is_reported_while_it_is_silent(spark, tmp_path):
+    live.use_rocksdb(spark)
+    path, out = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def send(symbol, seq):
+        frame(spark, [(symbol, seq, dt.datetime(2024, 1, 1, 0, 0, seq), 1.0, 1.0, 1.0)]).coalesce(1).write.mode("append").parquet(path)
+
+    def alerts():
+        if not os.path.isdir(f"{out}/_spark_metadata"):
+            return []
+        return sorted(tuple(r) for r in spark.read.schema(watch.ALERT).parquet(out).select("symbol", "event").collect())
+
+    send("A", 1)
+    query = jobs.paced(jobs.append_table(watch.watch_feed(stream_of(spark, path), 2.0), out), f"{tmp_path}/state", "1 second")
+    try:
+        assert wait_for(alerts) == [("A", "stale")]  # no further tick has come
+        send("A", 2)
+        assert wait_for(lambda: len(alerts()) >= 2 and alerts())[:2] == [("A", "recovered"), ("A", "stale")]
+        assert wait_for(lambda: len(alerts()) >= 3 and alerts()) == [("A", "recovered"), ("A", "stale"), ("A", "stale")]
+    finally:
+        query.stop()
+    rows = spark.read.parquet(out).where("event = 'stale'").collect()
+    assert all(2.0 <= r["silent_seconds"] < 60 for r in rows) and {r["last_tick"].second for r in rows} == {1, 2}
+
+
+def test_lag_of_a_running_stream(spark, tmp_path):
+    """Three files at one a batch: the snapshots of the query's progress show its lag fall from two files' rows to none."""
+    path, table = f"{tmp_path}/in", f"{tmp_path}/snapshots"
+    write_batches(spark, make_ticks(71, 60), path, [20, 20, 20])
+    listener = watch.ProgressSnapshots(spark, table, lambda topic: 60)
+    spark.streams.addListener(listener)
+    try:
+        query = jobs.append_table(stream_of(spark, path), f"{tmp_path}/out").queryName("lagging").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        wait_for(lambda: os.path.isdir(table) and watch.read_snapshots(spark, table).count() >= 3)
+    finally:
+        spark.streams.removeListener(listener)
+    snapshots = watch.read_snapshots(spark, table).orderBy("batch_id").collect()
+    assert [(r["consumer_offset"], r["log_end_offset"], r["rows"]) for r in snapshots[:3]] == [(20, 60, 20), (40, 60, 20), (60, 60, 20)]
+    early = watch.read_snapshots(spark, table).where("batch_id < 2")
+    assert slo.consumer_lag(*watch.stream_offsets(early)).first()["lag"] == 20
+    assert slo.lag_by_topic(slo.consumer_lag(*watch.stream_offsets(watch.read_snapshots(spark, table)))).first()["total_lag"] == 0
+
+
+def test_progress_of_sources_with_partitions(spark, tmp_path):
+    source = SimpleNamespace(description="Kafka[Subscribe[ticks.raw]]", endOffset='{"ticks.raw":{"0":15,"1":20}}', latestOffset='{"ticks.raw":{"0":18,"1":20}}', numInputRows=9)
+    other = SimpleNamespace(description="FileSource", endOffset='{"logOffset":3}', latestOffset=None, numInputRows=4)
+    progress = SimpleNamespace(id="q", name=None, batchId=7, timestamp="2024-01-01T00:00:00.000Z", sources=[source, other])
+    rows = watch.ProgressSnapshots(spark, f"{tmp_path}/none").rows_of(progress)
+    assert [r[4:] for r in rows] == [("ticks.raw", 0, 15, 18, 9), ("ticks.raw", 1, 20, 20, 9), ("FileSource", 0, 4, 4, 4)]
+
+
+def refuses_sevens(batch):
+    values = batch.column("value").to_pylist()
+    if any(v == "boom" for v in values):
+        raise RuntimeError("boom")
+    return ["a seven" if v == "7" else None for v in values]
+
+
+def test_failing_messages_stop_nothing_and_are_kept_once(spark, tmp_path):
+    path, done, dead, state = (f"{tmp_path}/{n}" for n in ("in", "done", "dead", "state"))
+
+    def send(values, first):
+        rows = [(v, "ticks", 0, first + i) for i, v in enumerate(values)]
+        spark.createDataFrame(rows, "value string, topic string, partition int, offset long").coalesce(1).write.mode("append").parquet(path)
+
+    def run_once():
+        stream = spark.readStream.schema("value string, topic string, partition int, offset long").option("maxFilesPerTrigger", 1).parquet(path)
+        jobs.run_available(jobs.consume_with_handler(stream, refuses_sevens, done, dead), state)
+
+    send(["1", "boom", "7", "2"], 0)
+    run_once()
+    # the last batch was written but not committed: it is repeated after the restart
+    os.remove(f"{state}/commits/0")
+    for name in os.listdir(f"{state}/commits"):
+        if name.startswith(".0"):
+            os.remove(f"{state}/commits/{name}")
+    send(["3", "boom"], 4)
+    run_once()
+    letters = {r["offset"]: r["reason"] for r in jobs.read_dead_letters(spark, dead).collect()}
+    assert letters == {1: "RuntimeError: boom", 2: "a seven", 5: "RuntimeError: boom"} and jobs.read_dead_letters(spark, dead).count() == 3
+    assert sorted(r["offset"] for r in spark.read.parquet(done).collect()) == [0, 3, 4]
+    jobs.replay_dead_letters(spark, dead, lambda batch: ["still" if v == "7" else None for v in batch.column("value").to_pylist()], done, f"{tmp_path}/still")
+    assert sorted(r["offset"] for r in spark.read.parquet(done).collect()) == [0, 1, 3, 4, 5]
+    assert [(r["offset"], r["reason"]) for r in jobs.read_dead_letters(spark, f"{tmp_path}/still").collect()] == [(2, "still")]
+
+
+def test_a_stream_takes_the_version_in_force(spark, tmp_path):
+    """Rules, a stored forest, and a rollback to the rules while one query runs: each batch bears its version and that one's scores."""
+    rng = np.random.default_rng(9)
+
+    def rows(first):
+        return [("A", first + i, *map(float, rng.normal(size=len(FEATURES)))) for i in range(40)]
+
+    schema = "symbol string, seq long, " + ", ".join(f"{c} double" for c in FEATURES)
+    first, second, third = (spark.createDataFrame(rows(i * 100), schema) for i in range(3))
+    labelled = first.withColumn(LABEL, (F.col("volatility_60s") > 0).cast("int"))
+    model = models.fit_random_forest(labelled, trees=5)
+    models.save_model(model, f"{tmp_path}/model")
+    versions = ModelVersions(f"{tmp_path}/versions")
+    path, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    versions.put_in_force(spark, "rules-1", "baseline")
+    first.coalesce(1).write.parquet(path)
+    query = jobs.paced(jobs.score_versions(spark.readStream.schema(schema).parquet(path), versions, out), f"{tmp_path}/state", "1 second")
+
+    def scored():
+        return {r["seq"]: (r["model_version"], r["probability"]) for r in spark.read.schema("seq long, model_version string, probability double").parquet(out).collect()} if os.path.isdir(out) else {}
+
+    try:
+        wait_for(lambda: len(scored()) == 40)
+        versions.put_in_force(spark, "forest-1", "ml", f"{tmp_path}/model")
+        second.coalesce(1).write.mode("append").parquet(path)
+        wait_for(lambda: len(scored()) == 80)
+        versions.put_in_force(spark, "rules-1")
+        third.coalesce(1).write.mode("append").parquet(path)
+        wait_for(lambda: len(scored()) == 120)
+        assert query.isActive
+    finally:
+        query.stop()
+    want = {}
+    for part, (name, variant) in zip((first, second, third), (("rules-1", "baseline"), ("forest-1", "ml"), ("rules-1", "baseline"))):
+        for r in models.score_with_variant(part, variant, model).collect():
+            want[r["seq"]] = (name, r["probability"])
+    assert scored() == want
+    assert [r["version"] for r in versions.decisions(spark).orderBy("place").collect()] == ["rules-1", "forest-1", "rules-1"]
+    with pytest.raises(ValueError, match="no stored model"):
+        versions.put_in_force(spark, "unheard-of")

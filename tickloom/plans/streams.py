@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from datetime import datetime, timezone
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import slo
 from tickloom.operators.ordered import exact_quantiles
 from tickloom.plans.fixtures import (
-    FEATURES_SQL, REQUESTS_SQL, TICKS_SQL, WINDOWS, requests, rounded, ticks,
+    FEATURES_SQL, REQUESTS_SQL, TICKS_SQL, WINDOWS, features_sql, requests, rounded, ticks,
 )
 from tickloom.plans.objectives import RATE_SQL, SLIDING_SQL, total_latency
 from tickloom.plans.registry import ntz, query, six
@@ -18,6 +19,7 @@ from tickloom.plans.ticks import RULE_SQL, SCALED_SQL, messages, scaled_features
 
 from tickloom.session import scratch_dir
 from tickloom.sources import ticks as raw
+from tickloom.sources.versions import ModelVersions
 from tickloom.streaming import features as live, jobs
 
 
@@ -207,6 +209,75 @@ def stream_in_event_time(spark, sf):
     return rounded(ntz(out, "ts"))
 
 
+_LATE = "seq % 23 = 0"
+_SOME_LATE_SQL = TICKS_SQL.replace("ticks AS", "every_tick AS", 1) + f""", newest AS (
+  SELECT symbol, max(ts) AS released FROM every_tick WHERE NOT ({_LATE}) GROUP BY symbol
+), late AS (
+  SELECT * FROM every_tick JOIN newest USING (symbol) WHERE {_LATE} AND ts < released
+), ticks AS (SELECT * FROM every_tick WHERE seq NOT IN (SELECT seq FROM late))"""
+
+
+@query("stream_late_ticks", f"""WITH {_SOME_LATE_SQL}, {features_sql(WINDOWS)}
+SELECT 'late' AS kind, symbol, seq, ts, round(price, 6) AS price, NULL::DOUBLE AS volatility_60s, NULL::DOUBLE AS return_60s FROM late
+UNION ALL SELECT 'feature', symbol, seq, ts, price, volatility_60s, return_60s FROM features""")
+def stream_late_ticks(spark, sf):
+    """Every 23rd tick comes after the watermark: those older than what their symbol has released go to the late table."""
+    source = ticks(spark, sf)
+    path, out, late, state = (scratch_dir(spark, n) for n in ("arriving", "features", "late", "state"))
+    closing = _closed(source.withColumn("ts", F.col("ts").cast("timestamp")), symbol="-", seq=-1, price=1.0, bid=1.0, ask=1.0).where("symbol = '-'")
+    closing = closing.withColumn("ts", F.col("ts").cast(source.schema["ts"].dataType))
+    for part in (source.where(f"NOT ({_LATE})").repartition(FILES), closing, source.where(_LATE).repartition(FILES)):
+        part.write.mode("append").parquet(path)  # the query stops after the second delivery and goes on with the third
+        if part is not closing and part.where(_LATE).isEmpty():
+            continue
+        stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+        jobs.run_available(jobs.split_late(_features_of(stream, watermark="1 day", tag_late=True), out, late), state)
+    none = F.lit(None).cast("double")
+    found = spark.read.parquet(out).select(F.lit("feature").alias("kind"), "symbol", "seq", "ts", "price", "volatility_60s", "return_60s")
+    tagged = spark.read.parquet(late).select(F.lit("late").alias("kind"), "symbol", "seq", "ts", "price", none.alias("volatility_60s"), none.alias("return_60s"))
+    return six(ntz(found.unionByName(tagged), "ts"))
+
+
+@query("stream_score_versions", f"""WITH {FEATURES_SQL}, {SCALED_SQL}, {RULE_SQL}
+SELECT seq, CAST(t > 5 AS INTEGER) AS prediction, t / 10 AS probability, CASE WHEN seq % 3 = 1 THEN 'rules-2' ELSE 'rules-1' END AS model_version FROM tenths""")
+def stream_score_versions(spark, sf):
+    """One query over three deliveries: a version, its successor, and a rollback to the first, each from its micro-batch on."""
+    rows = scaled_features(spark, sf)
+    path, out, state = (scratch_dir(spark, n) for n in ("features", "scored", "state"))
+    versions = ModelVersions(scratch_dir(spark, "versions"))
+    for part, version in enumerate(["rules-1", "rules-2", "rules-1"]):
+        rows.where(F.col("seq") % 3 == part).write.mode("append").parquet(path)
+        versions.put_in_force(spark, version, "baseline")
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        jobs.run_available(jobs.score_versions(stream, versions, out), state)
+    return spark.read.parquet(out).select("seq", "prediction", "probability", "model_version")
+
+
+def _priced(batch):
+    """A message must be JSON (a cut one raises) and have a price that is a number."""
+    def verdict(text):
+        try:
+            return None if math.isfinite(float(json.loads(text)["price"])) else "price is not finite"
+        except json.JSONDecodeError:
+            raise
+        except ValueError:
+            return "price is not a number"
+
+    return [verdict(text) for text in batch.column("value").to_pylist()]
+
+
+@query("consume_with_handler", """SELECT event_id AS seq,
+  CASE WHEN event_id % 110 = 0 THEN 'JSONDecodeError' WHEN event_id % 50 = 0 THEN 'price is not a number' END AS reason FROM events""")
+def consume_with_handler(spark, sf):
+    """A handler over Arrow batches; what it refuses, or fails on, is in the dead letters with the reason."""
+    path, done, dead = (scratch_dir(spark, n) for n in ("messages", "handled", "dead"))
+    messages(spark, sf).select("seq", "value").repartition(4).write.parquet(path)
+    stream = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(path)
+    jobs.run_available(jobs.consume_with_handler(stream, _priced, done, dead), scratch_dir(spark, "state"))
+    passed = spark.read.parquet(done).select("seq", F.lit(None).cast("string").alias("reason"))
+    return passed.unionByName(jobs.read_dead_letters(spark, dead).select("seq", F.regexp_extract("reason", r"^[\w ]+", 0).alias("reason")))
+
+
 @query("processing_time_stamp", f"WITH {FEATURES_SQL} SELECT symbol, seq, true AS stamped FROM features")
 def processing_time_stamp(spark, sf):
     """Every feature row bears the processing time of its micro-batch, between the begin and the end of the run."""

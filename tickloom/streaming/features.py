@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.schemas import FEATURE_ROW, FeatureWindows
@@ -61,16 +61,18 @@ class TickBuffer(StatefulProcessor):
 
     A tick that is older than held ones takes its place among them: its row, and later ones, see what the buffer holds up to
     their time.  Rows already emitted stay.  With ``in_event_time`` ticks wait until the watermark has passed them, so arrival
-    within the watermark's delay does not matter.
+    within the watermark's delay does not matter.  With ``tag_late`` a tick older than the newest one that its symbol has
+    released is not taken in but returned, tagged.
     """
 
-    def __init__(self, windows: FeatureWindows, in_event_time: bool = False):
-        self.windows, self.in_event_time = windows, in_event_time
+    def __init__(self, windows: FeatureWindows, in_event_time: bool = False, tag_late: bool = False):
+        self.windows, self.in_event_time, self.tag_late = windows, in_event_time, tag_late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("buffer", _TICK)
         self.waiting = handle.getListState("waiting", _TICK) if self.in_event_time else None
+        self.released = handle.getValueState("released", "us bigint") if self.tag_late else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # one symbol of one micro-batch; its size is bounded by the trigger's rate limit
@@ -97,6 +99,11 @@ class TickBuffer(StatefulProcessor):
 
     def _release(self, key, new, timerValues) -> Iterator[pd.DataFrame]:
         """Emit the waiting ticks that the watermark has passed; a timer wakes the rest."""
+        if new is not None and self.tag_late and self.released.exists():
+            late = new[0] < self.released.get()[0]
+            if late.any():
+                yield self._tagged(key, [c[late] for c in new])
+            new = [c[~late] for c in new]
         waiting = self._held(self.waiting)
         if new is not None:
             waiting = [np.concatenate([a, b]) for a, b in zip(waiting, new)]
@@ -110,7 +117,18 @@ class TickBuffer(StatefulProcessor):
         else:
             self.waiting.clear()
         if passed.any():
-            yield from self._emit(key, [c[passed] for c in waiting])
+            ready = [c[passed] for c in waiting]
+            if self.tag_late:
+                self.released.update((int(ready[0].max()),))
+            for frame in self._emit(key, ready):
+                yield frame.assign(late=False) if self.tag_late else frame
+
+    @staticmethod
+    def _tagged(key, ticks: list[np.ndarray]) -> pd.DataFrame:
+        us, seq, price, bid, ask = ticks
+        given = {"symbol": key[0], "seq": seq, "ts": us.astype("datetime64[us]"), "price": price, "bid": bid, "ask": ask}
+        empty = {c: np.full(len(us), np.nan) for c in FEATURE_ROW.fieldNames() if c not in given}
+        return pd.DataFrame(given | empty)[FEATURE_ROW.fieldNames()].assign(late=True)
 
     def _emit(self, key, new: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         held, size = self._held(self.buffer), self.windows.buffer_size
@@ -138,14 +156,18 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def stream_tick_features(
-    ticks: DataFrame, windows: FeatureWindows = FeatureWindows(), watermark: str | None = None,
+    ticks: DataFrame, windows: FeatureWindows = FeatureWindows(), watermark: str | None = None, tag_late: bool = False,
 ) -> DataFrame:
     """The streaming twin of ``operators.features.tick_features``.
 
     Ticks of a micro-batch are taken in (ts, seq) order.  Repeated times are not emitted but stay in the buffer, which is why
     this is not ``dropDuplicates``.  With ``watermark`` (such as "10 minutes") ticks are taken in time order across
-    micro-batches: they wait until the watermark passes them, and ticks older than it are dropped.
+    micro-batches: they wait until the watermark passes them, and ticks older than it are dropped.  With ``tag_late`` none is:
+    the rows get a column ``late``, and a tick that is older than the newest one released for its symbol comes out as such a row,
+    with its price and quote and no features (see ``jobs.split_late``).  One that is not older still takes its place.
     """
+    if tag_late and not watermark:
+        raise ValueError("ticks are late against a watermark: give one")
     if windows.buffer_size is None:
         raise ValueError("a stream keeps a bounded buffer: give a buffer_size")
     if ticks.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
@@ -153,8 +175,11 @@ def stream_tick_features(
     typed = ticks.select("symbol", "seq", ticks["ts"].cast("timestamp").alias("ts"), "price", "bid", "ask")
     if watermark:
         typed = typed.withWatermark("ts", watermark)
+    if tag_late:  # a computed time is no event-time column to Spark, which then leaves it to the processor what is late
+        typed = typed.withColumn("ts", F.timestamp_micros(F.unix_micros("ts")))
+    row = T.StructType([*FEATURE_ROW.fields, T.StructField("late", T.BooleanType())]) if tag_late else FEATURE_ROW
     return typed.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=TickBuffer(windows, bool(watermark)), outputStructType=FEATURE_ROW, outputMode="Append",
+        statefulProcessor=TickBuffer(windows, bool(watermark), tag_late), outputStructType=row, outputMode="Append",
         timeMode="EventTime" if watermark else "None",
     )
 
