@@ -100,3 +100,65 @@ def test_variant_needs_a_model(spark, rows):
     with pytest.raises(ValueError):
         models.score_with_variant(rows, "ml")
     assert models.score_with_variant(rows, "baseline").first()["model_version"] == "baseline-1.0"
+
+
+def walked(spark, model, rows, path):
+    """P(spike) by walking the stored trees with joins in SQL: a row per (row, tree), one level at a time."""
+    model.stages[-1].write().overwrite().save(path)
+    spark.read.parquet(f"{path}/data").selectExpr(
+        "treeID AS tree", "nodeData.id AS id", "nodeData.leftChild AS l", "nodeData.rightChild AS r", "nodeData.split.featureIndex AS f",
+        "get(nodeData.split.leftCategoriesOrThreshold, 0) AS t", "nodeData.impurityStats AS s").createOrReplaceTempView("nodes")
+    inputs = ", ".join(f"CAST({c} AS DOUBLE)" for c in model.stages[0].getInputCols())
+    rows.selectExpr("seq", f"array({inputs}) AS x").createOrReplaceTempView("inputs")
+    at = spark.sql("SELECT seq, x, tree, 0 AS id FROM inputs, (SELECT DISTINCT tree FROM nodes)")
+    for _ in range(10):
+        at.createOrReplaceTempView("at")
+        at = spark.sql("SELECT seq, x, tree, CASE WHEN l < 0 THEN id WHEN x[f] <= t THEN l ELSE r END AS id FROM at JOIN nodes USING (tree, id)").cache()
+    at.createOrReplaceTempView("at")
+    return {r["seq"]: r["p"] for r in spark.sql("SELECT seq, avg(s[1] / (s[0] + s[1])) AS p FROM at JOIN nodes USING (tree, id) GROUP BY seq").collect()}
+
+
+def test_forest_equals_a_walk_over_its_stored_trees(spark, rows, tmp_path):
+    model = models.fit_random_forest(rows, trees=8)
+    want = walked(spark, model, rows, f"{tmp_path}/trees")
+    got = {r["seq"]: r["probability"] for r in models.apply_model(model, rows).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_importances_are_those_of_the_splits(spark, rows):
+    model = models.fit_random_forest(rows, trees=8)
+    want = {r["feature"]: r["importance"] for r in models.feature_importance(spark, model).collect()}
+    got = {r["feature"]: r["importance"] for r in models.importance_of_trees(spark, model).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in got)
+
+
+@pytest.mark.parametrize("broken", ["constant", "inverted", "permuted"])
+def test_a_model_that_has_not_learned_turns_the_rows_red(spark, monkeypatch, broken):
+    """The registered result differs from its SQL twin as soon as predictions do not come from the features."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF
+    from tests.test_registry import table_of
+    from tickloom.plans import learning
+    from tickloom.plans.catalog import QUERIES, SQL
+
+    real = models.apply_model
+
+    def apply_model(model, df):
+        scored = real(model, df)
+        if broken == "constant":
+            return scored.withColumn("prediction", F.lit(1)).withColumn("probability", F.lit(0.9))
+        if broken == "inverted":
+            return scored.withColumn("prediction", 1 - F.col("prediction")).withColumn("probability", 1 - F.col("probability"))
+        coin = F.pmod(F.xxhash64("seq"), F.lit(2)).cast("int")
+        return scored.withColumn("prediction", coin).withColumn("probability", coin.cast("double"))
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    learning.compared(spark, SF)  # fitted as it should be
+    monkeypatch.setattr(models, "apply_model", apply_model)
+    for name in ("random_forest", "predict_batch", "score_with_variant_ml", "run_log"):
+        df = QUERIES[name](spark, SF)
+        twin = con.sql(SQL[name])
+        assert table_of([tuple(r) for r in df.collect()], df.columns) != table_of(twin.fetchall(), twin.columns), name

@@ -126,6 +126,20 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def importance_of_trees(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(feature, importance) summed from the splits of the stored trees: gain times weight, shares per tree, averaged."""
+    forest, path = model.stages[-1], scratch_dir(spark, "trees")
+    forest.write().save(path)
+    weight = F.aggregate("nodeData.impurityStats", F.lit(0.0), lambda x, y: x + y)
+    splits = spark.read.parquet(f"{path}/data").where("nodeData.leftChild >= 0").select(
+        "treeID", F.col("nodeData.split.featureIndex").alias("place"), (F.col("nodeData.gain") * weight).alias("gain"))
+    of_tree = splits.groupBy("treeID").agg(F.sum("gain").alias("whole"))
+    shares = splits.join(of_tree, "treeID").groupBy("place").agg(F.sum(F.col("gain") / F.col("whole")).alias("share"))
+    whole = shares.agg(F.sum("share")).scalar()
+    names = spark.createDataFrame(list(enumerate(model.stages[0].getInputCols())), "place int, feature string")  # one row per input
+    return names.join(shares, "place", "left").select("feature", (F.coalesce("share", F.lit(0.0)) / whole).alias("importance"))
+
+
 class ForestArrays:
     """A fitted forest as flat node arrays, evaluated for blocks of rows over all trees at once.
 
