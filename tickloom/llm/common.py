@@ -40,6 +40,13 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, with underscores behind it as long as a column bears that name (names differ by more than their case)."""
+    while wanted.lower() in {t.lower() for t in taken}:
+        wanted += "_"
+    return wanted
+
+
 def literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A small table from the driver, as a literal of the plan (no Python or RDD on the executors)."""
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))

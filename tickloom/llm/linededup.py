@@ -6,7 +6,7 @@ place, so the earliest of a key is found by an aggregate, without pairs; the edi
 
 Variants are many, so only lines that can have a neighbour emit them: one edited word leaves the first or the second half of
 the shorter line as it was, hence lines that share neither half with another line are out.  The texts of the rest are fetched
-through a bitmap of fixed size, which only saves shuffling: what it lets through is joined exactly.
+through a bitmap of bounded size, which only saves shuffling: what it lets through is joined exactly.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import let, partitions, text_of
+from tickloom.llm.common import free_name, let, partitions, text_of
 from tickloom.session import written
 
 #: Lines with fewer words are never dropped (headings, braces); from NEAR words on one word may differ.
 EXACT, NEAR = 3, 8
-#: Bits of the bitmap that is broadcast (1 MB).
-BITS = 1 << 23
+#: log2 of the bits of a bitmap that is broadcast, at least and at most (32 MB).
+LEAST_BITS, MOST_BITS = 20, 28
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -62,19 +62,25 @@ def _halves(wh: Column, m: Column) -> Column:
     return F.when(m >= NEAR, F.array(*of(m), *of(m - 1)))
 
 
-def _bit(h: Column) -> Column:
-    return F.pmod(h, F.lit(BITS))
+class Bitmap:
+    """The hashes of a written table as bits: rows without a set bit cannot have a partner there."""
 
+    def __init__(self, table: DataFrame, column: str):
+        self.bits = 1 << min(max((8 * table.count()).bit_length(), LEAST_BITS), MOST_BITS)
+        marks = table.select(self._bit(F.col(column)).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("mark_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+        self.marks = F.broadcast(marks)
 
-def _set_bits(candidates: DataFrame) -> DataFrame:
-    return candidates.select(_bit(F.col("h1")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+    def _bit(self, h: Column) -> Column:
+        return F.pmod(h, F.lit(self.bits))
 
-
-def _has_bit(h: Column) -> Column:
-    place = F.bitmap_bit_position(_bit(h))
-    byte = F.conv(F.hex(F.expr("bitmap").substr((F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(1) == 1
+    def passing(self, rows: DataFrame, column: str) -> DataFrame:
+        """Rows whose bit is set."""
+        bit = self._bit(F.col(column))
+        place = F.bitmap_bit_position(bit)
+        byte = F.conv(F.hex(F.expr("bitmap").substr((F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        is_set = F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(1) == 1
+        return rows.withColumn("mark_bucket", F.bitmap_bucket_number(bit)).join(self.marks, "mark_bucket").filter(is_set).drop("mark_bucket", "bitmap")
 
 
 def _neighbourhood(wh: Column, m: Column) -> Column:
@@ -105,11 +111,9 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     half = distinct.select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
     shared = written(half.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "line-shared-halves")
-    candidates = written(half.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
+    candidates = written(Bitmap(shared, "half").passing(half, "half").join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
 
-    marks = _set_bits(candidates).withColumnRenamed("bucket", "mark_bucket")
-    passed = lines.withColumn("mark_bucket", F.bitmap_bucket_number(_bit(F.col("h1")))).join(F.broadcast(marks), "mark_bucket").filter(_has_bit(F.col("h1")))
-    keyed = passed.select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), "w").join(candidates, ["h1", "h2"], "left_semi")
+    keyed = Bitmap(candidates, "h1").passing(lines, "h1").select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), "w").join(candidates, ["h1", "h2"], "left_semi")
     first = keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("w").alias("w"))  # a line's occurrences have the same words
     ordered = first.repartitionByRange(n, "place").sortWithinPartitions("place").withColumn("line", F.monotonically_increasing_id())
     texts = written(ordered.drop("place"), "line-texts")  # lines are numbered in order of their first place
@@ -117,7 +121,7 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     variants = texts.repartition(n).select("line", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh")).select("line", F.explode(_neighbourhood(F.col("wh"), F.col("m"))).alias("key"))
     variants = written(variants, "line-variants")
     leads = written(variants.groupBy("key").agg(F.min("line").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead"), "line-leads")
-    pairs = variants.join(leads, "key").filter("lead < line").select("line", "lead").distinct()
+    pairs = Bitmap(leads, "key").passing(variants, "key").join(leads, "key").filter("lead < line").select("line", "lead").distinct()
     leading = texts.select(F.col("line").alias("lead"), F.col("w").alias("lead_w"))
     near = pairs.join(texts, "line").join(leading, "lead").filter(_one_word_apart(F.col("w"), F.col("lead_w")))
     gone = written(near.select("h1", "h2").distinct(), "line-near")
@@ -130,19 +134,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines are parts between newlines; they are compared by their words, so blanks do not matter.  A line goes if an earlier
     line of the table, in the same document or another, has the same words, or (from eight words on each side) differs by one
     word added, left out or replaced.  The rest of the text stays as it is; a null text stays null and has no lines.  Rows that
-    repeat an id and a text are one document and keep the same lines.  An empty table gives no rows.
+    repeat an id and a text are one document and keep the same lines.  A count whose name is taken gets underscores behind it.
+    An empty table gives no rows.
     """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # the work's own columns cannot clash with these
+    id_name, text_name = (f"c{names.index(c)}" for c in (id_col, text_col))
     kept = surviving_lines(docs, id_col, text_col).groupBy("id", "text_hash").agg(F.collect_list("no").alias("kept"))  # lines of one text
     kept = written(kept.withColumnsRenamed({"id": "_kept_id", "text_hash": "_kept_hash", "kept": "_kept"}), "line-kept")
-    text = F.col(text_col)
-    keyed = docs.withColumn("_line_hash", F.xxhash64(text_of(text_col)))
-    joined = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_line_hash") == F.col("_kept_hash")), "left")
+    text = F.col(text_name)
+    keyed = plain.withColumn("_line_hash", F.xxhash64(text_of(text_name)))
+    joined = keyed.join(kept, F.col(id_name).eqNullSafe(F.col("_kept_id")) & (F.col("_line_hash") == F.col("_kept_hash")), "left")
     cut = joined.withColumn("_cut", F.split(text, "\n"))
     long = F.filter(F.transform(F.split(flat_lines(text), "\n"), lambda line, i: F.when(F.size(_words(line)) >= EXACT, i)), lambda i: i.isNotNull())
     marked = cut.withColumn("_gone", F.array_except(long, F.coalesce("_kept", F.array().cast("array<int>"))))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_cut") - 1), "_gone")
     rebuilt = F.when(F.size("_gone") == 0, text).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_cut", i)), "\n"))
+    n_lines = free_name(counts[0], names)
     return marked.select(
-        *[rebuilt.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.when(text.isNull(), 0).otherwise(F.size("_cut")).cast("long").alias(counts[0]), F.when(text.isNull(), 0).otherwise(F.size("_gone")).cast("long").alias(counts[1]),
+        *[(rebuilt if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)],
+        F.when(text.isNull(), 0).otherwise(F.size("_cut")).cast("long").alias(n_lines),
+        F.when(text.isNull(), 0).otherwise(F.size("_gone")).cast("long").alias(free_name(counts[1], [*names, n_lines])),
     )

@@ -25,6 +25,7 @@ from itertools import accumulate, islice
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import in_chunks, text_of
 from tickloom.session import scratch_dir, written
@@ -127,8 +128,8 @@ def segments(blocks: dict, weights: dict, slots: int = RESOLUTION) -> list[dict]
     return out
 
 
-def timetable(spark: SparkSession, names: pa.Array, blocks: list[int], weights: list, slots: int = RESOLUTION) -> DataFrame:
-    """``p_source, p_block, slot`` of every block, written stretch by stretch."""
+def timetable(spark: SparkSession, names: pa.Array, kind: T.DataType, blocks: list[int], weights: list, slots: int = RESOLUTION) -> DataFrame:
+    """``p_source, p_block, slot`` of every block, written stretch by stretch; ``kind``: the type of a source."""
     path, at, placed = scratch_dir(spark, "mix-slots"), 0, [0] * len(blocks)
     for part in stretches(blocks, weights, slots):
         block = array("q")
@@ -139,7 +140,7 @@ def timetable(spark: SparkSession, names: pa.Array, blocks: list[int], weights:
             "p_source": names.take(pa.array(part, pa.int64())), "p_block": pa.array(block, pa.int64()), "slot": pa.array(range(at, at + len(part)), pa.int64())})
         spark.createDataFrame(rows).coalesce(1).write.mode("append").parquet(path)
         at += len(part)
-    return spark.read.schema("p_source string, p_block long, slot long").parquet(path)
+    return spark.read.schema(T.StructType([T.StructField("p_source", kind), T.StructField("p_block", T.LongType()), T.StructField("slot", T.LongType())])).parquet(path)
 
 
 def blocks_of(docs: DataFrame, block_bytes: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -176,7 +177,8 @@ def mix_sources(
 
     ``weights``: source -> weight; without them the square root of a source's bytes.  A source without a weight takes the
     smallest one.  Null is a source of its own.  No row is dropped or repeated: small sources end, and the others share their
-    part.  Sources may be any number.  An empty table gives no rows.
+    part.  Sources may be any number, and of any type that can be sorted.  A document longer than a block stands at its first
+    block's slot.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = written(blocks_of(docs, block_bytes, id_col, text_col, source_col), "mix-blocks")
@@ -185,6 +187,6 @@ def mix_sources(
         return rows.select("id", "source", "size", "block", F.lit(0).cast("long").alias("slot"), "text_hash", "mixed")
     names, sizes = found["source"].combine_chunks(), found["bytes"].to_pylist()
     weight = [weights.get(s, min(weights.values())) for s in names.to_pylist()] if weights else [n ** 0.5 for n in sizes]
-    placed = timetable(spark, names, [b + 1 for b in found["last"].to_pylist()], weight, slots)
+    placed = timetable(spark, names, rows.schema["source"].dataType, [b + 1 for b in found["last"].to_pylist()], weight, slots)
     joined = rows.join(placed, _same(F.col("source"), F.col("p_source")) & (F.col("block") == F.col("p_block")))
     return joined.select("id", "source", "size", "block", "slot", "text_hash", "mixed")

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tickloom.llm.common import free_name
 from tickloom.llm.tokens import PieceCache, ids_crc32
 
 #: Fixed values of the format: the sign for a blank, and a character that no text holds, for the sign itself.
@@ -29,6 +30,8 @@ SHIFT, UNKNOWN = 2.7, 10.0
 #: Characters between two looks for a meeting point inside a stretch without certain boundaries.
 LOOK = 64
 BATCH = 256
+#: Entries of the newer half of a worker's cache of stretches.
+CACHED = 150_000
 
 
 class Vocabulary:
@@ -52,6 +55,9 @@ class Vocabulary:
                 self.decoded.append(piece.replace(BLANK, " ").encode())
             else:
                 self.decoded.append(b"")
+        self.bytes = np.frombuffer(b"".join(self.decoded), dtype=np.uint8)
+        self.sizes = np.array([len(x) for x in self.decoded], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
         self.unknown = min((s for s, k in zip(scores, kinds, strict=True) if k == "normal"), default=0.0) - UNKNOWN
         #: No piece holds a blank after another character: each blank after one is a boundary of every path.
         self.parts_at_blanks = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p, k in zip(pieces, kinds, strict=True) if k == "normal")
@@ -186,7 +192,7 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.cache = PieceCache(self._encode_stretches)
+        self.cache = PieceCache(self._encode_stretches, CACHED)
 
     def _encode_stretches(self, stretches: list[str]) -> list[bytes]:
         return [array("I", self._search(BLANK + escaped(s))).tobytes() for s in stretches]
@@ -211,9 +217,22 @@ class Codec:
         known = self.cache.learn(cut)
         return [b"".join(map(known, stretches)) for stretches in cut]
 
-    def decode(self, ids: list[int]) -> str:
-        table = self.vocabulary.decoded
-        return b"".join([table[i] for i in ids])[1:].decode()
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of the lists ``ids[offsets[i]:offsets[i + 1]]``: their pieces' bytes, gathered at once, less each one's first blank."""
+        v = self.vocabulary
+        sizes = v.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        data = v.bytes[np.arange(total) + np.repeat(v.begins[ids] - (ends - sizes), sizes)]
+        bounds = np.concatenate([[0], ends])[offsets]
+        if total:
+            stays = np.ones(total, dtype=bool)
+            stays[bounds[:-1][bounds[1:] > bounds[:-1]]] = False
+            data = data[stays]
+            bounds = np.concatenate([[0], np.cumsum(stays)])[bounds]
+        texts = pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+        texts.validate(full=True)  # ids that no text has may not be UTF-8
+        return texts
 
 
 _codecs: dict[str, Codec] = {}
@@ -242,15 +261,21 @@ def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], names=[*names, ids_col])
+        one.cache.old = {}  # idle workers hold the newer half alone
 
     return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
 
 def decode_pieces(encoded: DataFrame, model_path: str, ids_col: str = "piece_ids", text_col: str = "decoded", crc_col: str | None = None) -> DataFrame:
-    """``encoded`` with the text of its ids appended (null ids give an empty text), and optionally the ids' crc32."""
+    """``encoded`` with the text of its ids appended (null ids give an empty text), and optionally the ids' crc32.
+
+    A new column whose name is taken gets underscores behind it.
+    """
     names = encoded.columns
     place = names.index(ids_col)
-    added = [text_col, *([crc_col] if crc_col else [])]
+    added = [free_name(text_col, names)]
+    if crc_col:
+        added.append(free_name(crc_col, [*names, *added]))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = codec(model_path)
@@ -258,7 +283,8 @@ def decode_pieces(encoded: DataFrame, model_path: str, ids_col: str = "piece_ids
             for low in range(0, batch.num_rows, BATCH):
                 part = batch.slice(low, BATCH)
                 ids = part.column(place)
-                texts = pa.array([one.decode(x or []) for x in ids.to_pylist()], pa.string())
+                offsets = ids.offsets.to_numpy()
+                texts = one.decode(ids.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]], offsets - offsets[0])
                 more = [pa.array(ids_crc32(ids))] if crc_col else []
                 yield pa.RecordBatch.from_arrays([*part.columns, texts, *more], names=[*names, *added])
 

@@ -2,8 +2,10 @@
 
 A pattern's matches are marked in the text, which is then split at the marks: lengths of the pieces are all that goes on, and
 running totals of them are the places.  Weak parts (identifiers, credentials, endpoints) are joined by interval within scopes
-of ``SCOPE`` characters: a part is reported if a complementary one begins within that distance.  Per document, scope and role
-only the first and last begin take part in the join, so many parts close together do not multiply.
+of ``SCOPE`` characters: a part is reported if a complementary one begins within that distance.  A credential without a name
+counts beside one other part if it mixes digits, lower and upper case; with a digit and a letter alone (keys of one case, UUIDs)
+it counts where an identifier and an endpoint are both in scope.  Per document, scope and role only the first and last begin
+take part in the join, so many parts close together do not multiply.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ WEAK = {
     "credential": ("", r"[A-Za-z0-9+/_=-]{16,}", 16),
     "endpoint": ("", r"""(?i:https?|ftps?|s3|jdbc:[a-z]+|mongodb|postgres|redis|amqp)://[^\x20\x09-\x0D"'<>]+""", 10),
 }
-#: A credential without a name needs all of these.
-MIXED = [r"[0-9]", r"[a-z]", r"[A-Z]"]
+#: A credential without a name needs these, and is mixed if it has all of the others.
+NEEDED, MIXED = [r"[0-9]", r"[A-Za-z]"], [r"[a-z]", r"[A-Z]"]
 #: role of each kind, and the roles that complete it.
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "identifier": "id", "credential": "secret", "endpoint": "place"}
 COMPLETES = {"id": ["secret"], "secret": ["id", "place"], "place": ["secret"]}
@@ -45,15 +47,35 @@ def _pieces(text: Column, kind: str) -> Column:
     def piece(p: Column, i: Column) -> Column:
         match = i % 2 == 1
         body = F.split_part(p, F.lit(PART), F.lit(2))
-        good = match & (F.char_length(body) >= least)
-        for needed in MIXED if kind == "credential" else []:
-            good = good & body.rlike(needed)
-        return F.struct((F.char_length(p) - F.when(match, 1).otherwise(0)).alias("chars"), good.alias("found"))
+        good, mixed = match & (F.char_length(body) >= least), F.lit(True)
+        if kind == "credential":
+            for needed in NEEDED:
+                good = good & body.rlike(needed)
+            for needed in MIXED:
+                mixed = mixed & body.rlike(needed)
+        return F.struct((F.char_length(p) - F.when(match, 1).otherwise(0)).alias("chars"), good.alias("found"), mixed.alias("mixed"))
 
     cut = F.transform(F.split(marked, MARK), piece)
     return F.when(F.exists(cut, lambda x: x["found"]), cut)
 
 
+def _near(parts: DataFrame, scope: int, completed: Column) -> DataFrame:
+    """Per text, bin and role that is completed: the first and last begin, under the bin and its neighbours."""
+    bins = parts.groupBy("row", "bin", "role").agg(F.min("start").alias("first"), F.max("start").alias("last")).withColumn("completed", completed)
+    return bins.select(
+        F.col("row").alias("n_row"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("n_bin"), "completed", "first", "last")
+
+
+def _beside(weak: DataFrame, near: DataFrame, scope: int) -> DataFrame:
+    """Parts that have a completing one within the scope."""
+    return weak.join(
+        near,
+        (F.col("row") == F.col("n_row")) & (F.col("bin") == F.col("n_bin")) & (F.col("role") == F.col("completed"))
+        & (F.col("first") <= F.col("start") + scope) & (F.col("last") >= F.col("start") - scope),
+        "left_semi",
+    )
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> tuple[DataFrame, DataFrame]:
     """``(row, id)`` of all documents and ``(row, kind, start, end)`` of all reported spans, in code points, end exclusive.
 
@@ -68,7 +90,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope
         "row", "hit.kind", F.posexplode("hit.cut").alias("no", "piece"))
     upto = Window.partitionBy("row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)  # the pieces of one text
     found = rows.withColumn("end", F.sum("piece.chars").over(upto)).filter("piece.found").select(
-        "row", "kind", (F.col("end") - F.col("piece.chars")).alias("start"), "end")
+        "row", "kind", (F.col("end") - F.col("piece.chars")).alias("start"), "end", "piece.mixed")
 
     base = F.col("kind").isin(list(BASE))
     in_text = Window.partitionBy("row").orderBy("start")
@@ -81,19 +103,12 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope
         "secret-parts",
     )
 
+    plain = parts.filter(~F.col("mixed"))
+    for role in ("id", "place"):
+        plain = _beside(plain, _near(parts.filter(F.col("mixed") & (F.col("role") == role)), scope, F.lit("secret")), scope)
+    taking_part = written(parts.filter("mixed").unionByName(plain), "secret-taking-part")
     completes = F.create_map(*[x for r, others in COMPLETES.items() for x in (F.lit(r), F.array(*[F.lit(o) for o in others]))])
-    near = parts.groupBy("row", "bin", "role").agg(F.min("start").alias("first"), F.max("start").alias("last")).withColumn(
-        "completed", F.explode(F.element_at(completes, F.col("role")))
-    ).select(
-        F.col("row").alias("n_row"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("n_bin"), "completed", "first", "last",
-    )
-    weak = parts.filter(~base)
-    linked = weak.join(
-        near,
-        (F.col("row") == F.col("n_row")) & (F.col("bin") == F.col("n_bin")) & (F.col("role") == F.col("completed"))
-        & (F.col("first") <= F.col("start") + scope) & (F.col("last") >= F.col("start") - scope),
-        "left_semi",
-    )
+    linked = _beside(taking_part.filter(~base), _near(taking_part, scope, F.explode(F.element_at(completes, F.col("role")))), scope)
     return scanned.select("row", "id"), parts.filter(base).select("row", "kind", "start", "end").unionByName(linked.select("row", "kind", "start", "end"))
 
 
