@@ -20,7 +20,7 @@ from tickloom.session import written
 #: Lines with fewer words are never dropped (headings, braces); from NEAR words on one word may differ.
 EXACT, NEAR = 3, 8
 #: log2 of the bits of a bitmap that is broadcast, at least and at most (32 MB).
-LEAST_BITS, MOST_BITS = 20, 28
+LEAST_BITS, MOST_BITS = 23, 28
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -111,7 +111,7 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     half = distinct.select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
     shared = written(half.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "line-shared-halves")
-    candidates = written(Bitmap(shared, "half").passing(half, "half").join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
+    candidates = written(half.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
 
     keyed = Bitmap(candidates, "h1").passing(lines, "h1").select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), "w").join(candidates, ["h1", "h2"], "left_semi")
     first = keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("w").alias("w"))  # a line's occurrences have the same words
@@ -121,7 +121,7 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     variants = texts.repartition(n).select("line", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh")).select("line", F.explode(_neighbourhood(F.col("wh"), F.col("m"))).alias("key"))
     variants = written(variants, "line-variants")
     leads = written(variants.groupBy("key").agg(F.min("line").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead"), "line-leads")
-    pairs = Bitmap(leads, "key").passing(variants, "key").join(leads, "key").filter("lead < line").select("line", "lead").distinct()
+    pairs = variants.join(leads, "key").filter("lead < line").select("line", "lead").distinct()
     leading = texts.select(F.col("line").alias("lead"), F.col("w").alias("lead_w"))
     near = pairs.join(texts, "line").join(leading, "lead").filter(_one_word_apart(F.col("w"), F.col("lead_w")))
     gone = written(near.select("h1", "h2").distinct(), "line-near")

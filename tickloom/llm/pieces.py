@@ -31,7 +31,7 @@ SHIFT, UNKNOWN = 2.7, 10.0
 LOOK = 64
 BATCH = 256
 #: Entries of the newer half of a worker's cache of stretches.
-CACHED = 150_000
+CACHED = 400_000
 
 
 class Vocabulary:
