@@ -1,6 +1,7 @@
 """The corpus pipeline: documents, stage by stage, each written and read again as the next one's input.
 
-Rows are matched to an operator's verdicts by id and digest of the text; rows that repeat both are one document.
+Rows are matched to an operator's verdicts by id and digest of the text; rows that repeat both are one document.  Extra columns of
+the documents pass through; a column of the last table whose name they bear gets underscores behind it.
 """
 
 from __future__ import annotations
@@ -8,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import partitions, text_of
+from tickloom.llm.common import free_name, partitions, text_of
 from tickloom.llm.linededup import line_dedup
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.neardup import LOOSE, near_duplicates
@@ -19,10 +20,15 @@ from tickloom.session import written
 
 
 def _matched(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with ``id, text_hash`` of ``verdicts``; the latter's columns are prefixed."""
-    named = verdicts.withColumnsRenamed({c: f"_v_{c}" for c in verdicts.columns})
-    hashed = docs.withColumn("_hash", F.xxhash64(text_of()))
-    return hashed.join(named, F.col("doc_id").eqNullSafe(F.col("_v_id")) & (F.col("_hash") == F.col("_v_text_hash")), how)
+    """``docs`` joined with ``id, text_hash`` of ``verdicts``; the latter stand in one column, named by :func:`_verdict`."""
+    verdict = _verdict(docs)
+    named = verdicts.select(F.struct("*").alias(verdict))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{verdict}.id")) & (F.xxhash64(text_of()) == F.col(f"{verdict}.text_hash"))
+    return docs.join(named, same, how)
+
+
+def _verdict(docs: DataFrame) -> str:
+    return free_name("_verdict", docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +41,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines; documents of which nothing else is left go."""
     del spark, sf_dir
-    cut = line_dedup(docs, counts=("_lines", "_dropped")).filter((F.col("_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return cut.withColumn("n_chars", F.when(F.col("_dropped") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(docs.columns)
+    dropped = free_name("_dropped", docs.columns)
+    cut = line_dedup(docs, counts=(free_name("_lines", docs.columns), dropped)).filter((F.col(dropped) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return cut.withColumn("n_chars", F.when(F.col(dropped) == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,29 +57,31 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix: sources interleaved by the square roots of their sizes, across and within the files."""
     del sf_dir
     order = mix_sources(docs, block_bytes=BLOCK_BYTES).select("id", "text_hash", "slot", "mixed").distinct()
-    keys = ["_v_slot", "_v_mixed", "doc_id", "_hash"]
+    keys = [f"{_verdict(docs)}.slot", f"{_verdict(docs)}.mixed", "doc_id", f"{_verdict(docs)}.text_hash"]
     joined = _matched(docs, order, "inner")
     return joined.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys).select(docs.columns)
 
 
-def _placed(docs: DataFrame) -> DataFrame:
+def _placed(docs: DataFrame, place: str) -> DataFrame:
     """``docs``, read from the files that a stage has written, with each row's ``place`` in the order of the files and of their rows."""
-    file = F.col("_metadata.file_name")
+    file, names = F.col("_metadata.file_name"), docs.columns
+    own, of, row, earlier = (free_name(c, names) for c in ("_file", "_f", "_row", "_before"))
     part, split = (F.regexp_extract(file, pattern, 1).try_cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)\."))
-    rows = docs.select("*", F.struct(part.alias("part"), split.alias("split"), file.alias("name")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = rows.groupBy("_file").agg(F.count("*").alias("n")).select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    joined = rows.join(F.broadcast(files), F.col("_file") == F.col("_f"))  # as many rows as files
-    return joined.select(*docs.columns, (F.col("before") + F.col("_row")).alias("place"))
+    rows = docs.select("*", F.struct(part.alias("part"), split.alias("split"), file.alias("name")).alias(own), F.col("_metadata.row_index").alias(row))
+    before = Window.orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy(own).agg(F.count("*").alias("n")).select(F.col(own).alias(of), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(earlier))
+    joined = rows.join(F.broadcast(files), F.col(own) == F.col(of))  # as many rows as files
+    return joined.select(*names, (F.col(earlier) + F.col(row)).alias(place))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their piece ids, and whether these decode to the text; ``place`` is that of the mix, and the order of the files."""
     del sf_dir
-    model = vocabulary("piece_bpe_32k.model")
-    mixed = _placed(docs).repartitionByRange(partitions(spark), "place").sortWithinPartitions("place")
-    decoded = decode_pieces(encode_pieces(mixed, model), model, crc_col="ids_crc32")
-    return decoded.withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("exact", F.col("decoded") == text_of()).drop("decoded")
+    model, names = vocabulary("piece_bpe_32k.model"), docs.columns
+    place, ids, crc, text, n_pieces, exact = (free_name(c, names) for c in ("place", "piece_ids", "ids_crc32", "decoded", "n_pieces", "exact"))
+    mixed = _placed(docs, place).repartitionByRange(partitions(spark), place).sortWithinPartitions(place)
+    decoded = decode_pieces(encode_pieces(mixed, model, ids_col=ids), model, ids_col=ids, text_col=text, crc_col=crc)
+    return decoded.withColumn(n_pieces, F.size(ids).cast("long")).withColumn(exact, F.col(text) == text_of()).drop(text)
 
 
 #: In this order: quality rules, line dedup, near-duplicates, mixing to target weights, SentencePiece encoding and decoding.
