@@ -255,6 +255,18 @@ def test_lines_one_word_apart(spark):
         assert got == dict(brute.line_dedup(rows))
 
 
+def test_lines_one_word_apart_at_any_place(spark):
+    """Lines of few different words, so that an edit has many explanations, and documents that repeat."""
+    rng = random.Random(4)
+    rows = [(i, "\n".join(" ".join(rng.choice("ab") for _ in range(rng.randint(7, 13))) for _ in range(4))) for i in range(60)]
+    base = [f"w{i}" for i in range(12)]
+    for at in range(13):
+        rows += [(100 + at, " ".join([*(f"{at}{w}" for w in base[:at]), "x", *(f"{at}{w}" for w in base[at:])])), (200 + at, " ".join(f"{at}{w}" for w in base))]
+        rows.append((300 + at, " ".join([*(f"{at}{w}" for w in base[:at]), "y", *(f"{at}{w}" for w in base[at:])])))
+    found = line_dedup(spark.createDataFrame([*rows, rows[0], rows[-1]], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == dict(brute.line_dedup(rows)) and len(found) == len(rows) + 2
+
+
 # -- exact --------------------------------------------------------------------------------------------------------------------
 def test_exact(docs, empty):
     got = sorted((r["id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup(docs, keep="largest").collect())

@@ -4,9 +4,10 @@ A line's variants are its words with any one left out, each keyed by the place a
 place at which a longer line may have one more word.  All lines under one key differ from one another by one word at that
 place, so the earliest of a key is found by an aggregate, without pairs; the edit distance to it is then verified on the words.
 
-Variants are many, so only lines that can have a neighbour emit them: one edited word leaves the first or the second half of
-the shorter line as it was, hence lines that share neither half with another line are out.  The texts of the rest are fetched
-through a bitmap of bounded size, which only saves shuffling: what it lets through is joined exactly.
+Variants are many, so only lines that can have a neighbour emit them, and only at the places where it can differ: one edited
+word leaves the first or the second half of the shorter line as it was, hence lines that share neither half with another line
+are out, and lines that share one half emit the places of the other.  Only the first occurrence of a line is fetched again.
+Rows are picked through bitmaps of bounded size, which only save shuffling: what they let through is joined exactly.
 """
 
 from __future__ import annotations
@@ -28,8 +29,13 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(text_col)
     cut = F.filter(F.transform(F.split(flat_lines(text), "\n"), lambda line, no: F.struct(no.alias("no"), _words(line).alias("w"))), lambda x: F.size(x["w"]) >= EXACT)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.explode(cut).alias("x")).select("id", "text_hash", "x.no", "x.w")
-    hashed = rows.select("*", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh"))
-    return hashed.withColumn("h1", F.xxhash64("wh"))
+    return rows.select("*", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh")).withColumn("h1", F.xxhash64("wh"))
+
+
+def _said(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, text_hash, no, said`` of every line, not yet cut into words."""
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(flat_lines(text), "\n")).alias("no", "said"))
 
 
 def flat_lines(text: Column) -> Column:
@@ -83,10 +89,39 @@ class Bitmap:
         return rows.withColumn("mark_bucket", F.bitmap_bucket_number(bit)).join(self.marks, "mark_bucket").filter(is_set).drop("mark_bucket", "bitmap")
 
 
-def _neighbourhood(wh: Column, m: Column) -> Column:
-    """A key for each word left out, and for each place at which a word may be missing."""
-    out = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(i, m - 1, F.xxhash64(F.concat(F.slice(wh, F.lit(1), i), F.slice(wh, i + 2, m)))))
-    return F.concat(out, let(F.xxhash64(wh), lambda h: F.transform(F.sequence(F.lit(0), m), lambda i: F.xxhash64(i, m, h))))
+#: What a line shares with another, as bits (of the first half, of the second): a half with one of its own length, as the shorter
+#: line a half with a longer one, as the longer line a half with a shorter one.
+EQUAL, SHORTER, LONGER = (1, 2), (4, 8), (16, 32)
+
+
+def _shares(role: Column, n_own: Column, n_longer: Column) -> Column:
+    """Bits of one half; ``role`` is its place in ``_halves``, ``n_own`` and ``n_longer`` count the lines that bear it as the shorter and the longer one."""
+
+    def side(bits: tuple[int, int]) -> Column:
+        return F.when(role % 2 == 0, bits[0]).otherwise(bits[1])
+
+    own = F.when(n_own > 1, side(EQUAL)).otherwise(0) + F.when(n_longer > 0, side(SHORTER)).otherwise(0)
+    return F.when(role < 2, own).otherwise(side(LONGER))
+
+
+def _neighbourhood(wh: Column, m: Column, shares: Column) -> Column:
+    """A key for each word left out, and for each place at which a word may be missing, where the shared halves allow it."""
+    half, half_less = F.floor(m / 2), F.floor((m - 1) / 2)
+
+    def has(bit: int) -> Column:
+        return shares.bitwiseAND(bit) != 0
+
+    def differs(i: Column) -> Column:
+        equal = (has(EQUAL[0]) & (i >= half)) | (has(EQUAL[1]) & (i < half))
+        return equal | (has(LONGER[0]) & (i >= half_less)) | (has(LONGER[1]) & (i <= half_less))
+
+    def misses(i: Column) -> Column:
+        return (has(SHORTER[0]) & (i >= half)) | (has(SHORTER[1]) & (i <= half))
+
+    places = F.filter(F.sequence(F.lit(0), m - 1), differs)
+    out = F.transform(places, lambda i: F.xxhash64(i, m - 1, F.xxhash64(F.concat(F.slice(wh, F.lit(1), i), F.slice(wh, i + 2, m)))))
+    gaps = F.filter(F.sequence(F.lit(0), m), misses)
+    return F.concat(out, let(F.xxhash64(wh), lambda h: F.transform(gaps, lambda i: F.xxhash64(i, m, h))))
 
 
 def _one_word_apart(a: Column, b: Column) -> Column:
@@ -104,27 +139,32 @@ def surviving_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Earlier means by id (null first), then digest of the text, then place in the text.
     """
-    place = F.struct("id", "text_hash", "no")
+    place, spot = F.struct("id", "text_hash", "no"), F.xxhash64("id", "text_hash", "no")
     lines, n = _lines(docs, id_col, text_col), partitions(docs.sparkSession)
     halves = lines.select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), _halves(F.col("wh"), F.col("m")).alias("halves"))
     distinct = written(halves.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves")), "line-distinct")
 
-    half = distinct.select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = written(half.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "line-shared-halves")
-    candidates = written(half.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-candidates")
+    half = distinct.select(F.xxhash64("place.id", "place.text_hash", "place.no").alias("spot"), F.posexplode("halves").alias("role", "half"))
+    per = half.groupBy("half").agg(F.sum(F.when(F.col("role") < 2, 1).otherwise(0)).alias("n_own"), F.count("*").alias("n"))
+    shared = written(per.filter("n > 1 and n_own > 0").select("half", "n_own", (F.col("n") - F.col("n_own")).alias("n_longer")), "line-shared-halves")
+    bits = Bitmap(shared, "half").passing(half, "half").join(shared, "half").select("spot", _shares(F.col("role"), F.col("n_own"), F.col("n_longer")).alias("shares"))
+    candidates = written(bits.groupBy("spot").agg(F.bit_or("shares").alias("shares")), "line-candidates")
 
-    keyed = Bitmap(candidates, "h1").passing(lines, "h1").select("h1", _second(F.col("wh")).alias("h2"), place.alias("place"), "w").join(candidates, ["h1", "h2"], "left_semi")
-    first = keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("w").alias("w"))  # a line's occurrences have the same words
-    ordered = first.repartitionByRange(n, "place").sortWithinPartitions("place").withColumn("line", F.monotonically_increasing_id())
+    said = Bitmap(candidates, "spot").passing(_said(docs, id_col, text_col).withColumn("spot", spot), "spot")
+    once = said.groupBy("id", "text_hash", "no").agg(F.first("said").alias("said")).withColumn("spot", spot)  # documents may repeat
+    found = once.join(candidates, "spot").select(place.alias("place"), "said", "shares")
+    ordered = found.repartitionByRange(n, "place").sortWithinPartitions("place").withColumn("line", F.monotonically_increasing_id())
     texts = written(ordered.drop("place"), "line-texts")  # lines are numbered in order of their first place
 
-    variants = texts.repartition(n).select("line", F.size("w").alias("m"), _hashes(F.col("w")).alias("wh")).select("line", F.explode(_neighbourhood(F.col("wh"), F.col("m"))).alias("key"))
+    hashed = texts.select("line", "shares", _hashes(_words(F.col("said"))).alias("wh")).repartition(n)
+    variants = hashed.select("line", F.explode(_neighbourhood(F.col("wh"), F.size("wh"), F.col("shares"))).alias("key"))
     variants = written(variants, "line-variants")
     leads = written(variants.groupBy("key").agg(F.min("line").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead"), "line-leads")
-    pairs = variants.join(leads, "key").filter("lead < line").select("line", "lead").distinct()
-    leading = texts.select(F.col("line").alias("lead"), F.col("w").alias("lead_w"))
-    near = pairs.join(texts, "line").join(leading, "lead").filter(_one_word_apart(F.col("w"), F.col("lead_w")))
-    gone = written(near.select("h1", "h2").distinct(), "line-near")
+    pairs = Bitmap(leads, "key").passing(variants, "key").join(leads, "key").filter("lead < line").select("line", "lead").distinct()
+    leading = texts.select(F.col("line").alias("lead"), F.col("said").alias("lead_said"))
+    both = pairs.join(texts, "line").join(leading, "lead").select(_words(F.col("said")).alias("w"), _words(F.col("lead_said")).alias("lead_w"))
+    near = both.filter((F.col("w") != F.col("lead_w")) & _one_word_apart(F.col("w"), F.col("lead_w"))).select(_hashes(F.col("w")).alias("wh"))
+    gone = written(near.select(F.xxhash64("wh").alias("h1"), _second(F.col("wh")).alias("h2")).distinct(), "line-near")
     return distinct.join(gone, ["h1", "h2"], "left_anti").select("place.*")
 
 
