@@ -35,8 +35,8 @@ LOOSE = {"percent": 80, "bands": 36}
 SAMPLE_BITS, SET_BITS = 1024, 2048
 #: Standard deviations that a bitmap grants beyond the expected count.
 MARGIN = 6
-#: Shingles hashed at a time; rows of a block of one bucket.
-AT_ONCE, BLOCK = 1 << 18, 512
+#: Shingles hashed at a time, and rows whose bitmaps are made at a time; rows of a block of one bucket.
+AT_ONCE, ROWS, BLOCK = 1 << 18, 1024, 512
 
 _random = np.random.default_rng(20240229)
 FLIP = _random.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -96,13 +96,13 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def sign_partition(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.RecordBatch]:
-    """Adds the signature to ``row, doc_id, text_hash, set``; sets of about AT_ONCE values at a time."""
+    """Adds the signature to ``row, doc_id, text_hash, set``; sets of about AT_ONCE values at a time, and ROWS of them at most."""
     for batch in batches:
         offsets = batch.column("set").offsets.to_numpy()
         values = batch.column("set").values.to_numpy(zero_copy_only=False).view(np.uint64)
         low = 0
         while low < batch.num_rows:
-            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + AT_ONCE, "right")) - 1)
+            high = min(max(low + 1, int(np.searchsorted(offsets, offsets[low] + AT_ONCE, "right")) - 1), low + ROWS)
             at = offsets[low:high + 1]
             f1, f2, bands, sample_bits, set_bits = sign(values[at[0]:at[-1]], at - at[0], n_bands)
             part = batch.slice(low, high - low)

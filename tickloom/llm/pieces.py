@@ -242,10 +242,11 @@ def codec(model_path: str) -> Codec:
     return _codecs.get(model_path) or _codecs.setdefault(model_path, Codec(Vocabulary.load(model_path)))
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "piece_ids", cached: int = CACHED) -> DataFrame:
     """``docs`` with an array of ids appended.  A null or empty text has none.  An empty table gives no rows.
 
-    ``model_path`` must be readable on every executor.  Every column of ``docs`` passes through, whatever its name.
+    ``model_path`` must be readable on every executor.  Every column of ``docs`` passes through, whatever its name.  A worker
+    keeps the ids of up to twice ``cached`` stretches.
     """
     if ids_col in docs.columns:
         raise ValueError(f"{ids_col} is taken: name another column for the ids")
@@ -254,6 +255,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = codec(model_path)
+        one.cache.size = cached
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH):
                 part = batch.slice(low, BATCH)
