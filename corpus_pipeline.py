@@ -18,6 +18,9 @@ from tickloom.llm.quality import quality_rules
 from tickloom.llm.queries import BLOCK_BYTES, vocabulary
 from tickloom.session import written
 
+#: Stretches whose ids a worker of the last stage keeps: fewer than alone, as the executors are still full from the stages before.
+CACHED = 100_000
+
 
 def _matched(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
     """``docs`` joined with ``id, text_hash`` of ``verdicts``; the latter stand in one column, named by :func:`_verdict`."""
@@ -80,7 +83,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model, names = vocabulary("piece_bpe_32k.model"), docs.columns
     place, ids, crc, text, n_pieces, exact = (free_name(c, names) for c in ("place", "piece_ids", "ids_crc32", "decoded", "n_pieces", "exact"))
     mixed = _placed(docs, place).repartitionByRange(partitions(spark), place).sortWithinPartitions(place)
-    decoded = decode_pieces(encode_pieces(mixed, model, ids_col=ids), model, ids_col=ids, text_col=text, crc_col=crc)
+    decoded = decode_pieces(encode_pieces(mixed, model, ids_col=ids, cached=CACHED), model, ids_col=ids, text_col=text, crc_col=crc)
     return decoded.withColumn(n_pieces, F.size(ids).cast("long")).withColumn(exact, F.col(text) == text_of()).drop(text)
 
 
