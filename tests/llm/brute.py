@@ -134,3 +134,50 @@ def unigram(rows):
         d: (held[d], len(w), sum(counts[x] > 0 for x in w), n, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w))
         for d, w in tokens.items()
     }
+
+
+def maxent_scores(rows, model, counts, frequent, buckets):
+    """log10 probability of every text, word by word and branch by branch, with the weights of a trained ``model``."""
+    leaves, half = 32**model.depth, (1 << 32) - 1
+    order = sorted(counts, key=lambda w: (-counts[w], w))[:frequent]
+    top = {w: i + 1 for i, w in enumerate(order)}
+
+    def leaf(word):
+        return zlib.crc32(word[-2:]) % buckets * leaves + zlib.crc32(word) % leaves
+
+    def path(word):
+        return top[word] * leaves if word in top else (frequent + 1) * leaves + leaf(word)
+
+    def hashed(kind, a, b):
+        x = (a * 0x9E3779B1 & half) ^ (b * 0x85EBCA77 & half) ^ (kind * 0x27D4EB2F & half)
+        x = (x ^ x >> 15) * 0x2C1B3C6D & half
+        return ((x ^ x >> 13) * 0x297A2D39 & half) >> 7
+
+    def branch(table, own, contexts, wanted):
+        picked = [model.tables[table][model.rows + own]] + [model.tables[table][hashed(*c) % model.rows] for c in contexts]
+        sums = [sum(float(r[i]) for r in picked) for i in range(32)]
+        return sums[wanted] - math.log(sum(map(math.exp, sums)))
+
+    masses = Counter()
+    for word, n in counts.items():
+        if word not in top:
+            masses[leaf(word)] += n + 1
+    out = {}
+    for doc_id, text in rows:
+        before = skipped = 0
+        total = 0.0
+        for word in [*(w.encode() for w in WORD.findall((text or "").translate(UPPER_TO_LOWER))), None]:
+            code = 0 if word is None else path(word)
+            symbol, near, far = code // leaves, before // leaves, skipped // leaves
+            total += branch(0, 0, [(1, before, 0), (2, far, 0), (3, near, far)], symbol // 32)
+            total += branch(1, symbol // 32, [(4, near, symbol // 32), (5, far, symbol // 32)], symbol % 32)
+            if symbol > frequent:
+                inner, own = code - (frequent + 1) * leaves, 0
+                for d in range(model.depth):
+                    node, wanted = divmod(inner // 32**(model.depth - 1 - d), 32)
+                    total += branch(2, own + node, [(6 + d, before, node)], wanted)
+                    own += buckets * 32**d
+                total += math.log(counts[word] + 1) - math.log(masses[leaf(word)] + 1)
+            before, skipped = code, before
+        out[doc_id] = total / math.log(10)
+    return out

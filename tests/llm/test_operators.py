@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tickloom.llm import neardup
+from tickloom.llm import lm, neardup
 from tickloom.llm.common import lower_ascii, words
 from tickloom.llm.components import components
 from tickloom.llm.exact import exact_dedup
@@ -463,18 +463,63 @@ def test_scores(docs, empty):
     assert score_texts(empty).count() == 0
 
 
-def test_probabilities_sum_to_one():
-    from tickloom.llm import lm
-
+@pytest.mark.parametrize("depth", [1, 2])
+def test_probabilities_sum_to_one(depth):
     rng = np.random.default_rng(1)
-    model = lm.Model(rng.normal(size=(lm.CLASS_ROWS + 1, lm.CLASSES)).astype(np.float32), rng.normal(size=(lm.SLOT_ROWS + lm.CLASSES, lm.SLOTS)).astype(np.float32))
-    n = lm.CLASSES * lm.SLOTS
-    symbols = np.zeros(3 * n, np.int32)
-    symbols[0::3], symbols[1::3], symbols[2::3] = 17, 400, np.arange(n)
-    logs = model.log_probabilities(symbols, np.arange(0, 3 * n, 3))
+    nodes, leaves = sum(lm.BUCKETS * lm.BRANCHES**d for d in range(depth)), lm.BRANCHES**depth
+    model = lm.Model([rng.normal(size=(500 + own, 32)).astype(np.float32) for own in (1, lm.CLASSES, nodes)], depth, 500)
+    ends = np.concatenate([np.arange(lm.FREQUENT + 1) * leaves, (lm.FREQUENT + 1) * leaves + np.arange(lm.BUCKETS * leaves)])
+    codes = np.zeros(3 * len(ends), np.int32)
+    codes[0::3], codes[1::3], codes[2::3] = 17 * leaves, 1000 * leaves + 5, ends
+    logs = model.log_probabilities(codes, np.arange(0, 3 * len(ends), 3))
     assert math.isclose(np.exp(logs[2::3]).sum(), 1, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("leaf_words", [4096, 0.01])
+def test_scores_by_hand(spark, monkeypatch, leaf_words):
+    """Every score by the plain walk down the tree, at a depth of one and of two."""
+    monkeypatch.setattr(lm, "LEAF_WORDS", leaf_words)
+    trained = []
+    train = lm.train
+    monkeypatch.setattr(lm, "train", lambda *args: trained.append(train(*args)) or trained[0])
+    rng = random.Random(3)
+    rows = [(d, " ".join(f"w{int(rng.paretovariate(0.2)) % 5000}" for _ in range(rng.randrange(60)))) for d in range(120)] + [(120, None), (121, "Unheard of")]
+    got = {r["id"]: r["score"] for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert trained[0].depth == (1 if leaf_words > 1 else 2)
+    counts = Counter(w for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2 for w in lm.words_of(t or ""))
+    assert len(counts) > lm.FREQUENT
+    want = brute.maxent_scores(rows, trained[0], counts, lm.FREQUENT, lm.BUCKETS)
+    assert got.keys() == want.keys() and all(math.isclose(got[d], want[d], rel_tol=1e-5) for d in want)
+
+
+def test_tree_and_rows_grow_with_the_corpus():
+    assert [lm.depth_for(n) for n in (0, 1 << 20, 1 << 25, (1 << 25) + 1, 1 << 40)] == [1, 1, 1, 2, 3]
+    assert lm.rows_for(0) == lm.LEAST_ROWS < lm.rows_for(10**8) < lm.rows_for(10**9) < lm.rows_for(10**12) == lm.MOST_ROWS
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(2)
+    times = rng.integers(1, 9, 300)
+    rows, begins = rng.normal(size=(times.sum(), 4)), np.cumsum(times) - times
+    assert np.allclose(lm._totals(rows, begins, times), np.add.reduceat(rows, begins, axis=0))
+    keys = rng.integers(0, 1 << 18, 5000)
+    assert (lm._order(keys) == np.argsort(keys, kind="stable")).all()
+
+
+def test_contexts_help_among_rare_words(spark):
+    """Thousands of words, each of which determines the next: those beyond the frequent ones have features of their own."""
+    rng = random.Random(9)
+    lexicon = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(4000)})
+    rows = []
+    for d in range(700):
+        at = [rng.randrange(len(lexicon))]
+        for _ in range(200):
+            at.append((at[-1] * 7 + 3) % len(lexicon) if rng.random() < 0.95 else rng.randrange(len(lexicon)))
+        rows.append((d, " ".join(lexicon[i] for i in at)))
+    found = score_texts(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+    assert found[1] > 0.85 * found[0]
+
+
 def test_contexts_help_on_held_out_texts(spark):
     """Texts in which each word determines the next: the model beats the unigram base by far."""
     rng = random.Random(8)

@@ -1,13 +1,15 @@
 """LM scoring by a hashed maximum-entropy model.
 
-A word is one of CLASSES * SLOTS symbols: the end of a text, a frequent word, or the bucket of words with one ending.  A symbol's
-probability is that of its class times that of its slot in the class, each a softmax over sums of hashed feature rows: the word
-before, the word before that (a skip), and both (a trigram).  Within a bucket words have add-one probabilities from exact counts,
-one more for any unseen word, so that all probabilities sum to one.
+A word is a path down a tree of classes: its class, its slot in the class, and, unless that is the end of a text or one of the most
+frequent words, the slot of words with one ending, from where digits of the word's hash lead on.  The tree is as deep as the counted
+vocabulary asks (``depth_for``).  Each step is a softmax over sums of feature rows: the branches' own frequency, the word before,
+the word before that (a skip), and for the class both (a trigram).  For the class and below the buckets the word before counts
+with its full path, elsewhere with its slot.  The number of hashed rows grows with the counted tokens (``rows_for``).  Within a leaf words have add-one probabilities from exact counts, one more for any
+unseen word, so that all probabilities sum to one.
 
 Training uses every document that is not held out.  In each round the partitions run AdaGrad over their share of the documents,
 from the model of the round before; their changes, weighted by how often a row was used, are averaged by Spark (iterative
-parameter mixing).  The model's size is fixed.  Counts of the most frequent words are broadcast (bounded); all rarer words are
+parameter mixing).  Counts of the most frequent words are broadcast (bounded); all rarer words are
 looked up by a join, which has no hot keys because the frequent words are not in it.
 """
 
@@ -27,17 +29,35 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import partitions, text_of
 from tickloom.session import written
 
-CLASSES, SLOTS = 32, 32
-#: Symbols: 0 is the end, then the FREQUENT words, then the buckets of endings.
+#: Branches of a class, of a slot and of each step below it.
+CLASSES, SLOTS, BRANCHES = 32, 32, 32
+#: Symbols: 0 is the end, then the FREQUENT words, then the buckets of endings, under which the tree goes on.
 BUCKETS = 256
 FREQUENT = CLASSES * SLOTS - BUCKETS - 1
 #: Words whose counts are broadcast, at most; words counted at a time by one worker.
 HEAD, COUNTED = 1 << 17, 300_000
-#: Rows of the class table and of the slot table, besides the rows that hold the symbols' own frequencies.
-CLASS_ROWS, SLOT_ROWS = 1 << 14, 1 << 15
+#: Different words of a leaf on average, at most; levels below the buckets, at most (8 million leaves, 32 MB).
+LEAF_WORDS, MOST_LEVELS = 4096, 3
+#: Hashed rows of a table, at least and at most (32 MB, reached at 17 thousand million tokens).
+LEAST_ROWS, MOST_ROWS = 1 << 14, 1 << 18
 #: Rows of one table row-block as it travels; tokens of a step; passes over shares of the documents.
 ROW_BLOCK, STEP, ROUNDS = 16, 8192, 2
 RATE = 0.25
+#: Bound of a sum of feature rows; rows of a run that are added one after the other.
+LIMIT, SHORT = 60, 4
+
+
+def depth_for(distinct: int) -> int:
+    """Levels below the buckets: one, and more until a leaf holds LEAF_WORDS different words or fewer."""
+    depth = 1
+    while depth < MOST_LEVELS and distinct > BUCKETS * BRANCHES**depth * LEAF_WORDS:
+        depth += 1
+    return depth
+
+
+def rows_for(tokens: int) -> int:
+    """Hashed rows of each table: as the root of the tokens, since every learner sends its rows."""
+    return int(min(max(2 * tokens**0.5, LEAST_ROWS), MOST_ROWS))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -49,8 +69,9 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def bucket_of(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % BUCKETS
+def leaf_of(word: bytes, leaves: int) -> int:
+    """The word's leaf if it is not frequent; a bucket has ``leaves`` of them."""
+    return zlib.crc32(word[-2:]) % BUCKETS * leaves + zlib.crc32(word) % leaves
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +101,12 @@ class Counts:
     least: int
     head: list[bytes]
     head_counts: np.ndarray
-    bucket_base: np.ndarray  # of each bucket: training words, distinct ones, and one
+    depth: int
+    leaf_base: np.ndarray  # of each leaf: training words, distinct ones, and one; the frequent words are not in it
+
+    @property
+    def leaves(self) -> int:
+        return BRANCHES**self.depth
 
     @property
     def denominator(self) -> int:
@@ -101,152 +127,190 @@ def count_words(training: DataFrame) -> Counts:
     head = table.filter(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")]) if held else None  # HEAD rows at most
     words = head.column("word").to_pylist() if head is not None else []
     head_counts = head.column("n").to_numpy().astype(np.int64) if head is not None else np.empty(0, np.int64)
-    base = np.ones(BUCKETS)
-    for r in table.groupBy((F.crc32(F.substring("word", -2, 2)) % BUCKETS).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
-        base[r["b"]] += r["n"] + r["k"]
+    depth = depth_for(distinct)
+    leaves = BRANCHES**depth
+    base = np.ones(BUCKETS * leaves)
+    leaf = F.crc32(F.substring("word", -2, 2)) % BUCKETS * leaves + F.crc32("word") % leaves
+    masses = table.groupBy(leaf.cast("long").alias("leaf")).agg((F.sum("n") + F.count("*")).alias("n")).toArrow()  # a row per leaf
+    base[masses.column("leaf").to_numpy()] += masses.column("n").to_numpy()
     for word, n in zip(words[:FREQUENT], head_counts):
-        base[bucket_of(word)] -= n + 1
-    return Counts(table, documents, total + documents, distinct + (documents > 0), least, words, head_counts, base)
+        base[leaf_of(word, leaves)] -= n + 1
+    return Counts(table, documents, total + documents, distinct + (documents > 0), least, words, head_counts, depth, base)
 
 
 def _encoder(counts: Counts):
     """Picklable parts of the counts, and the function that encodes documents with them."""
     spark = counts.table.sparkSession
-    shared = spark.sparkContext.broadcast((b" ".join(counts.head), counts.head_counts, counts.bucket_base))  # HEAD words at most
-    end_logs = float(np.log10(counts.documents + 1))
+    shared = spark.sparkContext.broadcast((b" ".join(counts.head), counts.head_counts, counts.leaf_base))  # HEAD words and the leaves
+    end_logs, leaves = float(np.log10(counts.documents + 1)), counts.leaves
+    under = (FREQUENT + 1) * leaves  # the first code below the buckets
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joined, head_counts, bucket_base = shared.value
+        joined, head_counts, leaf_base = shared.value
         head = joined.split(b" ") if joined else []
         known = {w: i for i, w in enumerate(head)}
-        symbol = np.array([i + 1 if i < FREQUENT else FREQUENT + 1 + bucket_of(w) for i, w in enumerate(head)], dtype=np.int16)
-        logs, base_logs = np.log10(head_counts + 1.0), np.log10(bucket_base)
+        code = np.array([(i + 1) * leaves if i < FREQUENT else under + leaf_of(w, leaves) for i, w in enumerate(head)], dtype=np.int32)
+        logs, base_logs = np.log10(head_counts + 1.0), np.log10(leaf_base)
         for batch in batches:
             held, names = [batch.column(c) for c in ("row", "doc_id", "held_out")], ["row", "doc_id", "held_out"]
-            ids, rare, sums, in_bucket, known_n = [], [], [], [], []
+            ids, rare, sums, in_leaf, known_n = [], [], [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
                 at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
                 out = at < 0
                 tail = [words[i] for i in np.flatnonzero(out)]
-                symbols = np.zeros(len(words) + 1, dtype=np.int16)
+                codes = np.zeros(len(words) + 1, dtype=np.int32)
                 found = at[~out]
-                symbols[:-1][~out] = symbol[found]
-                symbols[:-1][out] = [FREQUENT + 1 + bucket_of(w) for w in tail]
-                ids.append(symbols)
+                codes[:-1][~out] = code[found]
+                codes[:-1][out] = [under + leaf_of(w, leaves) for w in tail]
+                ids.append(codes)
                 rare.append(tail)
                 sums.append(float(logs[found].sum()) + end_logs)
-                buckets = symbols[symbols > FREQUENT].astype(np.int64) - FREQUENT - 1
-                in_bucket.append(float(logs[found[found >= FREQUENT]].sum() - base_logs[buckets].sum()))
+                in_leaf.append(float(logs[found[found >= FREQUENT]].sum() - base_logs[codes[codes >= under] - under].sum()))
                 known_n.append(len(found) + (end_logs > 0))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = np.concatenate(ids) if ids else np.empty(0, np.int16)
+            values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*held, pa.array(np.diff(offsets).astype(np.int64)), pa.array(known_n, pa.int64()), pa.array(sums, pa.float64()),
-                 pa.array(in_bucket, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(rare, pa.list_(pa.binary()))],
-                names=[*names, "n_tokens", "n_head", "head_logs", "bucket_logs", "symbols", "rare"],
+                 pa.array(in_leaf, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(rare, pa.list_(pa.binary()))],
+                names=[*names, "n_tokens", "n_head", "head_logs", "leaf_logs", "codes", "rare"],
             )
 
     return encode
 
 
-ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, n_head long, head_logs double, bucket_logs double, "
-           "symbols array<smallint>, rare array<binary>")
+ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, n_head long, head_logs double, leaf_logs double, "
+           "codes array<int>, rare array<binary>")
 
 
 def _hash(kind: int, a: np.ndarray, b: np.ndarray | int, rows: int) -> np.ndarray:
-    x = (a.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (np.asarray(b).astype(np.uint32) * np.uint32(0x85EBCA77)) ^ np.uint32(kind * 0x27D4EB2F)
+    x = (a.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (np.asarray(b).astype(np.uint32) * np.uint32(0x85EBCA77)) ^ np.uint32(kind * 0x27D4EB2F & 0xFFFFFFFF)
     x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
     return (((x ^ (x >> np.uint32(13))) * np.uint32(0x297A2D39)) >> np.uint32(7)).astype(np.int64) % rows
 
 
 class Model:
-    """Weights of the classes' and the slots' feature rows."""
+    """Weights of the feature rows: tables of the classes', the slots' and the deeper branches' rows.
+
+    The first ``rows`` rows of a table are hashed; behind them stand those of the branches' own frequencies.
+    """
 
-    def __init__(self, class_rows: np.ndarray, slot_rows: np.ndarray):
-        self.class_rows, self.slot_rows = class_rows, slot_rows
+    def __init__(self, tables: list[np.ndarray], depth: int, rows: int):
+        self.tables, self.depth, self.rows = tables, depth, rows
 
     @classmethod
     def from_counts(cls, counts: Counts) -> Model:
-        """Rows of the symbols' own frequencies are set to their logarithms: before training the model is the unigram one."""
+        """Own rows are the logarithms of shares: before training the model is the unigram one."""
         n = np.zeros(CLASSES * SLOTS)
         n[0] = counts.documents
         top = counts.head_counts[:FREQUENT]
         n[1:len(top) + 1] = top
-        n[FREQUENT + 1:] = counts.bucket_base
-        logs = np.log(n.reshape(CLASSES, SLOTS) + 1.0)
-        model = cls(np.zeros((CLASS_ROWS + 1, CLASSES), np.float32), np.zeros((SLOT_ROWS + CLASSES, SLOTS), np.float32))
-        model.class_rows[CLASS_ROWS] = np.log((n.reshape(CLASSES, SLOTS) + 1.0).sum(axis=1))
-        model.slot_rows[SLOT_ROWS:] = logs
-        return model
-
-    @staticmethod
-    def features(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of both tables for consecutive texts, each ended by symbol 0; ``first``: places where a text begins."""
-        before, skipped = np.zeros_like(symbols), np.zeros_like(symbols)
-        before[1:], skipped[2:] = symbols[:-1], symbols[:-2]
+        n[FREQUENT + 1:] = counts.leaf_base.reshape(BUCKETS, -1).sum(axis=1)
+        n = n.reshape(CLASSES, SLOTS) + 1.0
+        below = [counts.leaf_base.reshape(BUCKETS * BRANCHES**d, BRANCHES, -1).sum(axis=2) for d in range(counts.depth)]
+        rows = rows_for(counts.tokens)
+        return cls([np.concatenate([np.zeros((rows, own.shape[1])), np.log(own / own.sum(axis=1, keepdims=True))]).astype(np.float32) for own in (n.sum(axis=1)[None], n, np.concatenate(below))],
+                   counts.depth, rows)
+
+    def steps(self, codes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice, np.ndarray, np.ndarray]]:
+        """Table, places, feature rows and wanted branches of each step down the tree, for consecutive texts ended by code 0 each;
+        ``first``: places where a text begins."""
+        leaves = BRANCHES**self.depth
+        before, skipped = np.zeros_like(codes), np.zeros_like(codes)
+        before[1:], skipped[2:] = codes[:-1], codes[:-2]
         skipped[first] = 0
-        group, slot = symbols // SLOTS, symbols % SLOTS
-        classes = np.stack([np.full(len(symbols), CLASS_ROWS), _hash(1, before, 0, CLASS_ROWS), _hash(2, skipped, 0, CLASS_ROWS), _hash(3, before, skipped, CLASS_ROWS)])
-        slots = np.stack([SLOT_ROWS + group.astype(np.int64), _hash(4, before, group, SLOT_ROWS), _hash(5, skipped, group, SLOT_ROWS)])
-        return classes, slots, group, slot
+        symbols, old = codes // leaves, skipped // leaves
+        group = symbols // SLOTS
+        yield 0, slice(None), np.stack([np.full(len(codes), self.rows), self._hash(1, before, 0), self._hash(2, old, 0), self._hash(3, before // leaves, old)]), group
+        yield 1, slice(None), np.stack([self.rows + group.astype(np.int64), self._hash(4, before // leaves, group), self._hash(5, old, group)]), symbols % SLOTS
+        deep = np.flatnonzero(symbols > FREQUENT)
+        inner, before, own = codes[deep] - (FREQUENT + 1) * leaves, before[deep], self.rows
+        for d in range(self.depth):
+            node, branch = np.divmod(inner // BRANCHES**(self.depth - 1 - d), BRANCHES)
+            yield 2, deep, np.stack([own + node.astype(np.int64), self._hash(6 + d, before, node)]), branch
+            own += BUCKETS * BRANCHES**d
+
+    def _hash(self, kind: int, a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+        return _hash(kind, a, b, self.rows)
 
     @staticmethod
-    def _log_softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def _sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Sums of the feature rows, held within what exponentials of 32 bits can take."""
         x = table.take(rows[0], axis=0)
         for r in rows[1:]:
             x += table.take(r, axis=0)
-        x -= x.max(axis=1, keepdims=True)
-        x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-        return x
-
-    def log_probabilities(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Natural logarithms, one for each symbol."""
-        classes, slots, group, slot = self.features(symbols, first)
-        out = np.empty(len(symbols))
-        for low in range(0, len(symbols), STEP):
-            part = np.arange(low, min(low + STEP, len(symbols)))
-            at = np.arange(len(part))
-            out[part] = self._log_softmax(self.class_rows, classes[:, part])[at, group[part]] + self._log_softmax(self.slot_rows, slots[:, part])[at, slot[part]]
+        return np.clip(x, -LIMIT, LIMIT, out=x)
+
+    def log_probabilities(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Natural logarithms, one for each code."""
+        out = np.zeros(len(codes))
+        for table, places, rows, wanted in self.steps(codes, first):
+            found = np.empty(len(wanted))
+            for low in range(0, len(wanted), STEP):
+                part = slice(low, low + STEP)
+                x = self._sums(self.tables[table], rows[:, part])
+                found[part] = np.take_along_axis(x, wanted[part, None], axis=1)[:, 0]
+                found[part] -= np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
+            out[places] += found
         return out
 
-    def learn(self, symbols: np.ndarray, first: np.ndarray, state: list[np.ndarray], used: list[np.ndarray]) -> None:
-        """AdaGrad steps; ``state`` holds sums of squares, ``used`` how often each row was."""
-        classes, slots, group, slot = self.features(symbols, first)
-        for low in range(0, len(symbols), STEP):
-            part = slice(low, low + STEP)
-            for table, rows, wanted, squares, count in (
-                (self.class_rows, classes[:, part], group[part], state[0], used[0]), (self.slot_rows, slots[:, part], slot[part], state[1], used[1]),
-            ):
-                gradient = np.exp(self._log_softmax(table, rows))
-                gradient[np.arange(len(wanted)), wanted] -= 1
-                for feature in rows[1:]:  # the symbols' own frequencies stay as counted
-                    short = feature.astype(np.uint16)  # 16 bits are sorted by radix
-                    order = np.argsort(short, kind="stable")
-                    ordered = short[order]
-                    begins = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-                    begins = np.concatenate([[0], begins])
-                    touched = ordered[begins].astype(np.int64)
-                    total = np.add.reduceat(gradient.take(order, axis=0), begins, axis=0)
-                    seen = squares.take(touched, axis=0)
-                    seen += total * total
-                    squares[touched] = seen
-                    total *= RATE
-                    total /= np.sqrt(seen + 1e-6)
-                    table[touched] -= total
-                    count[touched] += np.diff(np.append(begins, len(ordered)))
+    def learn(self, codes: np.ndarray, first: np.ndarray, state: list[np.ndarray], used: list[np.ndarray]) -> None:
+        """AdaGrad steps; ``state`` holds each row's sum of squares, ``used`` how often it was used."""
+        for table, _, rows, wanted in self.steps(codes, first):
+            for low in range(0, len(wanted), STEP):
+                part = slice(low, low + STEP)
+                self._step(self.tables[table], rows[:, part], wanted[part], state[table], used[table])
+
+    def _step(self, table: np.ndarray, rows: np.ndarray, wanted: np.ndarray, squares: np.ndarray, count: np.ndarray) -> None:
+        gradient = self._sums(table, rows)
+        np.exp(gradient, out=gradient)
+        gradient /= gradient @ np.ones((table.shape[1], 1), table.dtype)
+        gradient[np.arange(len(wanted)), wanted] -= 1
+        for feature in rows[1:]:  # the branches' own frequencies stay as counted
+            order = _order(feature)
+            ordered = feature.take(order)
+            begins = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+            touched = ordered[begins]
+            times = np.diff(np.append(begins, len(ordered)))
+            total = _totals(gradient.take(order, axis=0), begins, times)
+            seen = squares.take(touched) + np.einsum("ij,ij->i", total, total) / total.shape[1]
+            squares[touched] = seen
+            total *= (RATE / np.sqrt(seen + 1e-6))[:, None]
+            table[touched] -= total
+            count[touched] += times
+
+
+def _totals(rows: np.ndarray, begins: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows; most runs are short, and these are added place by place."""
+    total = rows.take(begins, axis=0)
+    for place in range(1, SHORT):
+        longer = np.flatnonzero((times > place) & (times <= SHORT))
+        total[longer] += rows.take(begins[longer] + place, axis=0)
+    longer = np.flatnonzero(times > SHORT)
+    if len(longer):
+        inside = rows[np.repeat(times > SHORT, times)]
+        total[longer] = np.add.reduceat(inside, np.cumsum(times[longer]) - times[longer], axis=0)
+    return total
+
+
+def _order(rows: np.ndarray) -> np.ndarray:
+    """Sorts by 16 bits at a time, which numpy does by radix."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    if rows.size and rows.max() >= 1 << 16:
+        order = order[np.argsort((rows[order] >> 16).astype(np.uint16), kind="stable")]
+    return order
 
 
 def _flat(batch: pa.RecordBatch, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of rows low to high, and where each text begins."""
-    column = batch.column("symbols").slice(low, high - low)
+    """Codes of rows low to high, and where each text begins."""
+    column = batch.column("codes").slice(low, high - low)
     offsets = column.offsets.to_numpy()
     return column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int32), (offsets[:-1] - offsets[0]).astype(np.int64)
 
 
 def _parts(batch: pa.RecordBatch, at_most: int = 16 * STEP) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about that many symbols; a longer text stands alone."""
-    offsets, low = batch.column("symbols").offsets.to_numpy(), 0
+    """Ranges of rows with about that many codes; a longer text stands alone."""
+    offsets, low = batch.column("codes").offsets.to_numpy(), 0
     while low < batch.num_rows:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + at_most, "right")) - 1)
         yield low, high
@@ -259,7 +323,7 @@ def _block_rows(table: int, change: np.ndarray, used: np.ndarray) -> pa.RecordBa
     change = np.pad(change, ((0, pad), (0, 0))).astype(np.float16).reshape(len(used), -1)
     touched = np.flatnonzero(used.any(axis=1))
     return pa.RecordBatch.from_arrays([
-        pa.array(touched * 2 + table, pa.int64()), pa.array([used[i].tobytes() for i in touched], pa.binary()), pa.array([change[i].tobytes() for i in touched], pa.binary()),
+        pa.array(touched * 3 + table, pa.int64()), pa.array([used[i].tobytes() for i in touched], pa.binary()), pa.array([change[i].tobytes() for i in touched], pa.binary()),
     ], names=["block", "used", "change"])
 
 
@@ -284,28 +348,28 @@ def train(encoded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
     """A model from all documents of ``encoded`` that are not held out; each takes part in one round."""
     spark: SparkSession = encoded.sparkSession
     model = Model.from_counts(counts)
-    training = encoded.filter("not held_out").select("row", "symbols")
+    training = encoded.filter("not held_out").select("row", "codes")
     for r in range(rounds):
-        shared = spark.sparkContext.broadcast((model.class_rows, model.slot_rows))  # of fixed size
+        shared = spark.sparkContext.broadcast(model)  # MOST_ROWS hashed rows a table, and those of the leaves
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             before = shared.value
-            local = Model(*(t.copy() for t in before))
-            state, used = [np.zeros_like(t) for t in before], [np.zeros(len(t)) for t in before]
+            local = Model([t.copy() for t in before.tables], before.depth, before.rows)
+            state, used = ([np.zeros(len(t)) for t in before.tables] for _ in range(2))
             for batch in batches:
                 for low, high in _parts(batch):
                     local.learn(*_flat(batch, low, high), state, used)
-            for i, (new, old) in enumerate(((local.class_rows, before[0]), (local.slot_rows, before[1]))):
-                yield _block_rows(i, new - old, used[i])
+            for i, (new, old) in enumerate(zip(local.tables, before.tables, strict=True)):
+                yield _block_rows(i, new[:before.rows] - old[:before.rows], used[i][:before.rows])
 
-        changes = training.filter(F.pmod("row", F.lit(rounds)) == r).select("symbols").mapInArrow(learn, "block long, used binary, change binary")
+        changes = training.filter(F.pmod("row", F.lit(rounds)) == r).select("codes").mapInArrow(learn, "block long, used binary, change binary")
         means = changes.repartition(partitions(spark), "block").mapInArrow(_sum_blocks, "block long, mean binary").collect()  # the model's size
-        tables = [model.class_rows.copy(), model.slot_rows.copy()]
+        tables = [t.copy() for t in model.tables]
         for row in means:
-            table, low = tables[row["block"] % 2], row["block"] // 2 * ROW_BLOCK
+            table, low = tables[row["block"] % 3][:model.rows], row["block"] // 3 * ROW_BLOCK
             mean = np.frombuffer(bytes(row["mean"]), np.float32).reshape(ROW_BLOCK, -1)
             table[low:low + ROW_BLOCK] += mean[: len(table) - low]
-        model = Model(*tables)
+        model = Model(tables, model.depth, model.rows)
     return model
 
 
@@ -321,19 +385,19 @@ def score_texts(docs: DataFrame, holdout: Column | None = None, id_col: str = "d
     numbered = slim.withColumn("row", F.monotonically_increasing_id())
     encoded = written(numbered.mapInArrow(_encoder(counts), ENCODED), "lm-encoded")
     model = train(encoded, counts)
-    shared = docs.sparkSession.sparkContext.broadcast((model.class_rows, model.slot_rows))  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # as above
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Model(*shared.value)
+        scorer = shared.value
         for batch in batches:
             sums = []
             for low, high in _parts(batch):
-                symbols, first = _flat(batch, low, high)
-                sums.append(np.add.reduceat(scorer.log_probabilities(symbols, first), first) / np.log(10))
-            kept = ["row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "bucket_logs"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(np.concatenate([np.empty(0), *sums]))], names=[*kept, "symbol_logs"])
+                codes, first = _flat(batch, low, high)
+                sums.append(np.add.reduceat(scorer.log_probabilities(codes, first), first) / np.log(10))
+            kept = ["row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "leaf_logs"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(np.concatenate([np.empty(0), *sums]))], names=[*kept, "path_logs"])
 
-    scored = encoded.drop("rare").mapInArrow(score, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, head_logs double, bucket_logs double, symbol_logs double")
+    scored = encoded.drop("rare").mapInArrow(score, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, head_logs double, leaf_logs double, path_logs double")
     rare = encoded.select("row", F.explode("rare").alias("word")).join(counts.table.filter(F.col("n") < counts.least), "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"), F.count("n").alias("n_rare"))
     joined = scored.join(rare, "row", "left")
@@ -342,5 +406,5 @@ def score_texts(docs: DataFrame, holdout: Column | None = None, id_col: str = "d
         F.col("doc_id").alias("id"), "held_out", "n_tokens", (F.col("n_head") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(counts.tokens).cast("long").alias("train_tokens"),
         (F.col("head_logs") + rare_logs - F.col("n_tokens") * float(np.log10(counts.denominator))).alias("base_score"),
-        (F.col("symbol_logs") + F.col("bucket_logs") + rare_logs).alias("score"),
+        (F.col("path_logs") + F.col("leaf_logs") + rare_logs).alias("score"),
     )
