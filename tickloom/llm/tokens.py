@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,9 +22,9 @@ from tickloom.llm.common import partitions, text_of
 
 FILE_SCHEMA = "chunk int, doc_id long, at long, n_tokens long, ids array<int>"
 #: Entries of the newer half of a worker's cache of encoded pieces; the older half holds as many.
-CACHED = 400_000
-#: Documents whose ids are held at a time, at most; new pieces that are encoded as one text.
-BATCH, TOGETHER = 256, 2000
+CACHED = 700_000
+#: Documents, and about the bytes of text, whose ids are held at a time; new pieces that are encoded as one text.
+BATCH, PART_BYTES, TOGETHER = 1024, 4 << 20, 2000
 #: A piece that begins or ends with white space, or holds a long run of it: the pre-tokenizer may join it with its neighbour.
 ODD = re.compile(r"\A\s|\s\Z|\s{3}")
 #: Runs of blanks in which a line end does not stand alone.
@@ -32,6 +33,9 @@ RUNS = re.compile(r"\s{3}|\s\s\Z|\n ")
 SIGNS = frozenset(".,;:!?")
 
 
+ABSENT = object()
+
+
 class PieceCache:
     """Values per piece of text, bounded: when the newer half is full it becomes the older one."""
 
@@ -42,16 +46,25 @@ class PieceCache:
 
     def learn(self, lists: list[list[str]]) -> Callable[[str], bytes | None]:
         """The lookup of a piece, for all pieces of the lists."""
-        wanted = set().union(*lists)
-        if len(self.new) + len(wanted) > self.size:
-            self.old, self.new = self.new, {}
-        missing = wanted - self.new.keys()
-        for piece in self.old.keys() & missing:
-            self.new[piece] = self.old[piece]
-        missing = list(missing - self.new.keys())
-        self.new.update(zip(missing, self.encode(missing), strict=True))
+        self.values(list(set().union(*lists)))
         return self.new.__getitem__
 
+    def values(self, pieces: list[str]) -> list[bytes | None]:
+        """The values of different pieces.  Nothing here passes over the whole cache."""
+        if len(self.new) + len(pieces) > self.size:
+            self.old, self.new = self.new, {}
+        found = list(map(self.new.get, pieces, repeat(ABSENT)))
+        missing = [i for i, x in enumerate(found) if x is ABSENT]
+        if self.old:
+            for i in missing:
+                found[i] = self.old.get(pieces[i], ABSENT)
+            self.new.update((pieces[i], found[i]) for i in missing if found[i] is not ABSENT)
+            missing = [i for i in missing if found[i] is ABSENT]
+        wanted = [pieces[i] for i in missing]
+        for i, p, x in zip(missing, wanted, self.encode(wanted), strict=True):
+            found[i] = self.new[p] = x
+        return found
+
 
 class SpaceCodec:
     """Encodes texts with the library, each distinct piece between blanks once per worker.
@@ -93,54 +106,79 @@ class SpaceCodec:
 
     def _later(self, pieces: list[str]) -> list[bytes | None]:
         """Pieces that follow a space, or begin with a line end; None for odd ones."""
+        known, signed, spaced, lined = self.later.new, [], [], []
         found: dict[str, bytes | None] = {}
-        known, signed, wanted = self.later.new, [], set()
         for p in pieces:
             if p.isalpha():
-                wanted.add(p)
+                spaced.append(p)
                 continue
-            body = p[1:] if p[:1] == "\n" else p
+            begins = p[:1] == "\n"
+            body = p[1:] if begins else p
             if body[-1:] in SIGNS and body[:-1].isalpha():
                 signed.append(p)
-                wanted.add(p[:-1])
+                body = body[:-1]
+                if p[:-1] in known:
+                    continue
             elif not body or ODD.search(body):
                 found[p] = None
-            else:
-                wanted.add(p)
-        wanted -= known.keys()
-        self._together([p for p in wanted if p[0] != "\n"], " ", self.spaced, found)
-        self._together([p[1:] for p in wanted if p[0] == "\n"], "\n", self.lined, lines := {})
-        found.update(zip(["\n" + p for p in lines], lines.values(), strict=True))
+                continue
+            (lined if begins else spaced).append(body)
+        self._together(list(set(spaced)), " ", self.spaced, found)
+        self._together(list(set(lined)), "\n", self.lined, lines := {})
+        found.update(("\n" + p, ids) for p, ids in lines.items())
         for p in signed:
             word = found.get(p[:-1])
             found[p] = (known[p[:-1]] if word is None else word) + self.signs[p[-1]]
-        known.update(found)  # the words without their signs as well
+        known.update((p[:-1], found[p[:-1]]) for p in signed if p[:-1] in found)  # the words without their signs as well
         return list(map(found.__getitem__, pieces))
 
-    def _whole(self, text: str, head: bytes | None, pieces: list[str]) -> bytes:
-        """A text with odd pieces; where these are empty lines alone, its other pieces still do."""
-        later = self.later.new
-        if head is None or RUNS.search(text) or any(later[p] is None and p != "\n" for p in pieces):
-            return self._ids(text).tobytes()
-        return head + b"".join([later[p] or self.line_end for p in pieces])
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " \n").split(" ") if "<|" not in t else [t, ""] for t in texts]
-        first = self.first.learn([x[:1] for x in cut])
-        heads = [x.pop(0) for x in cut]
-        later = self.later.learn(cut)
+        """Texts are cut and their pieces told apart by Arrow; each different piece of the call is looked up once."""
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        firsts, counts = cut.offsets.to_numpy()[:-1], np.diff(cut.offsets.to_numpy())
+        heads = cut.values.take(pa.array(firsts)).to_pylist()
+        behind = np.ones(len(cut.values), dtype=bool)
+        behind[firsts] = False
+        pieces = cut.values.filter(pa.array(behind)).dictionary_encode()
+        at, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+        first = self.first.learn([[h for h, t in zip(heads, texts, strict=True) if "<|" not in t]])
+        found = self.later.values(distinct)
+
+        unknown = [i for i, ids in enumerate(found) if ids is None]  # a lone line end among them
+        odd, lone = np.zeros(len(found), dtype=bool), np.zeros(len(found), dtype=bool)
+        for i in unknown:
+            found[i] = self.line_end
+            (lone if distinct[i] == "\n" else odd)[i] = True
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, starts = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
+        sizes = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = ids[np.repeat(starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+
+        bounds = np.concatenate([[0], np.cumsum(counts - 1)])
+        low, high = ends[bounds[:-1]], ends[bounds[1:]]
+        odd, lone = (np.diff(np.concatenate([[0], np.cumsum(x[at])])[bounds]) > 0 for x in (odd, lone))
         out = []
-        for text, head, pieces in zip(texts, heads, cut, strict=True):
-            try:
-                out.append(first(head) + b"".join(map(later, pieces)))
-            except TypeError:  # an odd piece has no ids of its own
-                out.append(self._whole(text, first(head), pieces))
+        for i, text in enumerate(texts):
+            head = None if odd[i] or "<|" in text or lone[i] and RUNS.search(text) else first(heads[i])
+            out.append(self._ids(text).tobytes() if head is None else head + ids[low[i]:high[i]].tobytes())
         return out
 
 
 _codecs: dict[str, SpaceCodec] = {}
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """At most BATCH rows and about PART_BYTES of text; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low - 1] if low else 0
+        high = min(max(low + 1, int(np.searchsorted(ends, before + PART_BYTES, "right"))), low + BATCH)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def encode_partition(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     import os
 
@@ -148,8 +186,7 @@ def encode_partition(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end
     codec = _codecs.get(tokenizer_path) or _codecs.setdefault(tokenizer_path, SpaceCodec(tokenizer_path))
     end, at = np.array([end_id], dtype=np.uint32).tobytes(), 0
     for batch in batches:
-        for low in range(0, batch.num_rows, BATCH):
-            part = batch.slice(low, BATCH)
+        for part in _parts(batch):
             ids = codec.encode(part.column("text").to_pylist())
             counts = np.array([len(x) // 4 + 1 for x in ids], dtype=np.int64)
             places = at + np.cumsum(counts) - counts
