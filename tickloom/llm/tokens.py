@@ -22,9 +22,9 @@ from tickloom.llm.common import partitions, text_of
 
 FILE_SCHEMA = "chunk int, doc_id long, at long, n_tokens long, ids array<int>"
 #: Entries of the newer half of a worker's cache of encoded pieces; the older half holds as many.
-CACHED = 700_000
+CACHED = 640_000
 #: Documents, and about the bytes of text, whose ids are held at a time; new pieces that are encoded as one text.
-BATCH, PART_BYTES, TOGETHER = 1024, 4 << 20, 2000
+BATCH, PART_BYTES, TOGETHER = 2048, 8 << 20, 400
 #: A piece that begins or ends with white space, or holds a long run of it: the pre-tokenizer may join it with its neighbour.
 ODD = re.compile(r"\A\s|\s\Z|\s{3}")
 #: Runs of blanks in which a line end does not stand alone.
@@ -55,11 +55,12 @@ class PieceCache:
             self.old, self.new = self.new, {}
         found = list(map(self.new.get, pieces, repeat(ABSENT)))
         missing = [i for i, x in enumerate(found) if x is ABSENT]
-        if self.old:
-            for i in missing:
-                found[i] = self.old.get(pieces[i], ABSENT)
-            self.new.update((pieces[i], found[i]) for i in missing if found[i] is not ABSENT)
-            missing = [i for i in missing if found[i] is ABSENT]
+        if self.old and missing:
+            older = list(map(self.old.get, map(pieces.__getitem__, missing), repeat(ABSENT)))
+            for i, x in zip(missing, older, strict=True):
+                found[i] = x
+            self.new.update((pieces[i], x) for i, x in zip(missing, older, strict=True) if x is not ABSENT)
+            missing = [i for i, x in zip(missing, older, strict=True) if x is ABSENT]
         wanted = [pieces[i] for i in missing]
         for i, p, x in zip(missing, wanted, self.encode(wanted), strict=True):
             found[i] = self.new[p] = x
