@@ -22,9 +22,9 @@ from tickloom.llm.common import partitions, text_of
 
 FILE_SCHEMA = "chunk int, doc_id long, at long, n_tokens long, ids array<int>"
 #: Entries of the newer half of a worker's cache of encoded pieces; the older half holds as many.
-CACHED = 640_000
+CACHED = 560_000
 #: Documents, and about the bytes of text, whose ids are held at a time; new pieces that are encoded as one text.
-BATCH, PART_BYTES, TOGETHER = 2048, 8 << 20, 400
+BATCH, PART_BYTES, TOGETHER = 1024, 4 << 20, 400
 #: A piece that begins or ends with white space, or holds a long run of it: the pre-tokenizer may join it with its neighbour.
 ODD = re.compile(r"\A\s|\s\Z|\s{3}")
 #: Runs of blanks in which a line end does not stand alone.
@@ -133,16 +133,18 @@ class SpaceCodec:
         known.update((p[:-1], found[p[:-1]]) for p in signed if p[:-1] in found)  # the words without their signs as well
         return list(map(found.__getitem__, pieces))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Texts are cut and their pieces told apart by Arrow; each different piece of the call is looked up once."""
-        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        special = pc.match_substring(texts, "<|").to_pylist()
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         firsts, counts = cut.offsets.to_numpy()[:-1], np.diff(cut.offsets.to_numpy())
         heads = cut.values.take(pa.array(firsts)).to_pylist()
         behind = np.ones(len(cut.values), dtype=bool)
         behind[firsts] = False
         pieces = cut.values.filter(pa.array(behind)).dictionary_encode()
         at, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
-        first = self.first.learn([[h for h, t in zip(heads, texts, strict=True) if "<|" not in t]])
+        first = self.first.learn([[h for h, s in zip(heads, special, strict=True) if not s]])
         found = self.later.values(distinct)
 
         unknown = [i for i, ids in enumerate(found) if ids is None]  # a lone line end among them
@@ -154,15 +156,21 @@ class SpaceCodec:
         ids, starts = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
         sizes = lengths[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = ids[np.repeat(starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        places = np.repeat(starts[at] - ends[:-1], sizes)
+        places += np.arange(ends[-1])
+        ids = ids[places]
 
         bounds = np.concatenate([[0], np.cumsum(counts - 1)])
         low, high = ends[bounds[:-1]], ends[bounds[1:]]
-        odd, lone = (np.diff(np.concatenate([[0], np.cumsum(x[at])])[bounds]) > 0 for x in (odd, lone))
+        if unknown:
+            odd, lone = (np.diff(np.concatenate([[0], np.cumsum(x[at])])[bounds]) > 0 for x in (odd, lone))
+        else:
+            odd = lone = np.zeros(len(texts), dtype=bool)
         out = []
-        for i, text in enumerate(texts):
-            head = None if odd[i] or "<|" in text or lone[i] and RUNS.search(text) else first(heads[i])
-            out.append(self._ids(text).tobytes() if head is None else head + ids[low[i]:high[i]].tobytes())
+        for i, head in enumerate(heads):
+            whole = special[i] or odd[i] or lone[i] and RUNS.search(texts[i].as_py())
+            head = None if whole else first(head)
+            out.append(self._ids(texts[i].as_py()).tobytes() if head is None else head + ids[low[i]:high[i]].tobytes())
         return out
 
 
@@ -188,7 +196,7 @@ def encode_partition(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end
     end, at = np.array([end_id], dtype=np.uint32).tobytes(), 0
     for batch in batches:
         for part in _parts(batch):
-            ids = codec.encode(part.column("text").to_pylist())
+            ids = codec.encode(part.column("text"))
             counts = np.array([len(x) // 4 + 1 for x in ids], dtype=np.int64)
             places = at + np.cumsum(counts) - counts
             at += int(counts.sum())
