@@ -162,3 +162,23 @@ def test_a_model_that_has_not_learned_turns_the_rows_red(spark, monkeypatch, bro
         df = QUERIES[name](spark, SF)
         twin = con.sql(SQL[name])
         assert table_of([tuple(r) for r in df.collect()], df.columns) != table_of(twin.fetchall(), twin.columns), name
+
+
+def scored_rows(spark, sf, rows):
+    from tickloom.plans import learning
+
+    return {"all": learning.labelled(spark, sf).count(), "test": learning.split(spark, sf, "forecast")[1].count(), "models": 3, "summary": 1}[rows]
+
+
+@pytest.mark.parametrize(("name", "rows"), [
+    ("logistic_regression", "test"),
+])
+def test_the_forecast_is_part_of_the_job(spark, name, rows):
+    """Every row with a full horizon is fitted and scored with the label from its future; those of the decided label stand beside it."""
+    from tests.conftest import SF
+    from tickloom.plans.catalog import QUERIES
+
+    df = QUERIES[name](spark, SF)
+    assert "task" in df.columns
+    tasks = [r["task"] for r in df.select("task").collect()]
+    assert set(tasks) == {"forecast", "decided"} and tasks.count("forecast") == scored_rows(spark, SF, rows)
