@@ -175,6 +175,7 @@ def scored_rows(spark, sf, rows):
     ("random_forest", "test"),
     ("predict_batch", "all"),
     ("score_with_variant_ml", "all"),
+    ("save_and_load_model", "all"),
 ])
 def test_the_forecast_is_part_of_the_job(spark, name, rows):
     """Every row with a full horizon is fitted and scored with the label from its future; those of the decided label stand beside it."""
