@@ -177,6 +177,7 @@ def scored_rows(spark, sf, rows):
     ("score_with_variant_ml", "all"),
     ("save_and_load_model", "all"),
     ("train_compare", "models"),
+    ("scoring_throughput", "summary"),
 ])
 def test_the_forecast_is_part_of_the_job(spark, name, rows):
     """Every row with a full horizon is fitted and scored with the label from its future; those of the decided label stand beside it."""
