@@ -596,3 +596,16 @@ def test_weak_parts_need_company(spark):
     assert [x.split(":")[0] for x in got[2][0].split(",")] == ["endpoint", "credential"]
     assert [x.split(":")[0] for x in got[4][0].split(",")] == ["identifier", "credential"]
     assert got[5] == (brute.secrets(rows[5][1])[4],)
+
+
+def test_odd_pieces_have_no_ids_and_others_are_encoded_once():
+    """Odd pieces were None, so that every lookup had to tell them from absent ones."""
+    import public_tokenizers
+
+    from tickloom.llm.tokens import SpaceCodec
+
+    codec = SpaceCodec(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = ["word", " odd", "word,", "\nword"]
+    first = codec.later.values(pieces)
+    codec.later.encode = lambda wanted: [] if not wanted else pytest.fail(f"{wanted} encoded again")
+    assert first[1] == b"" and all(first[i] for i in (0, 2, 3)) and codec.later.values(pieces) == first

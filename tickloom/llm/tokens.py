@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import pairwise, repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,8 @@ RUNS = re.compile(r"\s{3}|\s\s\Z|\n ")
 SIGNS = frozenset(".,;:!?")
 
 
-ABSENT = object()
-
-
 class PieceCache:
-    """Values per piece of text, bounded: when the newer half is full it becomes the older one."""
+    """Values per piece of text, bounded: when the newer half is full it becomes the older one.  None is encoded anew each time."""
 
     def __init__(self, encode: Callable[[list[str]], list], size: int = CACHED):
         self.encode, self.size = encode, size
@@ -53,18 +50,16 @@ class PieceCache:
         """The values of different pieces.  Nothing here passes over the whole cache."""
         if len(self.new) + len(pieces) > self.size:
             self.old, self.new = self.new, {}
-        found = list(map(self.new.get, pieces, repeat(ABSENT)))
-        missing = [i for i, x in enumerate(found) if x is ABSENT]
-        if self.old and missing:
-            older = list(map(self.old.get, map(pieces.__getitem__, missing), repeat(ABSENT)))
-            for i, x in zip(missing, older, strict=True):
-                found[i] = x
-            self.new.update((pieces[i], x) for i, x in zip(missing, older, strict=True) if x is not ABSENT)
-            missing = [i for i, x in zip(missing, older, strict=True) if x is ABSENT]
-        wanted = [pieces[i] for i in missing]
-        for i, p, x in zip(missing, wanted, self.encode(wanted), strict=True):
-            found[i] = self.new[p] = x
-        return found
+        found = list(map(self.new.get, pieces))
+        missing = [p for p, x in zip(pieces, found, strict=True) if x is None]
+        if not missing:
+            return found
+        older = list(map(self.old.get, missing))
+        encoded = iter(self.encode([p for p, x in zip(missing, older, strict=True) if x is None]))
+        older = [next(encoded) if x is None else x for x in older]
+        self.new.update(zip(missing, older, strict=True))
+        later = iter(older)
+        return [next(later) if x is None else x for x in found]
 
 
 class SpaceCodec:
@@ -105,14 +100,11 @@ class SpaceCodec:
             data, bounds = ids.tobytes(), [*(begins * 4).tolist(), len(ids) * 4]
             found.update(zip(part, [data[a:b] for a, b in pairwise(bounds)], strict=True))
 
-    def _later(self, pieces: list[str]) -> list[bytes | None]:
-        """Pieces that follow a space, or begin with a line end; None for odd ones."""
-        known, signed, spaced, lined = self.later.new, [], [], []
-        found: dict[str, bytes | None] = {}
-        for p in pieces:
-            if p.isalpha():
-                spaced.append(p)
-                continue
+    def _later(self, pieces: list[str]) -> list[bytes]:
+        """Pieces that follow a space, or begin with a line end; no ids for odd ones."""
+        known, signed, spaced, lined = self.later.new, [], [p for p in pieces if p.isalpha()], []
+        found: dict[str, bytes] = {}
+        for p in [p for p in pieces if not p.isalpha()]:
             begins = p[:1] == "\n"
             body = p[1:] if begins else p
             if body[-1:] in SIGNS and body[:-1].isalpha():
@@ -121,7 +113,7 @@ class SpaceCodec:
                 if p[:-1] in known:
                     continue
             elif not body or ODD.search(body):
-                found[p] = None
+                found[p] = b""
                 continue
             (lined if begins else spaced).append(body)
         self._together(list(set(spaced)), " ", self.spaced, found)
@@ -143,16 +135,16 @@ class SpaceCodec:
         behind = np.ones(len(cut.values), dtype=bool)
         behind[firsts] = False
         pieces = cut.values.filter(pa.array(behind)).dictionary_encode()
-        at, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+        at, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist is slow
         first = self.first.learn([[h for h, s in zip(heads, special, strict=True) if not s]])
         found = self.later.values(distinct)
 
-        unknown = [i for i, ids in enumerate(found) if ids is None]  # a lone line end among them
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        unknown = np.flatnonzero(lengths == 0).tolist()  # a lone line end among them
         odd, lone = np.zeros(len(found), dtype=bool), np.zeros(len(found), dtype=bool)
         for i in unknown:
-            found[i] = self.line_end
+            found[i], lengths[i] = self.line_end, len(self.line_end) // 4
             (lone if distinct[i] == "\n" else odd)[i] = True
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids, starts = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
         sizes = lengths[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
