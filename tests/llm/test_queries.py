@@ -95,3 +95,11 @@ def test_pipeline_links_from_80_percent(spark):
     rows = between_80_and_85(random.Random(9), 20)
     docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["doc_id"] for r in pipeline.near_dedup(spark, docs, SF).collect()) == list(range(0, 40, 2))
+
+
+def test_the_lines_stage_cuts_each_text_once(spark):
+    """Its filter stays above the cut: pushed below, it would repeat the whole expression."""
+    import corpus_pipeline
+
+    plan = corpus_pipeline.lines(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(transform(") == 1
