@@ -188,3 +188,38 @@ def test_the_forecast_is_part_of_the_job(spark, name, rows):
     assert "task" in df.columns
     tasks = [r["task"] for r in df.select("task").collect()]
     assert set(tasks) == {"forecast", "decided"} and tasks.count("forecast") == scored_rows(spark, SF, rows)
+
+
+@pytest.mark.parametrize("broken", ["constant", "inverted", "permuted", "nudged"])
+def test_the_scored_forecast_depends_on_its_model(spark, monkeypatch, broken):
+    """score_with_variant_ml: the forecast's own rows differ from their SQL twin as soon as the scores are not those of a forest that has learned."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF
+    from tests.test_registry import table_of
+    from tickloom.plans import learning
+    from tickloom.plans.catalog import QUERIES, SQL
+
+    def forecast():
+        df = QUERIES["score_with_variant_ml"](spark, SF).where("task = 'forecast'")
+        return table_of([tuple(r) for r in df.collect()], df.columns)
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    twin = con.sql(f"SELECT * FROM ({SQL['score_with_variant_ml']}) WHERE task = 'forecast'")
+    expected = table_of(twin.fetchall(), twin.columns)
+    assert forecast() == expected
+    labels = {r["seq"]: r["volatility_spike"] for r in QUERIES["score_with_variant_ml"](spark, SF).where("task = 'forecast'").collect()}
+    assert labels == {r["seq"]: r["volatility_spike"] for r in learning.labelled(spark, SF).collect()} and set(labels.values()) == {0, 1}
+
+    real = models.apply_model
+
+    def apply_model(model, df):
+        p = F.col("probability")
+        coin = F.pmod(F.xxhash64("seq"), F.lit(2)).cast("double")
+        worse = {"constant": F.lit(0.1), "inverted": 1 - p, "permuted": coin, "nudged": p * 0.99}[broken]
+        return real(model, df).withColumn("probability", worse).withColumn("prediction", (p > 0.5).cast("int"))
+
+    monkeypatch.setattr(models, "apply_model", apply_model)
+    assert forecast() != expected
