@@ -223,3 +223,24 @@ def test_the_scored_forecast_depends_on_its_model(spark, monkeypatch, broken):
 
     monkeypatch.setattr(models, "apply_model", apply_model)
     assert forecast() != expected
+
+
+@pytest.mark.parametrize("task", ["forecast", "decided"])
+def test_every_scored_row_has_its_record(spark, task):
+    """score_with_variant_ml: prediction, probability and class of all rows, the forecast's too, are returned and are those of MLlib."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tests.conftest import SF
+    from tickloom.plans import learning
+    from tickloom.plans.catalog import QUERIES
+
+    rows = learning.TASKS[task](spark, SF)
+    walked = learning.forest(spark, SF, task).transform(rows).select("seq", LABEL, vector_to_array("probability")[1].alias("p"))
+    expected = {r["seq"]: (r[LABEL], r["p"]) for r in walked.collect()}
+    found = [r for r in QUERIES["score_with_variant_ml_records"](spark, SF).collect() if r["task"] == task]
+    assert len(found) == rows.count() == len(expected) and len({r["probability"] for r in found}) > 1
+    for r in found:
+        label, p = expected[r["seq"]]
+        assert r[LABEL] == label and abs(r["probability"] - p) < 0.5e-4 + 1e-9 and round(r["probability"], 4) == r["probability"]
+        assert r["prediction"] == int(p > 0.5) or abs(p - 0.5) < 1e-9
+        assert (r["class_label"], r["model_version"]) == ("spike" if r["prediction"] else "normal", "1.0")
