@@ -244,3 +244,42 @@ def test_every_scored_row_has_its_record(spark, task):
         assert r[LABEL] == label and abs(r["probability"] - p) < 0.5e-4 + 1e-9 and round(r["probability"], 4) == r["probability"]
         assert r["prediction"] == int(p > 0.5) or abs(p - 0.5) < 1e-9
         assert (r["class_label"], r["model_version"]) == ("spike" if r["prediction"] else "normal", "1.0")
+
+
+@pytest.fixture(scope="module")
+def calm(spark, tmp_path_factory):
+    """Events whose swings bring volatility past DECIDED, but never to THRESHOLD: no row of the forecast is a spike."""
+    from datetime import datetime, timedelta
+
+    folder = str(tmp_path_factory.mktemp("calm"))
+    swings = [33.0 if i // 150 % 3 == 0 else 4.0 for i in range(900)]
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=10 * i, seconds=i % 7), i % 5, ("click", "view")[i % 2], swing if i // 2 % 2 else -swing, f'{{"k": {i % 90}}}')
+            for i, swing in enumerate(swings)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", [
+    "logistic_regression",
+])
+def test_a_forecast_without_spikes(spark, calm, name):
+    """Models are fitted and rows scored where the label never is 1; the result is that of the SQL twin, and no spike is predicted."""
+    import duckdb
+
+    from tests.test_registry import table_of
+    from tickloom.plans import learning
+    from tickloom.plans.catalog import QUERIES, SQL
+
+    assert [r[LABEL] for r in learning.labelled(spark, calm).select(LABEL).distinct().collect()] == [0]
+    df = QUERIES[name](spark, calm)
+    rows = [tuple(r) for r in df.collect()]
+    if name in SQL:
+        con = duckdb.connect()
+        con.execute("SET TimeZone='UTC'")
+        con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{calm}/events.parquet/*.parquet')")
+        twin = con.sql(SQL[name])
+        assert table_of(rows, df.columns) == table_of(twin.fetchall(), twin.columns)
+    else:
+        found = {(r["prediction"], r["probability"], r["class_label"]) for r in df.where("task = 'forecast'").collect()}
+        assert found == {(0, 0.0, "normal")} and len(rows) == 1760
