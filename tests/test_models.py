@@ -268,6 +268,7 @@ def calm(spark, tmp_path_factory):
     "score_with_variant_ml",
     "score_with_variant_ml_records",
     "scoring_throughput",
+    "train_compare",
 ])
 def test_a_forecast_without_spikes(spark, calm, name):
     """Models are fitted and rows scored where the label never is 1; the result is that of the SQL twin, and no spike is predicted."""
