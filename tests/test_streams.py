@@ -294,3 +294,112 @@ def test_a_stream_takes_the_version_in_force(spark, tmp_path):
     assert [r["version"] for r in versions.decisions(spark).orderBy("place").collect()] == ["rules-1", "forest-1", "rules-1"]
     with pytest.raises(ValueError, match="no stored model"):
         versions.put_in_force(spark, "unheard-of")
+
+
+class _Held:
+    """Stands in for Spark's state: a handle, its timers and its variables, which note the most ticks that a value held."""
+
+    def __init__(self):
+        self.states, self.timers, self.most = {}, set(), 0
+
+    def getListState(self, name, *schemas):
+        return self.states.setdefault(name, _Value(self))
+
+    getMapState = getValueState = getListState
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
+
+
+class _Value:
+    def __init__(self, held):
+        self.held, self.value, self.map = held, None, {}
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def put(self, rows):
+        self.held.most, self.value = max(self.held.most, len(rows)), rows
+
+    update = put
+
+    def clear(self):
+        self.value = None
+
+    def keys(self):
+        return iter([*self.map])
+
+    def getValue(self, key):
+        return self.map[key]
+
+    def updateValue(self, key, value):
+        self.held.most = max(self.held.most, len(value[0]) // 40)
+        self.map[key] = value
+
+    def removeKey(self, key):
+        del self.map[key]
+
+
+class _Until:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("tag_late", [True], ids=["stream_late_ticks"])
+@pytest.mark.parametrize("batches", [1, 3, 400])
+def test_waiting_ticks_are_held_in_bounded_blocks(tag_late, batches, monkeypatch):
+    """Out-of-order ticks of any number wait in values of bounded size and come out in pieces, as if they had come in order at once."""
+    import pandas as pd
+
+    for name, rows in (("_RUN_ROWS", 1024), ("_BLOCK_ROWS", 64)):
+        monkeypatch.setattr(live, name, rows, raising=False)
+    rng = np.random.default_rng(5)
+    n, windows = 6000, FeatureWindows().scaled(1, 60)
+    us = np.sort(rng.integers(0, 900, n)) * 1_000_000 + 1_700_000_000_000_000  # about seven ticks a time
+    us[100:800] = us[100]  # a burst longer than a block and the buffer
+    frame = pd.DataFrame({"ts": us.astype("datetime64[us]"), "seq": np.arange(n), "price": 100 + rng.normal(0, 1, n).cumsum() / 50, "bid": 99.0, "ask": 101.0})
+
+    def emitted(deliveries, held):
+        buffer, out = live.TickBuffer(windows, True, tag_late), []
+        buffer.init(held)
+        for rows, watermark in deliveries:
+            if rows is None:
+                out += buffer.handleExpiredTimer(("s",), _Until(watermark), None)
+            else:
+                out += buffer.handleInputRows(("s",), iter([rows.iloc[i:i + 250] for i in range(0, len(rows), 250)]), _Until(watermark))
+        assert not held.timers
+        return out
+
+    mixed, held = frame.sample(frac=1, random_state=3), _Held()
+    last = int(us[-1] // 1000)
+    if batches == 1:
+        deliveries = [(mixed, 0), (None, last)]
+    else:  # ticks are up to an eighth of the time late; the watermark follows behind
+        arrives = mixed["ts"].astype("int64") + rng.integers(0, 100_000_000, n)
+        parts = np.array_split(mixed.iloc[np.argsort(arrives.to_numpy(), kind="stable")], batches)
+        newest = np.maximum.accumulate([0, *(int(p["ts"].astype("int64").max() // 1000) for p in parts)])
+        deliveries = [(p, max(0, int(m) - 101_000)) for p, m in zip(parts, newest)] + [(None, last)]
+    found = emitted(deliveries, held)
+    assert max(len(x) for x in found) <= 1024 and held.most <= 64
+    one = _Held()
+    whole = pd.concat(emitted([(frame, last)], one)).reset_index(drop=True)
+    pd.testing.assert_frame_equal(pd.concat(found).reset_index(drop=True), whole, check_dtype=False, rtol=0, atol=1e-9)
+    # and as one timeline gives them
+    columns = live.TickBuffer._columns(frame)
+    wanted = np.flatnonzero(np.concatenate([[False], us[1:] != us[:-1]]) | (np.arange(n) == 1))
+    expected = live.features_at(*(columns[i] for i in (0, 2, 3, 4)), wanted, windows)
+    assert whole["seq"].tolist() == wanted.tolist()
+    for name, values in expected.items():
+        np.testing.assert_allclose(whole[name], values, rtol=0, atol=1e-9)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,12 @@ from tickloom.schemas import FEATURE_ROW, FeatureWindows
 
 _MICROS = 1_000_000
 _TICK = "us bigint, seq bigint, price double, bid double, ask double"
+_TICK_BYTES = 5 * 8
+#: Waiting ticks are sorted a run at a time and held in blocks, each keyed by its first tick.
+_RUN_ROWS, _BLOCK_ROWS = 1 << 19, 1 << 12
+_BLOCK = "us bigint, seq bigint, run bigint, place int, size int"
+#: So many blocks that are less than half full are merged.
+_SMALL_BLOCKS = 64
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -71,22 +77,25 @@ class TickBuffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("buffer", _TICK)
-        self.waiting = handle.getListState("waiting", _TICK) if self.in_event_time else None
+        self.waiting = handle.getMapState("waiting", _BLOCK, "ticks binary") if self.in_event_time else None
         self.released = handle.getValueState("released", "us bigint") if self.tag_late else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # one symbol of one micro-batch; its size is bounded by the trigger's rate limit
-        frame = pd.concat(list(rows))
-        new = [frame["ts"].astype("datetime64[us]").astype("int64").to_numpy(), frame["seq"].to_numpy("int64"),
-               *(frame[c].to_numpy("float64") for c in ("price", "bid", "ask"))]
+        # one symbol of one micro-batch
         if self.in_event_time:
-            yield from self._release(key, new, timerValues)
-        else:
-            yield from self._emit(key, new)
+            yield from self._take_in(key, rows)
+            yield from self._release(key, timerValues)
+        else:  # its size is bounded by the trigger's rate limit
+            yield from self._emit(key, [self._columns(pd.concat(list(rows)))])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.in_event_time:
-            yield from self._release(key, None, timerValues)
+            yield from self._release(key, timerValues)
+
+    @staticmethod
+    def _columns(frame: pd.DataFrame) -> list[np.ndarray]:
+        return [frame["ts"].astype("datetime64[us]").astype("int64").to_numpy(), frame["seq"].to_numpy("int64"),
+                *(frame[c].to_numpy("float64") for c in ("price", "bid", "ask"))]
 
     @staticmethod
     def _held(state) -> list[np.ndarray]:
@@ -97,31 +106,99 @@ class TickBuffer(StatefulProcessor):
     def _put(state, columns: list[np.ndarray]) -> None:
         state.put(list(zip(*(c.tolist() for c in columns))))
 
-    def _release(self, key, new, timerValues) -> Iterator[pd.DataFrame]:
+    @staticmethod
+    def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """Ticks of several parts in (time, arrival) order."""
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order = np.lexsort((columns[1], columns[0]))
+        return [c[order] for c in columns]
+
+    def _blocks(self) -> list[tuple]:
+        return sorted(tuple(k) for k in self.waiting.keys())
+
+    def _put_block(self, columns: list[np.ndarray], run: int, place: int) -> None:
+        block = (int(columns[0][0]), int(columns[1][0]), run, place, len(columns[0]))
+        self.waiting.updateValue(block, (b"".join(c.tobytes() for c in columns),))
+
+    def _taken_block(self, block: tuple) -> list[np.ndarray]:
+        packed = bytes(self.waiting.getValue(block)[0])
+        self.waiting.removeKey(block)
+        n = len(packed) // _TICK_BYTES
+        return [np.frombuffer(packed, "int64" if i < 2 else "float64", n, i * n * 8) for i in range(5)]
+
+    def _put_run(self, columns: list[np.ndarray], run: int) -> None:
+        for place, low in enumerate(range(0, len(columns[0]), _BLOCK_ROWS)):
+            self._put_block([c[low:low + _BLOCK_ROWS] for c in columns], run, place)
+
+    def _take_in(self, key, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Let the ticks of a micro-batch wait, a sorted run after the other; late ones are returned instead."""
+        released = self.released.get()[0] if self.tag_late and self.released.exists() else None
+        run = 1 + max((b[2] for b in self._blocks()), default=-1)
+        parts, n = [], 0
+        for frame in rows:
+            new = self._columns(frame)
+            if released is not None:
+                late = new[0] < released
+                if late.any():
+                    yield self._tagged(key, [c[late] for c in new])
+                new = [c[~late] for c in new]
+            parts.append(new)
+            n += len(new[0])
+            if n >= _RUN_ROWS:
+                self._put_run(self._joined(parts), run)
+                parts, n, run = [], 0, run + 1
+        if n:
+            self._put_run(self._joined(parts), run)
+
+    def _release(self, key, timerValues) -> Iterator[pd.DataFrame]:
         """Emit the waiting ticks that the watermark has passed; a timer wakes the rest."""
-        if new is not None and self.tag_late and self.released.exists():
-            late = new[0] < self.released.get()[0]
-            if late.any():
-                yield self._tagged(key, [c[late] for c in new])
-            new = [c[~late] for c in new]
-        waiting = self._held(self.waiting)
-        if new is not None:
-            waiting = [np.concatenate([a, b]) for a, b in zip(waiting, new)]
-        passed = waiting[0] <= timerValues.getCurrentWatermarkInMs() * 1000
-        rest = [c[~passed] for c in waiting]
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        due = [b for b in self._blocks() if b[0] <= upto]
+        if due:
+            for frame in self._emit(key, self._passed(due, upto)):
+                yield frame.assign(late=False) if self.tag_late else frame
+        self._merge_small()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        if len(rest[0]):
-            self._put(self.waiting, rest)
-            self.handle.registerTimer(int(rest[0].min() // 1000) + 1)
-        else:
-            self.waiting.clear()
-        if passed.any():
-            ready = [c[passed] for c in waiting]
-            if self.tag_late:
-                self.released.update((int(ready[0].max()),))
-            for frame in self._emit(key, ready):
-                yield frame.assign(late=False) if self.tag_late else frame
+        rest = self._blocks()
+        if rest:
+            self.handle.registerTimer(rest[0][0] // 1000 + 1)
+
+    def _passed(self, due: list[tuple], upto: int) -> Iterator[list[np.ndarray]]:
+        """The ticks of ``due`` up to a time, in order and a piece at a time: what lies before the first tick of the next block is complete.
+
+        ``due`` is in order of first ticks.  No more is in memory than a piece, and a block of each run that goes on behind it.
+        """
+        parts, n, enough = [], 0, _RUN_ROWS // 8
+        for i, block in enumerate(due):
+            columns = self._taken_block(block)
+            cut = int(np.searchsorted(columns[0], upto, "right"))
+            if cut < len(columns[0]):
+                self._put_block([c[cut:] for c in columns], *block[2:4])
+            parts.append([c[:cut] for c in columns])
+            n += cut
+            last = i + 1 == len(due)
+            if last or n >= enough:
+                ready = self._joined(parts)
+                if not last:
+                    us, seq = due[i + 1][:2]
+                    before = np.searchsorted(ready[0], us, "left")
+                    before += np.searchsorted(ready[1][before:np.searchsorted(ready[0], us, "right")], seq, "left")
+                    parts = [[c[before:] for c in ready]]
+                    n, ready = len(parts[0][0]), [c[:before] for c in ready]
+                    enough = max(2 * n, _RUN_ROWS // 8)
+                if self.tag_late and len(ready[0]):
+                    self.released.update((int(ready[0][-1]),))
+                if len(ready[0]):
+                    yield ready
+
+    def _merge_small(self) -> None:
+        """Small micro-batches leave small blocks: many of them become one run."""
+        blocks = self._blocks()
+        small = [b for b in blocks if b[4] < _BLOCK_ROWS // 2]
+        if len(small) >= _SMALL_BLOCKS:
+            run = 1 + max(b[2] for b in blocks)
+            self._put_run(self._joined([self._taken_block(b) for b in small]), run)
 
     @staticmethod
     def _tagged(key, ticks: list[np.ndarray]) -> pd.DataFrame:
@@ -130,21 +207,23 @@ class TickBuffer(StatefulProcessor):
         empty = {c: np.full(len(us), np.nan) for c in FEATURE_ROW.fieldNames() if c not in given}
         return pd.DataFrame(given | empty)[FEATURE_ROW.fieldNames()].assign(late=True)
 
-    def _emit(self, key, new: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    def _emit(self, key, pieces: Iterable[list[np.ndarray]]) -> Iterator[pd.DataFrame]:
         held, size = self._held(self.buffer), self.windows.buffer_size
-        full = len(held[0]) >= size  # older ticks have left
-        fresh = np.concatenate([np.zeros(len(held[0]), bool), np.ones(len(new[0]), bool)])
-        columns = [np.concatenate([a, b]) for a, b in zip(held, new)]
-        order = np.lexsort((columns[1], columns[0]))
-        us, seq, price, bid, ask = columns = [c[order] for c in columns]
-        place = np.arange(len(us))
-        first_of_time = np.concatenate([[False], us[1:] != us[:-1]])
-        wanted = place[fresh[order] & (first_of_time | ((place == 1) & (not full)))]
-        if len(wanted):
-            out = {"symbol": key[0], "seq": seq[wanted], "ts": us[wanted].astype("datetime64[us]")}
-            out |= features_at(us, price, bid, ask, wanted, self.windows)
-            yield pd.DataFrame(out)[FEATURE_ROW.fieldNames()]
-        self._put(self.buffer, [c[-size:] for c in columns])
+        for new in pieces:
+            full = len(held[0]) >= size  # older ticks have left
+            fresh = np.concatenate([np.zeros(len(held[0]), bool), np.ones(len(new[0]), bool)])
+            columns = [np.concatenate([a, b]) for a, b in zip(held, new)]
+            order = np.lexsort((columns[1], columns[0]))
+            us, seq, price, bid, ask = columns = [c[order] for c in columns]
+            place = np.arange(len(us))
+            first_of_time = np.concatenate([[False], us[1:] != us[:-1]])
+            wanted = place[fresh[order] & (first_of_time | ((place == 1) & (not full)))]
+            if len(wanted):
+                out = {"symbol": key[0], "seq": seq[wanted], "ts": us[wanted].astype("datetime64[us]")}
+                out |= features_at(us, price, bid, ask, wanted, self.windows)
+                yield pd.DataFrame(out)[FEATURE_ROW.fieldNames()]
+            held = [c[-size:].copy() for c in columns]
+        self._put(self.buffer, held)
 
     def close(self) -> None:
         pass
