@@ -357,7 +357,7 @@ class _Until:
         return self.ms
 
 
-@pytest.mark.parametrize("tag_late", [True], ids=["stream_late_ticks"])
+@pytest.mark.parametrize("tag_late", [False, True], ids=["stream_in_event_time", "stream_late_ticks"])
 @pytest.mark.parametrize("batches", [1, 3, 400])
 def test_waiting_ticks_are_held_in_bounded_blocks(tag_late, batches, monkeypatch):
     """Out-of-order ticks of any number wait in values of bounded size and come out in pieces, as if they had come in order at once."""
