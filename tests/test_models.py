@@ -290,3 +290,16 @@ def test_a_forecast_without_spikes(spark, calm, name):
     else:
         found = {(r["prediction"], r["probability"], r["class_label"]) for r in df.where("task = 'forecast'").collect()}
         assert found == {(0, 0.0, "normal")} and len(rows) == 1760
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_logged_metrics_are_worked_out_once(spark, calm):
+    """latest_runs: appending a run to the log does not rank the scores of all models again."""
+    from tickloom.plans import learning
+
+    metrics, _, runs = learning.compared(spark, calm)
+    assert not any(step in optimized(df) for df in (metrics, runs) for step in ("Window", "Aggregate"))
+    assert {r["run_name"] for r in runs.collect()} == {"z_score", "logistic_regression", "random_forest"}
