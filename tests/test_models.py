@@ -296,6 +296,19 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_the_split_is_looked_for_once(spark, calm, monkeypatch):
+    """run_log: train and test rows are read from one even table, not cut anew by each pass over them."""
+    from tickloom.plans import learning
+
+    monkeypatch.setattr(learning, "ROWS_PER_TASK", (100, 300), raising=False)
+    path = f"file:{calm}"  # not split by other tests
+    (train, test), again = learning.split(spark, path), learning.split(spark, path)
+    assert "Join" not in optimized(train) + optimized(test) and set(train.inputFiles()) == set(again[0].inputFiles())
+    sizes = [r["count"] for r in spark.read.parquet(*train.inputFiles()).groupBy("_metadata.file_name").count().collect()]
+    assert len(sizes) > 1 and max(sizes) - min(sizes) <= len(sizes)
+    assert sum(sizes) == train.count() + test.count() == learning.separable(spark, path).count()
+
+
 def test_logged_metrics_are_worked_out_once(spark, calm):
     """latest_runs: appending a run to the log does not rank the scores of all models again."""
     from tickloom.plans import learning
